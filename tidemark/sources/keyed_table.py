@@ -1,0 +1,152 @@
+"""Tables that change by key, and tables that only grow, both on parquet.
+
+Spark merges nothing into parquet, so a changed table is written anew, but only where it changed: a
+keyed table is laid out by hash bucket of its key, and a batch rewrites the buckets its keys fall
+into. Every batch writes to folders of its own and ends with one small listing that says which
+folder holds each bucket. A batch that dies before that listing leaves the table as it was, and a
+repeated batch starts from the state before its first attempt.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.functions import bucket_of
+
+BUCKET = "bucket"
+_LISTING = "batch BIGINT, bucket INT, version BIGINT"
+
+
+class KeyedTable:
+    """A table of ``schema`` below ``path``, bucketed by ``key`` (one column or several).
+
+    The number of buckets is fixed for the life of a table; choose it so that a bucket stays around
+    a gigabyte, since a bucket is rewritten by one task.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: T.StructType,
+        key: str | list[str],
+        buckets: int = 16,
+    ):
+        self.spark, self.path, self.schema = spark, path, schema
+        self.key = [key] if isinstance(key, str) else list(key)
+        self.buckets = buckets
+
+    def read(self) -> DataFrame:
+        """The table after its last finished batch."""
+        return self._load(self._folders(before=None)).drop(BUCKET)
+
+    def merge(
+        self,
+        batch_id: int,
+        source: DataFrame,
+        merge: Callable[[DataFrame, DataFrame], DataFrame],
+    ) -> None:
+        """Rewrite the buckets that ``source`` touches with ``merge(current rows, source)``.
+
+        Both carry the bucket column, and the result must be partitioned by it, which the merge
+        operators do when they are told to ``cluster_by="bucket"``.
+        """
+        for column in self.key:
+            source = source.where(F.col(column).isNotNull())
+        source = source.withColumn(BUCKET, bucket_of(self.key, self.buckets))
+        # At most one small integer per bucket reaches the driver.
+        touched = [row[BUCKET] for row in source.select(BUCKET).distinct().collect()]
+        folders = self._folders(before=batch_id)
+        if touched:
+            current = self._load({b: v for b, v in folders.items() if b in touched})
+            merged = merge(current, source)
+            merged.write.mode("overwrite").partitionBy(BUCKET).parquet(
+                f"{self.path}/data/version={batch_id}"
+            )
+        listing = {**folders, **dict.fromkeys(touched, batch_id)}
+        rows = self.spark.createDataFrame(sorted(listing.items()), "bucket INT, version BIGINT")
+        rows.coalesce(1).write.mode("overwrite").json(f"{self.path}/listing/batch={batch_id}")
+
+    def expire(self, keep: int = 3) -> None:
+        """Delete the bucket folders that none of the last ``keep`` batches refers to."""
+        root = f"{self.path}/listing"
+        if not folder_exists(self.spark, root):
+            return
+        listings = self.spark.read.schema(_LISTING).json(root)
+        batches = sorted(row.batch for row in listings.select("batch").distinct().collect())
+        old, recent = batches[:-keep], batches[-keep:]
+        kept = {
+            (row.version, row.bucket)
+            for row in listings.where(F.col("batch").isin(recent))
+            .select("version", "bucket").distinct().collect()
+        }
+        for batch in old:
+            listed = listings.where(F.col("batch") == batch).select("version", "bucket")
+            for row in listed.collect():
+                if (row.version, row.bucket) not in kept:
+                    folder = f"{self.path}/data/version={row.version}/{BUCKET}={row.bucket}"
+                    delete_folder(self.spark, folder)
+            delete_folder(self.spark, f"{root}/batch={batch}")
+
+    def _folders(self, before: int | None) -> dict[int, int]:
+        """Bucket to version, as of the newest finished batch (below ``before``)."""
+        if not folder_exists(self.spark, f"{self.path}/listing"):
+            return {}
+        listings = self.spark.read.schema(_LISTING).json(f"{self.path}/listing")
+        if before is not None:
+            listings = listings.where(F.col("batch") < before)
+        newest = listings.agg(F.max("batch")).first()[0]
+        if newest is None:
+            return {}
+        rows = listings.where(F.col("batch") == newest).select("bucket", "version").collect()
+        return {row.bucket: row.version for row in rows}
+
+    def _load(self, folders: dict[int, int]) -> DataFrame:
+        stored = T.StructType(self.schema.fields + [T.StructField(BUCKET, T.IntegerType())])
+        if not folders:
+            return self.spark.createDataFrame([], stored)
+        data = f"{self.path}/data"
+        paths = [f"{data}/version={v}/{BUCKET}={b}" for b, v in sorted(folders.items())]
+        return (
+            self.spark.read.schema(stored)
+            .option("basePath", data)
+            .parquet(*paths)
+            .select(*stored.names)
+        )
+
+
+class GrowingTable:
+    """A table that batches add to; a repeated batch replaces what it wrote before.
+
+    Adding costs the size of the batch, whatever the size of the table. Where records of one key
+    may arrive in several batches, readers take the latest one per key.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
+        self.spark, self.path, self.schema = spark, path, schema
+
+    def add(self, batch_id: int, rows: DataFrame) -> None:
+        rows.select(*self.schema.names).write.mode("overwrite").parquet(
+            f"{self.path}/batch_id={batch_id}"
+        )
+
+    def read(self) -> DataFrame:
+        """All rows, with the ``batch_id`` that brought them."""
+        stored = T.StructType(self.schema.fields + [T.StructField("batch_id", T.LongType())])
+        if not folder_exists(self.spark, self.path):
+            return self.spark.createDataFrame([], stored)
+        return self.spark.read.schema(stored).parquet(self.path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
