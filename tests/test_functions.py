@@ -1,0 +1,105 @@
+"""Literal edge rows of the column expressions."""
+
+import datetime as dt
+import hashlib
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.functions import (
+    date_from_epoch_days,
+    date_key,
+    day_key,
+    decode_decimal,
+    encode_decimal,
+    is_undecodable,
+    normalize_phone,
+    timestamp_from_millis,
+    transaction_key,
+)
+
+
+def evaluate(spark, values, type_name, expression):
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, x {type_name}")
+    return [r[0] for r in rows.orderBy("i").select(expression(F.col("x"))).collect()]
+
+
+def test_decimal_literals(spark):
+    encoded = ["MDk=", "z8c=", "AA==", "fw==", "AIA=", "gA==", None, "!!*", ""]
+    expected = ["123.45", "-123.45", "0.00", "1.27", "1.28", "-1.28", None, None, None]
+    decoded = evaluate(spark, encoded, "string", decode_decimal)
+    assert decoded == [None if e is None else Decimal(e) for e in expected]
+    flagged = evaluate(spark, encoded, "string", is_undecodable)
+    assert flagged == [False] * 7 + [True, True]
+
+
+def test_decimal_agrees_with_integer_arithmetic(spark):
+    import base64
+
+    cents = [0, 1, -1, 127, 128, -128, -129, 32767, -32768, 10**9, -(10**9), 9999999999,
+             -9999999999]
+    encoded = []
+    for value in cents:
+        length = max(1, (value.bit_length() + 8) // 8)
+        encoded.append(base64.b64encode(value.to_bytes(length, "big", signed=True)).decode())
+    decoded = evaluate(spark, encoded, "string", decode_decimal)
+    assert decoded == [Decimal(c).scaleb(-2) for c in cents]
+
+
+def test_decimal_too_large_or_too_long_is_null(spark):
+    import base64
+
+    big = base64.b64encode((10**10).to_bytes(6, "big")).decode()  # 100,000,000.00
+    long = base64.b64encode(bytes(9)).decode()
+    assert evaluate(spark, [big, long], "string", decode_decimal) == [None, None]
+
+
+def test_encode_decode_round_trip(spark):
+    values = [0.0, 0.01, 900.1, 68423.46, -12.34]
+    result = evaluate(spark, values, "double", lambda x: decode_decimal(encode_decimal(x)))
+    assert result == [Decimal(str(v)).quantize(Decimal("0.01")) for v in values]
+
+
+@pytest.mark.parametrize(
+    ("raw", "clean", "compat"),
+    [
+        ("+84 912-345-678", "0912345678", "084912345678"),
+        ("+84912345678", "0912345678", "084912345678"),
+        ("(09) 12 345", "0912345", "0912345"),
+        ("8123", "8123", "0123"),
+        ("4123", "4123", "0123"),
+        (None, None, None),
+    ],
+)
+def test_phone(spark, raw, clean, compat):
+    assert evaluate(spark, [raw], "string", normalize_phone) == [clean]
+    by_class = evaluate(spark, [raw], "string", lambda x: normalize_phone(x, strict_compat=True))
+    assert by_class == [compat]
+
+
+def test_dates(spark):
+    days = evaluate(spark, [0, -1, 24856, None], "int", date_from_epoch_days)
+    assert days == [dt.date(1970, 1, 1), dt.date(1969, 12, 31), dt.date(2038, 1, 20), None]
+    times = evaluate(spark, [1700000000123], "long", timestamp_from_millis)
+    assert times == [dt.datetime(2023, 11, 14, 22, 13, 20, 123000)]
+    assert evaluate(spark, [dt.date(2026, 4, 6)], "date", date_key) == [20260406]
+
+
+def test_epoch_days_do_not_depend_on_the_time_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert evaluate(spark, [20500], "int", date_from_epoch_days) == [dt.date(2026, 2, 16)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_keys(spark):
+    on_day = F.lit("2001-01-01").cast("date")
+    keys = evaluate(spark, ["7", None], "string", lambda x: day_key(x, on_day))
+    assert keys == [hashlib.md5(b"72001-01-01").hexdigest(), None]
+    assert evaluate(spark, ["7"], "string", transaction_key) == [hashlib.md5(b"7").hexdigest()]
+    drawn = evaluate(spark, ["7", "7"], "string", lambda x: transaction_key(x, "uuid"))
+    assert len(set(drawn)) == 2
+    with pytest.raises(ValueError):
+        transaction_key(F.lit("7"), "serial")

@@ -421,7 +421,7 @@ def lake_of(spark: SparkSession, d: str) -> Lake:
     root = work_dir(spark, "lake")
     master = feeds.customer_feed(spark, d).union(feeds.product_feed(spark, d))
     sales = feeds.transaction_feed(spark, d).union(feeds.event_feed(spark, d))
-    phone = F.get_json_object("value", "$.after.phone_number")
+    phone = F.coalesce(F.get_json_object("value", "$.after.phone_number"), "offset")
 
     lake = Lake(spark, f"{root}/tables", as_of=AS_OF)
     for arriving, spread_by in ((master, [F.col("offset")]), (sales, [phone])):
@@ -452,7 +452,7 @@ def _stream_activity_log(spark, d):
     root = work_dir(spark, "activity")
     _as_files(feeds.event_feed(spark, d), f"{root}/feed", 4, ["offset"])
     incoming = stream_feed(spark, "parquet", f"{root}/feed", maxFilesPerTrigger="2")
-    logs = stateful_activity_log(clean_event(incoming), pages=4)
+    logs = stateful_activity_log(clean_event(incoming), slots=4)
     documents = KeyedTable(spark, f"{root}/documents", logs.schema, ["customer_id", "page"])
     write_documents(logs, documents, f"{root}/checkpoint", True).awaitTermination()
     return documents.read().select("customer_id", F.inline("activity_log")).drop("url")

@@ -60,13 +60,13 @@ class KeyedTable:
         source = source.withColumn(BUCKET, bucket_of(self.key, self.buckets))
         # At most one small integer per bucket reaches the driver.
         touched = [row[BUCKET] for row in source.select(BUCKET).distinct().collect()]
+        if not touched:
+            return
         folders = self._folders(before=batch_id)
-        if touched:
-            current = self._load({b: v for b, v in folders.items() if b in touched})
-            merged = merge(current, source)
-            merged.write.mode("overwrite").partitionBy(BUCKET).parquet(
-                f"{self.path}/data/version={batch_id}"
-            )
+        current = self._load({b: v for b, v in folders.items() if b in touched})
+        merge(current, source).write.mode("overwrite").partitionBy(BUCKET).parquet(
+            f"{self.path}/data/version={batch_id}"
+        )
         listing = {**folders, **dict.fromkeys(touched, batch_id)}
         rows = self.spark.createDataFrame(sorted(listing.items()), "bucket INT, version BIGINT")
         rows.coalesce(1).write.mode("overwrite").json(f"{self.path}/listing/batch={batch_id}")

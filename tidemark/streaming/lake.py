@@ -38,6 +38,7 @@ from tidemark.schemas import (
     ACTIVITY_ENTRY,
     ACTIVITY_PAGES,
     DIM_CUSTOMER,
+    DIM_DATE,
     DIM_PRODUCT,
     FACT_TRANSACTION,
     SILVER_CUSTOMER,
@@ -46,7 +47,7 @@ from tidemark.schemas import (
     TRANSACTION_ENTRY,
     TRANSACTION_PAGES,
 )
-from tidemark.sources.keyed_table import BUCKET, GrowingTable, KeyedTable
+from tidemark.sources.keyed_table import BUCKET, GrowingTable, KeyedTable, folder_exists
 
 
 class Lake:
@@ -70,7 +71,8 @@ class Lake:
         fact_key: str = "md5",
         page_entries: int = PAGE_ENTRIES,
     ):
-        self.spark, self.as_of, self.strict_compat = spark, as_of, strict_compat
+        self.spark, self.root, self.as_of = spark, root, as_of
+        self.strict_compat = strict_compat
         self.fact_key, self.page_entries = fact_key, page_entries
 
         def keyed(zone: str, name: str, schema: T.StructType, key: str) -> KeyedTable:
@@ -95,7 +97,7 @@ class Lake:
         now = dt.datetime.now(dt.timezone.utc)
         as_of = self.as_of or now.date()
         cleaned = (
-            clean_customer(raw, strict_compat=False),
+            clean_customer(raw),
             clean_product(raw),
             latest_per_key(
                 clean_transaction(raw, as_of, self.strict_compat), "transaction_id", FEED_ORDER
@@ -143,7 +145,7 @@ class Lake:
             transactions,
             self.dim_customer.read(),
             self.dim_product.read(),
-            dim_date(self.spark, as_of),
+            self.calendar(as_of),
             self.fact_key,
         )
         self.fact_transaction.add(batch_id, facts)
@@ -164,6 +166,14 @@ class Lake:
         )
         self.activity.add(batch_id, activity_log(events, self.page_entries))
 
+    def calendar(self, as_of: dt.date | str | None = None) -> DataFrame:
+        """The calendar, written once, around the day of the first batch."""
+        path = f"{self.root}/gold/dim_date"
+        if not folder_exists(self.spark, f"{path}/_SUCCESS"):
+            days = dim_date(self.spark, as_of or self.as_of)
+            days.coalesce(1).write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(DIM_DATE).parquet(path)
+
     def transactions(self) -> DataFrame:
         """Stored transactions, one row per transaction id."""
         rows = self.silver_transaction.read()
@@ -190,6 +200,20 @@ class Lake:
         ]
         return assemble_documents(people, logs, self.page_entries)
 
+    def create_views(self) -> None:
+        """Temporary views of the tables as they are now, for SQL over the star schema."""
+        views = {
+            "silver_customer": self.silver_customer.read(),
+            "silver_product": self.silver_product.read(),
+            "silver_transaction": self.transactions(),
+            "dim_customer": self.dim_customer.read(),
+            "dim_product": self.dim_product.read(),
+            "dim_date": self.calendar(),
+            "fact_transaction": self.facts(),
+        }
+        for name, rows in views.items():
+            rows.createOrReplaceTempView(name)
+
     def expire(self, keep: int = 3) -> None:
         """Drop the states of keyed tables older than the last ``keep`` batches."""
         for table in (
