@@ -247,10 +247,15 @@ def start_lake(
 
 
 def supervise(spark: SparkSession, queries: list[StreamingQuery]) -> None:
-    """Block until any query ends, stop the others, and raise what made it fail."""
+    """Block until any of the queries ends, stop the others, and raise what made it fail."""
+    spark.streams.resetTerminated()  # forget queries that ended before these
     try:
-        spark.streams.awaitAnyTermination()
+        while all(query.isActive for query in queries):
+            spark.streams.awaitAnyTermination(60)
     finally:
+        ended = [query for query in queries if not query.isActive]
         for query in queries:
             if query.isActive:
                 query.stop()
+    for query in ended:
+        query.awaitTermination()
