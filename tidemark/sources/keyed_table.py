@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tidemark.functions import bucket_of
 
 BUCKET = "bucket"
-_LISTING = "batch BIGINT, bucket INT, version BIGINT"
+_LISTING = "bucket INT, version BIGINT"
 
 
 class KeyedTable:
@@ -68,42 +68,41 @@ class KeyedTable:
             f"{self.path}/data/version={batch_id}"
         )
         listing = {**folders, **dict.fromkeys(touched, batch_id)}
-        rows = self.spark.createDataFrame(sorted(listing.items()), "bucket INT, version BIGINT")
+        rows = self.spark.createDataFrame(sorted(listing.items()), _LISTING)
         rows.coalesce(1).write.mode("overwrite").json(f"{self.path}/listing/batch={batch_id}")
 
     def expire(self, keep: int = 3) -> None:
         """Delete the bucket folders that none of the last ``keep`` batches refers to."""
-        root = f"{self.path}/listing"
-        if not folder_exists(self.spark, root):
-            return
-        listings = self.spark.read.schema(_LISTING).json(root)
-        batches = sorted(row.batch for row in listings.select("batch").distinct().collect())
+        batches = self._batches()
         old, recent = batches[:-keep], batches[-keep:]
-        kept = {
-            (row.version, row.bucket)
-            for row in listings.where(F.col("batch").isin(recent))
-            .select("version", "bucket").distinct().collect()
-        }
+        kept = {folder for batch in recent for folder in self._listing(batch).items()}
         for batch in old:
-            listed = listings.where(F.col("batch") == batch).select("version", "bucket")
-            for row in listed.collect():
-                if (row.version, row.bucket) not in kept:
-                    folder = f"{self.path}/data/version={row.version}/{BUCKET}={row.bucket}"
-                    delete_folder(self.spark, folder)
-            delete_folder(self.spark, f"{root}/batch={batch}")
+            for bucket, version in self._listing(batch).items():
+                if (bucket, version) not in kept:
+                    delete_folder(
+                        self.spark, f"{self.path}/data/version={version}/{BUCKET}={bucket}"
+                    )
+            delete_folder(self.spark, f"{self.path}/listing/batch={batch}")
+
+    def _batches(self) -> list[int]:
+        """Finished batches in order: those whose listing was committed."""
+        root = f"{self.path}/listing"
+        names = [name for name in folder_names(self.spark, root) if name.startswith("batch=")]
+        return sorted(
+            int(name.removeprefix("batch="))
+            for name in names
+            if folder_exists(self.spark, f"{root}/{name}/_SUCCESS")
+        )
+
+    def _listing(self, batch: int) -> dict[int, int]:
+        """Bucket to version, as a batch left them; one small row per bucket."""
+        rows = self.spark.read.schema(_LISTING).json(f"{self.path}/listing/batch={batch}")
+        return {row.bucket: row.version for row in rows.collect()}
 
     def _folders(self, before: int | None) -> dict[int, int]:
         """Bucket to version, as of the newest finished batch (below ``before``)."""
-        if not folder_exists(self.spark, f"{self.path}/listing"):
-            return {}
-        listings = self.spark.read.schema(_LISTING).json(f"{self.path}/listing")
-        if before is not None:
-            listings = listings.where(F.col("batch") < before)
-        newest = listings.agg(F.max("batch")).first()[0]
-        if newest is None:
-            return {}
-        rows = listings.where(F.col("batch") == newest).select("bucket", "version").collect()
-        return {row.bucket: row.version for row in rows}
+        batches = [b for b in self._batches() if before is None or b < before]
+        return self._listing(batches[-1]) if batches else {}
 
     def _load(self, folders: dict[int, int]) -> DataFrame:
         stored = T.StructType(self.schema.fields + [T.StructField(BUCKET, T.IntegerType())])
@@ -142,11 +141,23 @@ class GrowingTable:
         return self.spark.read.schema(stored).parquet(self.path)
 
 
-def delete_folder(spark: SparkSession, path: str) -> None:
+def _file_system(spark: SparkSession, path: str):
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
 def folder_exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    files, folder = _file_system(spark, path)
+    return files.exists(folder)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    files, folder = _file_system(spark, path)
+    if not files.exists(folder):
+        return []
+    return [status.getPath().getName() for status in files.listStatus(folder)]
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    files, folder = _file_system(spark, path)
+    files.delete(folder, True)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,9 +54,10 @@ from tidemark.sources.keyed_table import BUCKET, GrowingTable, KeyedTable, folde
 class Lake:
     """All tables of one deployment below ``root``, fed by :meth:`apply`.
 
-    The steps of a batch run in one fixed order: silver tables, dimensions with the batch's
-    walk-ins, facts, profiles. Every step can be repeated: keys are derived from the data, keyed
-    tables merge onto the state before the batch, growing tables replace the batch's rows.
+    A batch first writes silver tables, dimensions with the batch's walk-ins, demographics and
+    activity, and then the facts and the purchases, which look up what the first step wrote. Every
+    write can be repeated: keys are derived from the data, keyed tables merge onto the state before
+    the batch, growing tables replace the batch's rows.
 
     ``as_of`` is the processing day, fixed for a backfill; without it each batch takes the UTC day
     it starts on.
@@ -105,25 +107,39 @@ class Lake:
             clean_event(raw, self.strict_compat),
         )
         with persisted(*cleaned) as (customers, products, transactions, events):
-            self._silver(customers, products, transactions, batch_id)
-            self._dimensions(customers, products, transactions, as_of, batch_id)
-            self._facts(transactions, as_of, batch_id)
-            self._profiles(customers, transactions, events, now, batch_id)
+            # The calendar must exist before facts look days up; it is written by one thread.
+            days = self.calendar(as_of)
+            together(
+                self.spark,
+                lambda: self._write_customers(customers, transactions, batch_id),
+                lambda: self._write_products(products, batch_id),
+                lambda: self.silver_transaction.add(batch_id, transaction_rows(transactions)),
+                lambda: self._write_dim_customer(customers, transactions, as_of, batch_id),
+                lambda: self._write_dim_product(products, as_of, batch_id),
+                lambda: self._write_demographics(customers, batch_id),
+                lambda: self.activity.add(batch_id, activity_log(events, self.page_entries)),
+            )
+            together(
+                self.spark,
+                lambda: self._write_facts(transactions, days, batch_id),
+                lambda: self._write_purchases(transactions, now, batch_id),
+            )
 
-    def _silver(self, customers, products, transactions, batch_id: int) -> None:
+    def _write_customers(self, customers, transactions, batch_id: int) -> None:
         self.silver_customer.merge(
             batch_id,
             with_placeholders(customers, transactions),
             lambda stored, rows: upsert_customer(stored, rows, FEED_ORDER, BUCKET),
         )
+
+    def _write_products(self, products, batch_id: int) -> None:
         self.silver_product.merge(
             batch_id,
             products,
             lambda stored, rows: upsert_product(stored, rows, FEED_ORDER, BUCKET),
         )
-        self.silver_transaction.add(batch_id, transaction_rows(transactions))
 
-    def _dimensions(self, customers, products, transactions, as_of, batch_id: int) -> None:
+    def _write_dim_customer(self, customers, transactions, as_of, batch_id: int) -> None:
         # One writer: registered customers count from the processing day, walk-ins from their
         # purchase day.
         dated = customers.withColumn("day", as_date(as_of)).unionByName(
@@ -134,37 +150,37 @@ class Lake:
             dated,
             lambda dim, rows: merge_dim_customer(dim, rows, F.col("day"), cluster_by=BUCKET),
         )
+
+    def _write_dim_product(self, products, as_of, batch_id: int) -> None:
         self.dim_product.merge(
             batch_id,
             products,
             lambda dim, rows: merge_dim_product(dim, rows, as_of, cluster_by=BUCKET),
         )
 
-    def _facts(self, transactions, as_of, batch_id: int) -> None:
-        facts = build_fact(
-            transactions,
-            self.dim_customer.read(),
-            self.dim_product.read(),
-            self.calendar(as_of),
-            self.fact_key,
-        )
-        self.fact_transaction.add(batch_id, facts)
-
-    def _profiles(self, customers, transactions, events, now, batch_id: int) -> None:
+    def _write_demographics(self, customers, batch_id: int) -> None:
         latest = latest_per_key(customers, "customer_id", FEED_ORDER).drop(*FEED_ORDER)
         self.demographics.merge(
             batch_id,
             latest,
             lambda stored, rows: merge_documents(stored, rows, "customer_id", BUCKET),
         )
+
+    def _write_facts(self, transactions, days, batch_id: int) -> None:
+        facts = build_fact(
+            transactions, self.dim_customer.read(), self.dim_product.read(), days, self.fact_key
+        )
+        self.fact_transaction.add(batch_id, facts)
+
+    def _write_purchases(self, transactions, now, batch_id: int) -> None:
         lookup = self.demographics.read().select("customer_id", "phone_number")
+        read_at = now.replace(tzinfo=None)
         self.purchases.add(
             batch_id,
             resolve_transactions(
-                transactions, lookup, now.replace(tzinfo=None), page_entries=self.page_entries
+                transactions, lookup, read_at, page_entries=self.page_entries
             ),
         )
-        self.activity.add(batch_id, activity_log(events, self.page_entries))
 
     def calendar(self, as_of: dt.date | str | None = None) -> DataFrame:
         """The calendar, written once, around the day of the first batch."""
@@ -234,6 +250,18 @@ def persisted(*frames: DataFrame) -> Iterator[tuple[DataFrame, ...]]:
             frame.unpersist()
 
 
+def together(spark: SparkSession, *steps: Callable[[], None]) -> None:
+    """Run independent writes at the same time, so that small ones do not wait for each other.
+
+    The threads inherit the stream's job group, so stopping the stream cancels their jobs. All
+    steps end before the first failure, if any, is raised.
+    """
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    for step in running:
+        step.result()
+
+
 def start_lake(
     lake: Lake, feed: DataFrame, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
