@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import as_date
 from tidemark.operators.envelope import FEED_ORDER
 from tidemark.operators.scd2 import merge_dim_customer
 from tidemark.operators.upsert import PLACEHOLDER
@@ -35,6 +38,18 @@ def with_placeholders(customers: DataFrame, transactions: DataFrame) -> DataFram
     return customers.unionByName(placeholder_customers(transactions), allowMissingColumns=True)
 
 
+def customers_by_day(
+    customers: DataFrame, transactions: DataFrame, as_of: Column | dt.date | str | None
+) -> DataFrame:
+    """All customer records of a batch with the ``day`` from which the dimension counts them.
+
+    Registered customers count from the processing day, walk-ins from their purchase day.
+    """
+    return customers.withColumn("day", as_date(as_of)).unionByName(
+        placeholder_customers(transactions).withColumn("day", F.col("customer_creation_date"))
+    )
+
+
 def insert_walkins(
     dim_customer: DataFrame, transactions: DataFrame, cluster_by: str | None = None
 ) -> DataFrame:

@@ -35,10 +35,15 @@ from tidemark.operators.upsert import (
     upsert_customer,
     upsert_product,
 )
-from tidemark.operators.walkins import insert_walkins, placeholder_customers, with_placeholders
+from tidemark.operators.walkins import (
+    customers_by_day,
+    insert_walkins,
+    placeholder_customers,
+    with_placeholders,
+)
 from tidemark.plans import star
 from tidemark.schemas import SILVER_CUSTOMER, SILVER_PRODUCT
-from tidemark.session import work_dir
+from tidemark.session import together, work_dir
 from tidemark.sources import warehouse_feeds as feeds
 from tidemark.sources.feeds import stream_feed
 from tidemark.sources.keyed_table import KeyedTable
@@ -124,13 +129,16 @@ class Gold(NamedTuple):
 
 def gold_of(spark: SparkSession, d: str) -> Gold:
     """Cleaned transactions and the dimensions, walk-ins included."""
-    transactions = stored(transactions_of(spark, d), "transactions")
-    registered = scd2.first_dim_customer(customers_of(spark, d), AS_OF)
+    transactions, customers, dim_product = together(
+        spark,
+        lambda: stored(transactions_of(spark, d), "transactions"),
+        lambda: stored(customers_of(spark, d), "customers"),
+        lambda: stored(scd2.first_dim_product(products_of(spark, d), AS_OF), "dim_product"),
+    )
+    records = customers_by_day(customers, transactions, AS_OF)
+    dim_customer = scd2.first_dim_customer(records, F.col("day"))
     return Gold(
-        transactions,
-        stored(insert_walkins(registered, transactions), "dim_customer"),
-        stored(scd2.first_dim_product(products_of(spark, d), AS_OF), "dim_product"),
-        dim_date(spark, AS_OF),
+        transactions, stored(dim_customer, "dim_customer"), dim_product, dim_date(spark, AS_OF)
     )
 
 

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
@@ -44,3 +48,14 @@ def shared_dir(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh path for one run below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def together(spark: SparkSession, *steps: Callable[[], Any]) -> list[Any]:
+    """Run independent jobs at the same time, so that small ones do not wait for large ones.
+
+    The threads inherit the caller's job group, so stopping a stream cancels the jobs of its batch.
+    All steps end before the first failure, if any, is raised; else their results are returned.
+    """
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    return [step.result() for step in running]

@@ -21,15 +21,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def spread_table(spark: SparkSession, sf_dir: str, name: str, *by: str) -> DataFrame:
     """A table whose rows become feed records, which is costly per row.
 
     A file that Spark cannot split would leave that work to one core, so such a table is
-    distributed first. With enough splits, as large tables have, nothing is shuffled.
+    distributed first, by its key. With enough splits, as large tables have, nothing is shuffled.
     """
     rows = table(spark, sf_dir, name)
     cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    return rows.repartition(cores, *by) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def record(
@@ -92,7 +92,7 @@ def product_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def transaction_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = (
-        spread_table(spark, sf_dir, "lineitem")
+        spread_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber")
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     )
@@ -136,7 +136,7 @@ def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("url"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("time_stamp"),
     )
-    return spread_table(spark, sf_dir, "events").select(
+    return spread_table(spark, sf_dir, "events", "event_id").select(
         *record("event", F.col("event_id"), after, F.lit("c"), F.lit(0))
     )
 
@@ -156,7 +156,7 @@ def customer_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.unix_date(F.col("o_orderdate").cast("date")).alias("creation_date"),
     )
     changed_at = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
-    return spread_table(spark, sf_dir, "orders").select(
+    return spread_table(spark, sf_dir, "orders", "o_orderkey").select(
         *record("customer", F.col("o_orderkey"), after, F.lit("u"), changed_at)
     )
 
@@ -177,7 +177,7 @@ def product_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     shipped_at = F.unix_millis(F.col("l_shipdate").cast("timestamp"))
     position = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    return spread_table(spark, sf_dir, "lineitem").select(
+    return spread_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber").select(
         *record("product", position, after, F.lit("u"), shipped_at)
     )
 

@@ -3,17 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterator
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions import as_date
 from tidemark.operators.calendar import dim_date
 from tidemark.operators.cleaners import (
     clean_customer,
@@ -34,7 +32,7 @@ from tidemark.operators.upsert import (
     upsert_customer,
     upsert_product,
 )
-from tidemark.operators.walkins import placeholder_customers, with_placeholders
+from tidemark.operators.walkins import customers_by_day, with_placeholders
 from tidemark.schemas import (
     ACTIVITY_ENTRY,
     ACTIVITY_PAGES,
@@ -48,6 +46,7 @@ from tidemark.schemas import (
     TRANSACTION_ENTRY,
     TRANSACTION_PAGES,
 )
+from tidemark.session import together
 from tidemark.sources.keyed_table import BUCKET, GrowingTable, KeyedTable, folder_exists
 
 
@@ -140,14 +139,9 @@ class Lake:
         )
 
     def _write_dim_customer(self, customers, transactions, as_of, batch_id: int) -> None:
-        # One writer: registered customers count from the processing day, walk-ins from their
-        # purchase day.
-        dated = customers.withColumn("day", as_date(as_of)).unionByName(
-            placeholder_customers(transactions).withColumn("day", F.col("customer_creation_date"))
-        )
         self.dim_customer.merge(
             batch_id,
-            dated,
+            customers_by_day(customers, transactions, as_of),
             lambda dim, rows: merge_dim_customer(dim, rows, F.col("day"), cluster_by=BUCKET),
         )
 
@@ -250,18 +244,6 @@ def persisted(*frames: DataFrame) -> Iterator[tuple[DataFrame, ...]]:
             frame.unpersist()
 
 
-def together(spark: SparkSession, *steps: Callable[[], None]) -> None:
-    """Run independent writes at the same time, so that small ones do not wait for each other.
-
-    The threads inherit the stream's job group, so stopping the stream cancels their jobs. All
-    steps end before the first failure, if any, is raised.
-    """
-    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
-        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
-    for step in running:
-        step.result()
-
-
 def start_lake(
     lake: Lake, feed: DataFrame, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
