@@ -173,8 +173,8 @@ def test_log_shuffles_by_key_and_page_once(events):
     assert "Python" not in plan
 
 
-@pytest.mark.parametrize("page_entries", [10_000, 20])
-def test_resolution_by_phone_and_time(spark, page_entries):
+@pytest.mark.parametrize(("page_entries", "per_share"), [(10_000, 100), (20, 100), (20, 2)])
+def test_resolution_by_phone_and_time(spark, page_entries, per_share):
     sales = sales_frame(
         spark,
         *[sale(f"t{i}", phone="0912") for i in range(100)],
@@ -184,16 +184,18 @@ def test_resolution_by_phone_and_time(spark, page_entries):
         sale("nobody", phone="0999"),
     )
     lookup = spark.createDataFrame(
-        [("a", "0912"), ("b", "0912"), ("c", "0913"), ("c", "0913"), ("d", None), ("e", "0000")],
+        [("a", "0912"), ("b", "0912"), ("f", "0912"), ("g", "0912"), ("c", "0913"), ("c", "0913"), ("d", None), ("e", "0000")],
         "customer_id string, phone_number string",
     )
-    pages = resolve_transactions(sales, lookup, read_at=NOON, page_entries=page_entries)
+    pages = resolve_transactions(
+        sales, lookup, NOON, page_entries=page_entries, customers_per_share=per_share
+    )
     found = defaultdict(list)
     for page in pages.collect():
         found[page.customer_id] += [entry.transaction_id for entry in page.transaction_log]
     everyone = sorted(f"t{i}" for i in range(100))
     assert {k: sorted(v) for k, v in found.items()} == {
-        "a": everyone, "b": everyone, "c": ["in time", "u1"]
+        "a": everyone, "b": everyone, "f": everyone, "g": everyone, "c": ["in time", "u1"]
     }
 
 
