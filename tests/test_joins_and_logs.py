@@ -184,7 +184,8 @@ def test_resolution_by_phone_and_time(spark, page_entries, per_share):
         sale("nobody", phone="0999"),
     )
     lookup = spark.createDataFrame(
-        [("a", "0912"), ("b", "0912"), ("f", "0912"), ("g", "0912"), ("c", "0913"), ("c", "0913"), ("d", None), ("e", "0000")],
+        [(customer, "0912") for customer in "abfg"]
+        + [("c", "0913"), ("c", "0913"), ("d", None), ("e", "0000")],
         "customer_id string, phone_number string",
     )
     pages = resolve_transactions(
@@ -195,7 +196,7 @@ def test_resolution_by_phone_and_time(spark, page_entries, per_share):
         found[page.customer_id] += [entry.transaction_id for entry in page.transaction_log]
     everyone = sorted(f"t{i}" for i in range(100))
     assert {k: sorted(v) for k, v in found.items()} == {
-        "a": everyone, "b": everyone, "f": everyone, "g": everyone, "c": ["in time", "u1"]
+        **dict.fromkeys("abfg", everyone), "c": ["in time", "u1"]
     }
 
 
@@ -225,9 +226,9 @@ def test_profile(spark, events, page_entries):
         ).collect()
     }
     seen_by_1 = events.where("customer_id = '1'").count()
-    if page_entries > 300:
-        assert sizes == {"busy": (1, None, 300), "1": (1, 119, seen_by_1), "nothing": (1, None, None)}
-    else:
-        assert sizes == {"busy": (6, None, 300), "1": (3, 119, seen_by_1), "nothing": (1, None, None)}
+    pages = (1, 1) if page_entries > 300 else (6, 3)
+    assert sizes == {
+        "busy": (pages[0], None, 300), "1": (pages[1], 119, seen_by_1), "nothing": (1, None, None)
+    }
     without = build_profile(customers, facts, page_entries=page_entries)
     assert "activity_log" not in without.columns

@@ -39,6 +39,28 @@ def test_latest_per_key(spark):
     ]
 
 
+def test_hot_keys_are_reduced_before_the_shuffle(spark):
+    rows = spark.range(10).select(
+        F.lit("hot").alias("id"), F.col("id").alias("ts"), F.lit("2026-01-01").alias("v")
+    )
+    history = scd2_from_log(rows, "id", "sk", F.to_date("v"), ["ts"])
+    for df in (latest_per_key(rows, "id", ["ts"]), history):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        first_shuffle = plan.rindex("Exchange hashpartitioning")
+        assert "partial_max_by" in plan[first_shuffle:]
+
+
+def test_clustered_merge_shuffles_stored_rows_once(spark):
+    stored = spark.range(10).select(
+        F.col("id").cast("string").alias("id"), F.lit("a").alias("v"), F.lit(0).alias("bucket")
+    )
+    changes = stored.withColumn("ts", F.col("id").cast("long"))
+    merged = upsert(stored, changes, "id", ["ts"], cluster_by="bucket")
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    # One exchange reduces the changes by key, one brings both sides together by bucket.
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 @pytest.mark.parametrize(
     ("name", "expected"),
     [("Unknown", "real"), (None, "real"), ("Binh", "Binh")],

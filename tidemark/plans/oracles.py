@@ -147,6 +147,12 @@ _ACTIVITY_SIZES = f"""activity_sizes AS (
     SELECT customer_id, count(*) AS activities, {_time('max(time_stamp)')} AS last_activity
     FROM activities GROUP BY customer_id)"""
 
+_RESOLVED = _with(
+    "customers transactions",
+    """SELECT c.customer_id, transaction_id, product_id, product_name, price, quantity, total_amount
+       FROM transactions t JOIN customers c ON c.phone_number = t.phone_number""",
+)
+
 ORACLES = {
     "route_feed": _FEED_COUNTS,
     "stream_bronze_counts": _FEED_COUNTS,
@@ -298,12 +304,8 @@ ORACLES = {
            FROM facts f JOIN customer_versions v ON v.customer_sk = f.customer_sk
            GROUP BY ALL""",
     ),
-    "resolve_transactions": _with(
-        "customers transactions",
-        """SELECT c.customer_id, transaction_id, product_id, product_name, price, quantity,
-                  total_amount
-           FROM transactions t JOIN customers c ON c.phone_number = t.phone_number""",
-    ),
+    "resolve_transactions": _RESOLVED,
+    "stream_transaction_log": _RESOLVED,
     "activity_log": _ACTIVITY,
     "stream_activity_log": _ACTIVITY,
     "transaction_log": _with(

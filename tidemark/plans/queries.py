@@ -54,7 +54,11 @@ from tidemark.streaming.bronze import (
     stream_bronze,
     write_bronze,
 )
-from tidemark.streaming.documents import stateful_activity_log, write_documents
+from tidemark.streaming.documents import (
+    stateful_activity_log,
+    stateful_transaction_log,
+    write_documents,
+)
 from tidemark.streaming.lake import Lake, start_lake
 
 AS_OF = "2001-08-01"  # the last order day of the tables
@@ -454,13 +458,39 @@ def _stream_profiles(spark, d):
     return _log_sizes(documents, "customer_id", "first_name", "gender")
 
 
-@query("stream_activity_log")
-def _stream_activity_log(spark, d):
-    """Activity documents kept by the stateful stream, entry by entry."""
-    root = work_dir(spark, "activity")
-    _as_files(feeds.event_feed(spark, d), f"{root}/feed", 4, ["offset"])
+def _streamed_documents(spark: SparkSession, feed: DataFrame, name: str, logs_of) -> DataFrame:
+    """The documents that a stateful log stream keeps up to date while a feed arrives in files."""
+    root = work_dir(spark, name)
+    _as_files(feed, f"{root}/feed", 4, ["offset"])
     incoming = stream_feed(spark, "parquet", f"{root}/feed", maxFilesPerTrigger="2")
-    logs = stateful_activity_log(clean_event(incoming), slots=4)
+    logs = logs_of(incoming)
     documents = KeyedTable(spark, f"{root}/documents", logs.schema, ["customer_id", "page"])
     write_documents(logs, documents, f"{root}/checkpoint", True).awaitTermination()
-    return documents.read().select("customer_id", F.inline("activity_log")).drop("url")
+    return documents.read()
+
+
+@query("stream_activity_log")
+def _stream_activity_log(spark, d):
+    """Activity documents kept by the stateful stream, entry by entry."""
+    documents = _streamed_documents(
+        spark,
+        feeds.event_feed(spark, d),
+        "activity",
+        lambda incoming: stateful_activity_log(clean_event(incoming), slots=4),
+    )
+    return documents.select("customer_id", F.inline("activity_log")).drop("url")
+
+
+@query("stream_transaction_log")
+def _stream_transaction_log(spark, d):
+    """Transactions resolved by phone within the stateful stream, entry by entry."""
+    lookup = stored(customers_of(spark, d).select("customer_id", "phone_number"), "lookup")
+    documents = _streamed_documents(
+        spark,
+        feeds.transaction_feed(spark, d),
+        "purchases",
+        lambda incoming: stateful_transaction_log(
+            clean_transaction(incoming, AS_OF), lookup, AS_OF, slots=1
+        ),
+    )
+    return documents.select("customer_id", F.inline("transaction_log"))

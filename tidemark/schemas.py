@@ -23,12 +23,13 @@ def _columns(text: str) -> T.StructType:
 FEED = _columns("offset string, topic string, key string, value string")
 
 CUSTOMER_PAYLOAD = _columns(
-    "customer_id string, first_name string, last_name string, gender string, date_of_birth integer, "
-    "email string, phone_number string, address string, country string, creation_date integer"
+    "customer_id string, first_name string, last_name string, gender string, "
+    "date_of_birth integer, email string, phone_number string, address string, country string, "
+    "creation_date integer"
 )
 PRODUCT_PAYLOAD = _columns(
-    "product_id integer, product_name string, product_link string, price string, base_price string, "
-    "currency string, sale_percents string, product_type string"
+    "product_id integer, product_name string, product_link string, price string, "
+    "base_price string, currency string, sale_percents string, product_type string"
 )
 TRANSACTION_PAYLOAD = _columns(
     "transaction_id string, customer_id string, product_id string, phone_number string, "
@@ -58,7 +59,8 @@ SILVER_TRANSACTION = _columns(
 DIM_CUSTOMER = _columns(f"customer_sk string, {_CUSTOMER_ATTRIBUTES}, {_VERSION}")
 DIM_PRODUCT = _columns(f"product_sk string, {_PRODUCT_ATTRIBUTES}, {_VERSION}")
 DIM_DATE = _columns(
-    "date_key integer, date date, year integer, month integer, day integer, day_of_week integer, quarter integer"
+    "date_key integer, date date, year integer, month integer, day integer, "
+    "day_of_week integer, quarter integer"
 )
 FACT_TRANSACTION = _columns(
     "transaction_sk string, date_key integer, customer_sk string, customer_id string, "
