@@ -119,6 +119,8 @@ def test_expire_keeps_what_recent_batches_use(keyed):
     assert contents(keyed.read()) == before
     versions = {path.split("version=")[1].split("/")[0] for path in files_below(keyed.path)}
     assert versions <= {"0", "4", "5"}
+    with pytest.raises(ValueError):
+        keyed.expire(keep=1)
     put(keyed, 5, ("1", "again"))
     assert {r.id: r.v for r in keyed.read().collect()} == {"1": "again", "2": "first"}
 
@@ -271,7 +273,7 @@ def test_lake_streams_restarts_and_replays(spark, feed, tmp_path):
     lake.apply(feed(*BATCHES[-1]), batch_id=2)
     assert {name: contents(rows) for name, rows in lake_tables(lake).items()} == before
 
-    lake.expire(keep=1)
+    lake.expire(keep=2)
     assert {name: contents(rows) for name, rows in lake_tables(lake).items()} == before
     lake.create_views()
     (row,) = spark.sql(

@@ -29,8 +29,10 @@ def build_fact(
     days = dim_date.select("date_key", F.col("date").alias("sale_date"))
 
     rows = transactions.withColumn("sale_date", F.to_date("timestamp"))
-    rows = lookup_join(rows, customers, "customer_id", "transaction_id", broadcast_rows)
-    rows = lookup_join(rows, products, "product_id", "transaction_id", broadcast_rows)
+    for lookup, key in ((customers, "customer_id"), (products, "product_id")):
+        rows = lookup_join(
+            rows, lookup, key, "transaction_id", broadcast_rows, keys_of=transactions
+        )
     # The calendar holds one row per day of a few decades whatever the data size.
     rows = rows.join(F.broadcast(days), "sale_date", "left")
 

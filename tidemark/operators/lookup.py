@@ -18,16 +18,20 @@ def lookup_join(
     key: str,
     spread_by: str | list[str],
     broadcast_rows: int = BROADCAST_ROWS,
+    keys_of: DataFrame | None = None,
 ) -> DataFrame:
     """Add the columns of ``lookup`` to every row; null where the key is unknown.
 
     ``lookup`` has one row per key and otherwise only columns that ``rows`` lacks. Its rows are
     counted first: a small one is broadcast and ``rows`` are not shuffled at all. Beyond that the
-    join shuffles, with the most frequent keys of ``rows`` taken out (:func:`_hot_key_join`).
+    join shuffles, with the most frequent keys taken out (:func:`_hot_key_join`); they are looked
+    for in ``keys_of``, a frame with the same keys that is cheaper to read, or in ``rows``.
     """
     if lookup.count() <= broadcast_rows:
-        return rows.join(F.broadcast(lookup), key, "left")
-    return _hot_key_join(rows, lookup, key, spread_by)
+        values = [c for c in lookup.columns if c != key]
+        return rows.join(F.broadcast(lookup), key, "left").select(*rows.columns, *values)
+    hot = hot_keys(rows if keys_of is None else keys_of, key)
+    return _hot_key_join(rows, lookup, key, spread_by, hot)
 
 
 def hot_keys(rows: DataFrame, key: str) -> DataFrame:
@@ -43,7 +47,7 @@ def hot_keys(rows: DataFrame, key: str) -> DataFrame:
 
 
 def _hot_key_join(
-    rows: DataFrame, lookup: DataFrame, key: str, spread_by: str | list[str]
+    rows: DataFrame, lookup: DataFrame, key: str, spread_by: str | list[str], hot: DataFrame
 ) -> DataFrame:
     """Shuffle join in which rows of hot keys, and rows without a key, spread over all tasks.
 
@@ -52,7 +56,6 @@ def _hot_key_join(
     key as usual.
     """
     values = [c for c in lookup.columns if c != key]
-    hot = hot_keys(rows, key)
     known = lookup.join(F.broadcast(hot), key, "left_semi")
     hot_rows = hot.join(known, key, "left").select(key, F.struct(*values).alias("_hot"))
     spread_by = [spread_by] if isinstance(spread_by, str) else spread_by

@@ -133,13 +133,12 @@ class Gold(NamedTuple):
 
 def gold_of(spark: SparkSession, d: str) -> Gold:
     """Cleaned transactions and the dimensions, walk-ins included."""
-    transactions, customers, dim_product = together(
+    transactions, dim_product = together(
         spark,
         lambda: stored(transactions_of(spark, d), "transactions"),
-        lambda: stored(customers_of(spark, d), "customers"),
         lambda: stored(scd2.first_dim_product(products_of(spark, d), AS_OF), "dim_product"),
     )
-    records = customers_by_day(customers, transactions, AS_OF)
+    records = customers_by_day(customers_of(spark, d), transactions, AS_OF)
     dim_customer = scd2.first_dim_customer(records, F.col("day"))
     return Gold(
         transactions, stored(dim_customer, "dim_customer"), dim_product, dim_date(spark, AS_OF)
@@ -383,12 +382,11 @@ def _log_sizes(documents: DataFrame, key: str, *columns: str) -> DataFrame:
 
 @query("unified_profile")
 def _unified_profile(spark, d):
-    gold = gold_of(spark, d)
-    profile = build_profile(
-        scd2.current_versions(gold.dim_customer),
-        stored(gold.facts(), "facts"),
-        stored(events_of(spark, d), "events"),
+    gold, events = together(
+        spark, lambda: gold_of(spark, d), lambda: stored(events_of(spark, d), "events")
     )
+    customers = scd2.current_versions(gold.dim_customer)
+    profile = build_profile(customers, stored(gold.facts(), "facts"), events)
     return _log_sizes(profile, "master_id", "first_name", "last_name", "gender", "date_of_birth")
 
 

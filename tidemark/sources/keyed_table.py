@@ -72,16 +72,23 @@ class KeyedTable:
         rows.coalesce(1).write.mode("overwrite").json(f"{self.path}/listing/batch={batch_id}")
 
     def expire(self, keep: int = 3) -> None:
-        """Delete the bucket folders that none of the last ``keep`` batches refers to."""
+        """Delete the bucket folders that none of the last ``keep`` batches refers to.
+
+        At least two batches stay, as the last one may be repeated on top of the one before.
+        """
+        if keep < 2:
+            raise ValueError("keep at least two batches")
         batches = self._batches()
         old, recent = batches[:-keep], batches[-keep:]
-        kept = {folder for batch in recent for folder in self._listing(batch).items()}
+        if not old:
+            return
+        listings = self.spark.read.schema(f"batch BIGINT, {_LISTING}").json(f"{self.path}/listing")
+        rows = listings.where(F.col("batch").isin(batches)).collect()
+        used = {(row.version, row.bucket) for row in rows if row.batch in recent}
+        unused = {(row.version, row.bucket) for row in rows} - used
+        for version, bucket in unused:
+            delete_folder(self.spark, f"{self.path}/data/version={version}/{BUCKET}={bucket}")
         for batch in old:
-            for bucket, version in self._listing(batch).items():
-                if (bucket, version) not in kept:
-                    delete_folder(
-                        self.spark, f"{self.path}/data/version={version}/{BUCKET}={bucket}"
-                    )
             delete_folder(self.spark, f"{self.path}/listing/batch={batch}")
 
     def _batches(self) -> list[int]:

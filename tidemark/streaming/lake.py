@@ -49,6 +49,10 @@ from tidemark.schemas import (
 from tidemark.session import together
 from tidemark.sources.keyed_table import BUCKET, GrowingTable, KeyedTable, folder_exists
 
+# Batches between two clean-ups of the keyed tables, and the states that each one leaves.
+EXPIRE_EVERY = 20
+KEEP_STATES = 3
+
 
 class Lake:
     """All tables of one deployment below ``root``, fed by :meth:`apply`.
@@ -123,6 +127,8 @@ class Lake:
                 lambda: self._write_facts(transactions, days, batch_id),
                 lambda: self._write_purchases(transactions, now, batch_id),
             )
+        if batch_id % EXPIRE_EVERY == EXPIRE_EVERY - 1:
+            self.expire()
 
     def _write_customers(self, customers, transactions, batch_id: int) -> None:
         self.silver_customer.merge(
@@ -224,7 +230,7 @@ class Lake:
         for name, rows in views.items():
             rows.createOrReplaceTempView(name)
 
-    def expire(self, keep: int = 3) -> None:
+    def expire(self, keep: int = KEEP_STATES) -> None:
         """Drop the states of keyed tables older than the last ``keep`` batches."""
         for table in (
             self.silver_customer, self.silver_product, self.dim_customer, self.dim_product,
