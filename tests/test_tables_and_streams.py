@@ -287,8 +287,10 @@ def test_lake_streams_restarts_and_replays(spark, feed, tmp_path):
 def test_one_batch_equals_a_first_load(spark, feed, tmp_path, empty_catalog):
     """The streaming job and the load of the catalog tables agree, and a load can be repeated."""
     raw = feed(*[record for batch in BATCHES for record in batch])
-    lake = Lake(spark, str(tmp_path / "lake"), as_of=AS_OF, buckets=4)
+    lake = Lake(spark, str(tmp_path / "lake"), as_of=AS_OF, buckets=4, keep_unreadable=True)
     lake.apply(raw, 0)
+    (unreadable,) = lake.unreadable.read().collect()
+    assert (unreadable.value, unreadable.reason) == ("not json", "malformed json")
     for _ in range(2):
         load_tables(spark, raw, str(tmp_path / "catalog"), AS_OF)
     pairs = {

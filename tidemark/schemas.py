@@ -21,6 +21,7 @@ def _columns(text: str) -> T.StructType:
 # Field names and types of the feeds and of the stored tables.
 
 FEED = _columns("offset string, topic string, key string, value string")
+UNREADABLE = _columns("offset string, topic string, key string, value string, reason string")
 
 CUSTOMER_PAYLOAD = _columns(
     "customer_id string, first_name string, last_name string, gender string, "

@@ -19,7 +19,7 @@ from tidemark.operators.cleaners import (
     clean_product,
     clean_transaction,
 )
-from tidemark.operators.envelope import FEED_ORDER
+from tidemark.operators.envelope import FEED_ORDER, PAYLOADS, quarantine, union_feeds
 from tidemark.operators.fact import build_fact
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.logs import PAGE_ENTRIES, activity_log
@@ -45,6 +45,7 @@ from tidemark.schemas import (
     SILVER_TRANSACTION,
     TRANSACTION_ENTRY,
     TRANSACTION_PAGES,
+    UNREADABLE,
 )
 from tidemark.session import together
 from tidemark.sources.keyed_table import BUCKET, GrowingTable, KeyedTable, folder_exists
@@ -63,7 +64,8 @@ class Lake:
     the batch, growing tables replace the batch's rows.
 
     ``as_of`` is the processing day, fixed for a backfill; without it each batch takes the UTC day
-    it starts on.
+    it starts on. ``keep_unreadable`` also stores the records that cannot be read whole, at the
+    price of parsing every record a second time.
     """
 
     def __init__(
@@ -75,10 +77,12 @@ class Lake:
         strict_compat: bool = False,
         fact_key: str = "md5",
         page_entries: int = PAGE_ENTRIES,
+        keep_unreadable: bool = False,
     ):
         self.spark, self.root, self.as_of = spark, root, as_of
         self.strict_compat = strict_compat
         self.fact_key, self.page_entries = fact_key, page_entries
+        self.keep_unreadable = keep_unreadable
 
         def keyed(zone: str, name: str, schema: T.StructType, key: str) -> KeyedTable:
             return KeyedTable(spark, f"{root}/{zone}/{name}", schema, key, buckets)
@@ -86,6 +90,7 @@ class Lake:
         def growing(zone: str, name: str, schema: T.StructType) -> GrowingTable:
             return GrowingTable(spark, f"{root}/{zone}/{name}", schema)
 
+        self.unreadable = growing("raw", "unreadable", UNREADABLE)
         self.silver_customer = keyed("silver", "silver_customer", SILVER_CUSTOMER, "customer_id")
         self.silver_product = keyed("silver", "silver_product", SILVER_PRODUCT, "product_id")
         self.silver_transaction = growing("silver", "silver_transaction", SILVER_TRANSACTION)
@@ -127,6 +132,9 @@ class Lake:
                 lambda: self._write_facts(transactions, days, batch_id),
                 lambda: self._write_purchases(transactions, now, batch_id),
             )
+        if self.keep_unreadable:
+            found = [quarantine(raw, key) for key in PAYLOADS]
+            self.unreadable.add(batch_id, union_feeds(*found))
         if batch_id % EXPIRE_EVERY == EXPIRE_EVERY - 1:
             self.expire()
 
