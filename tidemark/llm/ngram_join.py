@@ -346,3 +346,17 @@ def _unjoined_pairs(
         (F.col("c_x") != F.col("c_y")) & fits & ((F.col("c_y") == F.col("main")) | (F.expr("x < y")))
     )
     return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def keep_first(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options):
+    """The rows of ``df`` whose document has the least id of its component; options as above.
+
+    Rows without id stay. Ids of the others go to every executor if they are few bytes, else both
+    tables are shuffled.
+    """
+    found = near_duplicates(df, id_column, text_column, **options)
+    others = found.where("doc_id != component_id").select(F.col("doc_id").alias("other")).distinct()
+    others = materialize(others, "copies")
+    if others.count() * 8 <= BROADCAST_BYTES:
+        others = F.broadcast(others)
+    return df.join(others, df[f"`{id_column}`"].cast("long") == others["other"], "left_anti")

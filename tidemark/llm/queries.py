@@ -7,7 +7,16 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ngram_join
+from tidemark.llm import (
+    batches,
+    cascade,
+    decontaminate,
+    ngram_join,
+    packing,
+    rule_ensemble,
+    secret_scan,
+    vocabulary,
+)
 from tidemark.llm.store import importable_by_workers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,3 +45,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _ngram_jaccard_join(spark, d):
     """Every document with its number of shingles and the least id it is linked with."""
     return ngram_join.near_duplicates(table(spark, d, "documents"))
+
+
+@query("op3_secret_scan")
+def _secret_scan(spark, d):
+    """Secrets by fixed patterns and by character models, as counts, a digest and spans."""
+    return secret_scan.summary(secret_scan.find_secrets(table(spark, d, "documents")))
+
+
+@query("op5_quality_rules")
+def _quality_rules(spark, d):
+    """The rule ensemble's score of every document; labels of fold 0 of 5 are held out."""
+    documents = table(spark, d, "documents")
+    model = rule_ensemble.train(documents, table(spark, d, "labels"))
+    scored = rule_ensemble.score_quality(documents, model)
+    held_out = (batches.fold("doc_id", 5) == 0).alias("held_out")
+    return scored.select("doc_id", held_out, "score", "predicted")
+
+
+@query("op8_quality_cascade")
+def _quality_cascade(spark, d):
+    """Fixed measures of every document, and whether the cascade keeps it."""
+    return cascade.judge_quality(table(spark, d, "documents"))
+
+
+@query("op9_benchmark_decontamination")
+def _benchmark_decontamination(spark, d):
+    """How many words of every document are in passages of the benchmark, and of which items."""
+    found = decontaminate.benchmark_passages(
+        table(spark, d, "documents"), table(spark, d, "benchmark")
+    )
+    return decontaminate.contamination(found)
+
+
+@query("op10_best_fit_packing")
+def _best_fit_packing(spark, d):
+    """Every piece of every document with its sequence and its place there."""
+    return packing.pack_documents(table(spark, d, "documents"), vocabulary.default_path())
