@@ -10,14 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import (
     batches,
     cascade,
+    context_tree,
     decontaminate,
     ngram_join,
     packing,
     rule_ensemble,
     secret_scan,
+    token_store,
+    url_rules,
     vocabulary,
+    warc,
 )
 from tidemark.llm.store import importable_by_workers
+from tidemark.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -47,12 +52,28 @@ def _ngram_jaccard_join(spark, d):
     return ngram_join.near_duplicates(table(spark, d, "documents"))
 
 
+@query("op2_token_store")
+def _token_store(spark, d):
+    """Every document's ids as found on disk through the perfect hash index."""
+    documents = table(spark, d, "documents")
+    store = token_store.write_store(
+        documents, work_dir(spark, "tokens"), vocabulary.default_path()
+    )
+    return token_store.lookup(store, documents, with_ids=False)
+
+
 @query("op3_secret_scan")
 def _secret_scan(spark, d):
     """Secrets by fixed patterns and by character models, as counts, a digest and spans."""
     return secret_scan.summary(secret_scan.find_secrets(table(spark, d, "documents")))
 
 
+@query("op4_context_tree_scores")
+def _context_tree_scores(spark, d):
+    """Scores of every document by the context tree and by smoothed word counts."""
+    return context_tree.score_texts(table(spark, d, "documents"))
+
+
 @query("op5_quality_rules")
 def _quality_rules(spark, d):
     """The rule ensemble's score of every document; labels of fold 0 of 5 are held out."""
@@ -63,6 +84,29 @@ def _quality_rules(spark, d):
     return scored.select("doc_id", held_out, "score", "predicted")
 
 
+# Fixed by the contract of the query: host, path, verdict.
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
+
+@query("op6_url_rules")
+def _url_rules(spark, d):
+    """The rule and verdict for every page's url."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_rules.judge_urls(table(spark, d, "pages"), rules)
+
+
+@query("op7_warc_archives")
+def _warc_archives(spark, d):
+    """Every page's record as read back from the archives."""
+    archives = warc.write_archives(table(spark, d, "pages"), work_dir(spark, "warc"))
+    return warc.read_archives(archives).drop("url")
+
+
 @query("op8_quality_cascade")
 def _quality_cascade(spark, d):
     """Fixed measures of every document, and whether the cascade keeps it."""

@@ -7,6 +7,7 @@ import uuid
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.session import work_dir
 
@@ -38,7 +39,7 @@ class NewFile:
         system, path = file_system(folder)
         system.create_dir(path, recursive=True)
         self.name = f"{uuid.uuid4().hex}{suffix}"
-        self.stream = system.open_output_stream(f"{path}/{self.name}")
+        self.stream = system.open_output_stream(f"{path}/{self.name}", compression=None)
         self.size = 0
 
     def write(self, data: bytes) -> int:
@@ -65,3 +66,14 @@ def importable_by_workers(spark: SparkSession) -> None:
     if root not in known.split(os.pathsep):
         joined = os.pathsep.join(x for x in (root, known) if x)
         spark.sparkContext.environment["PYTHONPATH"] = joined
+
+
+BROADCAST_BYTES = 4 << 20
+
+
+def sent_if_small(df: DataFrame, row_bytes: int) -> DataFrame:
+    """A stored table, to be sent to every executor if its rows are few bytes together.
+
+    Beyond ``BROADCAST_BYTES`` the same join shuffles both sides; the result does not differ.
+    """
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
