@@ -21,12 +21,13 @@ from tidemark.llm import (
     vocabulary,
     warc,
 )
+from tidemark.llm.oracles import ORACLES  # noqa: F401
 from tidemark.llm.store import importable_by_workers
 from tidemark.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
+
 
 
 def query(name: str) -> Callable[[Query], Query]:
