@@ -5,6 +5,7 @@ from __future__ import annotations
 import glob
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -53,9 +54,11 @@ if __name__ == "__main__":
     from tidemark.plans.queries import REGISTRY
     from tidemark.session import build_session
 
+    work = tempfile.TemporaryDirectory(prefix="oracle-check-")
     spark = build_session(
         "oracle-check", "local[8]", spark__ui__enabled="false", spark__driver__memory="8g",
         spark__ui__showConsoleProgress="false", spark__sql__shuffle__partitions="8",
+        spark__checkpoint__dir=work.name, spark__sql__warehouse__dir=f"{work.name}/warehouse",
     )
     spark.sparkContext.setLogLevel("ERROR")
     scale = sys.argv[1] if len(sys.argv) > 1 else "0.01"
@@ -67,3 +70,5 @@ if __name__ == "__main__":
             found = f"{type(error).__name__}: {str(error)[:1500]}"
         print(f"{'ok  ' if found is None else 'FAIL'} {time.time() - started:6.1f}s {query} "
               f"{found or ''}", flush=True)
+    spark.stop()
+    work.cleanup()

@@ -2,7 +2,7 @@
 
 import datetime as dt
 import hashlib
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 import pytest
 from conftest import day
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import logs
 from tidemark.operators.calendar import dim_date
 from tidemark.operators.fact import build_fact
-from tidemark.operators.lookup import hot_keys, lookup_join
+from tidemark.operators.lookup import lookup_join
 from tidemark.operators.profile import build_profile
 from tidemark.operators.resolve import resolve_transactions
 from tidemark.schemas import ACTIVITY_ENTRY, DIM_CUSTOMER, DIM_PRODUCT, FACT_TRANSACTION
@@ -38,39 +38,49 @@ def skewed(spark):
     return rows, lookup
 
 
-def test_lookup_join_is_the_same_by_broadcast_and_by_shuffle(skewed):
+@pytest.mark.parametrize("strategy", [None, "broadcast", "merge", "shuffle_hash"])
+def test_lookup_join_is_the_same_by_every_strategy(skewed, strategy):
     rows, lookup = skewed
     values = {r["key"]: r["value"] for r in lookup.collect()}
     expected = sorted((r["row"], str(values.get(r["key"]))) for r in rows.collect())
-    for limit in (1_000, 0):
-        joined = lookup_join(rows, lookup, "key", "row", broadcast_rows=limit)
-        assert joined.columns[-1] == "value"
-        assert sorted((r["row"], str(r["value"])) for r in joined.collect()) == expected
+    joined = lookup_join(rows, lookup, "key", strategy)
+    assert joined.columns[-1] == "value"
+    assert sorted((r["row"], str(r["value"])) for r in joined.collect()) == expected
 
 
-def test_lookup_join_spreads_hot_and_missing_keys(spark, skewed, monkeypatch):
-    rows, lookup = skewed
-    monkeypatch.setattr("tidemark.operators.lookup.HOT_KEYS", 5)
-    assert "hot" in {r["key"] for r in hot_keys(rows, "key").collect()}
+def test_adaptive_execution_splits_hot_and_missing_keys(spark):
+    """Rows of one key, and rows without one, are read by several tasks of the join."""
+    rows = spark.range(200_000).select(
+        F.col("id").cast("string").alias("row"),
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string"))
+        .alias("key"),
+    )
+    lookup = spark.range(200_000).select(
+        F.col("id").cast("string").alias("key"), F.col("id").alias("value")
+    )
     settings = {
-        "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
     }
     before = {name: spark.conf.get(name) for name in settings}
     for name, value in settings.items():
         spark.conf.set(name, value)
     try:
-        joined = lookup_join(rows, lookup, "key", "row", broadcast_rows=0)
-        assert "hashpartitioning(_partner" in plan_of(joined)
-        sizes = Counter(r[0] for r in joined.select(F.spark_partition_id()).collect())
+        joined = lookup_join(rows, lookup, "key", "merge")
+        placed = joined.select("key", F.spark_partition_id().alias("task")).collect()
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
-    assert max(sizes.values()) < 3000 / 8 * 1.6
+    assert len(placed) == 200_000
+    for key in ("hot", None):
+        assert len({row.task for row in placed if row.key == key}) > 1
 
 
-def test_small_lookup_does_not_shuffle_the_rows(skewed):
-    rows, lookup = skewed
-    plan = plan_of(lookup_join(rows, lookup, "key", "row"))
+def test_small_lookup_does_not_shuffle_the_rows(spark, skewed):
+    rows, _ = skewed
+    lookup = spark.range(400).select(F.col("id").cast("string").alias("key"), F.lit(1).alias("v"))
+    plan = plan_of(lookup_join(rows, lookup, "key"))
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
 
 
@@ -93,8 +103,8 @@ def dimension(spark, schema, **values):
     return spark.createDataFrame([row], schema)
 
 
-@pytest.mark.parametrize("broadcast_rows", [100, 0])
-def test_fact_keys_and_fallbacks(spark, broadcast_rows):
+@pytest.mark.parametrize("strategy", [None, "merge"])
+def test_fact_keys_and_fallbacks(spark, strategy):
     customers = dimension(
         spark, DIM_CUSTOMER, customer_sk="sk-c", customer_id="c"
     ).union(dimension(spark, DIM_CUSTOMER, customer_sk="old", customer_id="c", is_current=False))
@@ -106,7 +116,7 @@ def test_fact_keys_and_fallbacks(spark, broadcast_rows):
         sale("t3", at=dt.datetime(1900, 1, 1)),
     )
     facts = build_fact(
-        sales, customers, products, dim_date(spark, "2026-01-01"), broadcast_rows=broadcast_rows
+        sales, customers, products, dim_date(spark, "2026-01-01"), strategy=strategy
     )
     assert facts.schema.names == FACT_TRANSACTION.names
     found = {r.transaction_id: r for r in facts.collect()}
@@ -147,34 +157,44 @@ def events(spark):
     )
 
 
-@pytest.mark.parametrize("page_entries", [10_000, 50])
-def test_log_keeps_every_entry_in_pages(events, page_entries):
+@pytest.mark.parametrize("slots", [1, 8])
+def test_log_keeps_every_entry_in_pages(events, slots):
     expected = defaultdict(set)
     for row in events.collect():
         if row.customer_id is not None:
             expected[row.customer_id].add(row.event_id)
-    pages = logs.activity_log(events, page_entries).collect()
+    pages = logs.activity_log(events, slots).collect()
     found = defaultdict(list)
     for page in pages:
         ids = [entry.event_id for entry in page.activity_log]
         assert ids == sorted(ids)
+        assert page.page // slots == 1970 * 12
         found[page.customer_id] += ids
     assert {k: set(v) for k, v in found.items()} == expected
     assert sum(map(len, found.values())) == sum(map(len, expected.values()))
-    page_counts = Counter(page.customer_id for page in pages)
-    assert page_counts["busy"] == (1 if page_entries > 300 else 6)
-    assert all(n == 1 for key, n in page_counts.items() if key != "busy")
+    assert sum(page.customer_id == "busy" for page in pages) == slots
+
+
+def test_entries_without_id_or_time_have_pages_too(spark):
+    """Entries that differ only beyond their id spread over the slots; equal ones share a page."""
+    events = spark.range(1000).select(
+        F.lit(None).cast("string").alias("event_id"), F.lit("c").alias("customer_id"),
+        F.concat(F.lit("t"), F.col("id") % 500).alias("type"), F.lit(None).cast("string").alias("url"),
+        F.lit(None).cast("timestamp").alias("time_stamp"),
+    )
+    sizes = [len(page.activity_log) for page in logs.activity_log(events).collect()]
+    assert sum(sizes) == 1000 and len(sizes) == logs.SLOTS and max(sizes) < 300
 
 
 def test_log_shuffles_by_key_and_page_once(events):
-    pages = logs.log_pages(events, "customer_id", ACTIVITY_ENTRY, "activity_log", None)
+    pages = logs.log_pages(events, "customer_id", ACTIVITY_ENTRY, "activity_log", "time_stamp")
     plan = plan_of(pages)
     assert plan.count("Exchange hashpartitioning") == 1
     assert "Python" not in plan
 
 
-@pytest.mark.parametrize(("page_entries", "per_share"), [(10_000, 100), (20, 100), (20, 2)])
-def test_resolution_by_phone_and_time(spark, page_entries, per_share):
+@pytest.mark.parametrize("slots", [1, 8])
+def test_resolution_by_phone_and_time(spark, slots):
     sales = sales_frame(
         spark,
         *[sale(f"t{i}", phone="0912") for i in range(100)],
@@ -188,9 +208,7 @@ def test_resolution_by_phone_and_time(spark, page_entries, per_share):
         + [("c", "0913"), ("c", "0913"), ("d", None), ("e", "0000")],
         "customer_id string, phone_number string",
     )
-    pages = resolve_transactions(
-        sales, lookup, NOON, page_entries=page_entries, customers_per_share=per_share
-    )
+    pages = resolve_transactions(sales, lookup, NOON, slots=slots)
     found = defaultdict(list)
     for page in pages.collect():
         found[page.customer_id] += [entry.transaction_id for entry in page.transaction_log]
@@ -200,8 +218,8 @@ def test_resolution_by_phone_and_time(spark, page_entries, per_share):
     }
 
 
-@pytest.mark.parametrize("page_entries", [10_000, 50])
-def test_profile(spark, events, page_entries):
+@pytest.mark.parametrize("slots", [1, 8])
+def test_profile(spark, events, slots):
     customers = spark.createDataFrame(
         [(key, "An", "Le", "male", day("1990-01-01")) for key in ("busy", "1", "nothing")],
         "customer_id string, first_name string, last_name string, gender string, "
@@ -216,19 +234,18 @@ def test_profile(spark, events, page_entries):
         F.lit("2.00").cast("decimal(10,2)").alias("total_amount"),
         F.timestamp_seconds("id").alias("time_stamp"),
     )
-    profile = build_profile(customers, facts, events, page_entries)
-    sizes = {
-        row.master_id: (row.pages, row.bought, row.seen)
-        for row in profile.groupBy("master_id").agg(
-            F.count("*").alias("pages"),
-            F.sum(F.size("transaction_log")).alias("bought"),
-            F.sum(F.size("activity_log")).alias("seen"),
+    profile = build_profile(customers, facts, events, slots)
+    assert profile.people.count() == 3
+    found = {
+        row.master_id: (row.bought, row.seen)
+        for row in profile.documents().groupBy("master_id").agg(
+            F.sum(F.coalesce(F.size("transaction_log"), F.lit(0))).alias("bought"),
+            F.sum(F.coalesce(F.size("activity_log"), F.lit(0))).alias("seen"),
         ).collect()
     }
     seen_by_1 = events.where("customer_id = '1'").count()
-    pages = (1, 1) if page_entries > 300 else (6, 3)
-    assert sizes == {
-        "busy": (pages[0], None, 300), "1": (pages[1], 119, seen_by_1), "nothing": (1, None, None)
-    }
-    without = build_profile(customers, facts, page_entries=page_entries)
-    assert "activity_log" not in without.columns
+    assert found == {"busy": (0, 300), "1": (119, seen_by_1), "nothing": (0, 0)}
+    strangers = profile.pages.join(profile.people, "master_id", "left_anti")
+    assert {r.master_id for r in strangers.collect()} >= {"stranger", "2"}
+    without = build_profile(customers, facts, slots=slots)
+    assert "activity_log" not in without.pages.columns

@@ -50,14 +50,11 @@ def test_hot_keys_are_reduced_before_the_shuffle(spark):
         assert "partial_max_by" in plan[first_shuffle:]
 
 
-def test_clustered_merge_shuffles_stored_rows_once(spark):
-    stored = spark.range(10).select(
-        F.col("id").cast("string").alias("id"), F.lit("a").alias("v"), F.lit(0).alias("bucket")
-    )
+def test_merge_reduces_both_sides_before_they_meet(spark):
+    stored = spark.range(10).select(F.col("id").cast("string").alias("id"), F.lit("a").alias("v"))
     changes = stored.withColumn("ts", F.col("id").cast("long"))
-    merged = upsert(stored, changes, "id", ["ts"], cluster_by="bucket")
-    plan = merged._jdf.queryExecution().executedPlan().toString()
-    # One exchange reduces the changes by key, one brings both sides together by bucket.
+    plan = upsert(stored, changes, "id", ["ts"])._jdf.queryExecution().executedPlan().toString()
+    # One exchange reduces the changes by key, one brings both sides together.
     assert plan.count("Exchange hashpartitioning") == 2
 
 

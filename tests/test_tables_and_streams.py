@@ -9,23 +9,30 @@ from conftest import change, day
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from tidemark.functions import bucket_of, encode_decimal
+from tidemark.functions import encode_decimal
 from tidemark.operators.calendar import dim_date
 from tidemark.operators.cleaners import clean_event, clean_transaction
-from tidemark.operators.upsert import upsert
 from tidemark.plans.backfill import load_tables
-from tidemark.schemas import DIM_DATE, FEED, TABLES
+from tidemark.operators.logs import activity_log
+from tidemark.operators.resolve import pages_of_customers
+from tidemark.schemas import ACTIVITY_PAGES, DIM_DATE, FEED, TABLES, TRANSACTION_PAGES
 from tidemark.session import shared_dir, work_dir
 from tidemark.sources import tables
 from tidemark.sources.feeds import broker_options, read_feed, stream_feed
-from tidemark.sources.keyed_table import BUCKET, GrowingTable, KeyedTable
+from tidemark.sources.batch_table import BatchTable
 from tidemark.streaming.bronze import (
     read_bronze,
     records_per_table,
     stream_bronze,
     write_bronze,
 )
-from tidemark.streaming.documents import stateful_transaction_log, write_documents
+from tidemark.plans.star import revenue_by_day
+from tidemark.streaming.documents import (
+    Documents,
+    stateful_activity_log,
+    stateful_transaction_log,
+    write_documents,
+)
 from tidemark.streaming.lake import Lake, start_lake, supervise
 
 AS_OF = "2026-01-10"
@@ -44,97 +51,69 @@ def files_below(path):
     }
 
 
-# Keyed and growing tables.
+# Tables of batches.
 
 @pytest.fixture
-def keyed(spark, tmp_path):
-    schema = spark.createDataFrame([], "id string, v string").schema
-    return KeyedTable(spark, str(tmp_path / "t"), schema, "id", buckets=4)
+def table(spark, tmp_path):
+    schema = spark.createDataFrame([], "id string, v int").schema
+    return BatchTable(spark, str(tmp_path / "t"), schema)
 
 
 def put(table, batch_id, *rows):
-    source = table.spark.createDataFrame(
-        [(i, v, n) for n, (i, v) in enumerate(rows)], "id string, v string, n int"
-    )
-    table.merge(
-        batch_id, source, lambda old, new: upsert(old, new, "id", ["n"], cluster_by=BUCKET)
-    )
-
-
-def test_keyed_table_rewrites_only_touched_buckets(keyed):
-    assert contents(keyed.read()) == []
-    put(keyed, 0, *[(str(i), "a") for i in range(40)], (None, "no key"))
-    before = files_below(keyed.path)
-    put(keyed, 1, ("7", "b"))
-    added = files_below(keyed.path) - before
-    assert len({os.path.dirname(path) for path in added}) == 1
-    values = {r.id: r.v for r in keyed.read().collect()}
-    assert values == {str(i): "b" if i == 7 else "a" for i in range(40)}
+    table.add(batch_id, table.spark.createDataFrame(list(rows), table.schema))
 
 
-def test_keyed_table_one_task_and_file_per_bucket(keyed):
-    put(keyed, 0, *[(str(i), "a") for i in range(200)])
-    assert len(files_below(keyed.path)) == 4
+def values(table):
+    return sorted((r.id, r.v, r.batch_id) for r in table.read().collect())
 
 
-def test_keyed_table_reads_only_the_buckets_asked_for(keyed):
-    put(keyed, 0, *[(str(i), "a") for i in range(40)])
-    folders = keyed._folders(before=None)
-    some = keyed._load({0: folders[0]})
-    assert {r[BUCKET] for r in some.select(BUCKET).distinct().collect()} == {0}
-    assert len(some.inputFiles()) == 1
+def test_batch_table_replaces_a_repeated_batch(table):
+    assert values(table) == []
+    put(table, 0, ("a", 1), ("b", 1))
+    put(table, 1, ("a", 2))
+    put(table, 1, ("b", 3))
+    assert values(table) == [("a", 1, 0), ("b", 1, 0), ("b", 3, 1)]
+    assert table.read(before=1).count() == 2
 
 
-def test_repeated_batch_changes_nothing(keyed):
-    put(keyed, 0, ("1", "a"), ("2", "a"))
-    put(keyed, 1, ("2", "b"), ("3", "b"))
-    after = contents(keyed.read())
-    put(keyed, 1, ("2", "b"), ("3", "b"))
-    assert contents(keyed.read()) == after
-
-
-def test_batch_that_dies_leaves_the_table(keyed):
-    put(keyed, 0, ("1", "a"))
+@pytest.mark.parametrize("repeated", [False, True])
+def test_batch_that_dies_leaves_the_table(table, repeated):
+    """On its first attempt or a repeated one, with some of its files written."""
+    put(table, 0, ("a", 1))
+    if repeated:
+        put(table, 1, ("b", 1))
+    before = values(table)
+    broken = table.spark.range(0, 1000, 1, 4).select(
+        F.col("id").cast("string").alias("id"),
+        F.when(F.col("id") < 750, 2).otherwise(F.raise_error(F.lit("lost"))).cast("int").alias("v"),
+    )
+    with pytest.raises(Exception, match="lost"):
+        table.add(1, broken)
+    assert values(table) == before
+    put(table, 1, ("c", 4))
+    assert values(table) == [("a", 1, 0), ("c", 4, 1)]
 
-    def fail(old, new):
-        raise RuntimeError("lost")
 
-    source = keyed.spark.createDataFrame([("1", "b")], "id string, v string")
-    with pytest.raises(RuntimeError):
-        keyed.merge(1, source, fail)
-    # Files without a listing are not part of the table either.
-    source.withColumn(BUCKET, bucket_of(["id"], 4)).write.partitionBy(BUCKET).parquet(
-        f"{keyed.path}/data/version=1"
-    )
-    assert [(r.id, r.v) for r in keyed.read().collect()] == [("1", "a")]
-    put(keyed, 1, ("1", "c"))
-    assert [(r.id, r.v) for r in keyed.read().collect()] == [("1", "c")]
+def test_a_batch_costs_its_own_size(table):
+    put(table, 0, *[(str(i), i) for i in range(1000)])
+    before = files_below(table.path)
+    put(table, 1, ("7", 0))
+    added = files_below(table.path) - before
+    assert before <= files_below(table.path) and len(added) == 1
 
 
-def test_expire_keeps_what_recent_batches_use(keyed):
+def test_compaction_keeps_what_readers_see(table):
     for batch in range(6):
-        put(keyed, batch, ("1", str(batch)), *([("2", "first")] if batch == 0 else []))
-    before = contents(keyed.read())
-    keyed.expire(keep=2)
-    assert contents(keyed.read()) == before
-    versions = {path.split("version=")[1].split("/")[0] for path in files_below(keyed.path)}
-    assert versions <= {"0", "4", "5"}
-    with pytest.raises(ValueError):
-        keyed.expire(keep=1)
-    put(keyed, 5, ("1", "again"))
-    assert {r.id: r.v for r in keyed.read().collect()} == {"1": "again", "2": "first"}
-
-
-def test_growing_table_replaces_a_repeated_batch(spark, tmp_path):
-    rows = spark.createDataFrame([("a",), ("b",)], "id string")
-    table = GrowingTable(spark, str(tmp_path / "g"), rows.schema)
-    assert table.read().count() == 0
-    table.add(0, rows)
-    table.add(1, rows.where("id = 'a'"))
-    table.add(1, rows.where("id = 'b'"))
-    assert contents(table.read()) == contents(
-        spark.createDataFrame([("a", 0), ("b", 0), ("b", 1)], "id string, batch_id long")
-    )
+        put(table, batch, ("a", batch), (str(batch), batch))
+    def newest(rows):
+        return rows.groupBy("id").agg(F.max("v").alias("v"))
+    before = contents(newest(table.read()))
+    for _ in range(2):
+        table.compact(newest)
+        assert contents(newest(table.read())) == before
+        assert table.batches() == [4, 5]
+    put(table, 5, ("a", 9))
+    assert {r.id: r.v for r in newest(table.read()).collect()}["a"] == 9
 
 
 # Catalog, views, lookups, settings.
@@ -222,11 +201,11 @@ BATCHES = (
 
 def lake_tables(lake):
     return {
-        "silver_customer": lake.silver_customer.read(),
-        "silver_product": lake.silver_product.read(),
+        "silver_customer": lake.silver_customer(),
+        "silver_product": lake.silver_product(),
         "silver_transaction": lake.transactions(),
-        "dim_customer": lake.dim_customer.read(),
-        "dim_product": lake.dim_product.read(),
+        "dim_customer": lake.dim_customer(),
+        "dim_product": lake.dim_product(),
         "fact": lake.facts(),
         "profiles": lake.profiles(),
     }
@@ -234,7 +213,7 @@ def lake_tables(lake):
 
 def test_lake_streams_restarts_and_replays(spark, feed, tmp_path):
     source, bronze = str(tmp_path / "feed"), str(tmp_path / "bronze")
-    lake = Lake(spark, str(tmp_path / "lake"), as_of=AS_OF, buckets=4)
+    lake = Lake(spark, str(tmp_path / "lake"), as_of=AS_OF)
     for records in BATCHES:  # each round starts both queries again from their checkpoints
         feed(*records).coalesce(1).write.mode("append").parquet(source)
         write_bronze(
@@ -248,10 +227,10 @@ def test_lake_streams_restarts_and_replays(spark, feed, tmp_path):
               for r in records_per_table(read_bronze(spark, bronze)).collect()}
     assert counts == {"customer": 3, "product": 1, "event": 4, "transaction": 6}
 
-    dim = lake.dim_customer.read()
+    dim = lake.dim_customer()
     per_key = dim.groupBy("customer_id").agg(F.sum(F.col("is_current").cast("int")).alias("n"))
     assert {r.n for r in per_key.collect()} == {1}
-    silver = {r.customer_id: r.first_name for r in lake.silver_customer.read().collect()}
+    silver = {r.customer_id: r.first_name for r in lake.silver_customer().collect()}
     walk_in = next(key for key in silver if key not in ("c1", "c2"))
     assert silver == {"c1": "Binh", "c2": "An", walk_in: "Unknown"}
     walk_in_days = dim.where(F.col("customer_id") == walk_in).select("effective_date").collect()
@@ -262,18 +241,26 @@ def test_lake_streams_restarts_and_replays(spark, feed, tmp_path):
     assert facts.join(dim, "customer_sk", "left_anti").isEmpty()
     assert facts.where("date_key IS NULL OR unit_sales_price IS NULL").isEmpty()
 
-    profiles = {r.customer_id: r for r in lake.profiles().collect()}
-    assert set(profiles) == {"c1", "c2", "c9"}
-    assert [e.event_id for e in profiles["c1"].activity_log] == ["1", "3", "4"]
-    assert profiles["c9"].first_name is None and profiles["c9"].transaction_log is None
-    assert profiles["c1"].first_name == "Binh"
-    assert [e.transaction_id for e in profiles["c2"].transaction_log] == ["t3"]
+    profiles = {}
+    for row in lake.profiles().collect():
+        name, seen, bought = profiles.setdefault(row.customer_id, (row.first_name, [], []))
+        assert name == row.first_name
+        seen += [e.event_id for e in row.activity_log or ()]
+        bought += [e.transaction_id for e in row.transaction_log or ()]
+    # The customers with number 0912 and 0913 are known before, or after, the purchases.
+    assert {k: (n, sorted(a), sorted(b)) for k, (n, a, b) in profiles.items()} == {
+        "c1": ("Binh", ["1", "3", "4"], ["t1", "t1"]), "c2": ("An", [], ["t3"]),
+        "c9": (None, ["2"], []),
+    }
+    assert [(r.transaction_id, r.batch_id) for r in lake.resent.read().collect()] == [("t1", 2)]
+    (unreadable,) = lake.unreadable.read().collect()
+    assert (unreadable.value, unreadable.reason) == ("not json", "malformed json")
 
     before = {name: contents(rows) for name, rows in lake_tables(lake).items()}
     lake.apply(feed(*BATCHES[-1]), batch_id=2)
     assert {name: contents(rows) for name, rows in lake_tables(lake).items()} == before
 
-    lake.expire(keep=2)
+    lake.compact()
     assert {name: contents(rows) for name, rows in lake_tables(lake).items()} == before
     lake.create_views()
     (row,) = spark.sql(
@@ -287,20 +274,23 @@ def test_lake_streams_restarts_and_replays(spark, feed, tmp_path):
 def test_one_batch_equals_a_first_load(spark, feed, tmp_path, empty_catalog):
     """The streaming job and the load of the catalog tables agree, and a load can be repeated."""
     raw = feed(*[record for batch in BATCHES for record in batch])
-    lake = Lake(spark, str(tmp_path / "lake"), as_of=AS_OF, buckets=4, keep_unreadable=True)
+    lake = Lake(spark, str(tmp_path / "lake"), as_of=AS_OF)
     lake.apply(raw, 0)
     (unreadable,) = lake.unreadable.read().collect()
     assert (unreadable.value, unreadable.reason) == ("not json", "malformed json")
     for _ in range(2):
         load_tables(spark, raw, str(tmp_path / "catalog"), AS_OF)
     pairs = {
-        "silver.silver_customer": lake.silver_customer.read(),
-        "silver.silver_product": lake.silver_product.read(),
+        "silver.silver_customer": lake.silver_customer(),
+        "silver.silver_product": lake.silver_product(),
         "silver.silver_transaction": lake.transactions(),
-        "gold.dim_customer": lake.dim_customer.read(),
-        "gold.dim_product": lake.dim_product.read(),
+        "gold.dim_customer": lake.dim_customer(),
+        "gold.dim_product": lake.dim_product(),
         "gold.dim_date": lake.calendar(),
         "gold.fact_transaction": lake.facts(),
+        "profile.people": lake.people.current(),
+        "profile.activity": lake.activity_pages(),
+        "profile.purchases": lake.purchase_pages(),
     }
     for name, rows in pairs.items():
         assert contents(spark.table(name)) == contents(rows.select(spark.table(name).columns)), name
@@ -326,14 +316,43 @@ def test_stateful_log_counts_late_entries(spark, feed, tmp_path):
         feed(purchase(f"t{when}", None, when=when)).coalesce(1).write.mode("append").parquet(path)
         sales = clean_transaction(stream_feed(spark, "parquet", path), AS_OF)
         log = stateful_transaction_log(sales, lookup, dt.datetime(2026, 2, 1))
-        documents = KeyedTable(spark, docs, log.schema, ["customer_id", "page"])
+        documents = Documents(spark, docs, TRANSACTION_PAGES, ["phone_number", "page"])
         write_documents(log, documents, str(tmp_path / "c"), True).awaitTermination()
-    rows = documents.read().select("customer_id", F.inline("transaction_log")).collect()
+    pages = pages_of_customers(documents.current(), lookup)
+    rows = pages.select("customer_id", F.inline("transaction_log")).collect()
     assert sorted((r.customer_id, r.transaction_id) for r in rows) == [
         ("c1", "t2026-01-02"), ("c1", "t2026-01-05"), ("c1", "t2026-01-09")
     ]
 
 
+def test_streamed_pages_equal_batch_pages(spark, feed, tmp_path):
+    """Row by row, page numbers included."""
+    path = str(tmp_path / "feed")
+    records = [event(n, f"c{n % 3}", f"2026-0{n % 4 + 1}-01T00:00:00Z") for n in range(60)]
+    for part in (records[:20], records[20:]):
+        feed(*part).coalesce(1).write.mode("append").parquet(path)
+    streamed = stateful_activity_log(
+        clean_event(stream_feed(spark, "parquet", path, maxFilesPerTrigger="1"))
+    )
+    documents = Documents(spark, str(tmp_path / "docs"), ACTIVITY_PAGES, ["customer_id", "page"])
+    write_documents(streamed, documents, str(tmp_path / "c"), True).awaitTermination()
+    batch = activity_log(clean_event(feed(*records)))
+    assert contents(documents.current()) == contents(batch)
+
+
+def test_reports_read_only_the_days_and_columns_they_need(spark, feed, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"), as_of=AS_OF)
+    for number, records in enumerate(BATCHES[:2]):
+        lake.apply(feed(*records), number)
+    report = revenue_by_day(lake.facts(), 20260101, 20260131)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.split("\n") if "FileScan parquet" in line)
+    assert "GreaterThanOrEqual(date_key,20260101)" in scan and "sale_month" in scan
+    assert "customer_sk" not in scan and "transaction_sk" not in scan
+    assert "hashpartitioning(transaction" not in plan
+    assert [r.sales for r in report.collect()] == [2]
+
+
 def test_supervision_stops_the_others_and_raises(spark, feed, tmp_path):
     path = str(tmp_path / "feed")
     feed(*BATCHES[0]).write.parquet(path)

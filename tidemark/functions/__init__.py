@@ -9,14 +9,13 @@ from tidemark.functions.dates import (
     timestamp_from_millis,
 )
 from tidemark.functions.decimals import decode_decimal, encode_decimal, is_undecodable
-from tidemark.functions.keys import bucket_of, day_key, transaction_key
+from tidemark.functions.keys import day_key, transaction_key
 from tidemark.functions.phones import normalize_phone
 
 __all__ = [
     "OPEN_END",
     "as_date",
     "as_timestamp",
-    "bucket_of",
     "date_from_epoch_days",
     "date_key",
     "day_key",

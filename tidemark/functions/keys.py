@@ -1,4 +1,4 @@
-"""Surrogate keys and hash buckets."""
+"""Surrogate keys."""
 
 from __future__ import annotations
 
@@ -21,7 +21,3 @@ def transaction_key(transaction_id: Column, how: str = "md5") -> Column:
     if how == "uuid":
         return F.uuid()
     raise ValueError(f"unknown transaction key: {how}")
-
-
-def bucket_of(columns: list[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")

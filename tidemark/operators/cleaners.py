@@ -20,6 +20,7 @@ from tidemark.functions import (
 from tidemark.operators.envelope import FEED_ORDER, change_time, open_envelope
 from tidemark.schemas import SILVER_CUSTOMER, SILVER_PRODUCT
 
+# How late records may be.
 EVENT_LATENESS = "5 minutes"
 TRANSACTION_LATENESS = "10 minutes"
 

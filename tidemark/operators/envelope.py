@@ -23,6 +23,9 @@ PAYLOADS = {
     "event": (EVENT_PAYLOAD, ()),
 }
 
+# Plain numbers and the stored type that they must fit.
+NUMBERS = {"transaction": {"quantity": "decimal(10,2)"}}
+
 # Order of the change records of one key: source clock first, then feed position.
 FEED_ORDER = ("ts_ms", "offset")
 
@@ -40,6 +43,20 @@ def route(raw: DataFrame, key: str) -> DataFrame:
     return raw.where(F.col("key") == key)
 
 
+def parse(raw: DataFrame, key: str) -> DataFrame:
+    """One table's records with the parsed ``change``, which keeps the text of malformed ones.
+
+    Cleaners and :func:`quarantine` take the result in place of the feed, so that a record which
+    both of them see is parsed once.
+    """
+    if "change" in raw.columns:
+        return route(raw, key)
+    payload, _ = PAYLOADS[key]
+    schema = envelope(payload).add("_corrupt", T.StringType())
+    options = {"columnNameOfCorruptRecord": "_corrupt"}
+    return route(raw, key).withColumn("change", F.from_json("value", schema, options))
+
+
 def open_envelope(raw: DataFrame, key: str) -> DataFrame:
     """The flattened after-image with ``op``, ``ts_ms`` and the numeric feed ``offset``.
 
@@ -47,26 +64,26 @@ def open_envelope(raw: DataFrame, key: str) -> DataFrame:
     The parsed record passes through ``inline``, which later filters do not cross, so a record is
     parsed once and not again for each filter that would otherwise be pushed below the parsing.
     """
-    payload, _ = PAYLOADS[key]
-    parsed = route(raw, key).select(
-        F.col("offset").try_cast("bigint").alias("offset"),
-        F.inline(F.array(F.from_json("value", envelope(payload)))),
+    parsed = parse(raw, key).select(
+        F.col("offset").try_cast("bigint").alias("offset"), F.inline(F.array("change"))
     )
     return parsed.select("after.*", "op", "ts_ms", "offset")
 
 
 def quarantine(raw: DataFrame, key: str) -> DataFrame:
-    """Feed records that cannot be read whole, unchanged, with the reason."""
-    payload, decimals = PAYLOADS[key]
-    schema = envelope(payload).add("_corrupt", T.StringType())
-    parsed = route(raw, key).withColumn(
-        "change", F.from_json("value", schema, {"columnNameOfCorruptRecord": "_corrupt"})
-    )
+    """Feed records that cannot be read or stored whole, unchanged, with the reason."""
+    _, decimals = PAYLOADS[key]
     reason = F.when(F.col("change._corrupt").isNotNull(), F.lit("malformed json"))
     for name in decimals:
         reason = reason.when(is_undecodable(F.col(f"change.after.{name}")), f"undecodable {name}")
+    for name, stored in NUMBERS.get(key, {}).items():
+        value = F.col(f"change.after.{name}")
+        reason = reason.when(
+            value.isNotNull() & value.try_cast(stored).isNull(), f"overflowing {name}"
+        )
     return (
-        parsed.withColumn("reason", reason)
+        parse(raw, key)
+        .withColumn("reason", reason)
         .where(F.col("reason").isNotNull())
         .select("offset", "topic", "key", "value", "reason")
     )

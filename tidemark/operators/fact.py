@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import day_key, transaction_key
-from tidemark.operators.lookup import BROADCAST_ROWS, lookup_join
+from tidemark.operators.lookup import lookup_join
 from tidemark.operators.scd2 import current_versions
 from tidemark.schemas import FACT_TRANSACTION, conform
 
@@ -17,12 +17,13 @@ def build_fact(
     dim_product: DataFrame,
     dim_date: DataFrame,
     sk: str = "md5",
-    broadcast_rows: int = BROADCAST_ROWS,
+    strategy: str | None = None,
 ) -> DataFrame:
     """One fact row per cleaned transaction, keyed to the dimensions' current versions.
 
     A customer or product that no dimension knows yet gets the key its version of that day would
-    have. A day outside the calendar leaves ``date_key`` null and keeps the row.
+    have. A day outside the calendar leaves ``date_key`` null and keeps the row. ``strategy`` is a
+    hint for the joins to the dimensions.
     """
     customers = current_versions(dim_customer).select("customer_id", "customer_sk")
     products = current_versions(dim_product).select("product_id", "product_sk")
@@ -30,9 +31,7 @@ def build_fact(
 
     rows = transactions.withColumn("sale_date", F.to_date("timestamp"))
     for lookup, key in ((customers, "customer_id"), (products, "product_id")):
-        rows = lookup_join(
-            rows, lookup, key, "transaction_id", broadcast_rows, keys_of=transactions
-        )
+        rows = lookup_join(rows, lookup, key, strategy)
     # The calendar holds one row per day of a few decades whatever the data size.
     rows = rows.join(F.broadcast(days), "sale_date", "left")
 

@@ -1,35 +1,31 @@
-"""Nested logs: the entries of a key collected into arrays, in pages of bounded length.
+"""Nested logs: the entries of a key collected into arrays, in pages.
 
-A key with up to ``PAGE_ENTRIES`` entries has one page, numbered 0, with all of them. A longer log
-continues on further pages, so no array cell and no group grows with the busiest key, and no entry
-is left out.
+One rule holds for every key at every size: an entry's page is the month of its time and a slot, the
+hash of the whole entry. So the page of an entry is known without counting, is the same in a batch
+and in a stream, and a busy key's log is spread over as many tasks as it has pages.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.lookup import lookup_join
 from tidemark.schemas import ACTIVITY_ENTRY, FACT_ENTRY
-from tidemark.session import shared_dir
 
-PAGE_ENTRIES = 10_000
+# Pages per key and month. A deployment with very busy keys chooses more, once and for all.
+SLOTS = 8
 
 
-def long_logs(rows: DataFrame, key: str, page_entries: int = PAGE_ENTRIES) -> DataFrame | None:
-    """The keys that need several pages, with the number of ``pages``; None if there are none.
+def month_of(time: str) -> Column:
+    """Months since the year 0, 0 without a time."""
+    moment = F.col(time)
+    return F.coalesce(F.year(moment) * 12 + F.month(moment) - 1, F.lit(0))
 
-    A counting job over the key column decides. The result holds at most one row per
-    ``page_entries`` rows of input; it is checkpointed because several joins read it.
-    """
-    counts = rows.where(F.col(key).isNotNull()).groupBy(key).count()
-    longest = counts.agg(F.max("count")).first()[0]
-    if longest is None or longest <= page_entries:
-        return None
-    shared_dir(rows.sparkSession)
-    pages = F.ceil(F.col("count") / page_entries).cast("int").alias("pages")
-    return counts.where(F.col("count") > page_entries).select(key, pages).checkpoint()
+
+def page_of(time: str, entry: tuple[str, ...], slots: int = SLOTS) -> Column:
+    """The page of an entry."""
+    slot = F.pmod(F.xxhash64(*entry), F.lit(slots)).cast("int")
+    return (month_of(time) * slots + slot).cast("int")
 
 
 def log_pages(
@@ -37,39 +33,24 @@ def log_pages(
     key: str,
     entry: tuple[str, ...],
     log: str,
-    long_keys: DataFrame | None,
+    time: str,
+    slots: int = SLOTS,
 ) -> DataFrame:
     """``(key, page, log)``: the entries of each key as sorted arrays of structs.
 
-    The rows are shuffled once, by key and page. Entries go to pages by a hash of the entry.
+    The rows are shuffled once, by key and page; rows without a key are left out.
     """
-    rows = rows.select(key, *[c for c in entry if c != key]).where(F.col(key).isNotNull())
-    page = F.lit(0)
-    if long_keys is not None:
-        rows = lookup_join(rows, long_keys, key, entry[0])
-        page = F.coalesce(F.pmod(F.xxhash64(entry[0]), F.col("pages")).cast("int"), page)
-    entries = F.sort_array(F.collect_list(F.struct(*entry)))
-    return rows.withColumn("page", page).groupBy(key, "page").agg(entries.alias(log))
-
-
-def page_numbers(
-    keys: DataFrame, long_keys: DataFrame | None, key: str, spread_by: str
-) -> DataFrame:
-    """Every row of ``keys`` once per page of its log; once, as page 0, without a long log."""
-    if long_keys is None:
-        return keys.withColumn("page", F.lit(0))
-    sized = lookup_join(keys, long_keys, key, spread_by)
-    last = F.coalesce(F.col("pages"), F.lit(1)) - 1
-    return sized.withColumn("page", F.explode(F.sequence(F.lit(0), last))).drop("pages")
+    paged = rows.where(F.col(key).isNotNull()).select(
+        key, page_of(time, entry, slots).alias("page"), F.struct(*entry).alias("entry")
+    )
+    return paged.groupBy(key, "page").agg(F.sort_array(F.collect_list("entry")).alias(log))
 
 
-def activity_log(events: DataFrame, page_entries: int = PAGE_ENTRIES) -> DataFrame:
+def activity_log(events: DataFrame, slots: int = SLOTS) -> DataFrame:
     """Activity pages per customer from cleaned events."""
-    long_keys = long_logs(events, "customer_id", page_entries)
-    return log_pages(events, "customer_id", ACTIVITY_ENTRY, "activity_log", long_keys)
+    return log_pages(events, "customer_id", ACTIVITY_ENTRY, "activity_log", "time_stamp", slots)
 
 
-def transaction_log(facts: DataFrame, page_entries: int = PAGE_ENTRIES) -> DataFrame:
+def transaction_log(facts: DataFrame, slots: int = SLOTS) -> DataFrame:
     """Transaction pages per customer from fact rows."""
-    long_keys = long_logs(facts, "customer_id", page_entries)
-    return log_pages(facts, "customer_id", FACT_ENTRY, "transaction_log", long_keys)
+    return log_pages(facts, "customer_id", FACT_ENTRY, "transaction_log", "time_stamp", slots)

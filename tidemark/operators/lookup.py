@@ -1,74 +1,20 @@
-"""Left join to a table with unique keys, safe for large tables and for hot keys."""
+"""Left join to a table with unique keys."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# A lookup of up to this many narrow rows is broadcast (some tens of MB), never a larger one.
-BROADCAST_ROWS = 200_000
-# Hot keys looked up apart from the rest; this bounds their broadcast.
-HOT_KEYS = 1_000
-_SPREAD = 4_096
 
 
 def lookup_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    spread_by: str | list[str],
-    broadcast_rows: int = BROADCAST_ROWS,
-    keys_of: DataFrame | None = None,
+    rows: DataFrame, lookup: DataFrame, key: str, strategy: str | None = None
 ) -> DataFrame:
     """Add the columns of ``lookup`` to every row; null where the key is unknown.
 
-    ``lookup`` has one row per key and otherwise only columns that ``rows`` lacks. Its rows are
-    counted first: a small one is broadcast and ``rows`` are not shuffled at all. Beyond that the
-    join shuffles, with the most frequent keys taken out (:func:`_hot_key_join`); they are looked
-    for in ``keys_of``, a frame with the same keys that is cheaper to read, or in ``rows``.
-    """
-    if lookup.count() <= broadcast_rows:
-        values = [c for c in lookup.columns if c != key]
-        return rows.join(F.broadcast(lookup), key, "left").select(*rows.columns, *values)
-    hot = hot_keys(rows if keys_of is None else keys_of, key)
-    return _hot_key_join(rows, lookup, key, spread_by, hot)
-
-
-def hot_keys(rows: DataFrame, key: str) -> DataFrame:
-    """The most frequent keys, at most ``HOT_KEYS`` rows, from one bounded sketch aggregate.
-
-    The sketch may miss a key or count it too high. Which keys it names changes how the work is
-    spread, not the result.
-    """
-    frequent = rows.where(F.col(key).isNotNull()).agg(
-        F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, {10 * HOT_KEYS})").alias("top")
-    )
-    return frequent.select(F.explode("top.item").alias(key))
-
-
-def _hot_key_join(
-    rows: DataFrame, lookup: DataFrame, key: str, spread_by: str | list[str], hot: DataFrame
-) -> DataFrame:
-    """Shuffle join in which rows of hot keys, and rows without a key, spread over all tasks.
-
-    A hot key finds its lookup row in a broadcast of at most ``HOT_KEYS`` rows, so its own rows
-    need no shuffle partner: they are spread by a hash salt. The other rows meet the lookup by
-    key as usual.
+    ``lookup`` has one row per key and otherwise only columns that ``rows`` lacks. How the sides
+    meet is left to adaptive execution: it sends a side whose size in bytes is below Spark's
+    threshold to all tasks, and splits the partitions of frequent and of missing keys, as a left
+    join may. ``strategy`` is a join hint that overrides the choice; no strategy changes the result.
     """
     values = [c for c in lookup.columns if c != key]
-    known = lookup.join(F.broadcast(hot), key, "left_semi")
-    hot_rows = hot.join(known, key, "left").select(key, F.struct(*values).alias("_hot"))
-    spread_by = [spread_by] if isinstance(spread_by, str) else spread_by
-
-    flagged = rows.join(F.broadcast(hot_rows), key, "left")
-    apart = F.col("_hot").isNotNull() | F.col(key).isNull()
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(_SPREAD)).cast("string")
-    # The two prefixes keep salts and keys apart, so a salted row never finds a partner.
-    own_key = F.concat(F.lit("k"), F.col(key).cast("string"))
-    keyed = flagged.withColumn(
-        "_partner", F.when(apart, F.concat(F.lit("s"), salt)).otherwise(own_key)
-    )
-    partners = lookup.select(own_key.alias("_partner"), F.struct(*values).alias("_found"))
-    joined = keyed.join(partners, "_partner", "left")
-    found = F.coalesce(F.col("_hot"), F.col("_found"))
-    return joined.select(*rows.columns, *[found[c].alias(c) for c in values])
+    side = lookup.hint(strategy) if strategy else lookup
+    return rows.join(side, key, "left").select(*rows.columns, *values)

@@ -2,65 +2,40 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.logs import PAGE_ENTRIES, log_pages, long_logs, page_numbers
-from tidemark.schemas import ACTIVITY_ENTRY, FACT_ENTRY
+from tidemark.operators.logs import SLOTS, activity_log, transaction_log
 
 DEMOGRAPHICS = ("first_name", "last_name", "gender", "date_of_birth")
 
 
-def assemble_documents(
-    people: DataFrame,
-    logs: list[tuple[DataFrame, tuple[str, ...], str]],
-    page_entries: int = PAGE_ENTRIES,
-) -> DataFrame:
-    """``people`` (one row per customer_id) with the log of each ``(rows, entry, name)`` attached.
+class Profile(NamedTuple):
+    """``people`` has one row per customer, ``pages`` the pages of both logs.
 
-    A customer has one document; one with a very long log gets further numbered pages. Logs and
-    customers meet on customer and page, both unique, so a busy customer's pages are spread over
-    the tasks.
+    A page is null in the log that has no entries in it. Customers known only from a log have pages
+    and no row of ``people``.
     """
-    sized = [
-        (rows, entry, log, long_logs(rows, "customer_id", page_entries))
-        for rows, entry, log in logs
-    ]
-    documents = page_numbers(
-        people, _most_pages([keys for *_, keys in sized]), "customer_id", "customer_id"
-    )
-    for rows, entry, log, long_keys in sized:
-        pages = log_pages(rows, "customer_id", entry, log, long_keys)
-        documents = documents.join(pages, ["customer_id", "page"], "left")
-    return documents
+
+    people: DataFrame
+    pages: DataFrame
+
+    def documents(self) -> DataFrame:
+        """Every page of the customers with their demographics; one row without pages."""
+        return self.people.join(self.pages, "master_id", "left")
 
 
 def build_profile(
     customers: DataFrame,
     facts: DataFrame,
     events: DataFrame | None = None,
-    page_entries: int = PAGE_ENTRIES,
-) -> DataFrame:
-    """The profile of every customer: demographics, transaction log and, given events, activity.
-
-    A log is null where a customer has no entries.
-    """
-    logs = [(facts, FACT_ENTRY, "transaction_log")]
+    slots: int = SLOTS,
+) -> Profile:
+    """The profile of every customer: demographics, transaction log and, given events, activity."""
+    pages = transaction_log(facts, slots)
     if events is not None:
-        logs.append((events, ACTIVITY_ENTRY, "activity_log"))
-    people = customers.select(F.col("customer_id"), *DEMOGRAPHICS)
-    documents = assemble_documents(people, logs, page_entries)
-    return documents.select(
-        F.col("customer_id").alias("master_id"), "page", *DEMOGRAPHICS, *[log for *_, log in logs]
-    )
-
-
-def _most_pages(long_keys: list[DataFrame | None]) -> DataFrame | None:
-    """The customers with a long log, with the pages of the longest one."""
-    found = [keys for keys in long_keys if keys is not None]
-    if not found:
-        return None
-    together = found[0]
-    for keys in found[1:]:
-        together = together.unionByName(keys)
-    return together.groupBy("customer_id").agg(F.max("pages").alias("pages"))
+        pages = pages.join(activity_log(events, slots), ["customer_id", "page"], "full")
+    people = customers.select(F.col("customer_id").alias("master_id"), *DEMOGRAPHICS)
+    return Profile(people, pages.withColumnRenamed("customer_id", "master_id"))

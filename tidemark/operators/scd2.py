@@ -33,16 +33,13 @@ def new_versions(
     return daily.withColumn(sk, day_key(F.col(key), F.col("effective_date")))
 
 
-def chain_versions(rows: DataFrame, key: str, cluster_by: str | None = None) -> DataFrame:
+def chain_versions(rows: DataFrame, key: str) -> DataFrame:
     """Close each version on the day the next one starts; the last one stays open and current.
 
     Of several rows of a key with the same day the one with the greatest ``_seq`` stays.
     """
-    cluster = [cluster_by] if cluster_by else []
-    history = Window.partitionBy(*cluster, key).orderBy("effective_date", "_seq")
-    chained = rows.repartition(*(cluster or [key])).withColumn(
-        "_next", F.lead("effective_date").over(history)
-    )
+    history = Window.partitionBy(key).orderBy("effective_date", "_seq")
+    chained = rows.withColumn("_next", F.lead("effective_date").over(history))
     last_of_day = F.col("_next").isNull() | (F.col("_next") > F.col("effective_date"))
     return (
         chained.where(last_of_day)
@@ -64,7 +61,6 @@ def scd2_merge(
     as_of: Column | dt.date | str | None = None,
     order_by: list[Column | str] = ("ts_ms", "offset"),
     guard: Column | None = None,
-    cluster_by: str | None = None,
 ) -> DataFrame:
     """Merge change records into a dimension: close the current version, add the new one.
 
@@ -80,7 +76,7 @@ def scd2_merge(
     rows = dim.select(*kept, F.lit(0).alias("_seq")).unionByName(
         conform(incoming, schema).withColumn("_seq", F.lit(1))
     )
-    return chain_versions(rows, key, cluster_by).select(*dim.columns)
+    return chain_versions(rows, key).select(*dim.columns)
 
 
 def scd2_from_log(

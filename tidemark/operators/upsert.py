@@ -1,8 +1,6 @@
 """Keyed merges, written as union and latest-wins aggregation.
 
-A full outer join would shuffle both sides by key and the result once more by the table's
-partition column. The union is shuffled once, by ``cluster_by`` if the table has one, and both the
-aggregation and the write that follows use that partitioning.
+A full outer join would shuffle both sides by key; the union is reduced before it is shuffled once.
 """
 
 from __future__ import annotations
@@ -13,8 +11,9 @@ from pyspark.sql import functions as F
 from tidemark.operators.latest import latest_per_key
 from tidemark.schemas import SILVER_TRANSACTION, conform
 
-PLACEHOLDER = "Unknown"
+PLACEHOLDER = "Unknown"  # fixed value
 
+# Fixed order: what wins over what for one key.
 _INSERT_ONLY, _STORED, _UPDATE = 0, 1, 2
 
 
@@ -28,7 +27,6 @@ def upsert(
     key: str | list[str],
     order_by: list[Column | str],
     guard: Column | None = None,
-    cluster_by: str | None = None,
 ) -> DataFrame:
     """Replace matched rows, insert the others, keep the rest.
 
@@ -39,25 +37,23 @@ def upsert(
     may_update = F.lit(True) if guard is None else guard
     ranked = source.withColumn("_rank", F.when(may_update, _UPDATE).otherwise(_INSERT_ONLY))
     incoming = latest_per_key(ranked, keys, ["_rank", *order_by])
-    cluster = [c for c in _key_list(cluster_by or []) if c not in keys]
     incoming = conform(incoming, target.schema, "_rank")
     rows = target.withColumn("_rank", F.lit(_STORED)).unionByName(incoming)
-    rows = rows.repartition(*(cluster or keys))
-    return latest_per_key(rows, [*cluster, *keys], ["_rank"]).select(*target.columns)
+    return latest_per_key(rows, keys, ["_rank"]).select(*target.columns)
 
 
-def upsert_customer(
-    target: DataFrame, source: DataFrame, order_by: list, cluster_by: str | None = None
-) -> DataFrame:
+def is_named() -> Column:
+    """Whether a customer record is no placeholder; the others never replace a stored one."""
+    return F.col("first_name") != PLACEHOLDER
+
+
+def upsert_customer(target: DataFrame, source: DataFrame, order_by: list) -> DataFrame:
     """Customer upsert in which placeholder records never replace a known customer."""
-    guard = F.col("first_name") != PLACEHOLDER
-    return upsert(target, source, "customer_id", order_by, guard, cluster_by)
+    return upsert(target, source, "customer_id", order_by, is_named())
 
 
-def upsert_product(
-    target: DataFrame, source: DataFrame, order_by: list, cluster_by: str | None = None
-) -> DataFrame:
-    return upsert(target, source, "product_id", order_by, cluster_by=cluster_by)
+def upsert_product(target: DataFrame, source: DataFrame, order_by: list) -> DataFrame:
+    return upsert(target, source, "product_id", order_by)
 
 
 def transaction_rows(transactions: DataFrame, *extra: str) -> DataFrame:
@@ -74,7 +70,6 @@ def merge_documents(
     target: DataFrame,
     updates: DataFrame,
     key: str | list[str],
-    cluster_by: str | None = None,
 ) -> DataFrame:
     """Field-wise document merge: an update sets the fields it carries, the others survive.
 
@@ -82,15 +77,20 @@ def merge_documents(
     creates one.
     """
     keys = _key_list(key)
-    cluster = [c for c in _key_list(cluster_by or []) if c not in keys]
-    fields = [c for c in target.columns if c not in (*keys, *cluster)]
+    fields = [c for c in target.columns if c not in keys]
     rows = target.withColumn("_new", F.lit(False)).unionByName(
         updates.withColumn("_new", F.lit(True)), allowMissingColumns=True
     )
     for name in keys:
         rows = rows.where(F.col(name).isNotNull())
-    newest_present = [
-        F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_new"))).alias(c) for c in fields
+    return newest_fields(rows, keys, fields, "_new").select(*target.columns)
+
+
+def newest_fields(
+    rows: DataFrame, keys: list[str], fields: list[str], order_by: str
+) -> DataFrame:
+    """One row per key: for each field its last value that is not null."""
+    newest = [
+        F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order_by))).alias(c) for c in fields
     ]
-    rows = rows.repartition(*(cluster or keys)).groupBy(*cluster, *keys)
-    return rows.agg(*newest_present).select(*target.columns)
+    return rows.groupBy(*keys).agg(*newest)

@@ -50,13 +50,10 @@ def customers_by_day(
     )
 
 
-def insert_walkins(
-    dim_customer: DataFrame, transactions: DataFrame, cluster_by: str | None = None
-) -> DataFrame:
+def insert_walkins(dim_customer: DataFrame, transactions: DataFrame) -> DataFrame:
     """Give every walk-in a version per purchase day, before the fact rows look them up."""
     return merge_dim_customer(
         dim_customer,
         placeholder_customers(transactions),
         as_of=F.col("customer_creation_date"),
-        cluster_by=cluster_by,
     )

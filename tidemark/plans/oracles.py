@@ -7,6 +7,7 @@ from __future__ import annotations
 
 AS_OF = "2001-08-01"
 FIRST_CATALOGUE = "1994-01-01"
+READ_AT = "1998-04-14 23:58:00"
 
 # Tables that several statements share, in order of dependence.
 _SHARED = {
@@ -49,7 +50,10 @@ _SHARED = {
         WHERE l_orderkey % 101 <> 0 AND l_orderkey % 97 <> 0""",
     "activities": """
         SELECT CAST(event_id AS VARCHAR) AS event_id, event_type AS type,
-               CAST(user_id AS VARCHAR) AS customer_id, CAST(ts AS TIMESTAMP) AS time_stamp
+               CAST(user_id AS VARCHAR) AS customer_id,
+               CASE WHEN event_id % 3 <> 0
+                    THEN 'https://shop.example/' || event_type || '/' || event_id END AS url,
+               CAST(ts AS TIMESTAMP) AS time_stamp
         FROM events WHERE user_id IS NOT NULL""",
     "walkins": """
         SELECT customer_id, any_value(phone_number) AS phone_number,
@@ -126,8 +130,8 @@ _FACT_COLUMNS = f"""transaction_sk, date_key, customer_sk, customer_id, product_
 _FACTS = _with("facts", f"SELECT {_FACT_COLUMNS} FROM facts")
 
 _FEED_COUNTS = """
-    SELECT 'customer' AS key, count(*) AS records FROM customer
-    UNION ALL SELECT 'product', count(*) FROM part
+    SELECT 'customer' AS key, count(*) + count_if(c_custkey % 13 = 0) AS records FROM customer
+    UNION ALL SELECT 'product', count(*) + count_if(p_partkey % 13 = 0) FROM part
     UNION ALL SELECT 'transaction', count(*) FROM lineitem
     UNION ALL SELECT 'event', count(*) FROM events"""
 
@@ -138,14 +142,48 @@ _HISTORY = f"""
            lead(effective_date) OVER w IS NULL AS is_current
     FROM daily_orders WINDOW w AS (PARTITION BY customer_id ORDER BY effective_date)"""
 
+_VERSIONS = _with(
+    "customer_versions",
+    f"""SELECT customer_sk, customer_id, first_name, phone_number, country,
+               {_day('effective_date')} AS effective_date,
+               {_day('expired_date')} AS expired_date, is_current
+        FROM customer_versions""",
+)
+
 _ACTIVITY = _with(
     "activities",
-    f"SELECT customer_id, event_id, type, {_time('time_stamp')} AS time_stamp FROM activities",
+    f"SELECT customer_id, event_id, type, url, {_time('time_stamp')} AS time_stamp FROM activities",
 )
 
-_ACTIVITY_SIZES = f"""activity_sizes AS (
-    SELECT customer_id, count(*) AS activities, {_time('max(time_stamp)')} AS last_activity
-    FROM activities GROUP BY customer_id)"""
+
+def _entries(people: str, sales: str, key: str, columns: str, *amounts: str) -> str:
+    """Entries of sales and activities with the columns of their people, and people without any.
+
+    ``people`` are all documents; ``amounts`` are the sales' columns besides the transaction id.
+    """
+    sold = ", ".join(f"s.{name}" for name in amounts)
+    none = ", ".join(f"NULL AS {name}" for name in amounts)
+    own = ", ".join(f"p.{name}" for name in columns.split(", "))
+    return f"""
+        SELECT p.{key}, {own}, transaction_id, {sold}, NULL AS event_id, NULL AS type, NULL AS url
+               {"" if "time_stamp" in amounts else ", NULL AS time_stamp"}
+        FROM ({people}) p JOIN ({sales}) s ON s.customer_id = p.{key}
+        UNION ALL BY NAME
+        SELECT p.{key}, {own}, NULL AS transaction_id, {none.replace(", NULL AS time_stamp", "")},
+               event_id, type, url, {_time('a.time_stamp')} AS time_stamp
+        FROM ({people}) p JOIN activities a ON a.customer_id = p.{key}
+        UNION ALL BY NAME
+        SELECT p.{key}, {own} FROM ({people}) p
+        WHERE p.{key} NOT IN (SELECT customer_id FROM ({sales}))
+          AND p.{key} NOT IN (SELECT customer_id FROM activities)"""
+
+
+_FACT_ENTRIES = f"""SELECT customer_id, transaction_id, unit_sales_price, quantity, total_amount,
+    {_time('sold_at')} AS time_stamp FROM facts"""
+_FACT_AMOUNTS = ("unit_sales_price", "quantity", "total_amount", "time_stamp")
+_PHONE_ENTRIES = """SELECT c.customer_id, transaction_id, product_id, product_name, price, quantity,
+    total_amount FROM transactions t JOIN customers c ON c.phone_number = t.phone_number"""
+_PHONE_AMOUNTS = ("product_id", "product_name", "price", "quantity", "total_amount")
 
 _RESOLVED = _with(
     "customers transactions",
@@ -173,8 +211,13 @@ ORACLES = {
     "clean_event": _ACTIVITY,
     "quarantine": """
         SELECT CAST(p_partkey AS VARCHAR) AS "offset", 'product' AS key,
-               'undecodable price' AS reason
-        FROM part WHERE p_type = 'ECONOMY'""",
+               CASE WHEN p_type = 'ECONOMY' THEN 'undecodable price' ELSE 'malformed json' END
+                   AS reason
+        FROM part WHERE p_type = 'ECONOMY' OR p_partkey % 7 = 0""",
+    "quarantine_overflow": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS "offset", 'transaction' AS key,
+               'overflowing quantity' AS reason
+        FROM orders WHERE o_orderkey % 5 = 0""",
     "placeholder_customers": _with("transactions", _PLACEHOLDERS),
     "customers_with_placeholders": _with(
         "customers transactions",
@@ -259,12 +302,33 @@ ORACLES = {
                lead(day) OVER w IS NULL AS is_current
         FROM versions WINDOW w AS (PARTITION BY product_id ORDER BY day)""",
     ),
-    "walkin_dim_insert": _with(
-        "customer_versions",
-        f"""SELECT customer_sk, customer_id, first_name, phone_number, country,
-                   {_day('effective_date')} AS effective_date,
-                   {_day('expired_date')} AS expired_date, is_current
-            FROM customer_versions""",
+    "walkin_dim_insert": _VERSIONS,
+    "stream_dim_customer": _VERSIONS,
+    "stream_silver_customer": _with(
+        "customers walkins",
+        f"""SELECT {_CUSTOMER_COLUMNS} FROM customers
+            UNION ALL
+            SELECT customer_id, 'Unknown', 'Unknown', 'Unknown', NULL, 'Unknown',
+                   any_value(phone_number), 'Unknown', {_day('max(effective_date)')}
+            FROM walkins GROUP BY customer_id""",
+    ),
+    "backfill_tables": _with(
+        "customers transactions walkins customer_versions activities",
+        f"""
+        , feed AS ({_FEED_COUNTS}),
+        resolved AS (SELECT count(*) AS n FROM transactions)
+        SELECT 'raw_table' AS name, CAST(sum(records) AS BIGINT) AS n FROM feed
+        UNION ALL SELECT 'silver_customer',
+            (SELECT count(*) FROM customers) + (SELECT count(DISTINCT customer_id) FROM walkins)
+        UNION ALL SELECT 'silver_product', count(*) FROM part
+        UNION ALL SELECT 'silver_transaction', n FROM resolved
+        UNION ALL SELECT 'dim_customer', count(*) FROM customer_versions
+        UNION ALL SELECT 'dim_product', count(*) FROM part
+        UNION ALL SELECT 'dim_date', 18263
+        UNION ALL SELECT 'fact_transaction', n FROM resolved
+        UNION ALL SELECT 'people', count(*) FROM customers
+        UNION ALL SELECT 'activity', count(*) FROM activities
+        UNION ALL SELECT 'purchases', n FROM resolved""",
     ),
     "dim_date": f"""
         WITH days AS (
@@ -280,6 +344,10 @@ ORACLES = {
         FROM days LEFT JOIN per_day ON per_day.day = days.day""",
     "fact_transaction": _FACTS,
     "stream_fact_equals_batch": _FACTS,
+    "fact_transaction_shuffled": _FACTS,
+    "fact_transaction_uuid": f"""
+        SELECT * EXCLUDE (transaction_sk), 36 AS key_length, CAST(1 AS BIGINT) AS uses
+        FROM ({_FACTS})""",
     "fact_late_products": _with(
         "facts products",
         f"""SELECT transaction_sk,
@@ -296,6 +364,13 @@ ORACLES = {
            FROM facts f JOIN products p ON p.product_id = f.product_id
            GROUP BY ALL""",
     ),
+    "star_revenue_one_quarter": _with(
+        "facts",
+        """SELECT date_key, sum(CAST(quantity AS DOUBLE)) AS quantity,
+                  CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
+                  count(*) AS sales
+           FROM facts WHERE date_key BETWEEN 19970101 AND 19970331 GROUP BY date_key""",
+    ),
     "star_revenue_by_country": _with(
         "facts",
         """SELECT v.country, sum(CAST(f.quantity AS DOUBLE)) AS quantity,
@@ -305,6 +380,8 @@ ORACLES = {
            GROUP BY ALL""",
     ),
     "resolve_transactions": _RESOLVED,
+    "resolve_transactions_in_time": f"{_RESOLVED} WHERE sold_at <= TIMESTAMP '{READ_AT}'"
+                                    " + INTERVAL 3 MINUTE",
     "stream_transaction_log": _RESOLVED,
     "activity_log": _ACTIVITY,
     "stream_activity_log": _ACTIVITY,
@@ -316,55 +393,31 @@ ORACLES = {
     ),
     "unified_profile": _with(
         "facts activities",
-        f"""
-        , sales AS (
-            SELECT customer_id, count(*) AS transactions,
-                   min(transaction_id) AS first_transaction
-            FROM facts GROUP BY customer_id),
-        {_ACTIVITY_SIZES}
-        SELECT v.customer_id AS master_id, first_name, last_name, gender,
-               {_day('date_of_birth')} AS date_of_birth,
-               coalesce(transactions, 0) AS transactions, coalesce(activities, 0) AS activities,
-               first_transaction, last_activity
-        FROM customer_versions v
-        LEFT JOIN sales s ON s.customer_id = v.customer_id
-        LEFT JOIN activity_sizes a ON a.customer_id = v.customer_id
-        WHERE v.is_current""",
+        _entries(
+            f"""SELECT customer_id AS master_id, first_name, last_name, gender,
+                       {_day('date_of_birth')} AS date_of_birth
+                FROM customer_versions WHERE is_current""",
+            _FACT_ENTRIES, "master_id", "first_name, last_name, gender, date_of_birth",
+            *_FACT_AMOUNTS,
+        ),
     ),
     "merge_profile_documents": _with(
         "facts activities",
-        f"""
-        , sales AS (
-            SELECT customer_id, count(*) AS transactions,
-                   min(transaction_id) AS first_transaction
-            FROM facts GROUP BY customer_id),
-        {_ACTIVITY_SIZES},
-        ids AS (
-            SELECT customer_id FROM customers UNION SELECT customer_id FROM sales
-            UNION SELECT customer_id FROM activity_sizes)
-        SELECT i.customer_id, first_name, gender, coalesce(transactions, 0) AS transactions,
-               coalesce(activities, 0) AS activities, first_transaction, last_activity
-        FROM ids i
-        LEFT JOIN customers c ON c.customer_id = i.customer_id
-        LEFT JOIN sales s ON s.customer_id = i.customer_id
-        LEFT JOIN activity_sizes a ON a.customer_id = i.customer_id""",
+        _entries(
+            """SELECT customer_id, first_name, gender FROM customers
+               UNION ALL SELECT DISTINCT customer_id, NULL, NULL
+               FROM (SELECT customer_id FROM facts UNION SELECT customer_id FROM activities)
+               WHERE customer_id NOT IN (SELECT customer_id FROM customers)""",
+            _FACT_ENTRIES, "customer_id", "first_name, gender", *_FACT_AMOUNTS,
+        ),
     ),
     "stream_profiles": _with(
         "customers transactions activities",
-        f"""
-        , sales AS (
-            SELECT c.customer_id, count(*) AS transactions,
-                   min(transaction_id) AS first_transaction
-            FROM transactions t JOIN customers c ON c.phone_number = t.phone_number
-            GROUP BY c.customer_id),
-        {_ACTIVITY_SIZES},
-        ids AS (
-            SELECT customer_id FROM customers UNION SELECT customer_id FROM activity_sizes)
-        SELECT i.customer_id, first_name, gender, coalesce(transactions, 0) AS transactions,
-               coalesce(activities, 0) AS activities, first_transaction, last_activity
-        FROM ids i
-        LEFT JOIN customers c ON c.customer_id = i.customer_id
-        LEFT JOIN sales s ON s.customer_id = i.customer_id
-        LEFT JOIN activity_sizes a ON a.customer_id = i.customer_id""",
+        _entries(
+            """SELECT customer_id, first_name, gender FROM customers
+               UNION ALL SELECT DISTINCT customer_id, NULL, NULL FROM activities
+               WHERE customer_id NOT IN (SELECT customer_id FROM customers)""",
+            _PHONE_ENTRIES, "customer_id", "first_name, gender", *_PHONE_AMOUNTS,
+        ),
     ),
 }

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from functools import wraps
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +27,7 @@ from tidemark.operators.fact import build_fact
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.logs import activity_log, transaction_log
 from tidemark.operators.profile import build_profile
-from tidemark.operators.resolve import resolve_transactions
+from tidemark.operators.resolve import pages_of_customers, resolve_transactions
 from tidemark.operators.upsert import (
     append_transactions,
     merge_documents,
@@ -42,11 +42,19 @@ from tidemark.operators.walkins import (
     with_placeholders,
 )
 from tidemark.plans import star
-from tidemark.schemas import SILVER_CUSTOMER, SILVER_PRODUCT
+from tidemark.plans.backfill import load_tables
+from tidemark.schemas import (
+    ACTIVITY_PAGES,
+    FACT_TRANSACTION,
+    SILVER_CUSTOMER,
+    SILVER_PRODUCT,
+    TABLES,
+    TRANSACTION_PAGES,
+)
 from tidemark.session import together, work_dir
 from tidemark.sources import warehouse_feeds as feeds
 from tidemark.sources.feeds import stream_feed
-from tidemark.sources.keyed_table import KeyedTable
+from tidemark.sources.batch_table import BatchTable
 from tidemark.sources.tables import create_clean_view
 from tidemark.streaming.bronze import (
     read_bronze,
@@ -55,6 +63,7 @@ from tidemark.streaming.bronze import (
     write_bronze,
 )
 from tidemark.streaming.documents import (
+    Documents,
     stateful_activity_log,
     stateful_transaction_log,
     write_documents,
@@ -64,6 +73,8 @@ from tidemark.streaming.lake import Lake, start_lake
 AS_OF = "2001-08-01"  # the last order day of the tables
 FIRST_CATALOGUE = "1994-01-01"  # a day before the first shipment
 MIDWAY = "1998-04-15"
+# The slack ends a minute into the day after, so sales of that day still count.
+READ_AT = "1998-04-14 23:58:00"
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -127,8 +138,17 @@ class Gold(NamedTuple):
     dim_product: DataFrame
     dim_date: DataFrame
 
-    def facts(self, sk: str = "md5") -> DataFrame:
-        return build_fact(*self, sk=sk)
+    def facts(self, sk: str = "md5", strategy: str | None = None) -> DataFrame:
+        return build_fact(*self, sk=sk, strategy=strategy)
+
+    def stored_facts(self) -> DataFrame:
+        """The facts as a lake stores them, by sale month, read back."""
+        month = F.floor(F.col("date_key") / 100).cast("int").alias("sale_month")
+        schema = T.StructType([*FACT_TRANSACTION.fields, T.StructField("sale_month", T.IntegerType())])
+        spark = self.transactions.sparkSession
+        table = BatchTable(spark, work_dir(spark, "facts"), schema, ("sale_month",))
+        table.add(0, self.facts().select("*", month))
+        return table.read().drop("batch_id")
 
 
 def gold_of(spark: SparkSession, d: str) -> Gold:
@@ -179,15 +199,23 @@ def _clean_transaction(spark, d):
 
 @query("clean_event")
 def _clean_event(spark, d):
-    return events_of(spark, d).select("event_id", "type", "customer_id", "time_stamp")
+    return events_of(spark, d).select("event_id", "type", "customer_id", "url", "time_stamp")
 
 
 @query("quarantine")
 def _quarantine(spark, d):
-    raw = feeds.mispriced_product_feed(spark, d)
+    """Prices that are no amounts, and records cut off half-way."""
+    raw = feeds.broken_product_feed(spark, d)
     return quarantine(raw, "product").select("offset", "key", "reason")
 
 
+@query("quarantine_overflow")
+def _quarantine_overflow(spark, d):
+    """Sales of more than their column can hold."""
+    raw = feeds.bulk_transaction_feed(spark, d)
+    return quarantine(raw, "transaction").select("offset", "key", "reason")
+
+
 @query("placeholder_customers")
 def _placeholder_customers(spark, d):
     return placeholder_customers(transactions_of(spark, d)).select(*SILVER_CUSTOMER.names)
@@ -271,7 +299,7 @@ def _scd2_customer_full(spark, d):
 @query("scd2_customer_merge")
 def _scd2_customer_merge(spark, d):
     """The same history, from two batches merged one after the other."""
-    changes = _priorities(spark, d)
+    changes = stored(_priorities(spark, d), "changes")
     day = F.col(_CHANGE_DAY)
     early, late = changes.where(day < as_date(MIDWAY)), changes.where(day >= as_date(MIDWAY))
     first = scd2.scd2_from_log(early, "customer_id", "customer_sk", day, list(FEED_ORDER))
@@ -320,9 +348,20 @@ def _fact_transaction(spark, d):
     return gold_of(spark, d).facts()
 
 
+@query("fact_transaction_shuffled")
+def _fact_transaction_shuffled(spark, d):
+    """The same facts when both dimensions are too large to be sent to every task."""
+    return gold_of(spark, d).facts(strategy="merge")
+
+
 @query("fact_transaction_uuid")
 def _fact_transaction_uuid(spark, d):
-    return gold_of(spark, d).facts(sk="uuid")
+    """Facts with random keys: everything but the key, its length and how often it occurs."""
+    own = Window.partitionBy("transaction_sk")
+    keyed = gold_of(spark, d).facts(sk="uuid").select(
+        "*", F.length("transaction_sk").alias("key_length"), F.count("*").over(own).alias("uses")
+    )
+    return keyed.drop("transaction_sk")
 
 
 @query("fact_late_products")
@@ -338,106 +377,138 @@ def _fact_late_products(spark, d):
 @query("star_revenue_by_type_quarter")
 def _star_revenue_by_type_quarter(spark, d):
     gold = gold_of(spark, d)
-    return star.revenue_by_type_quarter(gold.facts(), gold.dim_product, gold.dim_date)
+    return star.revenue_by_type_quarter(gold.stored_facts(), gold.dim_product, gold.dim_date)
+
+
+@query("star_revenue_one_quarter")
+def _star_revenue_one_quarter(spark, d):
+    """One quarter day by day, from the files of its months."""
+    return star.revenue_by_day(gold_of(spark, d).stored_facts(), 19970101, 19970331)
 
 
 @query("star_revenue_by_country")
 def _star_revenue_by_country(spark, d):
     gold = gold_of(spark, d)
-    return star.revenue_by_country(gold.facts(), gold.dim_customer)
+    return star.revenue_by_country(gold.stored_facts(), gold.dim_customer)
 
 
 # Logs and profiles.
 
-@query("resolve_transactions")
-def _resolve_transactions(spark, d):
+def _resolved(spark: SparkSession, d: str, read_at: str) -> DataFrame:
     lookup = customers_of(spark, d).select("customer_id", "phone_number")
     transactions = stored(transactions_of(spark, d), "transactions")
-    pages = resolve_transactions(transactions, lookup, read_at=AS_OF)
+    pages = resolve_transactions(transactions, lookup, read_at)
     return pages.select("customer_id", F.inline("transaction_log"))
 
 
+@query("resolve_transactions")
+def _resolve_transactions(spark, d):
+    return _resolved(spark, d, AS_OF)
+
+
+@query("resolve_transactions_in_time")
+def _resolve_transactions_in_time(spark, d):
+    """Only sales up to three minutes after the customers were read."""
+    return _resolved(spark, d, READ_AT)
+
+
 @query("activity_log")
 def _activity_log(spark, d):
-    pages = activity_log(stored(events_of(spark, d), "events"))
-    return pages.select("customer_id", F.inline("activity_log")).drop("url")
+    pages = activity_log(events_of(spark, d))
+    return pages.select("customer_id", F.inline("activity_log"))
 
 
 @query("transaction_log")
 def _transaction_log(spark, d):
-    pages = transaction_log(stored(gold_of(spark, d).facts(), "facts"))
+    pages = transaction_log(gold_of(spark, d).facts())
     return pages.select("customer_id", F.inline("transaction_log"))
 
 
-def _log_sizes(documents: DataFrame, key: str, *columns: str) -> DataFrame:
-    """Per document key, over its pages: log lengths, first entries and amounts."""
-    size = "greatest(size({0}), 0)"
-    return documents.groupBy(key, *columns).agg(
-        F.sum(F.expr(size.format("transaction_log"))).alias("transactions"),
-        F.sum(F.expr(size.format("activity_log"))).alias("activities"),
-        F.min(F.array_min("transaction_log.transaction_id")).alias("first_transaction"),
-        F.max(F.array_max("activity_log.time_stamp")).alias("last_activity"),
-    )
+def entries(documents: DataFrame, *columns: str) -> DataFrame:
+    """Every entry of both logs with the document's columns; a row of those without any entry."""
+    logs = [documents.select(*columns, F.inline(log)) for log in ("transaction_log", "activity_log")]
+    empty = documents.where("transaction_log IS NULL AND activity_log IS NULL").select(*columns)
+    everything = logs[0].unionByName(logs[1], allowMissingColumns=True)
+    return everything.unionByName(empty, allowMissingColumns=True)
 
 
 @query("unified_profile")
 def _unified_profile(spark, d):
-    gold, events = together(
-        spark, lambda: gold_of(spark, d), lambda: stored(events_of(spark, d), "events")
-    )
+    """Every entry of every customer's profile, with the demographics."""
+    gold = gold_of(spark, d)
     customers = scd2.current_versions(gold.dim_customer)
-    profile = build_profile(customers, stored(gold.facts(), "facts"), events)
-    return _log_sizes(profile, "master_id", "first_name", "last_name", "gender", "date_of_birth")
+    profile = build_profile(customers, gold.facts(), events_of(spark, d))
+    return entries(
+        profile.documents(), "master_id", "first_name", "last_name", "gender", "date_of_birth"
+    )
 
 
 @query("merge_profile_documents")
 def _merge_profile_documents(spark, d):
     """Three writers, one after the other, each setting its own fields of the documents."""
-    page_0 = F.lit(0).alias("page")
-    demographics = customers_of(spark, d).select("customer_id", page_0, "first_name", "gender")
-    activity = activity_log(stored(events_of(spark, d), "events"))
-    purchases = transaction_log(stored(gold_of(spark, d).facts(), "facts"))
-    fields = T.StructType(
-        demographics.schema.fields + activity.schema.fields[2:] + purchases.schema.fields[2:]
+    people = customers_of(spark, d).select("customer_id", "first_name", "gender")
+    activity = activity_log(events_of(spark, d))
+    purchases = transaction_log(gold_of(spark, d).facts())
+    fields = T.StructType(activity.schema.fields + purchases.schema.fields[2:])
+    pages = spark.createDataFrame([], fields)
+    for update in (activity, purchases):
+        pages = merge_documents(pages, update, ["customer_id", "page"])
+    documents = spark.createDataFrame([], people.schema)
+    documents = merge_documents(documents, people, "customer_id")
+    return entries(
+        documents.join(pages, "customer_id", "full"), "customer_id", "first_name", "gender"
     )
-    documents = spark.createDataFrame([], fields)
-    for update in (demographics, activity, purchases):
-        documents = merge_documents(documents, update, ["customer_id", "page"])
-    return _log_sizes(documents, "customer_id", "first_name", "gender")
+
+
+# First load.
+
+@query("backfill_tables")
+def _backfill_tables(spark, d):
+    """Rows of every catalog table after a first load of all feeds; of the logs, their entries."""
+    load_tables(spark, feeds.all_feeds(spark, d), work_dir(spark, "catalog"), AS_OF)
+    logs = {"activity": "size(activity_log)", "purchases": "size(transaction_log)"}
+    counts = [
+        spark.table(spec.qualified).agg(
+            F.lit(name).alias("name"), F.sum(F.expr(logs.get(name, "1"))).alias("n")
+        )
+        for name, spec in TABLES.items()
+    ]
+    rows = counts[0]
+    for count in counts[1:]:
+        rows = rows.union(count)
+    return rows
 
 
 # Streams.
 
-def _as_files(feed: DataFrame, path: str, files: int, spread_by: list) -> None:
-    """Add a feed to the files a stream will find, equal ``spread_by`` in the same file."""
-    feed.repartition(files, *spread_by).write.mode("append").parquet(path)
+def _as_files(feed: DataFrame, path: str, files: int) -> None:
+    """Add a feed to the files a stream will find."""
+    feed.repartition(files, "offset").write.mode("append").parquet(path)
 
 
 @query("stream_bronze_counts")
 def _stream_bronze_counts(spark, d):
     """All feeds through the bronze stream, counted per table."""
     root = work_dir(spark, "bronze")
-    _as_files(feeds.all_feeds(spark, d), f"{root}/feed", 8, ["offset"])
+    _as_files(feeds.all_feeds(spark, d), f"{root}/feed", 8)
     incoming = stream_feed(spark, "parquet", f"{root}/feed", maxFilesPerTrigger="4")
     write_bronze(incoming, f"{root}/bronze", f"{root}/checkpoint", True).awaitTermination()
     return records_per_table(read_bronze(spark, f"{root}/bronze"))
 
 
-def lake_of(spark: SparkSession, d: str) -> Lake:
-    """A lake after all feeds went through bronze: dimensions first, then sales and events.
+def lake_of(spark: SparkSession, d: str, customers_last: bool = False) -> Lake:
+    """A lake after all feeds went through bronze in several batches.
 
-    All sales with the same phone number share a file, hence a batch.
+    Facts look up their dimensions, so these come first; ``customers_last`` turns the order round.
     """
     root = work_dir(spark, "lake")
     master = feeds.customer_feed(spark, d).union(feeds.product_feed(spark, d))
     sales = feeds.transaction_feed(spark, d).union(feeds.event_feed(spark, d))
-    phone = F.coalesce(F.get_json_object("value", "$.after.phone_number"), "offset")
-
     lake = Lake(spark, f"{root}/tables", as_of=AS_OF)
-    for arriving, spread_by in ((master, [F.col("offset")]), (sales, [phone])):
-        _as_files(arriving, f"{root}/feed", 4, spread_by)
-        incoming = stream_feed(spark, "parquet", f"{root}/feed")
-        bronze, checkpoint = f"{root}/bronze", f"{root}/checkpoints"
+    bronze, checkpoint = f"{root}/bronze", f"{root}/checkpoints"
+    for arriving in (sales, master) if customers_last else (master, sales):
+        _as_files(arriving, f"{root}/feed", 4)
+        incoming = stream_feed(spark, "parquet", f"{root}/feed", maxFilesPerTrigger="2")
         write_bronze(incoming, bronze, f"{checkpoint}/bronze", True).awaitTermination()
         stream = stream_bronze(spark, bronze)
         start_lake(lake, stream, f"{checkpoint}/lake", True).awaitTermination()
@@ -446,25 +517,40 @@ def lake_of(spark: SparkSession, d: str) -> Lake:
 
 @query("stream_fact_equals_batch")
 def _stream_fact_equals_batch(spark, d):
-    return lake_of(spark, d).facts()
+    return lake_of(spark, d).facts().select(*FACT_TRANSACTION.names)
+
+
+@query("stream_dim_customer")
+def _stream_dim_customer(spark, d):
+    """All versions after the stream, walk-ins included."""
+    return lake_of(spark, d).dim_customer().select(
+        "customer_sk", "customer_id", "first_name", "phone_number", "country", "effective_date",
+        "expired_date", "is_current",
+    )
+
+
+@query("stream_silver_customer")
+def _stream_silver_customer(spark, d):
+    return lake_of(spark, d).silver_customer()
 
 
 @query("stream_profiles")
 def _stream_profiles(spark, d):
-    """Profile documents after streaming; transactions resolved by phone."""
-    documents = lake_of(spark, d).profiles()
-    return _log_sizes(documents, "customer_id", "first_name", "gender")
+    """Every entry of the profiles after streaming, with customers that came after their sales."""
+    documents = lake_of(spark, d, customers_last=True).profiles()
+    return entries(documents, "customer_id", "first_name", "gender")
 
 
-def _streamed_documents(spark: SparkSession, feed: DataFrame, name: str, logs_of) -> DataFrame:
+def _streamed_documents(
+    spark: SparkSession, feed: DataFrame, name: str, schema: T.StructType, logs_of
+) -> DataFrame:
     """The documents that a stateful log stream keeps up to date while a feed arrives in files."""
     root = work_dir(spark, name)
-    _as_files(feed, f"{root}/feed", 4, ["offset"])
-    incoming = stream_feed(spark, "parquet", f"{root}/feed", maxFilesPerTrigger="2")
-    logs = logs_of(incoming)
-    documents = KeyedTable(spark, f"{root}/documents", logs.schema, ["customer_id", "page"])
+    _as_files(feed, f"{root}/feed", 4)
+    logs = logs_of(stream_feed(spark, "parquet", f"{root}/feed", maxFilesPerTrigger="2"))
+    documents = Documents(spark, f"{root}/documents", schema, schema.names[:2])
     write_documents(logs, documents, f"{root}/checkpoint", True).awaitTermination()
-    return documents.read()
+    return documents.current()
 
 
 @query("stream_activity_log")
@@ -474,9 +560,10 @@ def _stream_activity_log(spark, d):
         spark,
         feeds.event_feed(spark, d),
         "activity",
-        lambda incoming: stateful_activity_log(clean_event(incoming), slots=4),
+        ACTIVITY_PAGES,
+        lambda incoming: stateful_activity_log(clean_event(incoming)),
     )
-    return documents.select("customer_id", F.inline("activity_log")).drop("url")
+    return documents.select("customer_id", F.inline("activity_log"))
 
 
 @query("stream_transaction_log")
@@ -487,8 +574,10 @@ def _stream_transaction_log(spark, d):
         spark,
         feeds.transaction_feed(spark, d),
         "purchases",
+        TRANSACTION_PAGES,
         lambda incoming: stateful_transaction_log(
-            clean_transaction(incoming, AS_OF), lookup, AS_OF, slots=1
+            clean_transaction(incoming, AS_OF), lookup, AS_OF
         ),
     )
-    return documents.select("customer_id", F.inline("transaction_log"))
+    pages = pages_of_customers(documents, lookup)
+    return pages.select("customer_id", F.inline("transaction_log"))

@@ -25,17 +25,28 @@ def revenue_by_type_quarter(
         .agg(*_sums(F.count("*")))
     )
     types = dim_product.select("product_sk", "product_type")
-    typed = lookup_join(per_product, types, "product_sk", ["year", "quarter"])
+    typed = lookup_join(per_product, types, "product_sk")
     return typed.groupBy(
         F.coalesce("product_type", F.lit(_UNKNOWN)).alias("product_type"), "year", "quarter"
     ).agg(*_sums(F.sum("sales")))
 
 
+def revenue_by_day(facts: DataFrame, first_day: int, last_day: int) -> DataFrame:
+    """Units, revenue and sales per day from one ``date_key`` to another, both included.
+
+    Both bounds, and the months they imply where facts are stored by month, reach the scan.
+    """
+    chosen = facts.where(F.col("date_key").between(first_day, last_day))
+    if "sale_month" in facts.columns:
+        chosen = chosen.where(F.col("sale_month").between(first_day // 100, last_day // 100))
+    return chosen.groupBy("date_key").agg(*_sums(F.count("*")))
+
+
 def revenue_by_country(facts: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """Units, revenue and sales by the customer's country; walk-ins count as unknown."""
     per_customer = facts.groupBy("customer_sk").agg(*_sums(F.count("*")))
     countries = dim_customer.select("customer_sk", "country")
-    located = lookup_join(per_customer, countries, "customer_sk", "customer_sk")
+    located = lookup_join(per_customer, countries, "customer_sk")
     return located.groupBy(F.coalesce("country", F.lit(_UNKNOWN)).alias("country")).agg(
         *_sums(F.sum("sales"))
     )

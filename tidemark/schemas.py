@@ -69,7 +69,7 @@ FACT_TRANSACTION = _columns(
     "quantity decimal(10,2), total_amount decimal(10,2), time_stamp timestamp"
 )
 
-# Entries of the nested logs.
+# Entries of the nested logs.
 ACTIVITY_ENTRY = ("event_id", "type", "url", "time_stamp")
 TRANSACTION_ENTRY = (
     "transaction_id", "product_id", "product_name", "price", "quantity", "total_amount",
@@ -93,7 +93,7 @@ TRANSACTION_PAGES = _log(
     "transaction_log",
     "transaction_id string, product_id string, product_name string, price decimal(10,2), "
     "quantity long, total_amount decimal(10,2)",
-    ("customer_id", "string"), ("phone_number", "string"), ("page", "integer"),
+    ("phone_number", "string"), ("page", "integer"),
 )
 
 
@@ -123,6 +123,9 @@ TABLES = {
         TableSpec("gold", "dim_product", DIM_PRODUCT, "product_sk"),
         TableSpec("gold", "dim_date", DIM_DATE, "date_key"),
         TableSpec("gold", "fact_transaction", FACT_TRANSACTION, "transaction_sk"),
+        TableSpec("profile", "people", SILVER_CUSTOMER, "customer_id"),
+        TableSpec("profile", "activity", ACTIVITY_PAGES),
+        TableSpec("profile", "purchases", TRANSACTION_PAGES),
     )
 }
 

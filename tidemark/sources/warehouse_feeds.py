@@ -24,12 +24,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread_table(spark: SparkSession, sf_dir: str, name: str, *by: str) -> DataFrame:
     """A table whose rows become feed records, which is costly per row.
 
-    A file that Spark cannot split would leave that work to one core, so such a table is
-    distributed first, by its key. With enough splits, as large tables have, nothing is shuffled.
+    A file that Spark cannot split would leave that work to one core, so the rows are distributed
+    first, by their key.
     """
-    rows = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores, *by) if rows.rdd.getNumPartitions() < cores else rows
+    return table(spark, sf_dir, name).repartition(*by)
 
 
 def record(
@@ -70,7 +68,12 @@ def customer_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(8766) + key % 365).alias("creation_date"),
     )
     op = F.when(key % 11 == 0, "u").otherwise("c")
-    return customers.select(*record("customer", key, after, op, F.lit(0)))
+    current = customers.select(*record("customer", key, after, op, F.lit(0)))
+    gone = F.struct(F.concat(F.lit("gone"), key.cast("string")).alias("customer_id"))
+    deletes = customers.where(key % 13 == 0).select(
+        *record("customer", -key, gone, F.lit("d"), F.lit(0))
+    )
+    return current.union(deletes)
 
 
 def product_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,9 +88,13 @@ def product_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_size").cast("string").alias("sale_percents"),
         F.col("p_type").alias("product_type"),
     )
-    return table(spark, sf_dir, "part").select(
-        *record("product", key, after, F.lit("c"), F.lit(0))
+    parts = table(spark, sf_dir, "part")
+    current = parts.select(*record("product", key, after, F.lit("c"), F.lit(0)))
+    gone = F.struct(F.lit(None).cast("int").alias("product_id"), F.lit("gone").alias("product_name"))
+    deletes = parts.where(key % 13 == 0).select(
+        *record("product", -key, gone, F.lit("d"), F.lit(0))
     )
+    return current.union(deletes)
 
 
 def transaction_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,7 +140,9 @@ def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id"),
         F.col("event_type").alias("type"),
         F.col("user_id").cast("string").alias("customer_id"),
-        F.lit(None).cast("string").alias("url"),
+        F.when(F.col("event_id") % 3 != 0, F.concat(
+            F.lit("https://shop.example/"), F.col("event_type"), F.lit("/"), F.col("event_id")
+        )).alias("url"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("time_stamp"),
     )
     return spread_table(spark, sf_dir, "events", "event_id").select(
@@ -192,6 +201,27 @@ def mispriced_product_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def broken_product_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mispriced products, every seventh of the others cut off in the middle of its record."""
+    feed = mispriced_product_feed(spark, sf_dir)
+    cut = (F.col("offset").cast("bigint") % 7 == 0) & ~F.col("value").contains("Brand")
+    half = F.expr("substring(value, 1, cast(length(value) / 2 AS int))")
+    return feed.withColumn("value", F.when(cut, half).otherwise(F.col("value")))
+
+
+def bulk_transaction_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sale per order; the quantity of every fifth one is more than its column can hold."""
+    order = F.col("o_orderkey")
+    after = F.struct(
+        order.cast("string").alias("transaction_id"),
+        F.lit("0900000000").alias("phone_number"),
+        F.when(order % 5 == 0, order + 100_000_000).otherwise(order % 100).alias("quantity"),
+    )
+    return table(spark, sf_dir, "orders").select(
+        *record("transaction", order, after, F.lit("c"), F.lit(0))
+    )
+
+
 def all_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_feeds(
         customer_feed(spark, sf_dir),

@@ -19,26 +19,18 @@ from tidemark.operators.cleaners import (
     clean_product,
     clean_transaction,
 )
-from tidemark.operators.envelope import FEED_ORDER, PAYLOADS, quarantine, union_feeds
+from tidemark.operators.envelope import FEED_ORDER, PAYLOADS, parse, quarantine, union_feeds
 from tidemark.operators.fact import build_fact
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.logs import PAGE_ENTRIES, activity_log
-from tidemark.operators.profile import assemble_documents
-from tidemark.operators.resolve import resolve_transactions
-from tidemark.operators.scd2 import merge_dim_customer, merge_dim_product
-from tidemark.operators.upsert import (
-    merge_documents,
-    transaction_rows,
-    upsert_customer,
-    upsert_product,
-)
+from tidemark.operators.logs import SLOTS, log_pages, month_of
+from tidemark.operators.resolve import in_time, pages_of_customers
+from tidemark.operators.scd2 import current_versions, first_dim_customer, first_dim_product
+from tidemark.operators.upsert import is_named, transaction_rows
 from tidemark.operators.walkins import customers_by_day, with_placeholders
 from tidemark.schemas import (
     ACTIVITY_ENTRY,
     ACTIVITY_PAGES,
-    DIM_CUSTOMER,
     DIM_DATE,
-    DIM_PRODUCT,
     FACT_TRANSACTION,
     SILVER_CUSTOMER,
     SILVER_PRODUCT,
@@ -48,24 +40,32 @@ from tidemark.schemas import (
     UNREADABLE,
 )
 from tidemark.session import together
-from tidemark.sources.keyed_table import BUCKET, GrowingTable, KeyedTable, folder_exists
+from tidemark.sources.batch_table import BatchTable, folder_exists
+from tidemark.streaming.documents import Documents
+
+# Batches between two compactions.
+COMPACT_EVERY = 20
+
+_CHANGE = T.StructType().add("ts_ms", "long").add("offset", "long")
+_DAY = T.StructType().add("day", "date")
+_MONTH = T.StructType().add("month", "integer")
 
-# Batches between two clean-ups of the keyed tables, and the states that each one leaves.
-EXPIRE_EVERY = 20
-KEEP_STATES = 3
+
+def _with(schema: T.StructType, *more: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, *(field for extra in more for field in extra.fields)])
 
 
 class Lake:
     """All tables of one deployment below ``root``, fed by :meth:`apply`.
 
-    A batch first writes silver tables, dimensions with the batch's walk-ins, demographics and
-    activity, and then the facts and the purchases, which look up what the first step wrote. Every
-    write can be repeated: keys are derived from the data, keyed tables merge onto the state before
-    the batch, growing tables replace the batch's rows.
+    Every table only grows: a batch adds its cleaned changes, already reduced to one per key, and a
+    reader reduces what several batches have brought; :meth:`compact` does so ahead of readers. A
+    repeated batch replaces what its first attempt wrote, and reads only what earlier batches wrote.
 
-    ``as_of`` is the processing day, fixed for a backfill; without it each batch takes the UTC day
-    it starts on. ``keep_unreadable`` also stores the records that cannot be read whole, at the
-    price of parsing every record a second time.
+    A batch first writes changes, dimensions with the batch's walk-ins and the logs, and then the
+    facts, which look up what the first step wrote. ``as_of`` is the processing day, fixed for a
+    backfill; without it each batch takes the UTC day it starts on. Records that cannot be read or
+    stored whole go to ``unreadable`` unless ``keep_unreadable`` is off.
     """
 
     def __init__(
@@ -73,122 +73,123 @@ class Lake:
         spark: SparkSession,
         root: str,
         as_of: dt.date | str | None = None,
-        buckets: int = 16,
         strict_compat: bool = False,
         fact_key: str = "md5",
-        page_entries: int = PAGE_ENTRIES,
-        keep_unreadable: bool = False,
+        slots: int = SLOTS,
+        keep_unreadable: bool = True,
     ):
         self.spark, self.root, self.as_of = spark, root, as_of
         self.strict_compat = strict_compat
-        self.fact_key, self.page_entries = fact_key, page_entries
+        self.fact_key, self.slots = fact_key, slots
         self.keep_unreadable = keep_unreadable
 
-        def keyed(zone: str, name: str, schema: T.StructType, key: str) -> KeyedTable:
-            return KeyedTable(spark, f"{root}/{zone}/{name}", schema, key, buckets)
-
-        def growing(zone: str, name: str, schema: T.StructType) -> GrowingTable:
-            return GrowingTable(spark, f"{root}/{zone}/{name}", schema)
+        def growing(zone: str, name: str, schema: T.StructType, *by: str) -> BatchTable:
+            return BatchTable(spark, f"{root}/{zone}/{name}", schema, by)
 
         self.unreadable = growing("raw", "unreadable", UNREADABLE)
-        self.silver_customer = keyed("silver", "silver_customer", SILVER_CUSTOMER, "customer_id")
-        self.silver_product = keyed("silver", "silver_product", SILVER_PRODUCT, "product_id")
-        self.silver_transaction = growing("silver", "silver_transaction", SILVER_TRANSACTION)
-        # Dimensions are bucketed by natural key, so all versions of a key share a bucket.
-        self.dim_customer = keyed("gold", "dim_customer", DIM_CUSTOMER, "customer_id")
-        self.dim_product = keyed("gold", "dim_product", DIM_PRODUCT, "product_id")
-        self.fact_transaction = growing("gold", "fact_transaction", FACT_TRANSACTION)
-        self.demographics = keyed("profile", "demographics", SILVER_CUSTOMER, "customer_id")
-        self.activity = growing("profile", "activity_log", ACTIVITY_PAGES)
-        self.purchases = growing("profile", "transaction_log", TRANSACTION_PAGES)
+        self.customer_changes = growing("silver", "customer", _with(SILVER_CUSTOMER, _CHANGE))
+        self.product_changes = growing("silver", "product", _with(SILVER_PRODUCT, _CHANGE))
+        self.silver_transaction = growing("silver", "transaction", SILVER_TRANSACTION)
+        self.customer_days = growing("gold", "customer", _with(SILVER_CUSTOMER, _CHANGE, _DAY))
+        self.product_days = growing("gold", "product", _with(SILVER_PRODUCT, _CHANGE, _DAY))
+        # Facts lie by sale month. The few ids that came again in a later batch are listed apart.
+        month = T.StructType().add("sale_month", "integer")
+        self.fact_transaction = growing("gold", "fact", _with(FACT_TRANSACTION, month), "sale_month")
+        self.resent = growing("gold", "resent", T.StructType().add("transaction_id", "string"))
+        self.people = Documents(
+            spark, f"{root}/profile/people", SILVER_CUSTOMER, ["customer_id"]
+        )
+        self.activity = growing("profile", "activity", _with(ACTIVITY_PAGES, _MONTH), "month")
+        self.purchases = growing("profile", "purchases", _with(TRANSACTION_PAGES, _MONTH), "month")
 
     def apply(self, raw: DataFrame, batch_id: int) -> None:
         """Bring one micro-batch of feed records into every table."""
         now = dt.datetime.now(dt.timezone.utc)
         as_of = self.as_of or now.date()
-        cleaned = (
-            clean_customer(raw),
-            clean_product(raw),
-            latest_per_key(
-                clean_transaction(raw, as_of, self.strict_compat), "transaction_id", FEED_ORDER
-            ),
-            clean_event(raw, self.strict_compat),
-        )
-        with persisted(*cleaned) as (customers, products, transactions, events):
-            # The calendar must exist before facts look days up; it is written by one thread.
-            days = self.calendar(as_of)
-            together(
-                self.spark,
-                lambda: self._write_customers(customers, transactions, batch_id),
-                lambda: self._write_products(products, batch_id),
-                lambda: self.silver_transaction.add(batch_id, transaction_rows(transactions)),
-                lambda: self._write_dim_customer(customers, transactions, as_of, batch_id),
-                lambda: self._write_dim_product(products, as_of, batch_id),
-                lambda: self._write_demographics(customers, batch_id),
-                lambda: self.activity.add(batch_id, activity_log(events, self.page_entries)),
-            )
-            together(
-                self.spark,
-                lambda: self._write_facts(transactions, days, batch_id),
-                lambda: self._write_purchases(transactions, now, batch_id),
+        with persisted(*(parse(raw, key) for key in PAYLOADS)) as parsed:
+            of = dict(zip(PAYLOADS, parsed, strict=True))
+            sales = clean_transaction(of["transaction"], as_of, self.strict_compat)
+            cleaned = (
+                clean_customer(of["customer"]),
+                clean_product(of["product"]),
+                latest_per_key(sales, "transaction_id", FEED_ORDER),
+                clean_event(of["event"], self.strict_compat),
             )
-        if self.keep_unreadable:
-            found = [quarantine(raw, key) for key in PAYLOADS]
-            self.unreadable.add(batch_id, union_feeds(*found))
-        if batch_id % EXPIRE_EVERY == EXPIRE_EVERY - 1:
-            self.expire()
-
-    def _write_customers(self, customers, transactions, batch_id: int) -> None:
-        self.silver_customer.merge(
-            batch_id,
-            with_placeholders(customers, transactions),
-            lambda stored, rows: upsert_customer(stored, rows, FEED_ORDER, BUCKET),
-        )
-
-    def _write_products(self, products, batch_id: int) -> None:
-        self.silver_product.merge(
-            batch_id,
-            products,
-            lambda stored, rows: upsert_product(stored, rows, FEED_ORDER, BUCKET),
+            with persisted(*cleaned) as (customers, products, transactions, events):
+                # The calendar must exist before facts look days up; it is written by one thread.
+                days = self.calendar(as_of)
+                everyone = with_placeholders(customers, transactions)
+                by_day = customers_by_day(customers, transactions, as_of)
+                product_days = products.withColumn("day", F.lit(as_of).cast("date"))
+                newest = latest_per_key(customers, "customer_id", FEED_ORDER)
+                eligible = transactions.where(in_time(now.replace(tzinfo=None)))
+                steps = [
+                    lambda: self.customer_changes.add(batch_id, _latest_customers(everyone)),
+                    lambda: self.product_changes.add(batch_id, _latest_products(products)),
+                    lambda: self.silver_transaction.add(batch_id, transaction_rows(transactions)),
+                    lambda: self.customer_days.add(batch_id, _last_of_day(by_day, "customer_id")),
+                    lambda: self.product_days.add(batch_id, _last_of_day(product_days, "product_id")),
+                    lambda: self.people.set_fields(batch_id, newest.drop(*FEED_ORDER)),
+                    lambda: self._add_pages(
+                        self.activity, batch_id, events, "customer_id", ACTIVITY_ENTRY, "time_stamp"
+                    ),
+                    lambda: self._add_pages(
+                        self.purchases, batch_id, eligible, "phone_number", TRANSACTION_ENTRY,
+                        "timestamp",
+                    ),
+                ]
+                if self.keep_unreadable:
+                    found = union_feeds(*(quarantine(of[key], key) for key in PAYLOADS))
+                    steps.append(lambda: self.unreadable.add(batch_id, found))
+                together(self.spark, *steps)
+                self._add_facts(transactions, days, batch_id)
+        if batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
+            self.compact()
+
+    def _add_facts(self, transactions: DataFrame, days: DataFrame, batch_id: int) -> None:
+        """The batch's facts, and the ids among them that an earlier batch has stored."""
+        stored = self.fact_transaction.read(before=batch_id).select("transaction_id")
+        again = transactions.select("transaction_id").join(stored, "transaction_id", "left_semi")
+        facts = build_fact(
+            transactions,
+            self._dimension(self.customer_days, first_dim_customer, transactions, "customer_id"),
+            self._dimension(self.product_days, first_dim_product, transactions, "product_id"),
+            days,
+            self.fact_key,
         )
-
-    def _write_dim_customer(self, customers, transactions, as_of, batch_id: int) -> None:
-        self.dim_customer.merge(
-            batch_id,
-            customers_by_day(customers, transactions, as_of),
-            lambda dim, rows: merge_dim_customer(dim, rows, F.col("day"), cluster_by=BUCKET),
+        month = F.floor(F.col("date_key") / 100).cast("int").alias("sale_month")
+        together(
+            self.spark,
+            lambda: self.resent.add(batch_id, again),
+            lambda: self.fact_transaction.add(batch_id, facts.select("*", month)),
         )
 
-    def _write_dim_product(self, products, as_of, batch_id: int) -> None:
-        self.dim_product.merge(
-            batch_id,
-            products,
-            lambda dim, rows: merge_dim_product(dim, rows, as_of, cluster_by=BUCKET),
-        )
-
-    def _write_demographics(self, customers, batch_id: int) -> None:
-        latest = latest_per_key(customers, "customer_id", FEED_ORDER).drop(*FEED_ORDER)
-        self.demographics.merge(
-            batch_id,
-            latest,
-            lambda stored, rows: merge_documents(stored, rows, "customer_id", BUCKET),
-        )
+    def _dimension(self, changes: BatchTable, build, rows: DataFrame, key: str) -> DataFrame:
+        """The current versions of the keys in ``rows``; the other keys' changes are not reduced."""
+        wanted = rows.select(key).distinct()
+        return current_versions(build(changes.read().join(wanted, key, "left_semi"), F.col("day")))
 
-    def _write_facts(self, transactions, days, batch_id: int) -> None:
-        facts = build_fact(
-            transactions, self.dim_customer.read(), self.dim_product.read(), days, self.fact_key
-        )
-        self.fact_transaction.add(batch_id, facts)
-
-    def _write_purchases(self, transactions, now, batch_id: int) -> None:
-        lookup = self.demographics.read().select("customer_id", "phone_number")
-        read_at = now.replace(tzinfo=None)
-        self.purchases.add(
-            batch_id,
-            resolve_transactions(
-                transactions, lookup, read_at, page_entries=self.page_entries
-            ),
-        )
+    def _add_pages(
+        self,
+        table: BatchTable,
+        batch_id: int,
+        rows: DataFrame,
+        key: str,
+        entry: tuple[str, ...],
+        time: str,
+    ) -> None:
+        """Store the pages that the batch touches anew, whole, with the entries they had before.
+
+        Only the months of the batch's entries are read, a handful of numbers on the driver.
+        """
+        log = next(f.name for f in table.schema if isinstance(f.dataType, T.ArrayType))
+        new = log_pages(rows, key, entry, log, time, self.slots)
+        new = new.withColumn("month", F.expr(f"cast(page div {self.slots} AS int)"))
+        months = [row[0] for row in rows.select(month_of(time)).distinct().collect()]
+        old = current_pages(table.read(before=batch_id).where(F.col("month").isin(months)), key, log)
+        both = new.join(old.withColumnRenamed(log, "_old"), [key, "page", "month"], "left")
+        entries = F.concat(F.coalesce("_old", F.expr("slice(" + log + ", 1, 0)")), log)
+        table.add(batch_id, both.withColumn(log, F.sort_array(entries)))
 
     def calendar(self, as_of: dt.date | str | None = None) -> DataFrame:
         """The calendar, written once, around the day of the first batch."""
@@ -198,53 +199,103 @@ class Lake:
             days.coalesce(1).write.mode("overwrite").parquet(path)
         return self.spark.read.schema(DIM_DATE).parquet(path)
 
+    def silver_customer(self) -> DataFrame:
+        """One row per customer, the last named record, or a placeholder if there is none."""
+        return _latest_customers(self.customer_changes.read()).select(*SILVER_CUSTOMER.names)
+
+    def silver_product(self) -> DataFrame:
+        return _latest_products(self.product_changes.read()).select(*SILVER_PRODUCT.names)
+
+    def dim_customer(self) -> DataFrame:
+        """All versions of every customer."""
+        return first_dim_customer(self.customer_days.read(), F.col("day"))
+
+    def dim_product(self) -> DataFrame:
+        return first_dim_product(self.product_days.read(), F.col("day"))
+
     def transactions(self) -> DataFrame:
         """Stored transactions, one row per transaction id."""
-        rows = self.silver_transaction.read()
-        order = [F.col("event_time").try_cast("bigint"), "batch_id"]
-        return latest_per_key(rows, "transaction_id", order).drop("batch_id")
+        return self._unique(self.silver_transaction).select(*SILVER_TRANSACTION.names)
 
     def facts(self) -> DataFrame:
-        """Fact rows, one per key, the latest if a transaction was sent again in a later batch."""
-        rows = self.fact_transaction.read()
-        return latest_per_key(rows, "transaction_sk", ["time_stamp", "batch_id"]).drop("batch_id")
+        """Fact rows with their ``sale_month``, one per transaction, the latest if it came again.
+
+        Filters on days and months, and the choice of columns, reach the files.
+        """
+        return self._unique(self.fact_transaction).drop("batch_id")
+
+    def _unique(self, table: BatchTable) -> DataFrame:
+        """A batch holds an id once. Rows whose id a later batch brought again are left out."""
+        rows = table.read()
+        if not self.resent.batches():
+            return rows
+        again = self.resent.read().groupBy("transaction_id").agg(F.max("batch_id").alias("last"))
+        older = (rows["transaction_id"] == again["transaction_id"]) & (
+            rows["batch_id"] < again["last"]
+        )
+        return rows.join(again, older, "left_anti")
+
+    def activity_pages(self) -> DataFrame:
+        """``customer_id, page, activity_log`` as they are now."""
+        return current_pages(self.activity.read(), "customer_id", "activity_log").drop("month")
+
+    def purchase_pages(self) -> DataFrame:
+        """``phone_number, page, transaction_log`` as they are now."""
+        return current_pages(self.purchases.read(), "phone_number", "transaction_log").drop("month")
 
     def profiles(self) -> DataFrame:
-        """Profile documents: demographics with both logs.
+        """Profile documents: every customer's demographics with each page of both logs.
 
-        Customers known only from a log have a document too, with empty demographics.
+        Purchases belong to a phone number, and to its customers whenever those became known.
+        Customers known only from activity have pages with empty demographics.
         """
-        activity = self.activity.read().select("customer_id", F.inline("activity_log"))
-        purchases = self.purchases.read().select("customer_id", F.inline("transaction_log"))
-        seen = activity.select("customer_id").union(purchases.select("customer_id")).distinct()
-        people = merge_documents(self.demographics.read(), seen, "customer_id")
-        logs = [
-            (purchases, TRANSACTION_ENTRY, "transaction_log"),
-            (activity, ACTIVITY_ENTRY, "activity_log"),
-        ]
-        return assemble_documents(people, logs, self.page_entries)
+        people = self.people.current()
+        pages = pages_of_customers(self.purchase_pages(), people).drop("phone_number")
+        pages = pages.join(self.activity_pages(), ["customer_id", "page"], "full")
+        return people.join(pages, "customer_id", "full")
 
     def create_views(self) -> None:
         """Temporary views of the tables as they are now, for SQL over the star schema."""
         views = {
-            "silver_customer": self.silver_customer.read(),
-            "silver_product": self.silver_product.read(),
+            "silver_customer": self.silver_customer(),
+            "silver_product": self.silver_product(),
             "silver_transaction": self.transactions(),
-            "dim_customer": self.dim_customer.read(),
-            "dim_product": self.dim_product.read(),
+            "dim_customer": self.dim_customer(),
+            "dim_product": self.dim_product(),
             "dim_date": self.calendar(),
             "fact_transaction": self.facts(),
         }
         for name, rows in views.items():
             rows.createOrReplaceTempView(name)
 
-    def expire(self, keep: int = KEEP_STATES) -> None:
-        """Drop the states of keyed tables older than the last ``keep`` batches."""
-        for table in (
-            self.silver_customer, self.silver_product, self.dim_customer, self.dim_product,
-            self.demographics,
-        ):
-            table.expire(keep)
+    def compact(self) -> None:
+        """Reduce what earlier batches wrote; readers see the same rows before and after."""
+        self.customer_changes.compact(_latest_customers)
+        self.product_changes.compact(_latest_products)
+        self.customer_days.compact(lambda rows: _last_of_day(rows, "customer_id"))
+        self.product_days.compact(lambda rows: _last_of_day(rows, "product_id"))
+        self.people.compact(self.people.newest)
+        self.activity.compact(lambda rows: current_pages(rows, "customer_id", "activity_log"))
+        self.purchases.compact(lambda rows: current_pages(rows, "phone_number", "transaction_log"))
+
+
+def _latest_customers(changes: DataFrame) -> DataFrame:
+    """The last record of each customer; placeholders come after every named record."""
+    named = F.coalesce(is_named(), F.lit(False))
+    return latest_per_key(changes, "customer_id", [named, *FEED_ORDER])
+
+
+def _latest_products(changes: DataFrame) -> DataFrame:
+    return latest_per_key(changes, "product_id", list(FEED_ORDER))
+
+
+def _last_of_day(changes: DataFrame, key: str) -> DataFrame:
+    return latest_per_key(changes, [key, "day"], list(FEED_ORDER))
+
+
+def current_pages(pages: DataFrame, key: str, log: str) -> DataFrame:
+    """Each page as the last batch that touched it has left it."""
+    return pages.groupBy(key, "page", "month").agg(F.max_by(log, "batch_id").alias(log))
 
 
 @contextmanager
