@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import array
 import re
-
-import numpy as np
+import string
 
 CACHE = 3 << 18  # words a worker remembers
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 # The byte-level splitter never joins what white space divides, save for one space before a word.
 _PIECE = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 _UNEVEN = re.compile(f"[ \\n][{_SPACE}]|\\n$")
+_MARKS = string.punctuation.replace("'", "")  # an apostrophe may begin a shortened word
 _LINE = "\n"
 
 
+def _as_bytes(ids: list[int]) -> bytes:
+    return array.array("I", ids).tobytes()
+
+
 def default_path() -> str:
     import public_tokenizers
 
@@ -35,9 +40,11 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.pieces = self.tokenizer.model.tokenize
         self.line = self._ids(_LINE)
         self.known: dict[str, bytes] = {}
         self.odd: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -48,32 +55,51 @@ class Encoder:
 
     def _ids(self, text: str) -> bytes:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-        return np.array(found, "<u4").tobytes()
-
-    def _learn(self, known: dict[str, bytes], pieces: dict[str, str]) -> None:
-        """Remember the ids of pieces, by key: many in one call, divided by line ends."""
-        one_id = len(self.line) == 4
-        plain = {
-            key: piece for key, piece in pieces.items()
-            if one_id and piece.strip() and piece == piece.rstrip() and _LINE not in piece
-            and not piece[1:2].isspace() and (piece[0] == " " or not piece[0].isspace())
-        }
-        keys = list(plain)
-        for at in range(0, len(keys), 4096):
-            part = keys[at : at + 4096]
-            ids = np.frombuffer(self._ids(_LINE.join(map(plain.__getitem__, part))), "<u4")
-            ends = np.flatnonzero(ids == np.frombuffer(self.line, "<u4")).tolist()
-            whole, start = ids.tobytes(), 0
-            for key, end in zip(part, [*ends, len(ids)], strict=True):
-                known[key] = whole[4 * start : 4 * end]
-                start = end + 1
-        for key in pieces.keys() - plain.keys():
-            known[key] = self._ids(pieces[key])
+        return _as_bytes(found)
+
+    def _word(self, text: str) -> bytes:
+        """The ids of letters with or without a space before them: one piece to the library."""
+        if text.isascii():
+            raw = _SHOWN[32] + text[1:] if text[0] == " " else text
+        else:
+            raw = text.encode().decode("latin-1").translate(_SHOWN)
+        return _as_bytes([token.id for token in self.pieces(raw)])
+
+    def _learn(self, part: str) -> bytes:
+        """The ids of what lies between two spaces, from the space, or line end, on.
+
+        The library takes letters apart from the punctuation that follows, so words are remembered
+        without it.
+        """
+        known = self.known
+        space, text = ("", part[1:]) if part[:1] == _LINE else (" ", part)
+        letters = text.rstrip(_MARKS)
+        if letters.isalpha():
+            key = letters if space else _LINE + letters
+            ids = known.get(key)
+            if ids is None:
+                ids = self._word(space + letters)
+                ids = known[key] = ids if space else self.line + ids
+            if len(letters) < len(text):
+                marks = text[len(letters) :]
+                ids = known[part] = ids + (self.marks.get(marks) or self._mark(marks))
+            return ids
+        ids = self._ids(space + text) if space + text else b""
+        ids = known[part] = ids if space else self.line + ids
+        return ids
+
+    def _mark(self, marks: str) -> bytes:
+        if len(self.marks) > CACHE // 8:
+            self.marks.clear()
+        ids = self.marks[marks] = self._ids(marks)
+        return ids
 
     def _piecewise(self, text: str) -> bytes:
         """Any text, piece by piece as the library divides it."""
         pieces, known = _PIECE.findall(text), self.odd
-        self._learn(known, {piece: piece for piece in pieces if piece not in known})
+        for piece in pieces:
+            if piece not in known:
+                known[piece] = self._ids(piece)
         found = b"".join(map(known.__getitem__, pieces))
         if len(known) > CACHE // 8:
             known.clear()
@@ -88,16 +114,23 @@ class Encoder:
         if _UNEVEN.search(text):
             return self._piecewise(text)
         first, *rest = text.replace(_LINE, " \n").split(" ")
-        known = self.known
-        try:
-            found = b"".join(map(known.__getitem__, rest))
-        except KeyError:
-            fresh = dict.fromkeys(x for x in rest if x not in known)
-            after = {x: x[1:] for x in fresh if x[:1] == _LINE}
-            self._learn(known, {x: f" {x}" for x in fresh if x not in after})
-            self._learn(known, after)
-            known |= {x: self.line + known[x] for x in after}
-            found = b"".join(map(known.__getitem__, rest))
-            if len(known) > CACHE:
-                known.clear()
-        return self._piecewise(first) + found if first else found
+        found = list(map(self.known.get, rest))
+        if None in found:
+            learn, known = self._learn, self.known.get
+            found = [known(x) or learn(x) for x in rest]
+            if len(self.known) > CACHE:
+                self.known.clear()
+        return (self._piecewise(first) if first else b"") + b"".join(found)
+
+
+def _shown() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary.
+
+    Visible Latin-1 characters stand for themselves, the other bytes for those from 256 on.
+    """
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [byte for byte in range(256) if byte not in own]
+    return {byte: chr(256 + at) for at, byte in enumerate(others)}
+
+
+_SHOWN = _shown()
