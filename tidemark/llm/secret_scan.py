@@ -44,13 +44,14 @@ class Model(NamedTuple):
     ratios: tuple[float, ...]
 
     def column(self, token: str) -> str:
-        """The ratio of a token, as SQL."""
+        """The ratio of a token, as SQL; its cost is in proportion to the token's length."""
         table = f"cast(split('{','.join(f'{x:.4f}' for x in self.ratios)}', ',') AS array<double>)"
-        pair = f"ascii(substring({token}, i, 1)) * {_ASCII} + ascii(substring({token}, i + 1, 1))"
-        return (
-            f"aggregate(sequence(1, length({token}) - 1), 0D,"
-            f" (sum, i) -> sum + element_at({table}, {pair} + 1))"
+        codes = f"transform(split({token}, ''), c -> ascii(c))"
+        pairs = (
+            f"zip_with({codes}, slice({codes}, 2, length({token})),"
+            f" (a, b) -> if(b IS NULL, 0D, element_at({table}, a * {_ASCII} + b + 1)))"
         )
+        return f"aggregate({pairs}, 0D, (sum, x) -> sum + x)"
 
 
 def _sql_text(pattern: str) -> str:
@@ -83,9 +84,10 @@ def base_spans(texts: DataFrame) -> DataFrame:
 def train(texts: DataFrame, training_rows: int = TRAINING_ROWS) -> Model | None:
     """Both models from a sample of documents, labelled by the fixed patterns.
 
-    The values that the patterns find are random strings, other identifiers ordinary ones. Documents
-    are sampled by a hash of the text, a share that gives about ``training_rows``. None without
-    strings of both labels.
+    The values that the patterns find are random strings. Ordinary are the runs of documents without
+    such values whose digits, if any, stand together, which those of random strings rarely do.
+    Documents are sampled by a hash of the text, a share that gives about ``training_rows``. None
+    without strings of both labels.
     """
     count = texts.count()
     limit = (1 << 20) if count <= training_rows else int(training_rows / count * (1 << 20))
@@ -99,11 +101,14 @@ def train(texts: DataFrame, training_rows: int = TRAINING_ROWS) -> Model | None:
         F.lit(0).alias("label"),
         F.explode(F.expr(f"regexp_extract_all(text, {_sql_text(IDENTIFIER)}, 0)")).alias("token"),
     )
+    plain = plain.where(F.col("token").rlike("^[^0-9]*[0-9]*[^0-9]*$"))
     pairs = random.union(plain).where("length(token) > 1").select(
         "label",
-        F.explode(F.expr("transform(sequence(1, length(token) - 1), i -> substring(token, i, 2))"))
-        .alias("pair"),
-    )
+        F.explode(F.expr(
+            "zip_with(split(token, ''), slice(split(token, ''), 2, length(token)),"
+            " (a, b) -> concat(a, b))"
+        )).alias("pair"),
+    ).where("pair IS NOT NULL")
     counts = {0: {}, 1: {}}
     for row in pairs.groupBy("label", "pair").agg(F.count("*").alias("n")).collect():
         counts[row.label][row.pair] = row.n
@@ -112,21 +117,23 @@ def train(texts: DataFrame, training_rows: int = TRAINING_ROWS) -> Model | None:
     return Model(tuple(_ratios(counts)))
 
 
-def _ratios(counts: dict[int, dict[str, int]], smoothing: float = 0.5) -> list[float]:
+def _ratios(counts: dict[int, dict[str, int]], weight: float = 5.0) -> list[float]:
+    """Log ratios of the conditional chances; rare first characters fall back to single ones."""
     letters = [chr(c) for c in range(_ASCII) if chr(c).isalnum() or chr(c) in "+/_-"]
-    totals = {
-        label: {a: sum(n for pair, n in own.items() if pair[0] == a) for a in letters}
-        for label, own in counts.items()
-    }
+    firsts, seconds = {}, {}
+    for label, own in counts.items():
+        firsts[label] = {a: sum(own.get(a + b, 0) for b in letters) for a in letters}
+        single = {b: sum(own.get(a + b, 0) for a in letters) + 0.5 for b in letters}
+        seconds[label] = {b: n / sum(single.values()) for b, n in single.items()}
     ratios = [0.0] * (_ASCII * _ASCII)
     for a in letters:
         for b in letters:
-            logs = [
-                math.log(counts[label].get(a + b, 0) + smoothing)
-                - math.log(totals[label][a] + smoothing * len(letters))
+            ordinary, random = (
+                math.log(counts[label].get(a + b, 0) + weight * seconds[label][b])
+                - math.log(firsts[label][a] + weight)
                 for label in (0, 1)
-            ]
-            ratios[ord(a) * _ASCII + ord(b)] = logs[1] - logs[0]
+            )
+            ratios[ord(a) * _ASCII + ord(b)] = random - ordinary
     return ratios
 
 
