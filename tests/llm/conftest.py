@@ -1,0 +1,26 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from tidemark.llm.store import importable_by_workers  # noqa: E402
+
+
+@pytest.fixture(scope="session", autouse=True)
+def workers(spark):
+    importable_by_workers(spark)
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    """A table of documents from ``(id, text)``, with columns that operators use themselves."""
+
+    def build(*rows):
+        return spark.createDataFrame(
+            [(i, text, "x", 1, "y", "z") for i, text in rows],
+            "doc_id long, text string, row string, n int, kind string, spans string",
+        )
+
+    return build
