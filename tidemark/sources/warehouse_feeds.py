@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +20,34 @@ TOPICS = {
 }
 
 
+Feed = Callable[[SparkSession, str], DataFrame]
+FEEDS: dict[str, Feed] = {}
+_WRITTEN: dict[tuple[str, str], str] = {}
+
+
+def feed(derive: Feed) -> Feed:
+    """A feed derived from tables, or read from where :func:`write_feeds` has put it."""
+
+    @wraps(derive)
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = _WRITTEN.get((derive.__name__, sf_dir))
+        return spark.read.parquet(path) if path else derive(spark, sf_dir)
+
+    FEEDS[derive.__name__] = read
+    return read
+
+
+def write_feeds(spark: SparkSession, sf_dir: str, folder: str, change=None) -> None:
+    """Write every feed below ``folder``, to be read from there from now on.
+
+    ``change`` may turn a feed of that name into another one before it is written.
+    """
+    for name, read in FEEDS.items():
+        records = read(spark, sf_dir)
+        (change(name, records) if change else records).write.parquet(f"{folder}/{name}")
+    _WRITTEN.update({(name, sf_dir): f"{folder}/{name}" for name in FEEDS})
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -43,6 +74,7 @@ def record(
     ]
 
 
+@feed
 def customer_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").join(
         table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
@@ -76,6 +108,7 @@ def customer_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current.union(deletes)
 
 
+@feed
 def product_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, price = F.col("p_partkey"), F.col("p_retailprice")
     after = F.struct(
@@ -97,6 +130,7 @@ def product_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current.union(deletes)
 
 
+@feed
 def transaction_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = (
         spread_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber")
@@ -135,6 +169,7 @@ def transaction_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@feed
 def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     after = F.struct(
         F.col("event_id"),
@@ -150,6 +185,7 @@ def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@feed
 def customer_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order as a change of its customer's record; some carry no usable name."""
     status = F.col("o_orderstatus")
@@ -170,6 +206,7 @@ def customer_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@feed
 def product_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every shipped line as a new price of its product."""
     sale = F.concat_ws(
