@@ -3,8 +3,11 @@
 A byte is eight binary decisions. For each decision and each context of up to ``DEPTH`` preceding
 bytes, a Krichevsky-Trofimov estimator counts zeros and ones, and the estimates of all depths are
 mixed by how well they have coded the training texts. Preceding bytes are seen through 32 classes
-(letters without case, digits, spaces, line ends, punctuation, other ASCII, the rest), which bounds
-the tree at 32^3 contexts whatever the corpus is. Counts cover every training text.
+(letters without case, digits, spaces, line ends, punctuation, other ASCII, the rest).
+
+Every training text is counted. The tree keeps its ``ROWS`` most frequent contexts, which bounds the
+model at 72 MB whatever the corpus is; what is counted in other contexts counts for the longest kept
+context that they end with, as one more branch of it, so no count is lost.
 """
 
 from __future__ import annotations
@@ -23,9 +26,10 @@ from pyspark.sql import functions as F
 from tidemark.llm import batches
 from tidemark.llm.store import materialize
 
-DEPTH = 3
+DEPTH = 5
 CLASSES = 32
-CONTEXTS = CLASSES**DEPTH
+ROWS = 1 << 16  # contexts of the tree
+PAIRS_HELD = 1 << 22  # distinct contexts with their bytes that a task counts before it passes them on
 COMMON_WORDS = 1 << 20  # words whose counts are sent to every task: 16 MB at every scale
 WORDS_HELD = 1 << 19  # distinct words a task counts before it passes them on
 
@@ -52,17 +56,23 @@ def _classes() -> np.ndarray:
 CLASS_OF = _classes()
 
 
-def coded(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """Context and value of every byte as one number: nearest class first, the byte last.
+def classes_before(data: np.ndarray, begins: np.ndarray) -> Iterator[np.ndarray]:
+    """The class of the byte before each byte, then of the one before that, and so on.
 
-    Before a text's first byte is a line end.
+    Before a text's first byte are line ends.
     """
     starts = begins[:-1][begins[:-1] < len(data)]
-    number = np.zeros(len(data), np.int32)
     before = CLASS_OF[data]
     for _ in range(DEPTH):
         before = np.concatenate([[_LINE_CLASS], before[:-1]]).astype(np.int32)
         before[starts] = _LINE_CLASS
+        yield before
+
+
+def coded(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Context and value of every byte as one number: nearest class first, the byte last."""
+    number = np.zeros(len(data), np.int64)
+    for before in classes_before(data, begins):
         number = number * CLASSES + before
     return number * 256 + data
 
@@ -90,32 +100,84 @@ def bit_counts(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return zeros, ones
 
 
+class Contexts(NamedTuple):
+    """Kept contexts by depth and code (nearest class first); the parents of all are among them."""
+
+    depth: np.ndarray
+    code: np.ndarray
+
+    @classmethod
+    def of(cls, depth: np.ndarray, code: np.ndarray) -> Contexts:
+        order = np.lexsort((code, depth))
+        return cls(np.asarray(depth, np.int64)[order], np.asarray(code, np.int64)[order])
+
+    def parents(self) -> np.ndarray:
+        """The row of each context's parent; the first row is the parent of none."""
+        base = np.int64(CLASSES) ** DEPTH
+        keys = self.depth * base + self.code
+        above = (self.depth - 1) * base + self.code // CLASSES
+        return np.minimum(np.searchsorted(keys, above), len(keys) - 1)
+
+    def children(self) -> np.ndarray:
+        """By row and class of one more byte: the row of that context, or -1."""
+        found = np.full(len(self.depth) * CLASSES, -1, np.int32)
+        rows = np.arange(1, len(self.depth))
+        found[self.parents()[1:] * CLASSES + self.code[1:] % CLASSES] = rows
+        return found
+
+
+def longest(children: np.ndarray, classes, size: int) -> np.ndarray:
+    """The row of the longest kept context of each position, from the classes before it."""
+    row = np.zeros(size, np.int32)
+    open_ = np.ones(size, bool)
+    for before in classes:
+        further = children[row * CLASSES + before]
+        open_ &= further >= 0
+        row = np.where(open_, further, row)
+    return row
+
+
 class Subtree(NamedTuple):
-    """A node's counts and weighted probability, and the mixed chance of a one below it."""
+    """The top node's counts and weighted probability, and the mixed chance of a one at each row."""
 
     zeros: np.ndarray
     ones: np.ndarray
     log_weighted: np.ndarray
-    chance: np.ndarray  # leaf contexts by nodes
+    chance: np.ndarray
+
 
+def weigh(contexts: Contexts, counts: np.ndarray) -> Subtree:
+    """Context-tree weighting below and at the first context, the ancestor of all others.
 
-def weigh(counts: np.ndarray) -> Subtree:
-    """Context-tree weighting from the leaves' byte counts up to one context above them all."""
-    zeros, ones = bit_counts(counts)
+    ``counts`` (contexts by bytes) are what was counted in a context but in no longer kept one. They
+    are one more branch of it, unless it has the full depth.
+    """
+    depth, top = contexts.depth, contexts.depth[0]
+    parents = contexts.parents()
+    rest_zeros, rest_ones = bit_counts(counts)
+    zeros, ones = rest_zeros.copy(), rest_ones.copy()
+    levels = [np.flatnonzero(depth == d) for d in range(DEPTH + 1)]
+    for level in levels[:top:-1]:
+        np.add.at(zeros, parents[level], zeros[level])
+        np.add.at(ones, parents[level], ones[level])
     weighted = log_estimate(zeros, ones)
-    chance = (ones + 0.5) / (zeros + ones + 1.0)
-    while len(zeros) > 1:
-        parents = len(zeros) // CLASSES
-        zeros = zeros.reshape(parents, CLASSES, _NODES).sum(1)
-        ones = ones.reshape(parents, CLASSES, _NODES).sum(1)
-        below = weighted.reshape(parents, CLASSES, _NODES).sum(1)
-        own = log_estimate(zeros, ones)
-        weighted = np.logaddexp(own, below) - math.log(2)
-        share = 1 / (1 + np.exp(np.clip(below - own, -700, 700)))
-        estimate = (ones + 0.5) / (zeros + ones + 1.0)
-        repeat = len(chance) // parents
-        share, estimate = np.repeat(share, repeat, 0), np.repeat(estimate, repeat, 0)
-        chance = share * estimate + (1 - share) * chance
+    below = log_estimate(rest_zeros, rest_ones)
+    estimate = (ones + 0.5) / (zeros + ones + 1.0)
+    share = np.ones(zeros.shape)
+    for d in range(DEPTH, top - 1, -1):
+        level = levels[d]
+        if d < DEPTH:
+            share[level] = 1 / (1 + np.exp(np.clip(below[level] - weighted[level], -700, 700)))
+            weighted[level] = np.logaddexp(weighted[level], below[level]) - math.log(2)
+        if d > top:
+            np.add.at(below, parents[level], weighted[level])
+    chance = (rest_ones + 0.5) / (rest_zeros + rest_ones + 1.0)
+    at = np.arange(len(depth))
+    for d in range(DEPTH, top - 1, -1):
+        rows = np.flatnonzero(depth >= d)
+        node = at[rows]
+        chance[rows] = share[node] * estimate[node] + (1 - share[node]) * chance[rows]
+        at[rows] = parents[node]
     return Subtree(zeros[0], ones[0], weighted[0], chance)
 
 
@@ -131,9 +193,9 @@ def log10_bytes(chance: np.ndarray) -> np.ndarray:
 
 def _count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of coded bytes (kind 0), of words (1) and of texts (2) of a task."""
-    contexts = np.zeros(CONTEXTS * 256, np.uint32)
+    pairs: list[tuple[np.ndarray, np.ndarray]] = []
     words: list[np.ndarray] = []
-    held = texts = 0
+    held = kept = texts = 0
 
     def found(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         return pa.record_batch([
@@ -147,73 +209,149 @@ def _count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first, last in batches.slices(begins):
             low = begins[first]
             part, own = raw[low : begins[last]], begins[first : last + 1] - low
-            np.add.at(contexts, coded(part, own), 1)
+            pairs.append(np.unique(coded(part, own), return_counts=True))
+            kept += len(pairs[-1][0])
+            if kept >= PAIRS_HELD:
+                pairs = [_summed(pairs)]
+                kept = len(pairs[0][0])
+                if kept >= PAIRS_HELD // 2:
+                    yield found(0, *pairs.pop())
+                    kept = 0
             words.append(batches.hash_words(part, own, batches.WORD_OF_SPACES)[2])
             held += len(words[-1])
             if held >= 8 * WORDS_HELD:
                 yield found(1, *_distinct(words))
                 words, held = [], 0
     yield found(1, *_distinct(words))
-    seen = np.flatnonzero(contexts)
-    yield found(0, seen, contexts[seen])
+    yield found(0, *_summed(pairs))
     yield found(2, np.zeros(1), np.array([texts]))
 
 
+def _summed(pairs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of equal keys added up."""
+    none = np.zeros(0, np.int64)
+    keys, place = np.unique(np.concatenate([none, *(k for k, _ in pairs)]), return_inverse=True)
+    counts = np.concatenate([none, *(n for _, n in pairs)])
+    return keys, np.bincount(place, counts, len(keys)).astype(np.int64)
+
+
 def _distinct(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     keys, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *words]), return_counts=True)
     return keys.view(np.int64), n
 
 
-def _weigh_class(rows: pd.DataFrame) -> pd.DataFrame:
-    """The subtree of one class of the nearest byte."""
-    nearest = int(rows["nearest"].iloc[0])
-    counts = np.zeros(CONTEXTS // CLASSES * 256, np.int64)
-    counts[rows["key"].to_numpy() - nearest * len(counts)] = rows["n"].to_numpy()
-    tree = weigh(counts.reshape(-1, 256))
-    parts = (tree.zeros, tree.ones, tree.log_weighted, tree.chance.astype(np.float32))
-    return pd.DataFrame([[nearest, *(x.tobytes() for x in parts)]], columns=[
-        "nearest", "zeros", "ones", "log_weighted", "chance"])
+def _branch(children: np.ndarray, nearest: np.ndarray):
+    def branch(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each counted context as the row of the longest kept context it ends with."""
+        for batch in found:
+            keys = batch.column(0).to_numpy()
+            classes = ((keys >> (8 + 5 * (DEPTH - d))) & 31 for d in range(1, DEPTH + 1))
+            rows = longest(children, classes, len(keys))
+            yield pa.record_batch([
+                pa.array(nearest[rows]), pa.array(rows), pa.array((keys & 255).astype(np.int32)),
+                batch.column(1),
+            ], ["nearest", "row", "byte", "n"])
+
+    return branch
+
+
+def _weigh_class(contexts: Contexts):
+    def weigh_class(rows: pd.DataFrame) -> pd.DataFrame:
+        """The subtree of one class of the nearest byte; of the root only its own branch."""
+        nearest = int(rows["nearest"].iloc[0])
+        own = np.flatnonzero(_nearest(contexts) == nearest)
+        counts = np.zeros((len(own), 256), np.int64)
+        counts[np.searchsorted(own, rows["row"].to_numpy()), rows["byte"].to_numpy()] = rows["n"]
+        if nearest == CLASSES:
+            zeros, ones = bit_counts(counts)
+            chance = (ones + 0.5) / (zeros + ones + 1.0)
+            tree = Subtree(zeros[0], ones[0], log_estimate(zeros, ones)[0], chance)
+        else:
+            tree = weigh(Contexts(contexts.depth[own], contexts.code[own]), counts)
+        parts = (tree.zeros, tree.ones, tree.log_weighted, tree.chance.astype(np.float32))
+        return pd.DataFrame([[nearest, *(x.tobytes() for x in parts)]], columns=[
+            "nearest", "zeros", "ones", "log_weighted", "chance"])
+
+    return weigh_class
+
+
+def _nearest(contexts: Contexts) -> np.ndarray:
+    """The class of the nearest byte of each context; ``CLASSES`` for the root."""
+    shift = np.int64(CLASSES) ** np.maximum(contexts.depth - 1, 0)
+    return np.where(contexts.depth > 0, contexts.code // shift, CLASSES)
 
 
 class Model(NamedTuple):
-    """Log10 probability of a byte by its coded number, word counts and their totals."""
+    """Kept contexts, log10 probability of each byte after each, word counts and their totals."""
 
+    children: np.ndarray
     table: np.ndarray
     common: np.ndarray  # hashes of common words, sorted
     log_counts: np.ndarray  # log10(count + 0.1) of each
-    words: DataFrame  # key, n of all words
+    words: DataFrame  # key, n of all other words
     tokens: int  # N
     distinct: int  # V
     texts: int  # training texts: the count of the end token
-    rarest_common: int
 
 
-def _table(counts: DataFrame) -> np.ndarray:
-    """The mixed probabilities of all contexts; the subtrees are weighed apart, the root here."""
-    of_class = counts.where("kind = 0").withColumn(
-        "nearest", F.expr(f"cast(key div {CONTEXTS // CLASSES * 256} AS int)")
+def _at_most(counted: DataFrame, limit: int) -> DataFrame:
+    """The rows with the greatest ``n``, at most so many: all above one of the steps of a scale."""
+    step = "cast(floor(log2(n) * 16) AS int)"
+    steps = counted.groupBy(F.expr(step).alias("step")).agg(F.count("*").alias("rows")).collect()
+    least = None
+    for row in sorted(steps, key=lambda r: -r.step):
+        limit -= row.rows
+        if limit < 0:
+            break
+        least = row.step
+    return counted.where("false" if least is None else f"{step} >= {least}")
+
+
+def _contexts(pairs: DataFrame, rows: int) -> Contexts:
+    """The most frequent contexts of all depths. A context is as frequent as any that end with it."""
+    whole = pairs.groupBy(F.expr("key div 256").alias("code")).agg(F.sum("n").alias("n"))
+    depths = F.expr(
+        f"transform(sequence(1, {DEPTH}), d -> struct(d AS depth,"
+        f" shiftright(code, 5 * ({DEPTH} - d)) AS code))"
     )
-    trees = of_class.groupBy("nearest").applyInPandas(
-        _weigh_class,
-        "nearest int, zeros binary, ones binary, log_weighted binary, chance binary",
+    each = whole.select(F.explode(depths).alias("c"), "n").select("c.depth", "c.code", "n")
+    counted = materialize(each.groupBy("depth", "code").agg(F.sum("n").alias("n")), "contexts")
+    kept = _at_most(counted, rows - 1).select("depth", "code").toPandas()
+    return Contexts.of(np.append(kept["depth"], 0), np.append(kept["code"], 0))
+
+
+def _tree(counts: DataFrame, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Children and probabilities of all kept contexts; subtrees are weighed apart, the root here."""
+    pairs = counts.where("kind = 0").select("key", "n")
+    contexts = _contexts(pairs, rows)
+    children, nearest = contexts.children(), _nearest(contexts)
+    branches = pairs.mapInArrow(
+        _branch(children, nearest), "nearest long, row int, byte int, n long"
+    )
+    trees = branches.groupBy("nearest", "row", "byte").agg(F.sum("n").alias("n")).groupBy(
+        "nearest"
+    ).applyInPandas(
+        _weigh_class(contexts),
+        "nearest long, zeros binary, ones binary, log_weighted binary, chance binary",
     )
     zeros, ones, below = np.zeros(_NODES), np.zeros(_NODES), np.zeros(_NODES)
-    chances = np.full((CLASSES, CONTEXTS // CLASSES, _NODES), 0.5, np.float32)
-    for row in trees.toLocalIterator():
+    chance = np.full((len(nearest), _NODES), 0.5, np.float32)
+    for row in trees.collect():  # a row per class, 64 MB together
         zeros += np.frombuffer(row.zeros)
         ones += np.frombuffer(row.ones)
         below += np.frombuffer(row.log_weighted)
-        chances[row.nearest] = np.frombuffer(row.chance, np.float32).reshape(-1, _NODES)
+        chance[nearest == row.nearest] = np.frombuffer(row.chance, np.float32).reshape(-1, _NODES)
     own = log_estimate(zeros, ones)
     share = 1 / (1 + np.exp(np.clip(below - own, -700, 700)))
     estimate = (ones + 0.5) / (zeros + ones + 1.0)
-    table = np.empty((CLASSES, CONTEXTS // CLASSES, 256), np.float32)
-    for nearest in range(CLASSES):
-        table[nearest] = log10_bytes(share * estimate + (1 - share) * chances[nearest])
-    return table.reshape(-1)
+    table = np.empty((len(nearest), 256), np.float32)
+    for at in range(0, len(table), 4096):
+        part = chance[at : at + 4096]
+        table[at : at + 4096] = log10_bytes(share * estimate + (1 - share) * part)
+    return children, table.reshape(-1)
 
 
-def train(texts: DataFrame, common_words: int = COMMON_WORDS) -> Model:
+def train(texts: DataFrame, common_words: int = COMMON_WORDS, rows: int = ROWS) -> Model:
     """Count all ``texts`` (column ``text``) and weigh the tree.
 
     Without texts every byte has the probability of eight fair coins.
@@ -226,31 +364,23 @@ def train(texts: DataFrame, common_words: int = COMMON_WORDS) -> Model:
     n_texts = totals[2].n if 2 in totals else 0
     n_words, distinct = (totals[1].n, totals[1].rows) if 1 in totals else (0, 0)
 
-    step = "cast(floor(log2(n) * 16) AS int)"
-    steps = words.groupBy(F.expr(step).alias("step")).agg(F.count("*").alias("rows")).collect()
-    room, least = common_words, None
-    for row in sorted(steps, key=lambda r: -r.step):
-        room -= row.rows
-        if room < 0:
-            break
-        least = row.step
-    common = words.where(f"{step} >= {least}" if least is not None else "false").toPandas()
+    common = _at_most(words, common_words).toPandas()
     order = np.argsort(common["key"].to_numpy().view(np.uint64))
+    least = int(common["n"].min()) if len(common) else None
     return Model(
-        _table(counts),
+        *_tree(counts, rows),
         common["key"].to_numpy().view(np.uint64)[order],
         np.log10(common["n"].to_numpy()[order] + 0.1),
-        words,
+        words if least is None else words.where(F.col("n") < least),
         int(n_words + n_texts),
         int(distinct + (1 if n_texts else 0)),
         int(n_texts),
-        least if least is not None else 1 << 30,
     )
 
 
 def _score(shared, end_count: int):
     def score(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, common, log_counts = shared.value
+        children, table, common, log_counts = shared.value
         row = TaskContext.get().partitionId() << 40
         for batch in rows:
             parts = []
@@ -258,7 +388,9 @@ def _score(shared, end_count: int):
             for first, last in batches.slices(begins):
                 low = begins[first]
                 part, own = raw[low : begins[last]], begins[first : last + 1] - low
-                parts.append(_score_slice(part, own, table, common, log_counts, end_count))
+                parts.append(_score_slice(
+                    part, own, children, table, common, log_counts, end_count
+                ))
             if not parts:
                 continue
             columns = [pa.concat_arrays(x) for x in zip(*parts, strict=True)]
@@ -272,7 +404,7 @@ def _score(shared, end_count: int):
     return score
 
 
-def _score_slice(part, begins, table, common, log_counts, end_count: int) -> list[pa.Array]:
+def _score_slice(part, begins, children, table, common, log_counts, end_count: int) -> list[pa.Array]:
     def per_text(values: np.ndarray, at: np.ndarray) -> np.ndarray:
         summed = np.concatenate([[0], np.cumsum(values, dtype=np.float64)])
         return summed[at[1:]] - summed[at[:-1]]
@@ -290,13 +422,14 @@ def _score_slice(part, begins, table, common, log_counts, end_count: int) -> lis
         rare.append(keys)
         often.append(n)
         ends.append(ends[-1] + len(keys))
+    rows = longest(children, classes_before(part, begins), len(part))
     offsets = pa.array(ends, pa.int32())
     none = np.zeros(0, np.uint64)
     return [
         pa.array(np.diff(at) + 1),
         pa.array(per_text(known, at).astype(np.int64) + (1 if end_count else 0)),
         pa.array(per_text(logs, at) + math.log10(end_count + 0.1)),
-        pa.array(per_text(table[coded(part, begins)], begins)),
+        pa.array(per_text(table[rows.astype(np.int64) * 256 + part], begins)),
         pa.array(np.diff(begins)),
         pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([none, *rare]).view(np.int64))),
         pa.ListArray.from_arrays(
@@ -311,6 +444,7 @@ def score_texts(
     text_column: str = "text",
     folds: int = 10,
     common_words: int = COMMON_WORDS,
+    rows: int = ROWS,
 ) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte``.
 
@@ -324,16 +458,17 @@ def score_texts(
     ignored. Words are told apart by 64-bit hashes.
     """
     texts = batches.id_and_text(df, id_column, text_column)
-    model = train(texts.where(batches.fold("doc_id", folds) != 0), common_words)
-    shared = df.sparkSession.sparkContext.broadcast((model.table, model.common, model.log_counts))
+    model = train(texts.where(batches.fold("doc_id", folds) != 0), common_words, rows)
+    shared = df.sparkSession.sparkContext.broadcast(
+        (model.children, model.table, model.common, model.log_counts)
+    )
     scored = materialize(texts.mapInArrow(_score(shared, model.texts), _SCORED), "scored")
 
     # Counts of common words are in the score already; the others meet their counts by a join.
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "often")).alias("w")).select(
         "row", F.col("w.rare").alias("key"), F.col("w.often").alias("often")
     )
-    others = model.words.where(f"cast(floor(log2(n) * 16) AS int) < {model.rarest_common}")
-    met = rare.join(others, "key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    met = rare.join(model.words, "key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     added = met.groupBy("row").agg(
         F.sum(F.col("often") * F.log10(F.col("n") + 0.1)).alias("more_logs"),
         F.sum(F.when(F.col("n") > 0, F.col("often")).otherwise(0)).alias("more_known"),
