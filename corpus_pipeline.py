@@ -12,14 +12,14 @@ from tidemark.llm import (
     secret_scan,
     vocabulary,
 )
-from tidemark.llm.store import importable_by_workers, materialize
+from tidemark.llm.store import prepare_workers, materialize
 
 ORACLE_SQL = None  # trained models and set similarity: tested against brute force instead
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ensemble does not reject."""
-    importable_by_workers(spark)
+    prepare_workers(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = rule_ensemble.train(docs, labels)
     return rule_ensemble.keep_predicted(docs, model)
@@ -27,13 +27,13 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents, the one with the least id."""
-    importable_by_workers(spark)
+    prepare_workers(spark)
     return ngram_join.keep_first(docs)
 
 
 def keep_decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    importable_by_workers(spark)
+    prepare_workers(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.keep_clean(docs, benchmark)
 
@@ -45,7 +45,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, placed in sequences of 1024 tokens."""
-    importable_by_workers(spark)
+    prepare_workers(spark)
     return packing.pack_documents(docs, vocabulary.default_path())
 
 

@@ -5,12 +5,12 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tidemark.llm.store import importable_by_workers  # noqa: E402
+from tidemark.llm.store import prepare_workers  # noqa: E402
 
 
 @pytest.fixture(scope="session", autouse=True)
 def workers(spark):
-    importable_by_workers(spark)
+    prepare_workers(spark)
 
 
 @pytest.fixture(scope="session")

@@ -261,37 +261,52 @@ def benchmark_passages(
     of a window's words each.
     """
     texts = batches.id_and_text(documents, id_column, text_column)
-    items = benchmark.select(
-        F.coalesce(F.col(f"`{item_column}`").cast("string"), F.lit("null")).alias("item"),
-        F.col(f"`{item_text_column}`").cast("string").alias("text"),
-    )
-    return _passages(texts, items, width, shingle, block_bytes).drop("text")
-
-
-def _passages(
-    texts: DataFrame, items: DataFrame, width: int, shingle: int, block_bytes: int
-) -> DataFrame:
-    """The columns of ``texts``, which are any one and ``text``, with words, spans and items."""
     found = texts.select(
         "*", F.lit(0).cast("long").alias("n_words"),
         F.expr(f"cast(array() AS {_SPANS})").alias("spans"),
         F.expr("cast(array() AS array<string>)").alias("items"),
     )
-    items = items.where("text IS NOT NULL")
+    items = _items(benchmark, item_column, item_text_column)
+    for shared in _blocks(texts, items, width, shingle, block_bytes):
+        found = found.mapInArrow(_scan(shared), found.schema)
+    return found.drop("text")
+
+
+def _items(benchmark: DataFrame, item_column: str, text_column: str) -> DataFrame:
+    return benchmark.select(
+        F.coalesce(F.col(f"`{item_column}`").cast("string"), F.lit("null")).alias("item"),
+        F.col(f"`{text_column}`").cast("string").alias("text"),
+    ).where("text IS NOT NULL")
+
+
+def _blocks(texts: DataFrame, items: DataFrame, width: int, shingle: int, block_bytes: int):
+    """Each block of the benchmark with its keys, sent to all tasks."""
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     for number in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == number)
         block = _block([tuple(row) for row in own.collect()], width, shingle)
         keys = _rarest(texts, block) if len(block.lengths) else {}
-        shared = texts.sparkSession.sparkContext.broadcast((block, keys))
-        found = found.mapInArrow(_scan(shared), found.schema)
-    return found
+        yield texts.sparkSession.sparkContext.broadcast((block, keys))
+
+
+def _clean(shared, place: int):
+    def clean(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, keys = shared.value
+        for batch in rows:
+            kept, done = np.ones(batch.num_rows, bool), 0
+            for words, at in _words(batch.column(place)):
+                kept[done + _occurrences(words, at, block, keys)[2]] = False
+                done += len(at) - 1
+            yield batch.filter(pa.array(kept))
+
+    return clean
 
 
 def keep_clean(
     documents: DataFrame,
     benchmark: DataFrame,
+    id_column: str = "doc_id",
     text_column: str = "text",
     item_column: str = "item_id",
     item_text_column: str = "text",
@@ -299,16 +314,13 @@ def keep_clean(
     shingle: int = 3,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """The rows of ``documents`` without any passage of the benchmark, whole and in one pass."""
-    texts = documents.select(
-        F.struct("*").alias("row"), F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text")
-    )
-    items = benchmark.select(
-        F.coalesce(F.col(f"`{item_column}`").cast("string"), F.lit("null")).alias("item"),
-        F.col(f"`{item_text_column}`").cast("string").alias("text"),
-    )
-    clean = _passages(texts, items, width, shingle, block_bytes).where("size(spans) = 0")
-    return clean.select(*[F.col("row").getField(name).alias(name) for name in documents.columns])
+    """The rows of ``documents`` without any passage of the benchmark, whole, a pass per block."""
+    texts = batches.id_and_text(documents, id_column, text_column)
+    items = _items(benchmark, item_column, item_text_column)
+    place = documents.columns.index(text_column)
+    for shared in _blocks(texts, items, width, shingle, block_bytes):
+        documents = documents.mapInArrow(_clean(shared, place), documents.schema)
+    return documents
 
 
 def contamination(found: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from tidemark.llm import (
     warc,
 )
 from tidemark.llm.oracles import ORACLES  # noqa: F401
-from tidemark.llm.store import importable_by_workers
+from tidemark.llm.store import prepare_workers
 from tidemark.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,7 +34,7 @@ def query(name: str) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
         @wraps(build)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            importable_by_workers(spark)
+            prepare_workers(spark)
             return build(spark, sf_dir.rstrip("/"))
 
         REGISTRY[name] = run

@@ -66,9 +66,15 @@ class Ensemble(NamedTuple):
 
 
 def _statistics(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first column and the statistics of the text, which is the second column.
+
+    Without a second column the text is the last field of the first one.
+    """
     for batch in rows:
         found = []
-        raw, begins = batches.text_bytes(batch.column(1))
+        first = batch.column(0)
+        texts = batch.column(1) if batch.num_columns > 1 else first.field(first.type.num_fields - 1)
+        raw, begins = batches.text_bytes(texts)
         for first, last in batches.slices(begins):
             low = begins[first]
             part = raw[low : begins[last]]
@@ -115,7 +121,7 @@ def _of_text(text: np.ndarray, words: np.ndarray, lengths: np.ndarray) -> list[f
 def text_statistics(texts: DataFrame) -> DataFrame:
     """The first column as it is, and the ``statistics`` of the text in the second one.
 
-    An empty text has zeros.
+    Without a second column the text is the last field of the first one. An empty text has zeros.
     """
     statistics = T.StructType([T.StructField(name, T.DoubleType()) for name in STATISTICS])
     schema = T.StructType([texts.schema[0], T.StructField("statistics", statistics)])
@@ -218,8 +224,7 @@ def keep_predicted(
     documents: DataFrame, model: Ensemble, text_column: str = "text", threshold: float = 0.3
 ) -> DataFrame:
     """The rows of ``documents`` with a score of ``threshold`` or more, whole and in one pass."""
-    texts = documents.select(
-        F.struct("*").alias("row"), F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text")
-    )
-    kept = text_statistics(texts).where(model.score("statistics") >= threshold)
+    others = [name for name in documents.columns if name != text_column]
+    rows = documents.select(F.struct(*[F.col(f"`{n}`") for n in (*others, text_column)]).alias("row"))
+    kept = text_statistics(rows).where(model.score("statistics") >= threshold)
     return kept.select(*[F.col("row").getField(name).alias(name) for name in documents.columns])

@@ -59,8 +59,17 @@ def open_file(folder: str, name: str):
     return system.open_input_file(f"{path}/{name}")
 
 
-def importable_by_workers(spark: SparkSession) -> None:
-    """Let Python workers find this package where it is not installed but run from its folder."""
+# Rows that a Python worker gets at once. Documents are long, and a worker holds what it gets, what
+# it makes of it and what it sends back.
+ROWS_AT_ONCE = 1000
+
+
+def prepare_workers(spark: SparkSession) -> None:
+    """Let Python workers find this package where it is not installed but run from its folder.
+
+    Also bounds what they get at once.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_ONCE)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
