@@ -36,6 +36,15 @@ def fold(id_column: str, parts: int):
     return F.crc32(text.cast("binary")) % parts
 
 
+def sample_of(df: DataFrame, rows: int) -> DataFrame:
+    """All of a table with at most so many rows, else about so many, each row by its own chance.
+
+    Copies are drawn one by one, so a busy text or key cannot fill the sample.
+    """
+    count = df.count()
+    return df if count <= rows else df.where(F.rand(17) < rows / count)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a text column, and where each text begins and the last one ends."""
     if column.null_count:

@@ -59,13 +59,11 @@ class Measured(NamedTuple):
 
 
 def measure(texts: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> list[Measured]:
-    """Cost and selectivity of each rule on a sample of documents chosen by a hash of the text.
+    """Cost and selectivity of each rule on a sample of about ``sample_rows`` documents.
 
     The cost is the time of a pass over the cached sample beyond that of a pass without a rule.
     """
-    count = texts.count()
-    limit = (1 << 20) if count <= sample_rows else int(sample_rows / count * (1 << 20))
-    sample = texts.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < limit).select("text").cache()
+    sample = batches.sample_of(texts.select("text"), sample_rows).cache()
     rows = max(sample.count(), 1)
 
     def timed(condition: str) -> tuple[float, int]:

@@ -86,13 +86,10 @@ def train(texts: DataFrame, training_rows: int = TRAINING_ROWS) -> Model | None:
 
     The values that the patterns find are random strings. Ordinary are the runs of documents without
     such values whose digits, if any, stand together, which those of random strings rarely do.
-    Documents are sampled by a hash of the text, a share that gives about ``training_rows``. None
-    without strings of both labels.
+    The sample has about ``training_rows`` documents. None without strings of both labels.
     """
-    count = texts.count()
-    limit = (1 << 20) if count <= training_rows else int(training_rows / count * (1 << 20))
-    sample = base_spans(texts.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < limit))
-    sample = materialize(sample.select("text", "base"), "samples")
+    sample = base_spans(batches.sample_of(texts.select("text"), training_rows))
+    sample = materialize(sample, "samples")
     value = "regexp_extract(substring(text, s.begin + 1, s.end - s.begin), '([A-Za-z0-9+/_-]+)$', 1)"
     random = sample.select(
         F.lit(1).alias("label"), F.explode(F.expr(f"transform(base, s -> {value})")).alias("token")

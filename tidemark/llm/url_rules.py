@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.batches import sample_of
 from tidemark.llm.store import materialize
 
 SAMPLES = 64  # pages looked at per range to choose where ranges begin
@@ -49,10 +50,8 @@ def host_key(host: Column) -> Column:
 
 def _bounds(pages: DataFrame, parts: int) -> list[tuple[str, int]]:
     """Where ranges of pages begin: quantiles of a sample, so a busy host has several ranges."""
-    count = pages.count()
-    limit = (1 << 20) if count <= parts * SAMPLES else int(parts * SAMPLES / count * (1 << 20))
-    sample = pages.where(F.pmod(F.xxhash64("salt"), F.lit(1 << 20)) < limit)
-    keys = sorted((row.key, row.salt) for row in sample.select("key", "salt").collect())
+    sample = sample_of(pages.select("key", "salt"), parts * SAMPLES)
+    keys = sorted((row.key, row.salt) for row in sample.collect())
     return sorted({keys[len(keys) * i // parts] for i in range(1, parts)}) if keys else []
 
 
