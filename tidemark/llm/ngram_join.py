@@ -210,11 +210,11 @@ def _shared_tokens(groups: DataFrame, members: DataFrame) -> DataFrame:
     tokens = groups.mapInArrow(
         _prefix_tokens, "token long, gid long, n long, pos int, members long"
     )
-    shared = tokens.selectExpr(
+    shared = materialize(tokens.selectExpr(
         "*",
         "sum(members) OVER (PARTITION BY token) classes",
         "min(struct(gid, n, pos)) OVER (PARTITION BY token) hub",
-    ).where("classes > 1")
+    ).where("classes > 1"), "shared")
     several = members.join(groups.where("members > 1").select("gid"), "gid", "left_semi")
     single = shared.where("members = 1").withColumn("rep", F.col("gid"))
     expanded = shared.where("members > 1").join(several, "gid")
@@ -261,7 +261,7 @@ def near_duplicates(
     grouped = materialize(grouped, "groups")
     sizes = grouped.groupBy("gid").agg(F.count("*").alias("members"))
     groups = grouped.where("gid = rep").join(sizes, "gid").select("gid", "n", "members", "prefix")
-    shared = materialize(_shared_tokens(groups, grouped.select("gid", "rep")), "shared")
+    shared = _shared_tokens(groups, grouped.select("gid", "rep"))
 
     # Of two classes, consider the one whose prefix ends first in the order: tokens of that prefix
     # which no other prefix has are not in the other class. Hence an overlap is at most its reach.
