@@ -6,7 +6,7 @@ mixed by how well they have coded the training texts. Preceding bytes are seen t
 (letters without case, digits, spaces, line ends, punctuation, other ASCII, the rest).
 
 Every training text is counted. The tree keeps its ``ROWS`` most frequent contexts, which bounds the
-model at 72 MB whatever the corpus is; what is counted in other contexts counts for the longest kept
+model at 36 MB whatever the corpus is; what is counted in other contexts counts for the longest kept
 context that they end with, as one more branch of it, so no count is lost.
 """
 
@@ -28,9 +28,9 @@ from tidemark.llm.store import materialize
 
 DEPTH = 5
 CLASSES = 32
-ROWS = 1 << 16  # contexts of the tree
+ROWS = 1 << 15  # contexts of the tree
 PAIRS_HELD = 1 << 22  # distinct contexts with their bytes that a task counts before it passes them on
-COMMON_WORDS = 1 << 20  # words whose counts are sent to every task: 16 MB at every scale
+COMMON_WORDS = 1 << 19  # words whose counts are sent to every task: 8 MB at every scale
 WORDS_HELD = 1 << 19  # distinct words a task counts before it passes them on
 
 _LINE_CLASS = 28
@@ -316,8 +316,8 @@ def _contexts(pairs: DataFrame, rows: int) -> Contexts:
     )
     each = whole.select(F.explode(depths).alias("c"), "n").select("c.depth", "c.code", "n")
     counted = materialize(each.groupBy("depth", "code").agg(F.sum("n").alias("n")), "contexts")
-    kept = _at_most(counted, rows - 1).select("depth", "code").toPandas()
-    return Contexts.of(np.append(kept["depth"], 0), np.append(kept["code"], 0))
+    kept = _at_most(counted, rows - 1).select("depth", "code").toArrow()
+    return Contexts.of(*(np.append(column.to_numpy(), 0) for column in kept.columns))
 
 
 def _tree(counts: DataFrame, rows: int) -> tuple[np.ndarray, np.ndarray]:
@@ -336,7 +336,7 @@ def _tree(counts: DataFrame, rows: int) -> tuple[np.ndarray, np.ndarray]:
     )
     zeros, ones, below = np.zeros(_NODES), np.zeros(_NODES), np.zeros(_NODES)
     chance = np.full((len(nearest), _NODES), 0.5, np.float32)
-    for row in trees.collect():  # a row per class, 64 MB together
+    for row in trees.collect():  # a row per class, 32 MB together
         zeros += np.frombuffer(row.zeros)
         ones += np.frombuffer(row.ones)
         below += np.frombuffer(row.log_weighted)
@@ -344,11 +344,10 @@ def _tree(counts: DataFrame, rows: int) -> tuple[np.ndarray, np.ndarray]:
     own = log_estimate(zeros, ones)
     share = 1 / (1 + np.exp(np.clip(below - own, -700, 700)))
     estimate = (ones + 0.5) / (zeros + ones + 1.0)
-    table = np.empty((len(nearest), 256), np.float32)
-    for at in range(0, len(table), 4096):
-        part = chance[at : at + 4096]
-        table[at : at + 4096] = log10_bytes(share * estimate + (1 - share) * part)
-    return children, table.reshape(-1)
+    for at in range(0, len(chance), 2048):  # in place: a byte has as many nodes as values
+        part = chance[at : at + 2048]
+        part[:] = log10_bytes(share * estimate + (1 - share) * part)
+    return children, chance.reshape(-1)
 
 
 def train(texts: DataFrame, common_words: int = COMMON_WORDS, rows: int = ROWS) -> Model:
@@ -364,13 +363,16 @@ def train(texts: DataFrame, common_words: int = COMMON_WORDS, rows: int = ROWS)
     n_texts = totals[2].n if 2 in totals else 0
     n_words, distinct = (totals[1].n, totals[1].rows) if 1 in totals else (0, 0)
 
-    common = _at_most(words, common_words).toPandas()
-    order = np.argsort(common["key"].to_numpy().view(np.uint64))
-    least = int(common["n"].min()) if len(common) else None
+    children, table = _tree(counts, rows)
+    common = _at_most(words, common_words).toArrow()
+    keys, often = (column.to_numpy() for column in common.columns)
+    order = np.argsort(keys.view(np.uint64))
+    least = int(often.min()) if len(often) else None
     return Model(
-        *_tree(counts, rows),
-        common["key"].to_numpy().view(np.uint64)[order],
-        np.log10(common["n"].to_numpy()[order] + 0.1),
+        children,
+        table,
+        keys.view(np.uint64)[order],
+        np.log10(often[order] + 0.1),
         words if least is None else words.where(F.col("n") < least),
         int(n_words + n_texts),
         int(distinct + (1 if n_texts else 0)),
