@@ -67,9 +67,7 @@ def _count_shingles(width: int):
                     np.add.at(inside, at[1:][lengths >= width] - width + 1, -1)
                     whole = np.cumsum(inside)[: len(words) - width + 1] > 0
                     found = batches.hash_windows(words, width)[whole] >> shift
-                    counts += np.bincount(found.astype(np.int64), minlength=len(counts)).astype(
-                        np.uint32
-                    )
+                    np.add.at(counts, found.astype(np.int64), 1)
         chunks = counts.reshape(-1, CHUNK)
         yield pa.record_batch([
             pa.array(range(len(chunks)), pa.int32()),

@@ -6,7 +6,7 @@ import array
 import re
 import string
 
-CACHE = 3 << 18  # words a worker remembers
+CACHE = 1 << 19  # words a worker remembers
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 # The byte-level splitter never joins what white space divides, save for one space before a word.
 _PIECE = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
