@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from cases import workers  # noqa: F401
 from oracle_check import TESTDATA, normalized, oracle_rows
 
 import __spark_entry__ as entry_point

@@ -11,7 +11,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import zstandard
-from cases import ODD
+from cases import ODD, documents, workers  # noqa: F401
 
 from tidemark.llm import context_tree, url_rules, warc
 from tidemark.llm.store import open_file

@@ -4,7 +4,7 @@ import random
 from collections import Counter
 
 import pytest
-from cases import ODD
+from cases import ODD, documents, workers  # noqa: F401
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components

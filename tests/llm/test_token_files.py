@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from cases import ODD
+from cases import ODD, documents, workers  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
