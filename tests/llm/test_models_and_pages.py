@@ -169,6 +169,56 @@ def test_without_training_texts(documents):
     assert scores(documents()) == {}
 
 
+
+@pytest.mark.parametrize("chunk_bytes", [1 << 22, 700])
+def test_every_counted_context_is_in_the_model(documents, chunk_bytes):
+    """Scores by all of 60,000 contexts equal the recursion over the whole tree."""
+    rng = random.Random(5)
+    rows = [(i, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz \n.é") for _ in range(250)))
+            for i in range(150)]
+    rows += [(1000 + i, rows[i][1]) for i in range(20)]
+    held = lambda key: zlib.crc32(str(key).encode()) % 10 == 0
+
+    def bits(text):
+        raw = text.encode()
+        before = [context_tree._LINE_CLASS] * 5 + [int(context_tree.CLASS_OF[c]) for c in raw]
+        for at, byte in enumerate(raw):
+            path = tuple(before[at : at + 5][::-1])
+            for bit in range(8):
+                yield path, (1 << bit) | (byte >> (8 - bit)), byte >> (7 - bit) & 1
+
+    counts, children = {}, {}
+    for key, text in rows:
+        for path, node, bit in bits(text) if not held(key) else ():
+            for depth in range(6):
+                counts.setdefault((path[:depth], node), [0, 0])[bit] += 1
+                if depth:
+                    children.setdefault((path[: depth - 1], node), set()).add(path[:depth])
+    assert len({path for path, _ in counts}) > 60_000
+    log_kt = lambda z, o: (math.lgamma(z + 0.5) + math.lgamma(o + 0.5) - math.lgamma(z + o + 1)
+                           - math.log(math.pi))
+    weights = {}
+    for depth in range(5, -1, -1):
+        for path, node in [c for c in counts if len(c[0]) == depth]:
+            own = log_kt(*counts[path, node])
+            below = sum(weights[c, node][0] for c in children.get((path, node), ()))
+            weights[path, node] = (own, 1.0) if depth == 5 else (
+                float(np.logaddexp(own, below)) - math.log(2),
+                1 / (1 + math.exp(min(below - own, 700))))
+
+    def chance(path, node, depth=0):
+        z, o = counts.get((path[:depth], node), (0, 0))
+        share = weights.get((path[:depth], node), (0, 0.5 if depth < 5 else 1))[1]
+        deeper = chance(path, node, depth + 1) if depth < 5 else 0
+        return share * (o + 0.5) / (z + o + 1) + (1 - share) * deeper
+
+    got = scores(documents(*rows), chunk_bytes=chunk_bytes)
+    for key, text in rows[::7]:
+        expected = sum(math.log10(c if bit else 1 - c)
+                       for path, node, bit in bits(text) for c in [chance(path, node)])
+        assert math.isclose(got[key].score, expected, rel_tol=1e-5)
+
+
 # Url rules.
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
