@@ -1,7 +1,7 @@
 """Secrets in text: fixed patterns, and strings that look random to two character models.
 
 Everything is a DataFrame expression. Two first-order character models, of random strings and of
-ordinary identifiers, are counted from a labelled sample; a run of key characters is a secret if the
+ordinary identifiers, are counted over all labelled strings; a run of key characters is a secret if the
 random model explains it better by a given log-likelihood ratio.
 """
 
@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import batches
-from tidemark.llm.store import materialize
 
 # Kinds in their order, pattern, the group whose length counts, and the least length.
 BASE = (
@@ -32,7 +31,6 @@ RUN = r"[A-Za-z0-9+/_-]{16,}"
 IDENTIFIER = r"[A-Za-z0-9+/_-]{6,}"
 MARK = "[SECRET]"
 
-TRAINING_ROWS = 4_000  # documents the models are counted on, at most
 MARGIN = 12.0  # least log-likelihood ratio of a span
 _ASCII = 128
 _NONE = "cast(array() AS array<struct<begin: int, kind: int, end: int>>)"
@@ -81,25 +79,23 @@ def base_spans(texts: DataFrame) -> DataFrame:
     return texts.withColumn("base", F.expr(f"array_sort(concat({', '.join(kinds)}))"))
 
 
-def train(texts: DataFrame, training_rows: int = TRAINING_ROWS) -> Model | None:
-    """Both models from a sample of documents, labelled by the fixed patterns.
+def train(texts: DataFrame) -> Model | None:
+    """Both models from all documents, labelled by the fixed patterns.
 
     The values that the patterns find are random strings. Ordinary are the runs of documents without
     such values whose digits, if any, stand together, which those of random strings rarely do.
-    The sample has about ``training_rows`` documents. None without strings of both labels.
+    Only counts of character pairs leave the tasks. None without strings of both labels.
     """
-    sample = base_spans(batches.sample_of(texts.select("text"), training_rows))
-    sample = materialize(sample, "samples")
     value = "regexp_extract(substring(text, s.begin + 1, s.end - s.begin), '([A-Za-z0-9+/_-]+)$', 1)"
-    random = sample.select(
-        F.lit(1).alias("label"), F.explode(F.expr(f"transform(base, s -> {value})")).alias("token")
+    plain = (
+        f"filter(regexp_extract_all(text, {_sql_text(IDENTIFIER)}, 0),"
+        " t -> t RLIKE '^[^0-9]*[0-9]*[^0-9]*$')"
     )
-    plain = sample.where("size(base) = 0").select(
-        F.lit(0).alias("label"),
-        F.explode(F.expr(f"regexp_extract_all(text, {_sql_text(IDENTIFIER)}, 0)")).alias("token"),
+    tokens = base_spans(texts.select("text")).select(
+        F.expr("cast(size(base) > 0 AS int)").alias("label"),
+        F.explode(F.expr(f"if(size(base) > 0, transform(base, s -> {value}), {plain})")).alias("token"),
     )
-    plain = plain.where(F.col("token").rlike("^[^0-9]*[0-9]*[^0-9]*$"))
-    pairs = random.union(plain).where("length(token) > 1").select(
+    pairs = tokens.where("length(token) > 1").select(
         "label",
         F.explode(F.expr(
             "zip_with(split(token, ''), slice(split(token, ''), 2, length(token)),"
@@ -138,7 +134,6 @@ def find_secrets(
     df: DataFrame,
     id_column: str = "doc_id",
     text_column: str = "text",
-    training_rows: int = TRAINING_ROWS,
     margin: float = MARGIN,
 ) -> DataFrame:
     """``doc_id, text, base, spans`` of every row.
@@ -149,12 +144,12 @@ def find_secrets(
     have no spans; repeated rows are scanned each; a null id stays; other columns are ignored.
     Without training strings of both labels only the fixed patterns count.
     """
-    return _with_spans(batches.id_and_text(df, id_column, text_column), training_rows, margin)
+    return _with_spans(batches.id_and_text(df, id_column, text_column), margin)
 
 
-def _with_spans(texts: DataFrame, training_rows: int, margin: float) -> DataFrame:
+def _with_spans(texts: DataFrame, margin: float) -> DataFrame:
     """``texts`` (with column ``text``) with ``base`` and ``spans``."""
-    model = train(texts, training_rows)
+    model = train(texts)
     found = base_spans(texts)
     if model is None:
         return found.withColumn("spans", F.col("base"))
@@ -210,7 +205,6 @@ def redact(
     df: DataFrame,
     text_column: str = "text",
     length_column: str = "n_chars",
-    training_rows: int = TRAINING_ROWS,
     margin: float = MARGIN,
 ) -> DataFrame:
     """All rows and columns of ``df`` with secrets replaced by a mark.
@@ -221,7 +215,7 @@ def redact(
     texts = df.select(
         F.struct("*").alias("row"), F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text")
     )
-    found = _with_spans(texts, training_rows, margin).withColumn("clean", redacted("text", "spans"))
+    found = _with_spans(texts, margin).withColumn("clean", redacted("text", "spans"))
     changed = F.size("spans") > 0
     new = {text_column: F.col("clean")}
     if length_column in df.columns:
