@@ -1,0 +1,37 @@
+"""Positions and running sums against a plain loop."""
+
+from collections import defaultdict
+
+from tidemark.operators.ranks import numbered
+
+
+def test_positions_and_sums_equal_a_loop(spark):
+    rows = [(None if i % 3 == 0 else f"g{i % 7}", i * 37 % 101, i % 11 or None) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, o int, v int")
+    # Many tasks, so that the busy group is cut.
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = numbered(df, ["g"], ["o"], add="v").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(found) == len(rows)
+    groups = defaultdict(list)
+    for row in found:
+        groups[row.g].append(row)
+    for of_group in groups.values():
+        of_group.sort(key=lambda r: r.position)
+        assert [r.position for r in of_group] == list(range(len(of_group)))
+        assert [r.o for r in of_group] == sorted(r.o for r in of_group)
+        total = 0
+        for row in of_group:
+            assert row.before == total
+            total += row.v or 0
+
+
+def test_equal_rows_and_an_empty_table(spark):
+    same = spark.createDataFrame([("a", 1)] * 50, "g string, o int")
+    assert sorted(r.position for r in numbered(same, ["g"], ["o"]).collect()) == list(range(50))
+    none = spark.createDataFrame([], "g string, o int")
+    assert numbered(none, ["g"], ["o"]).collect() == []
+    assert sorted(r.position for r in numbered(same, [], ["g"]).collect()) == list(range(50))
