@@ -144,10 +144,65 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM docs LEFT JOIN hits USING (k) LEFT JOIN named USING (k)
 """
 
+_HASHED = " || ".join(
+    f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')"
+    for c in ("doc_id", "source", "lang", "{n_chars}", "text")
+)
+
+MERKLE = f"""
+WITH RECURSIVE codes AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g,
+    list_reduce(list_concat([4294967295], list_transform(
+        range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i: ascii(CAST(doc_id AS VARCHAR)[i]))),
+      lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]),
+        lambda a, z: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS crc
+  FROM documents
+), leaves AS (
+  SELECT *, sha256({_HASHED.format(n_chars='n_chars')}) AS leaf,
+    sha256({_HASHED.format(n_chars='(n_chars + CAST(xor(crc, 4294967295) % 7 = 0 AS BIGINT))')})
+      AS tampered FROM codes
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p,
+    row_number() OVER () AS k FROM leaves
+), levels AS (
+  SELECT g, 0 AS level, list(leaf ORDER BY p) AS nodes FROM placed GROUP BY g
+  UNION ALL
+  SELECT g, level + 1, list_transform(range(0, (len(nodes) + 1) // 2),
+    lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))
+  FROM levels WHERE len(nodes) > 1
+), tops AS (
+  SELECT 0 AS level, list(nodes[1] ORDER BY g) AS nodes FROM levels WHERE len(nodes) = 1
+  UNION ALL
+  SELECT level + 1, list_transform(range(0, (len(nodes) + 1) // 2),
+    lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))
+  FROM tops WHERE len(nodes) > 1
+), walk AS (
+  SELECT k, g, 0 AS level, p, '' AS proof, tampered AS node FROM placed
+  UNION ALL
+  SELECT k, g, level + 1, p // 2, proof || coalesce(s, ''), CASE WHEN s IS NULL THEN sha256(node)
+    WHEN p % 2 = 0 THEN sha256(node || s) ELSE sha256(s || node) END
+  FROM (SELECT w.*, l.nodes[xor(p, 1) + 1] AS s FROM walk w JOIN levels l USING (g, level)
+    WHERE len(l.nodes) > 1)
+), climb AS (
+  SELECT k, 0 AS level, g AS p, proof, node
+  FROM walk w JOIN levels l USING (g, level) WHERE len(l.nodes) = 1
+  UNION ALL
+  SELECT k, level + 1, p // 2, proof || coalesce(s, ''), CASE WHEN s IS NULL THEN sha256(node)
+    WHEN p % 2 = 0 THEN sha256(node || s) ELSE sha256(s || node) END
+  FROM (SELECT c.*, t.nodes[xor(p, 1) + 1] AS s FROM climb c JOIN tops t USING (level)
+    WHERE len(t.nodes) > 1)
+)
+SELECT doc_id, leaf, l.nodes[1] AS subroot, t.nodes[1] AS root, sha256(proof) AS proof_sha256,
+  node AS folded_root, node = t.nodes[1] AS verified
+FROM placed d JOIN climb c USING (k) JOIN tops t ON c.level = t.level AND len(t.nodes) = 1
+  JOIN levels l ON d.g = l.g AND len(l.nodes) = 1
+"""
+
 ORACLES = {
     "op1_ngram_jaccard_join": NGRAM_JOIN,
     "op6_url_rules": URL_RULES,
     "op7_warc_archives": WARC,
     "op8_quality_cascade": CASCADE,
     "op9_benchmark_decontamination": DECONTAMINATION,
+    "op13_merkle_manifest": MERKLE,
 }

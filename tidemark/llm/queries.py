@@ -12,6 +12,7 @@ from tidemark.llm import (
     cascade,
     context_tree,
     decontaminate,
+    merkle,
     ngram_join,
     packing,
     rule_ensemble,
@@ -127,3 +128,9 @@ def _benchmark_decontamination(spark, d):
 def _best_fit_packing(spark, d):
     """Every piece of every document with its sequence and its place there."""
     return packing.pack_documents(table(spark, d, "documents"), vocabulary.default_path())
+
+
+@query("op13_merkle_manifest")
+def _merkle_manifest(spark, d):
+    """The proof of every document, folded again after some character counts were raised by one."""
+    return merkle.prove(merkle.build_manifest(table(spark, d, "documents"), tamper="n_chars"))
