@@ -198,11 +198,53 @@ FROM placed d JOIN climb c USING (k) JOIN tops t ON c.level = t.level AND len(t.
   JOIN levels l ON d.g = l.g AND len(l.nodes) = 1
 """
 
+CURRICULUM = r"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))
+    AS BIGINT) AS size FROM documents
+), sources AS (
+  SELECT source, sum(size) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS k,
+    k % 3 + 1 AS w FROM sized GROUP BY source
+), filled AS (
+  SELECT *, row_number() OVER by_ratio AS rn,
+    coalesce(sum(3 * source_size) OVER before_it, 0) AS held, sum(source_size) OVER () AS total,
+    sum(w) OVER () - coalesce(sum(w) OVER before_it, 0) AS w_left FROM sources
+  WINDOW by_ratio AS (ORDER BY source_size * 6 // w, k),
+    before_it AS (ORDER BY source_size * 6 // w, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), level AS (
+  SELECT rn, total - held AS rest, w_left FROM filled
+  WHERE NOT 3 * source_size * w_left < (total - held) * w ORDER BY rn LIMIT 1
+), targets AS (
+  SELECT f.source, f.source_size, f.k, CASE WHEN f.rn < l.rn THEN CAST(3 * source_size AS DOUBLE)
+    ELSE CAST(l.rest AS DOUBLE) * f.w / CAST(l.w_left AS DOUBLE) END AS target,
+    CAST(floor(target + 0.5) AS BIGINT) AS demand FROM filled f, level l
+), placed AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5(CAST(doc_id AS VARCHAR)), size
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM sized
+), shares AS (
+  SELECT p.doc_id, p.size, t.*, p.b, CAST(p.b AS DOUBLE) / t.demand AS share,
+    list_sum([greatest(0, least(p.size, t.demand - e * t.source_size - p.b)) for e in [0, 1, 2]])
+      AS taken
+  FROM placed p JOIN targets t ON p.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
+  CAST(taken AS BIGINT) AS taken, round(CASE WHEN taken = 0 THEN NULL
+    WHEN k % 3 = 0 AND share * 1.5 < 1.0
+      THEN 2.0 * (share * 1.5) / (3.0 + sqrt(9.0 - 8.0 * (share * 1.5)))
+    WHEN k % 3 = 0 THEN 0.5 + (share * 1.5 - 1.0)
+    WHEN k % 3 = 1 THEN share
+    WHEN share * 1.5 < 0.5 THEN share * 1.5
+    ELSE 0.5 + 2.0 * (share * 1.5 - 0.5) / (1.0 + sqrt(1.0 + 8.0 * (share * 1.5 - 0.5))) END, 6)
+    AS first_position
+FROM shares
+"""
+
 ORACLES = {
     "op1_ngram_jaccard_join": NGRAM_JOIN,
     "op6_url_rules": URL_RULES,
     "op7_warc_archives": WARC,
     "op8_quality_cascade": CASCADE,
     "op9_benchmark_decontamination": DECONTAMINATION,
+    "op12_curriculum_mix": CURRICULUM,
     "op13_merkle_manifest": MERKLE,
 }

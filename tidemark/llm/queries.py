@@ -11,6 +11,7 @@ from tidemark.llm import (
     batches,
     cascade,
     context_tree,
+    curriculum,
     decontaminate,
     merkle,
     ngram_join,
@@ -130,6 +131,12 @@ def _best_fit_packing(spark, d):
     return packing.pack_documents(table(spark, d, "documents"), vocabulary.default_path())
 
 
+@query("op12_curriculum_mix")
+def _curriculum_mix(spark, d):
+    """The words of every document that the training stream takes, all copies together."""
+    return curriculum.taken_words(curriculum.mix_sources(table(spark, d, "documents")))
+
+
 @query("op13_merkle_manifest")
 def _merkle_manifest(spark, d):
     """The proof of every document, folded again after some character counts were raised by one."""
