@@ -198,6 +198,36 @@ FROM placed d JOIN climb c USING (k) JOIN tops t ON c.level = t.level AND len(t.
   JOIN levels l ON d.g = l.g AND len(l.nodes) = 1
 """
 
+_TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+SEARCH = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS k, doc_id, regexp_extract_all({_lower('text')}, '{_TERMS}') AS w
+  FROM documents
+), totals AS (
+  SELECT count(*) FILTER (len(w) > 0) AS nn, sum(len(w)) AS ll FROM docs
+), occurring AS (
+  SELECT k, doc_id, len(w) AS n, unnest(w) AS term FROM docs
+), held AS (
+  SELECT k, doc_id, term, CAST(count(*) AS BIGINT) AS tf,
+    CAST(25 + (75 * n * nn) // ll AS BIGINT) AS m
+  FROM occurring, totals GROUP BY k, doc_id, n, term, nn, ll
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM held, totals GROUP BY term, nn
+), items AS (
+  SELECT item_id, unnest(regexp_extract_all({_lower('text')}, '{_TERMS}')) AS term FROM benchmark
+), wanted AS (
+  SELECT item_id, term, count(*) AS often FROM items GROUP BY ALL
+), scores AS (
+  SELECT item_id, k, doc_id,
+    CAST(sum(often * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM wanted JOIN weights USING (term) JOIN held USING (term) GROUP BY item_id, k, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER)
+  AS rank, doc_id, score FROM scores WHERE score > 0 QUALIFY rank <= 10
+"""
+
 CURRICULUM = r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))
@@ -245,6 +275,7 @@ ORACLES = {
     "op7_warc_archives": WARC,
     "op8_quality_cascade": CASCADE,
     "op9_benchmark_decontamination": DECONTAMINATION,
+    "op11_bitslice_search": SEARCH,
     "op12_curriculum_mix": CURRICULUM,
     "op13_merkle_manifest": MERKLE,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
     batches,
+    bitslices,
     cascade,
     context_tree,
     curriculum,
@@ -131,6 +132,14 @@ def _best_fit_packing(spark, d):
     return packing.pack_documents(table(spark, d, "documents"), vocabulary.default_path())
 
 
+@query("op11_bitslice_search")
+def _bitslice_search(spark, d):
+    """Each benchmark item's ten best documents."""
+    documents = table(spark, d, "documents")
+    index = bitslices.build_index(documents)
+    return bitslices.search(index, documents, table(spark, d, "benchmark"))
+
+
 @query("op12_curriculum_mix")
 def _curriculum_mix(spark, d):
     """The words of every document that the training stream takes, all copies together."""
