@@ -21,7 +21,6 @@ TEXT = st.text(st.one_of(st.characters(codec="utf-8"), st.sampled_from(list(" \n
 @pytest.fixture(scope="module")
 def library():
     tokenizer = Tokenizer.from_file(default_path())
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -34,7 +33,7 @@ def test_encoder_equals_the_library(library, text):
 
 
 @pytest.mark.parametrize("text", [
-    "", " ", "  a   b \n\n c\t\td  ", "don't can't 'll", "x<|endoftext|>y", "\n a\n b \n  c",
+    "", " ", "  a   b \n\n c\t\td  ", "don't can't 'll", "x<|endoftext|>y", "<|endoftext|>", " <|endoftext|> \n<|endoftext|>", "<|endoftext| >", "\n a\n b \n  c",
     "a b\n", "a　 b", "foo, bar. BAZ!! qux### (x) a'b, 12, a1", "the " * 1000, "é,\nü. ﬀ",
 ])
 def test_encoder_on_divided_texts(library, text):

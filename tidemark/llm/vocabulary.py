@@ -29,8 +29,8 @@ class Encoder:
     """Encodes texts with a byte-level BPE file of the tokenizers library.
 
     The library splits a text at white space before it merges bytes, so a text's ids are those of
-    its pieces, and each distinct piece is encoded once while it is remembered. Names of special
-    tokens in a text are ordinary text.
+    its pieces, and each distinct piece is encoded once while it is remembered. A text that holds
+    the name of an added token goes to the library whole.
     """
 
     _of: dict[str, Encoder] = {}
@@ -39,7 +39,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [token.content for token in added if token.content]
         self.pieces = self.tokenizer.model.tokenize
         self.line = self._ids(_LINE)
         self.known: dict[str, bytes] = {}
@@ -111,6 +112,8 @@ class Encoder:
         Where no white space follows a space or a line end, pieces are divided by spaces and begin
         with one; a line end is a piece by itself and the next piece then has no space before it.
         """
+        if any(name in text for name in self.added):
+            return self._ids(text)
         if _UNEVEN.search(text):
             return self._piecewise(text)
         first, *rest = text.replace(_LINE, " \n").split(" ")
