@@ -59,9 +59,10 @@ def open_file(folder: str, name: str):
     return system.open_input_file(f"{path}/{name}")
 
 
-# Rows that a Python worker gets at once. Documents are long, and a worker holds what it gets, what
-# it makes of it and what it sends back.
+# Rows, and bytes of rows, that a Python worker gets at once. Documents are long, and a worker holds
+# what it gets, what it makes of it and what it sends back. A longer row comes by itself.
 ROWS_AT_ONCE = 1000
+BYTES_AT_ONCE = 1 << 20
 
 
 def prepare_workers(spark: SparkSession) -> None:
@@ -70,6 +71,7 @@ def prepare_workers(spark: SparkSession) -> None:
     Also bounds what they get at once.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_ONCE)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BYTES_AT_ONCE)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
