@@ -31,103 +31,6 @@ def test_estimator_is_sequential():
     assert math.isclose(kt(*seen), chance)
 
 
-def tree_of(rng, rows=40):
-    """Random kept contexts with their parents, and counts of bytes in each."""
-    kept = {(0, 0)}
-    for _ in range(rows):
-        code = 0
-        for depth in range(1, rng.randrange(2, context_tree.DEPTH + 2)):
-            code = code * context_tree.CLASSES + rng.randrange(4)
-            kept.add((depth, code))
-    depth, code = zip(*kept, strict=True)
-    contexts = context_tree.Contexts.of(np.array(depth), np.array(code))
-    counts = np.zeros((len(kept), 256), np.int64)
-    for _ in range(10 * rows):
-        counts[rng.randrange(len(kept)), rng.choice([65, 66, 200])] += 1
-    return contexts, counts
-
-
-def weighted(contexts, counts, node, row=0):
-    """The weighted probability at one bit node by the recursion over the tree."""
-    zeros, ones = context_tree.bit_counts(counts)
-    parents = contexts.parents()
-
-    def below(row):
-        rows = [r for r in range(1, len(parents)) if parents[r] == row]
-        totals, product = [zeros[row, node], ones[row, node]], kt(zeros[row, node], ones[row, node])
-        for child in rows:
-            (z, o), chance = below(child)
-            totals = [totals[0] + z, totals[1] + o]
-            product *= chance
-        if contexts.depth[row] == context_tree.DEPTH:
-            return totals, product
-        return totals, (kt(*totals) + product) / 2
-
-    return below(row)[1]
-
-
-@pytest.mark.parametrize("seed", [1, 2])
-def test_mixture_equals_the_recursion_over_the_tree(seed):
-    """The chance of one more 1 is the growth of the weighted probability."""
-    contexts, counts = tree_of(random.Random(seed), 12)
-    tree = context_tree.weigh(contexts, counts)
-    for node in (1, 2, 3):
-        assert math.isclose(math.exp(tree.log_weighted[node]), weighted(contexts, counts, node))
-    for row in range(0, len(counts), 3):
-        more = counts.copy()
-        more[row, 0b10000000] += 1  # one more 1 as the first bit
-        grown = weighted(contexts, more, 1) / weighted(contexts, counts, 1)
-        assert math.isclose(tree.chance[row, 1], grown, rel_tol=1e-9)
-
-
-def test_byte_probabilities_sum_to_one():
-    tree = context_tree.weigh(*tree_of(random.Random(3)))
-    assert np.allclose((10 ** context_tree.log10_bytes(tree.chance)).sum(1), 1)
-
-
-def test_longest_kept_context():
-    contexts, _ = tree_of(random.Random(4))
-    children = contexts.children()
-    rows = {(d, c): i for i, (d, c) in enumerate(zip(*map(np.ndarray.tolist, contexts), strict=True))}
-    raw = np.frombuffer(b"abacabadcabb aab", np.uint8)
-    begins = np.array([0, 7, 7, 16])
-    found = context_tree.longest(children, context_tree.classes_before(raw, begins), len(raw))
-    for at, row in enumerate(found.tolist()):
-        first, code, expected = (0 if at < 7 else 7), 0, 0
-        for depth in range(1, context_tree.DEPTH + 1):
-            before = raw[at - depth] if at - depth >= first else ord("\n")
-            code = code * 32 + int(context_tree.CLASS_OF[before])
-            if (depth, code) not in rows:
-                break
-            expected = rows[(depth, code)]
-        assert row == expected
-
-
-@pytest.mark.parametrize("rows", [1, 8, 1 << 16])
-def test_subtrees_apart_equal_the_whole_tree(documents, rows):
-    """Also with few kept contexts, where every count must still be in some branch."""
-    texts = [f"the cat {i} sat on the mat" for i in range(30)]
-    df = documents(*enumerate(texts))
-    model = context_tree.train(df, rows=rows)
-    assert len(model.table) // 256 <= rows
-    raw = "".join(texts).encode()
-    data = np.frombuffer(raw, np.uint8)
-    begins = np.cumsum([0, *(len(t) for t in texts)])
-    at = context_tree.longest(model.children, context_tree.classes_before(data, begins), len(data))
-    counts = np.zeros((len(model.table) // 256, 256), np.int64)
-    np.add.at(counts, (at, data), 1)
-    depth, code = [0], [0]
-    for row in range(len(counts)):
-        for c in range(32):
-            if model.children[row * 32 + c] >= 0:
-                depth.append(depth[row] + 1)
-                code.append(code[row] * 32 + c)
-    contexts = context_tree.Contexts.of(np.array(depth), np.array(code))
-    tree = context_tree.weigh(contexts, counts)
-    expected = context_tree.log10_bytes(tree.chance).reshape(-1)
-    assert np.allclose(model.table, expected, atol=1e-4)
-
-
 def scores(df, **options):
     return {r.doc_id: r for r in context_tree.score_texts(df, **options).collect()}
 

@@ -18,7 +18,6 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -93,109 +92,6 @@ def log_estimate(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return whole - 2 * math.lgamma(0.5)
 
 
-def bit_counts(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Zeros and ones at every node, from counts of bytes (contexts by 256)."""
-    zeros, ones = np.zeros(counts.shape), np.zeros(counts.shape)
-    level = counts.astype(float)
-    for bit in range(7, -1, -1):  # the nodes above pairs of equal prefixes
-        pairs = level.reshape(len(counts), 1 << bit, 2)
-        zeros[:, 1 << bit : 2 << bit] = pairs[:, :, 0]
-        ones[:, 1 << bit : 2 << bit] = pairs[:, :, 1]
-        level = pairs.sum(2)
-    return zeros, ones
-
-
-class Contexts(NamedTuple):
-    """Kept contexts by depth and code (nearest class first); the parents of all are among them."""
-
-    depth: np.ndarray
-    code: np.ndarray
-
-    @classmethod
-    def of(cls, depth: np.ndarray, code: np.ndarray) -> Contexts:
-        order = np.lexsort((code, depth))
-        return cls(np.asarray(depth, np.int64)[order], np.asarray(code, np.int64)[order])
-
-    def parents(self) -> np.ndarray:
-        """The row of each context's parent; the first row is the parent of none."""
-        base = np.int64(CLASSES) ** DEPTH
-        keys = self.depth * base + self.code
-        above = (self.depth - 1) * base + self.code // CLASSES
-        return np.minimum(np.searchsorted(keys, above), len(keys) - 1)
-
-    def children(self) -> np.ndarray:
-        """By row and class of one more byte: the row of that context, or -1."""
-        found = np.full(len(self.depth) * CLASSES, -1, np.int32)
-        rows = np.arange(1, len(self.depth))
-        found[self.parents()[1:] * CLASSES + self.code[1:] % CLASSES] = rows
-        return found
-
-
-def longest(children: np.ndarray, classes, size: int) -> np.ndarray:
-    """The row of the longest kept context of each position, from the classes before it."""
-    row = np.zeros(size, np.int32)
-    open_ = np.ones(size, bool)
-    for before in classes:
-        further = children[row * CLASSES + before]
-        open_ &= further >= 0
-        row = np.where(open_, further, row)
-    return row
-
-
-class Subtree(NamedTuple):
-    """The top node's counts and weighted probability, and the mixed chance of a one at each row."""
-
-    zeros: np.ndarray
-    ones: np.ndarray
-    log_weighted: np.ndarray
-    chance: np.ndarray
-
-
-def weigh(contexts: Contexts, counts: np.ndarray) -> Subtree:
-    """Context-tree weighting below and at the first context, the ancestor of all others.
-
-    ``counts`` (contexts by bytes) are what was counted in a context but in no longer kept one. They
-    are one more branch of it, unless it has the full depth.
-    """
-    depth, top = contexts.depth, contexts.depth[0]
-    parents = contexts.parents()
-    rest_zeros, rest_ones = bit_counts(counts)
-    zeros, ones = rest_zeros.copy(), rest_ones.copy()
-    levels = [np.flatnonzero(depth == d) for d in range(DEPTH + 1)]
-    for level in levels[:top:-1]:
-        np.add.at(zeros, parents[level], zeros[level])
-        np.add.at(ones, parents[level], ones[level])
-    weighted = log_estimate(zeros, ones)
-    below = log_estimate(rest_zeros, rest_ones)
-    estimate = (ones + 0.5) / (zeros + ones + 1.0)
-    share = np.ones(zeros.shape)
-    for d in range(DEPTH, top - 1, -1):
-        level = levels[d]
-        if d < DEPTH:
-            share[level] = 1 / (1 + np.exp(np.clip(below[level] - weighted[level], -700, 700)))
-            weighted[level] = np.logaddexp(weighted[level], below[level]) - math.log(2)
-        if d > top:
-            np.add.at(below, parents[level], weighted[level])
-    chance = (rest_ones + 0.5) / (rest_zeros + rest_ones + 1.0)
-    at = np.arange(len(depth))
-    for d in range(DEPTH, top - 1, -1):
-        rows = np.flatnonzero(depth >= d)
-        node = at[rows]
-        chance[rows] = share[node] * estimate[node] + (1 - share[node]) * chance[rows]
-        at[rows] = parents[node]
-    return Subtree(zeros[0], ones[0], weighted[0], chance)
-
-
-def log10_bytes(chance: np.ndarray) -> np.ndarray:
-    """The log10 probability of every byte from the chances of a one at the nodes."""
-    total = np.zeros((len(chance), 1))
-    for bit in range(8):
-        own = chance[:, 1 << bit : 2 << bit]
-        pairs = np.stack([np.log10(1 - own), np.log10(own)], 2)
-        total = (total[:, :, None] + pairs).reshape(len(chance), -1)
-    return total
-
-
 def _found(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     return pa.record_batch([
         pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.astype(np.int64)),
@@ -203,26 +99,6 @@ def _found(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     ], ["kind", "key", "n"])
 
 
-def _count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of coded bytes (kind 0) of a task."""
-    pairs: list[tuple[np.ndarray, np.ndarray]] = []
-    kept = 0
-    for batch in rows:
-        raw, begins = batches.text_bytes(batch.column(0))
-        for first, last in batches.slices(begins):
-            low = begins[first]
-            part, own = raw[low : begins[last]], begins[first : last + 1] - low
-            pairs.append(np.unique(coded(part, own), return_counts=True))
-            kept += len(pairs[-1][0])
-            if kept >= PAIRS_HELD:
-                pairs = [_summed(pairs)]
-                kept = len(pairs[0][0])
-                if kept >= PAIRS_HELD // 2:
-                    yield _found(0, *pairs.pop())
-                    kept = 0
-    yield _found(0, *_summed(pairs))
-
-
 def _count_words(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of words (kind 1) and of texts (2) of a task."""
     words: list[np.ndarray] = []
@@ -255,47 +131,6 @@ def _distinct(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return keys.view(np.int64), n
 
 
-def _branch(children: np.ndarray, nearest: np.ndarray):
-    def branch(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each counted context as the row of the longest kept context it ends with."""
-        for batch in found:
-            keys = batch.column(0).to_numpy()
-            classes = ((keys >> (8 + 5 * (DEPTH - d))) & 31 for d in range(1, DEPTH + 1))
-            rows = longest(children, classes, len(keys))
-            yield pa.record_batch([
-                pa.array(nearest[rows]), pa.array(rows), pa.array((keys & 255).astype(np.int32)),
-                batch.column(1),
-            ], ["nearest", "row", "byte", "n"])
-
-    return branch
-
-
-def _weigh_class(contexts: Contexts):
-    def weigh_class(rows: pd.DataFrame) -> pd.DataFrame:
-        """The subtree of one class of the nearest byte; of the root only its own branch."""
-        nearest = int(rows["nearest"].iloc[0])
-        own = np.flatnonzero(_nearest(contexts) == nearest)
-        counts = np.zeros((len(own), 256), np.int64)
-        counts[np.searchsorted(own, rows["row"].to_numpy()), rows["byte"].to_numpy()] = rows["n"]
-        if nearest == CLASSES:
-            zeros, ones = bit_counts(counts)
-            chance = (ones + 0.5) / (zeros + ones + 1.0)
-            tree = Subtree(zeros[0], ones[0], log_estimate(zeros, ones)[0], chance)
-        else:
-            tree = weigh(Contexts(contexts.depth[own], contexts.code[own]), counts)
-        parts = (tree.zeros, tree.ones, tree.log_weighted, tree.chance.astype(np.float32))
-        return pd.DataFrame([[nearest, *(x.tobytes() for x in parts)]], columns=[
-            "nearest", "zeros", "ones", "log_weighted", "chance"])
-
-    return weigh_class
-
-
-def _nearest(contexts: Contexts) -> np.ndarray:
-    """The class of the nearest byte of each context; ``CLASSES`` for the root."""
-    shift = np.int64(CLASSES) ** np.maximum(contexts.depth - 1, 0)
-    return np.where(contexts.depth > 0, contexts.code // shift, CLASSES)
-
-
 class Level(NamedTuple):
     """Bit nodes with counts in contexts of one depth; ``node_of`` has one for each coded bit."""
 
@@ -545,13 +380,6 @@ class Words(NamedTuple):
     texts: int  # training texts: the count of the end token
 
 
-class Model(NamedTuple):
-    """A tree of bounded size: kept contexts and the log10 probability of each byte after each."""
-
-    children: np.ndarray
-    table: np.ndarray
-
-
 def _at_most(counted: DataFrame, limit: int) -> DataFrame:
     """The rows with the greatest ``n``, at most so many: all above one of the steps of a scale."""
     step = "cast(floor(log2(n) * 16) AS int)"
@@ -565,60 +393,6 @@ def _at_most(counted: DataFrame, limit: int) -> DataFrame:
     return counted.where("false" if least is None else f"{step} >= {least}")
 
 
-def _contexts(pairs: DataFrame, rows: int) -> Contexts:
-    """The most frequent contexts of all depths. A context is as frequent as any that end with it."""
-    whole = pairs.groupBy(F.expr("key div 256").alias("code")).agg(F.sum("n").alias("n"))
-    depths = F.expr(
-        f"transform(sequence(1, {DEPTH}), d -> struct(d AS depth,"
-        f" shiftright(code, 5 * ({DEPTH} - d)) AS code))"
-    )
-    each = whole.select(F.explode(depths).alias("c"), "n").select("c.depth", "c.code", "n")
-    counted = materialize(each.groupBy("depth", "code").agg(F.sum("n").alias("n")), "contexts")
-    kept = _at_most(counted, rows - 1).select("depth", "code").toArrow()
-    return Contexts.of(*(np.append(column.to_numpy(), 0) for column in kept.columns))
-
-
-def _tree(counts: DataFrame, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Children and probabilities of all kept contexts; subtrees are weighed apart, the root here."""
-    pairs = counts.where("kind = 0").select("key", "n")
-    contexts = _contexts(pairs, rows)
-    children, nearest = contexts.children(), _nearest(contexts)
-    branches = pairs.mapInArrow(
-        _branch(children, nearest), "nearest long, row int, byte int, n long"
-    )
-    trees = branches.groupBy("nearest", "row", "byte").agg(F.sum("n").alias("n")).groupBy(
-        "nearest"
-    ).applyInPandas(
-        _weigh_class(contexts),
-        "nearest long, zeros binary, ones binary, log_weighted binary, chance binary",
-    )
-    zeros, ones, below = np.zeros(_NODES), np.zeros(_NODES), np.zeros(_NODES)
-    chance = np.full((len(nearest), _NODES), 0.5, np.float32)
-    for row in trees.collect():  # a row per class, 32 MB together
-        zeros += np.frombuffer(row.zeros)
-        ones += np.frombuffer(row.ones)
-        below += np.frombuffer(row.log_weighted)
-        chance[nearest == row.nearest] = np.frombuffer(row.chance, np.float32).reshape(-1, _NODES)
-    own = log_estimate(zeros, ones)
-    share = 1 / (1 + np.exp(np.clip(below - own, -700, 700)))
-    estimate = (ones + 0.5) / (zeros + ones + 1.0)
-    for at in range(0, len(chance), 2048):  # in place: a byte has as many nodes as values
-        part = chance[at : at + 2048]
-        part[:] = log10_bytes(share * estimate + (1 - share) * part)
-    return children, chance.reshape(-1)
-
-
-def train(texts: DataFrame, rows: int) -> Model:
-    """The tree of the ``rows`` most frequent contexts of ``texts`` (column ``text``), held in memory.
-
-    ``score_texts`` does not use it: it keeps all contexts. Without texts every byte has the
-    probability of eight fair coins.
-    """
-    found = texts.select("text").mapInArrow(_count, "kind int, key long, n long")
-    counts = materialize(found.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
-    return Model(*_tree(counts, rows))
-
-
 def count_words(texts: DataFrame, common_words: int = COMMON_WORDS) -> Words:
     """Count the words of all ``texts`` (column ``text``)."""
     found = texts.select("text").mapInArrow(_count_words, "kind int, key long, n long")
@@ -725,6 +499,7 @@ def score_texts(
     pairs = texts.select("chunk", "text", "learned").mapInArrow(
         _chunk_pairs, "chunk long, key long, n long"
     )
+    pairs = materialize(pairs, "pairs")
     met = pairs.select("chunk", "key").join(chances(pairs.select("key", "n")), "key").select(
         "chunk", "key", "log10"
     ).mapInArrow(_packed, "chunk long, keys binary, logs binary")
