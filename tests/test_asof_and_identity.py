@@ -1,0 +1,113 @@
+"""Versions on a day, repaired facts, persons and pruned folders, against plain loops."""
+
+import random
+import re
+
+from conftest import day
+from pyspark.sql import functions as F
+
+from tidemark.operators.aggregates import combined, revenue_change
+from tidemark.operators.asof import version_on_day
+from tidemark.operators.identity import by_person, connected, persons
+from tidemark.plans import star
+from tidemark.plans.queries import REGISTRY, gold_of
+from oracle_check import TESTDATA
+
+SF = f"{TESTDATA}/sf0.001"
+
+
+def test_versions_equal_a_loop(spark):
+    draw = random.Random(4)
+    days = [day(f"2026-{m:02}-{d:02}") for m in (1, 2, 3) for d in range(1, 29)]
+    versions = {(f"k{draw.randrange(9)}", draw.choice(days)) for _ in range(80)}
+    versions |= {("busy", d) for d in days[::3]}
+    rows = [(i, draw.choice(["busy", "busy", None, *(f"k{n}" for n in range(11))]),
+             draw.choice([None, *days])) for i in range(2000)]
+    table = spark.createDataFrame(
+        [(k, d, f"{k} {d}", i) for i, (k, d) in enumerate(sorted(versions))],
+        "key string, effective_date date, sk string, other int")
+    df = spark.createDataFrame(rows, "id int, key string, day date")
+    found = version_on_day(df, table, "key", "day", ["sk", "other"])
+    assert found.columns == ["id", "key", "day", "sk", "other"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("NestedLoop|Cartesian", plan)
+    for row in found.collect():
+        valid = [d for k, d in versions if row.day and k == row.key and d <= row.day]
+        assert row.sk == (f"{row.key} {max(valid)}" if valid else None)
+        assert (row.other is None) == (row.sk is None)
+    assert found.count() == len(rows)
+
+
+def test_persons_join_ids_that_share_numbers(spark):
+    customers = spark.createDataFrame(
+        [("c2", "An", "1"), ("c1", "Unknown", "2"), ("c3", "Binh", None), ("c4", "Unknown", "9"),
+         ("b1", "Lan", "2"), (None, "X", "1"), ("c3", "Binh", "30")],
+        "customer_id string, first_name string, phone_number string")
+    sightings = spark.createDataFrame(
+        [("a0", "1"), ("w1", "2"), ("w2", "9"), ("w3", "77"), ("w4", "30"), ("w4", "31"),
+         ("w5", "31"), ("w6", None), ("2", "1")]
+        + [(f"x{i}", "88") for i in range(3000)] + [(f"y{i}", f"n{i // 2}") for i in range(200)]
+        + [(f"y{i}", f"n{(i + 1) // 2}") for i in range(200)],
+        "customer_id string, phone_number string")
+    people = {r.customer_id: r.person_id for r in persons(customers, sightings).collect()}
+    expected = {
+        "c2": "c2", "a0": "c2", "2": "c2", "c1": "b1", "b1": "b1", "w1": "b1", "c4": "c4",
+        "w2": "c4", "w3": "w3", "c3": "c3", "w4": "c3", "w5": "c3", "w6": "w6",
+    }
+    assert {k: people[k] for k in expected} == expected
+    assert {people[f"x{i}"] for i in range(3000)} == {"x0"}
+    assert {people[f"y{i}"] for i in range(200)} == {"y0"}  # a long chain of numbers
+    assert len(people) == len(expected) + 3200
+
+    table = spark.createDataFrame(list(people.items()), "customer_id string, person_id string")
+    rows = spark.createDataFrame([("a0", 1), ("z", 2), (None, 3)], "customer_id string, n int")
+    assert sorted(map(tuple, by_person(rows, table).collect()), key=str) == [
+        ("c2", 1), ("z", 2), (None, 3)]
+    none = spark.createDataFrame([], customers.schema)
+    assert persons(none, none.select("customer_id", "phone_number")).collect() == []
+
+
+def test_components_equal_a_search(spark):
+    draw = random.Random(8)
+    links = [(f"n{draw.randrange(150)}", f"n{draw.randrange(150)}") for _ in range(110)]
+    root = {n: n for pair in links for n in pair}
+    for _ in range(len(root)):
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    found = connected(spark.createDataFrame([*links, (None, "n1")], "a string, b string"))
+    assert {r.node: r.component for r in found.collect()} == root
+
+
+def test_a_quarter_reads_the_folders_of_its_months(spark):
+    gold = gold_of(spark, SF)
+    report = star.revenue_by_weekday(gold.stored_facts(), gold.dim_date, 1997, 2)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.split("\n") if "FileScan parquet" in line and "sale_month" in line)
+    assert "dynamicpruning" in scan.lower()
+    assert len(report.collect()) == 7
+
+
+def test_repair_leaves_nothing_unknown(spark):
+    gold = gold_of(spark, SF)
+    repaired = REGISTRY["fact_repaired"](spark, SF)
+    assert repaired.join(gold.dim_product.select("product_sk"), "product_sk", "left_anti").isEmpty()
+    early = REGISTRY["fact_late_products"](spark, SF).select("transaction_sk", "product_sk")
+    changed = repaired.select("transaction_sk", "product_sk").exceptAll(early).count()
+    assert 0 < changed < repaired.count()
+
+
+def test_changes_take_back_what_is_replaced(spark):
+    schema = "sale_month int, product_sk string, quantity decimal(10,2), total_amount decimal(10,2)"
+    def facts(*rows):
+        return spark.createDataFrame(rows, "sale_month int, product_sk string, q int, t int").select(
+            "sale_month", "product_sk", F.col("q").cast("decimal(10,2)").alias("quantity"),
+            F.col("t").cast("decimal(10,2)").alias("total_amount"))
+
+    assert facts().schema.simpleString() == spark.createDataFrame([], schema).schema.simpleString()
+    old = facts((202601, "a", 1, 10), (202601, None, 2, 20), (None, "b", 3, 30))
+    replaced, new = facts((None, "b", 3, 30)), facts((202602, "b", 5, 50))
+    sums = combined(revenue_change(old).union(revenue_change(new, replaced)))
+    direct = combined(revenue_change(old.exceptAll(replaced).union(new)))
+    assert sorted(map(str, sums.collect())) == sorted(map(str, direct.collect()))
+    total = sums.where("level = 3").first()
+    assert (total.quantity, total.total_amount, total.sales) == (8, 80, 3)

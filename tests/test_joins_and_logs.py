@@ -157,44 +157,62 @@ def events(spark):
     )
 
 
-@pytest.mark.parametrize("slots", [1, 8])
-def test_log_keeps_every_entry_in_pages(events, slots):
-    expected = defaultdict(set)
-    for row in events.collect():
+@pytest.mark.parametrize("size", [7, 100, 1024])
+def test_log_keeps_every_entry_in_pages(events, size):
+    expected = defaultdict(list)
+    for row in events.orderBy("time_stamp").collect():
         if row.customer_id is not None:
-            expected[row.customer_id].add(row.event_id)
-    pages = logs.activity_log(events, slots).collect()
-    found = defaultdict(list)
-    for page in pages:
+            expected[row.customer_id].append(row.event_id)
+    found = defaultdict(dict)
+    for page in logs.activity_log(events, size).collect():
         ids = [entry.event_id for entry in page.activity_log]
-        assert ids == sorted(ids)
-        assert page.page // slots == 1970 * 12
-        found[page.customer_id] += ids
-    assert {k: set(v) for k, v in found.items()} == expected
-    assert sum(map(len, found.values())) == sum(map(len, expected.values()))
-    assert sum(page.customer_id == "busy" for page in pages) == slots
-
-
-def test_entries_without_id_or_time_have_pages_too(spark):
-    """Entries that differ only beyond their id spread over the slots; equal ones share a page."""
+        assert ids == sorted(ids) and len(ids) <= size
+        assert page.page not in found[page.customer_id]
+        found[page.customer_id][page.page] = ids
+    assert found.keys() == expected.keys()
+    for customer, pages in found.items():
+        own = expected[customer]
+        assert sorted(pages) == list(range(-(-len(own) // size)))
+        for number, ids in pages.items():
+            assert ids == sorted(own[number * size : (number + 1) * size])
+
+
+def test_entries_without_id_or_time_fill_pages_too(spark):
+    """Nothing but a bound of entries ends a page: equal entries without a time have several."""
     events = spark.range(1000).select(
         F.lit(None).cast("string").alias("event_id"), F.lit("c").alias("customer_id"),
-        F.concat(F.lit("t"), F.col("id") % 500).alias("type"), F.lit(None).cast("string").alias("url"),
+        F.concat(F.lit("t"), F.col("id") % 3).alias("type"), F.lit(None).cast("string").alias("url"),
         F.lit(None).cast("timestamp").alias("time_stamp"),
     )
-    sizes = [len(page.activity_log) for page in logs.activity_log(events).collect()]
-    assert sum(sizes) == 1000 and len(sizes) == logs.SLOTS and max(sizes) < 300
-
-
-def test_log_shuffles_by_key_and_page_once(events):
-    pages = logs.log_pages(events, "customer_id", ACTIVITY_ENTRY, "activity_log", "time_stamp")
+    sizes = [len(page.activity_log) for page in logs.activity_log(events, 64).collect()]
+    assert sorted(sizes) == [1000 % 64, *[64] * (1000 // 64)]
+
+
+def test_repaged_keeps_entries(events):
+    pages = [
+        logs.activity_log(events.where(f"event_id % 3 = {k}"), 10).withColumn("batch_id", F.lit(k))
+        for k in range(3)
+    ]
+    rows = pages[0].union(pages[1]).union(pages[2])
+    joined = logs.repaged(rows, "customer_id", "activity_log", 50)
+    assert max(r.n for r in joined.select(F.size("activity_log").alias("n")).collect()) == 50
+    flat = [
+        sorted(map(tuple, df.select("customer_id", F.inline("activity_log")).collect()), key=str)
+        for df in (rows, joined)
+    ]
+    assert flat[0] == flat[1]
+    assert joined.count() < rows.count()
+
+
+def test_hashed_pages_shuffle_by_key_and_page_once(events):
+    pages = logs.hashed_pages(events, "customer_id", ACTIVITY_ENTRY, "activity_log", "time_stamp")
     plan = plan_of(pages)
     assert plan.count("Exchange hashpartitioning") == 1
     assert "Python" not in plan
 
 
-@pytest.mark.parametrize("slots", [1, 8])
-def test_resolution_by_phone_and_time(spark, slots):
+@pytest.mark.parametrize("size", [9, 1024])
+def test_resolution_by_phone_and_time(spark, size):
     sales = sales_frame(
         spark,
         *[sale(f"t{i}", phone="0912") for i in range(100)],
@@ -208,7 +226,7 @@ def test_resolution_by_phone_and_time(spark, slots):
         + [("c", "0913"), ("c", "0913"), ("d", None), ("e", "0000")],
         "customer_id string, phone_number string",
     )
-    pages = resolve_transactions(sales, lookup, NOON, slots=slots)
+    pages = resolve_transactions(sales, lookup, NOON, size=size)
     found = defaultdict(list)
     for page in pages.collect():
         found[page.customer_id] += [entry.transaction_id for entry in page.transaction_log]
@@ -218,8 +236,8 @@ def test_resolution_by_phone_and_time(spark, slots):
     }
 
 
-@pytest.mark.parametrize("slots", [1, 8])
-def test_profile(spark, events, slots):
+@pytest.mark.parametrize("size", [9, 1024])
+def test_profile(spark, events, size):
     customers = spark.createDataFrame(
         [(key, "An", "Le", "male", day("1990-01-01")) for key in ("busy", "1", "nothing")],
         "customer_id string, first_name string, last_name string, gender string, "
@@ -234,7 +252,7 @@ def test_profile(spark, events, slots):
         F.lit("2.00").cast("decimal(10,2)").alias("total_amount"),
         F.timestamp_seconds("id").alias("time_stamp"),
     )
-    profile = build_profile(customers, facts, events, slots)
+    profile = build_profile(customers, facts, events, size)
     assert profile.people.count() == 3
     found = {
         row.master_id: (row.bought, row.seen)
@@ -247,5 +265,5 @@ def test_profile(spark, events, slots):
     assert found == {"busy": (0, 300), "1": (119, seen_by_1), "nothing": (0, 0)}
     strangers = profile.pages.join(profile.people, "master_id", "left_anti")
     assert {r.master_id for r in strangers.collect()} >= {"stranger", "2"}
-    without = build_profile(customers, facts, slots=slots)
+    without = build_profile(customers, facts, size=size)
     assert "activity_log" not in without.pages.columns

@@ -2,7 +2,7 @@
 
 from collections import defaultdict
 
-from tidemark.operators.ranks import numbered
+from tidemark.operators.ranks import carried_forward, numbered
 
 
 def test_positions_and_sums_equal_a_loop(spark):
@@ -35,3 +35,22 @@ def test_equal_rows_and_an_empty_table(spark):
     none = spark.createDataFrame([], "g string, o int")
     assert numbered(none, ["g"], ["o"]).collect() == []
     assert sorted(r.position for r in numbered(same, [], ["g"]).collect()) == list(range(50))
+
+
+def test_values_are_carried_across_tasks(spark):
+    rows = [("busy" if i % 3 else f"g{i % 50}", i, f"v{i}" if i % 400 == 7 or i < 3 else None)
+            for i in range(4000)]
+    df = spark.createDataFrame(rows, "g string, o int, v string")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = carried_forward(df.repartition(4), ["g"], ["o"], "v").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    last, expected = {}, []
+    for group, order, value in rows:
+        last[group] = value or last.get(group)
+        expected.append((group, order, last[group]))
+    assert sorted(map(tuple, found), key=str) == sorted(expected, key=str)
+    none = spark.createDataFrame([], "g string, o int, v string")
+    assert carried_forward(none, ["g"], ["o"], "v").collect() == []

@@ -10,12 +10,13 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidemark.functions import encode_decimal
+from tidemark.operators.aggregates import combined, revenue_change
 from tidemark.operators.calendar import dim_date
 from tidemark.operators.cleaners import clean_event, clean_transaction
 from tidemark.plans.backfill import load_tables
-from tidemark.operators.logs import activity_log
+from tidemark.operators.logs import hashed_pages
 from tidemark.operators.resolve import pages_of_customers
-from tidemark.schemas import ACTIVITY_PAGES, DIM_DATE, FEED, TABLES, TRANSACTION_PAGES
+from tidemark.schemas import ACTIVITY_ENTRY, ACTIVITY_PAGES, DIM_DATE, FEED, TABLES, TRANSACTION_PAGES
 from tidemark.session import shared_dir, work_dir
 from tidemark.sources import tables
 from tidemark.sources.feeds import broker_options, read_feed, stream_feed
@@ -207,6 +208,7 @@ def lake_tables(lake):
         "dim_customer": lake.dim_customer(),
         "dim_product": lake.dim_product(),
         "fact": lake.facts(),
+        "revenue": lake.revenue(),
         "profiles": lake.profiles(),
     }
 
@@ -256,12 +258,24 @@ def test_lake_streams_restarts_and_replays(spark, feed, tmp_path):
     (unreadable,) = lake.unreadable.read().collect()
     assert (unreadable.value, unreadable.reason) == ("not json", "malformed json")
 
+    assert contents(lake.revenue()) == contents(combined(revenue_change(lake.facts())))
     before = {name: contents(rows) for name, rows in lake_tables(lake).items()}
     lake.apply(feed(*BATCHES[-1]), batch_id=2)
     assert {name: contents(rows) for name, rows in lake_tables(lake).items()} == before
 
     lake.compact()
-    assert {name: contents(rows) for name, rows in lake_tables(lake).items()} == before
+    after = {name: contents(rows) for name, rows in lake_tables(lake).items()}
+    assert {k: v for k, v in after.items() if k != "profiles"} == {
+        k: v for k, v in before.items() if k != "profiles"
+    }
+    found = {}  # pages are joined, their entries stay
+    for row in lake.profiles().collect():
+        _, seen, bought = found.setdefault(row.customer_id, (row.first_name, [], []))
+        seen += [e.event_id for e in row.activity_log or ()]
+        bought += [e.transaction_id for e in row.transaction_log or ()]
+    assert {k: (n, sorted(a), sorted(b)) for k, (n, a, b) in found.items()} == {
+        k: (n, sorted(a), sorted(b)) for k, (n, a, b) in profiles.items()
+    }
     lake.create_views()
     (row,) = spark.sql(
         "SELECT count(*) AS n, sum(f.total_amount) AS amount FROM fact_transaction f "
@@ -325,7 +339,7 @@ def test_stateful_log_counts_late_entries(spark, feed, tmp_path):
     ]
 
 
-def test_streamed_pages_equal_batch_pages(spark, feed, tmp_path):
+def test_streamed_pages_equal_hashed_pages(spark, feed, tmp_path):
     """Row by row, page numbers included."""
     path = str(tmp_path / "feed")
     records = [event(n, f"c{n % 3}", f"2026-0{n % 4 + 1}-01T00:00:00Z") for n in range(60)]
@@ -336,7 +350,9 @@ def test_streamed_pages_equal_batch_pages(spark, feed, tmp_path):
     )
     documents = Documents(spark, str(tmp_path / "docs"), ACTIVITY_PAGES, ["customer_id", "page"])
     write_documents(streamed, documents, str(tmp_path / "c"), True).awaitTermination()
-    batch = activity_log(clean_event(feed(*records)))
+    batch = hashed_pages(
+        clean_event(feed(*records)), "customer_id", ACTIVITY_ENTRY, "activity_log", "time_stamp"
+    )
     assert contents(documents.current()) == contents(batch)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import day_key, transaction_key
+from tidemark.operators.asof import version_on_day
 from tidemark.operators.lookup import lookup_join
 from tidemark.operators.scd2 import current_versions
 from tidemark.schemas import FACT_TRANSACTION, conform
@@ -18,20 +19,25 @@ def build_fact(
     dim_date: DataFrame,
     sk: str = "md5",
     strategy: str | None = None,
+    on_sale_day: bool = False,
 ) -> DataFrame:
     """One fact row per cleaned transaction, keyed to the dimensions' current versions.
 
-    A customer or product that no dimension knows yet gets the key its version of that day would
+    With ``on_sale_day`` it is keyed to the versions that were valid on the day of the sale; the
+    transactions should be stored then. A customer or product that no dimension knows yet gets the key its version of that day would
     have. A day outside the calendar leaves ``date_key`` null and keeps the row. ``strategy`` is a
     hint for the joins to the dimensions.
     """
-    customers = current_versions(dim_customer).select("customer_id", "customer_sk")
-    products = current_versions(dim_product).select("product_id", "product_sk")
     days = dim_date.select("date_key", F.col("date").alias("sale_date"))
 
     rows = transactions.withColumn("sale_date", F.to_date("timestamp"))
-    for lookup, key in ((customers, "customer_id"), (products, "product_id")):
-        rows = lookup_join(rows, lookup, key, strategy)
+    for dim, key, sk_name in (
+        (dim_customer, "customer_id", "customer_sk"), (dim_product, "product_id", "product_sk")
+    ):
+        if on_sale_day:
+            rows = version_on_day(rows, dim, key, "sale_date", [sk_name])
+        else:
+            rows = lookup_join(rows, current_versions(dim).select(key, sk_name), key, strategy)
     # The calendar holds one row per day of a few decades whatever the data size.
     rows = rows.join(F.broadcast(days), "sale_date", "left")
 
@@ -51,3 +57,28 @@ def build_fact(
 
 def _or_day_key(sk: str, natural_key: str) -> Column:
     return F.coalesce(F.col(sk), day_key(F.col(natural_key), F.col("sale_date")))
+
+
+def repair_facts(
+    facts: DataFrame,
+    transactions: DataFrame,
+    dim_customer: DataFrame,
+    dim_product: DataFrame,
+    dim_date: DataFrame,
+    **options,
+) -> DataFrame:
+    """``facts`` with those built anew whose customer or product was unknown and has a key by now.
+
+    A fact is built anew if one of its keys is in no dimension, from its row of ``transactions``,
+    by :func:`build_fact` with the same ``options``. All others stay as they are. A fact whose
+    transaction is not given stays, too.
+    """
+    def unknown(dim: DataFrame, sk: str) -> DataFrame:
+        return facts.join(dim.select(sk), sk, "left_anti").select("transaction_id")
+
+    pending = unknown(dim_customer, "customer_sk").union(unknown(dim_product, "product_sk"))
+    pending = pending.distinct()
+    again = transactions.join(pending, "transaction_id", "left_semi")
+    built = build_fact(again, dim_customer, dim_product, dim_date, **options)
+    done = built.select("transaction_id").distinct()
+    return facts.join(done, "transaction_id", "left_anti").unionByName(built.select(*facts.columns))

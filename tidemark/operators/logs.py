@@ -1,8 +1,11 @@
 """Nested logs: the entries of a key collected into arrays, in pages.
 
-One rule holds for every key at every size: an entry's page is the month of its time and a slot, the
-hash of the whole entry. So the page of an entry is known without counting, is the same in a batch
-and in a stream, and a busy key's log is spread over as many tasks as it has pages.
+A page holds at most ``PAGE`` entries, whoever owns it: entries are counted along their time by a
+prefix sum over tasks, so a busy key, or entries without a time, fill more pages and not larger ones.
+A batch of a stream makes pages of its own and rewrites none; :func:`repaged` joins small ones.
+
+A streaming aggregate cannot count along time. Its pages are months and slots, the hash of the whole
+entry, which need no counting and are the same in every batch.
 """
 
 from __future__ import annotations
@@ -10,9 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.ranks import numbered, stored
 from tidemark.schemas import ACTIVITY_ENTRY, FACT_ENTRY
 
-# Pages per key and month. A deployment with very busy keys chooses more, once and for all.
+PAGE = 1024  # entries of a page, at most
+
+# Hashed pages per key and month. A deployment with very busy keys chooses more, once and for all.
 SLOTS = 8
 
 
@@ -23,12 +29,12 @@ def month_of(time: str) -> Column:
 
 
 def page_of(time: str, entry: tuple[str, ...], slots: int = SLOTS) -> Column:
-    """The page of an entry."""
+    """The hashed page of an entry."""
     slot = F.pmod(F.xxhash64(*entry), F.lit(slots)).cast("int")
     return (month_of(time) * slots + slot).cast("int")
 
 
-def log_pages(
+def hashed_pages(
     rows: DataFrame,
     key: str,
     entry: tuple[str, ...],
@@ -36,7 +42,7 @@ def log_pages(
     time: str,
     slots: int = SLOTS,
 ) -> DataFrame:
-    """``(key, page, log)``: the entries of each key as sorted arrays of structs.
+    """``(key, page, log)`` by month and slot, also of a streaming frame.
 
     The rows are shuffled once, by key and page; rows without a key are left out.
     """
@@ -46,11 +52,46 @@ def log_pages(
     return paged.groupBy(key, "page").agg(F.sort_array(F.collect_list("entry")).alias(log))
 
 
-def activity_log(events: DataFrame, slots: int = SLOTS) -> DataFrame:
+def log_pages(
+    rows: DataFrame,
+    key: str,
+    entry: tuple[str, ...],
+    log: str,
+    time: str,
+    size: int = PAGE,
+    kept: bool = False,
+) -> DataFrame:
+    """``(key, page, log)``: the entries of each key in the order of their time, no time first.
+
+    Page 0 has the first ``size`` entries, page 1 the next ones; entries within a page are sorted.
+    Rows without a key are left out. ``rows`` are read twice, so they are stored first unless they
+    are ``kept`` already.
+    """
+    named = rows.where(F.col(key).isNotNull()).select(
+        key, F.col(time).alias("_time"), F.struct(*entry).alias("_entry")
+    )
+    placed = numbered(
+        named if kept else stored(named, "entries"), [key], ["_time", F.xxhash64("_entry")]
+    )
+    page = F.expr(f"CAST(position div {size} AS INT)").alias("page")
+    return placed.groupBy(key, page).agg(F.sort_array(F.collect_list("_entry")).alias(log))
+
+
+def repaged(pages: DataFrame, key: str, log: str, size: int = PAGE) -> DataFrame:
+    """Pages of several batches as full ones: the same entries, page after page."""
+    each = pages.select(key, "batch_id", "page", F.posexplode(log).alias("_place", "_entry"))
+    placed = numbered(stored(each, "entries"), [key], ["batch_id", "page", "_place"])
+    page = F.expr(f"CAST(position div {size} AS INT)").alias("page")
+    return placed.groupBy(key, page).agg(F.sort_array(F.collect_list("_entry")).alias(log))
+
+
+def activity_log(events: DataFrame, size: int = PAGE, kept: bool = False) -> DataFrame:
     """Activity pages per customer from cleaned events."""
-    return log_pages(events, "customer_id", ACTIVITY_ENTRY, "activity_log", "time_stamp", slots)
+    return log_pages(
+        events, "customer_id", ACTIVITY_ENTRY, "activity_log", "time_stamp", size, kept
+    )
 
 
-def transaction_log(facts: DataFrame, slots: int = SLOTS) -> DataFrame:
+def transaction_log(facts: DataFrame, size: int = PAGE, kept: bool = False) -> DataFrame:
     """Transaction pages per customer from fact rows."""
-    return log_pages(facts, "customer_id", FACT_ENTRY, "transaction_log", "time_stamp", slots)
+    return log_pages(facts, "customer_id", FACT_ENTRY, "transaction_log", "time_stamp", size, kept)

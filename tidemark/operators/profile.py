@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.logs import SLOTS, activity_log, transaction_log
+from tidemark.operators.logs import PAGE, activity_log, transaction_log
 
 DEMOGRAPHICS = ("first_name", "last_name", "gender", "date_of_birth")
 
@@ -15,7 +15,7 @@ DEMOGRAPHICS = ("first_name", "last_name", "gender", "date_of_birth")
 class Profile(NamedTuple):
     """``people`` has one row per customer, ``pages`` the pages of both logs.
 
-    A page is null in the log that has no entries in it. Customers known only from a log have pages
+    A page belongs to one log and is null in the other. Customers known only from a log have pages
     and no row of ``people``.
     """
 
@@ -31,11 +31,11 @@ def build_profile(
     customers: DataFrame,
     facts: DataFrame,
     events: DataFrame | None = None,
-    slots: int = SLOTS,
+    size: int = PAGE,
 ) -> Profile:
     """The profile of every customer: demographics, transaction log and, given events, activity."""
-    pages = transaction_log(facts, slots)
+    pages = transaction_log(facts, size)
     if events is not None:
-        pages = pages.join(activity_log(events, slots), ["customer_id", "page"], "full")
+        pages = pages.unionByName(activity_log(events, size), allowMissingColumns=True)
     people = customers.select(F.col("customer_id").alias("master_id"), *DEMOGRAPHICS)
     return Profile(people, pages.withColumnRenamed("customer_id", "master_id"))

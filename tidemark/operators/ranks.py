@@ -27,7 +27,56 @@ def numbered(
     nulls count as 0. Null groups are groups; nulls of the order come first; equal rows follow each
     other in any order. ``df`` is read twice, so it should be stored.
     """
-    spark = df.sparkSession
+    rows, keys = _dealt(df, groups, order)
+    value = F.coalesce(F.col(add), F.lit(0)).cast("long") if add else F.lit(0).cast("long")
+    per_task = rows.groupBy("_task", *keys).agg(
+        F.count("*").alias("_n"), F.min("_at").alias("_first"), F.sum(value).alias("_sum")
+    )
+    earlier = Window.partitionBy(*keys).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    carried = {
+        "_first": F.col("_first"),
+        "_rows_before": F.coalesce(F.sum("_n").over(earlier), F.lit(0)),
+        "_sum_before": F.coalesce(F.sum("_sum").over(earlier), F.lit(0)),
+    }
+    if add:
+        own = Window.partitionBy("_task", *keys).orderBy("_at").rowsBetween(
+            Window.unboundedPreceding, -1
+        )
+        rows = rows.withColumn("_own", F.coalesce(F.sum(value).over(own), F.lit(0)))
+    met = _with_carried(rows, per_task, keys, carried, _OFFSET_BYTES)
+    found = {"position": F.col("_rows_before") + F.col("_at") - F.col("_first")}
+    if add:
+        found["before"] = F.col("_sum_before") + F.col("_own")
+    return met.select(*df.columns, *[column.alias(name) for name, column in found.items()])
+
+
+def carried_forward(
+    df: DataFrame, groups: Sequence[str], order: Sequence[str | Column], value: str
+) -> DataFrame:
+    """The rows of ``df`` where ``value``, if null, is the last one before it in its group.
+
+    A busy group is cut wherever its rows fill a task; the last value of the tasks before is carried
+    into the next. ``df`` is read twice, so it should be stored.
+    """
+    rows, keys = _dealt(df, groups, order)
+    per_task = rows.groupBy("_task", *keys).agg(
+        F.max_by(F.struct(value), F.when(F.col(value).isNotNull(), F.col("_at"))).alias("_last")
+    )
+    earlier = Window.partitionBy(*keys).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    carried = {"_before": F.last("_last", ignorenulls=True).over(earlier)}
+    own = Window.partitionBy("_task", *keys).orderBy("_at").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    rows = rows.withColumn("_own", F.last(value, ignorenulls=True).over(own))
+    met = _with_carried(rows, per_task, keys, carried, 4 * _OFFSET_BYTES)
+    last = F.coalesce("_own", F.col("_before").getField(value))
+    return met.select(*[last.alias(c) if c == value else F.col(c) for c in df.columns])
+
+
+def _dealt(
+    df: DataFrame, groups: Sequence[str], order: Sequence[str | Column]
+) -> tuple[DataFrame, list[Column]]:
+    """The rows sorted by range, stored, with the ``_task`` that held them and their place ``_at``."""
     keys = [F.col(name) for name in groups]
     by = [*keys, *order, F.col("_tie")]
     sorted_rows = (
@@ -37,39 +86,29 @@ def numbered(
         .drop("_tie")
         .withColumns({"_task": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
     )
-    path = work_dir(spark, "ranks")
-    sorted_rows.write.parquet(path)
-    rows = spark.read.schema(sorted_rows.schema).parquet(path)
+    return stored(sorted_rows, "ranks"), keys
 
-    value = F.coalesce(F.col(add), F.lit(0)).cast("long") if add else F.lit(0).cast("long")
-    per_task = rows.groupBy("_task", *keys).agg(
-        F.count("*").alias("_n"), F.min("_at").alias("_first"), F.sum(value).alias("_sum")
-    )
-    earlier = Window.partitionBy(*keys).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+
+def _with_carried(
+    rows: DataFrame, per_task: DataFrame, keys: list[Column], carried: dict[str, Column], size: int
+) -> DataFrame:
+    """The rows with what the tasks before theirs hand on for their group."""
     offsets = per_task.select(
         F.col("_task").alias("_of"),
         *[key.alias(f"_of_{i}") for i, key in enumerate(keys)],
-        "_first",
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_rows_before"),
-        F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_sum_before"),
+        *[column.alias(name) for name, column in carried.items()],
     )
-    path = work_dir(spark, "offsets")
-    offsets.write.parquet(path)
-    offsets = sent_if_small(spark.read.schema(offsets.schema).parquet(path), _OFFSET_BYTES)
-
-    if add:
-        own = Window.partitionBy("_task", *keys).orderBy("_at").rowsBetween(
-            Window.unboundedPreceding, -1
-        )
-        rows = rows.withColumn("_own", F.coalesce(F.sum(value).over(own), F.lit(0)))
     same = F.col("_task") == F.col("_of")
     for i, key in enumerate(keys):
         same = same & key.eqNullSafe(F.col(f"_of_{i}"))
-    met = rows.join(offsets, same)
-    found = {"position": F.col("_rows_before") + F.col("_at") - F.col("_first")}
-    if add:
-        found["before"] = F.col("_sum_before") + F.col("_own")
-    return met.select(*df.columns, *[column.alias(name) for name, column in found.items()])
+    return rows.join(sent_if_small(stored(offsets, "offsets"), size), same)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """A table written to the shared folder and read back, so that it is computed once."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def sent_if_small(df: DataFrame, row_bytes: int) -> DataFrame:

@@ -50,7 +50,7 @@ def load_tables(
         everyone = with_placeholders(customers, sales)
         dated = customers_by_day(customers, sales, as_of)
         newest = latest_per_key(customers, "customer_id", FEED_ORDER)
-        bought = phone_pages(sales.where(in_time(read_at)))
+        bought = phone_pages(sales.where(in_time(read_at)), kept=True)
         days = dim_date(spark, as_of)
         together(
             spark,
@@ -61,7 +61,7 @@ def load_tables(
             lambda: _fill("dim_product", first_dim_product(products, as_of)),
             lambda: populate_once(spark, TABLES["dim_date"].qualified, days),
             lambda: _fill("people", newest),
-            lambda: _fill("activity", activity_log(events)),
+            lambda: _fill("activity", activity_log(events, kept=True)),
             lambda: _fill("purchases", bought),
         )
         dims = (spark.table(TABLES[n].qualified) for n in ("dim_customer", "dim_product", "dim_date"))

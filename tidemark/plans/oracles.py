@@ -185,6 +185,13 @@ _PHONE_ENTRIES = """SELECT c.customer_id, transaction_id, product_id, product_na
     total_amount FROM transactions t JOIN customers c ON c.phone_number = t.phone_number"""
 _PHONE_AMOUNTS = ("product_id", "product_name", "price", "quantity", "total_amount")
 
+# Numbers are unique per customer, and every walk-in gave the number of a customer.
+_PERSONS = """
+    SELECT customer_id, customer_id AS person_id FROM customers
+    UNION ALL
+    SELECT DISTINCT w.customer_id, c.customer_id
+    FROM walkins w JOIN customers c ON c.phone_number = w.phone_number"""
+
 _RESOLVED = _with(
     "customers transactions",
     """SELECT c.customer_id, transaction_id, product_id, product_name, price, quantity, total_amount
@@ -371,6 +378,70 @@ ORACLES = {
                   count(*) AS sales
            FROM facts WHERE date_key BETWEEN 19970101 AND 19970331 GROUP BY date_key""",
     ),
+    "star_revenue_by_weekday": _with(
+        "facts",
+        """SELECT CAST(isodow(sold_at) AS INTEGER) AS day_of_week,
+                  sum(CAST(quantity AS DOUBLE)) AS quantity,
+                  CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
+                  count(*) AS sales
+           FROM facts WHERE date_key BETWEEN 19970401 AND 19970630 GROUP BY ALL""",
+    ),
+    "fact_on_sale_day": _with(
+        "transactions products price_changes daily_orders",
+        f"""
+        , customer_days AS (
+            SELECT customer_id, effective_date AS since,
+                   coalesce(lead(effective_date) OVER w, DATE '9999-12-31') AS until
+            FROM daily_orders WINDOW w AS (PARTITION BY customer_id ORDER BY effective_date)
+        ), product_days AS (
+            SELECT product_id, since, coalesce(lead(since) OVER w, DATE '9999-12-31') AS until
+            FROM (SELECT product_id, DATE '{FIRST_CATALOGUE}' AS since FROM products
+                  UNION SELECT product_id, day FROM price_changes)
+            WINDOW w AS (PARTITION BY product_id ORDER BY since))
+        SELECT md5(transaction_id) AS transaction_sk,
+               CAST(strftime(sold_at, '%Y%m%d') AS INTEGER) AS date_key,
+               md5(t.customer_id || {_day('coalesce(c.since, sold_at)')}) AS customer_sk,
+               t.customer_id, md5(t.product_id || {_day('coalesce(p.since, sold_at)')})
+                   AS product_sk, transaction_id,
+               price AS unit_sales_price, CAST(quantity AS DOUBLE) AS quantity, total_amount,
+               {_time('sold_at')} AS time_stamp
+        FROM transactions t
+        LEFT JOIN customer_days c ON c.customer_id = t.customer_id
+             AND CAST(sold_at AS DATE) >= c.since AND CAST(sold_at AS DATE) < c.until
+        LEFT JOIN product_days p ON p.product_id = t.product_id
+             AND CAST(sold_at AS DATE) >= p.since AND CAST(sold_at AS DATE) < p.until""",
+    ),
+    "fact_repaired": _FACTS,
+    "persons": _with("customers transactions walkins", _PERSONS),
+    "revenue_by_person": _with(
+        "facts",
+        f"""
+        , persons AS ({_PERSONS})
+        SELECT p.person_id AS customer_id, count(*) AS sales,
+               CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount
+        FROM facts f JOIN persons p ON p.customer_id = f.customer_id GROUP BY ALL""",
+    ),
+    "busy_activity_log": f"""
+        WITH placed AS (
+            SELECT CASE WHEN event_id % 3 = 0 THEN 'busy' ELSE CAST(user_id AS VARCHAR) END AS customer_id,
+                   CASE WHEN event_id % 10 <> 0 THEN CAST(ts AS TIMESTAMP) END AS moment
+            FROM events WHERE event_id % 3 = 0 OR user_id IS NOT NULL
+        ), numbered AS (
+            SELECT *, CAST((row_number() OVER (PARTITION BY customer_id ORDER BY moment NULLS FIRST) - 1)
+                // 64 AS INTEGER) AS page FROM placed
+        )
+        SELECT customer_id, page, CAST(count(*) AS INTEGER) AS entries,
+               {_time('min(moment)')} AS first_time, {_time('max(moment)')} AS last_time
+        FROM numbered GROUP BY customer_id, page""",
+    "stream_revenue_cube": _with(
+        "facts",
+        """SELECT CAST(grouping(sale_month) * 2 + grouping(product_sk) AS BIGINT) AS level, sale_month,
+                  product_sk, sum(CAST(quantity AS DOUBLE)) AS quantity,
+                  CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
+                  count(*) AS sales
+           FROM (SELECT *, CAST(date_key // 100 AS INTEGER) AS sale_month FROM facts)
+           GROUP BY GROUPING SETS ((sale_month, product_sk), (sale_month), (product_sk), ())""",
+    ),
     "star_revenue_by_country": _with(
         "facts",
         """SELECT v.country, sum(CAST(f.quantity AS DOUBLE)) AS quantity,

@@ -23,7 +23,8 @@ from tidemark.operators.cleaners import (
     clean_transaction,
 )
 from tidemark.operators.envelope import FEED_ORDER, quarantine
-from tidemark.operators.fact import build_fact
+from tidemark.operators.fact import build_fact, repair_facts
+from tidemark.operators.identity import by_person, persons
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.logs import activity_log, transaction_log
 from tidemark.operators.profile import build_profile
@@ -374,6 +375,60 @@ def _fact_late_products(spark, d):
     )
 
 
+def _versions_of(spark: SparkSession, d: str) -> Gold:
+    """Transactions, and dimensions with a version per day of change."""
+    changes = clean_product(feeds.product_change_feed(spark, d))
+    day = F.to_date(F.timestamp_millis("ts_ms"))
+    first = scd2.first_dim_product(products_of(spark, d), FIRST_CATALOGUE)
+    order = [*FEED_ORDER, "product_link"]
+    customers = scd2.scd2_from_log(
+        _priorities(spark, d), "customer_id", "customer_sk", F.col(_CHANGE_DAY), list(FEED_ORDER)
+    )
+    return Gold(
+        stored(transactions_of(spark, d), "transactions"),
+        stored(customers, "dim_customer"),
+        stored(scd2.merge_dim_product(first, changes, day, order_by=order), "dim_product"),
+        dim_date(spark, AS_OF),
+    )
+
+
+@query("fact_on_sale_day")
+def _fact_on_sale_day(spark, d):
+    """Facts keyed to the versions that were valid when the sale was made."""
+    return build_fact(*_versions_of(spark, d), on_sale_day=True)
+
+
+@query("fact_repaired")
+def _fact_repaired(spark, d):
+    """Facts built while most products were unknown, repaired when these have arrived."""
+    gold = gold_of(spark, d)
+    arrived = gold.dim_product.where(F.col("product_type") == "ECONOMY")
+    early = stored(gold._replace(dim_product=arrived).facts(), "early")
+    return repair_facts(early, *gold)
+
+
+@query("persons")
+def _persons(spark, d):
+    """Every customer id, walk-ins included, with the id that its person keeps."""
+    return persons(customers_of(spark, d), transactions_of(spark, d))
+
+
+@query("revenue_by_person")
+def _revenue_by_person(spark, d):
+    """Sales per person: walk-in purchases count for the customer who gave the same number."""
+    gold = gold_of(spark, d)
+    people = persons(customers_of(spark, d), gold.transactions)
+    return by_person(gold.facts(), people).groupBy("customer_id").agg(
+        F.count("*").alias("sales"), F.sum("total_amount").alias("total_amount")
+    )
+
+
+@query("star_revenue_by_weekday")
+def _star_revenue_by_weekday(spark, d):
+    gold = gold_of(spark, d)
+    return star.revenue_by_weekday(gold.stored_facts(), gold.dim_date, 1997, 2)
+
+
 @query("star_revenue_by_type_quarter")
 def _star_revenue_by_type_quarter(spark, d):
     gold = gold_of(spark, d)
@@ -418,6 +473,17 @@ def _activity_log(spark, d):
     return pages.select("customer_id", F.inline("activity_log"))
 
 
+@query("busy_activity_log")
+def _busy_activity_log(spark, d):
+    """The pages of at most 64 entries when one customer has a third of all events."""
+    pages = activity_log(clean_event(feeds.busy_event_feed(spark, d)), size=64)
+    times = F.transform("activity_log", lambda entry: entry["time_stamp"])
+    return pages.select(
+        "customer_id", "page", F.size("activity_log").alias("entries"),
+        F.array_min(times).alias("first_time"), F.array_max(times).alias("last_time"),
+    )
+
+
 @query("transaction_log")
 def _transaction_log(spark, d):
     pages = transaction_log(gold_of(spark, d).facts())
@@ -520,6 +586,12 @@ def _stream_fact_equals_batch(spark, d):
     return lake_of(spark, d).facts().select(*FACT_TRANSACTION.names)
 
 
+@query("stream_revenue_cube")
+def _stream_revenue_cube(spark, d):
+    """Sums by month and product, by either and in all, kept up to date batch by batch."""
+    return lake_of(spark, d).revenue()
+
+
 @query("stream_dim_customer")
 def _stream_dim_customer(spark, d):
     """All versions after the stream, walk-ins included."""

@@ -42,6 +42,22 @@ def revenue_by_day(facts: DataFrame, first_day: int, last_day: int) -> DataFrame
     return chosen.groupBy("date_key").agg(*_sums(F.count("*")))
 
 
+def revenue_by_weekday(facts: DataFrame, dim_date: DataFrame, year: int, quarter: int) -> DataFrame:
+    """Units, revenue and sales per day of the week in one quarter.
+
+    ``facts`` lie by ``sale_month``. The calendar's rows for the quarter are found when the query
+    runs, and their months choose the folders that are read.
+    """
+    chosen = dim_date.where((F.col("year") == year) & (F.col("quarter") == quarter)).select(
+        "date_key", "day_of_week",
+        F.expr("CAST(date_key div 100 AS INT)").alias("sale_month"),
+    )
+    days = F.broadcast(chosen)  # a quarter of a calendar
+    return facts.join(days, ["sale_month", "date_key"]).groupBy("day_of_week").agg(
+        *_sums(F.count("*"))
+    )
+
+
 def revenue_by_country(facts: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """Units, revenue and sales by the customer's country; walk-ins count as unknown."""
     per_customer = facts.groupBy("customer_sk").agg(*_sums(F.count("*")))

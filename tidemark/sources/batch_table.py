@@ -31,6 +31,8 @@ class BatchTable:
 
     def add(self, batch_id: int, rows: DataFrame) -> None:
         named = rows.select(*self.schema.names, F.lit(batch_id).cast("long").alias("batch_id"))
+        if self.partition_by:  # else every task writes a file of its own into every folder
+            named = named.hint("rebalance", *self.partition_by)
         (
             named.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")

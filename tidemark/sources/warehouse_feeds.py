@@ -171,14 +171,26 @@ def transaction_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @feed
 def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _events(spark, sf_dir, F.col("user_id").cast("string"), F.col("ts"))
+
+
+@feed
+def busy_event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events with a third of them of one customer, and every tenth without a time."""
+    busy = F.when(F.col("event_id") % 3 == 0, F.lit("busy"))
+    owner = F.coalesce(busy, F.col("user_id").cast("string"))
+    return _events(spark, sf_dir, owner, F.when(F.col("event_id") % 10 != 0, F.col("ts")))
+
+
+def _events(spark: SparkSession, sf_dir: str, customer: Column, time: Column) -> DataFrame:
     after = F.struct(
         F.col("event_id"),
         F.col("event_type").alias("type"),
-        F.col("user_id").cast("string").alias("customer_id"),
+        customer.alias("customer_id"),
         F.when(F.col("event_id") % 3 != 0, F.concat(
             F.lit("https://shop.example/"), F.col("event_type"), F.lit("/"), F.col("event_id")
         )).alias("url"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("time_stamp"),
+        F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("time_stamp"),
     )
     return spread_table(spark, sf_dir, "events", "event_id").select(
         *record("event", F.col("event_id"), after, F.lit("c"), F.lit(0))

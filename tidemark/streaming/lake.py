@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.operators.aggregates import REVENUE, combined, revenue_change
 from tidemark.operators.calendar import dim_date
 from tidemark.operators.cleaners import (
     clean_customer,
@@ -22,7 +23,7 @@ from tidemark.operators.cleaners import (
 from tidemark.operators.envelope import FEED_ORDER, PAYLOADS, parse, quarantine, union_feeds
 from tidemark.operators.fact import build_fact
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.logs import SLOTS, log_pages, month_of
+from tidemark.operators.logs import PAGE, log_pages, repaged
 from tidemark.operators.resolve import in_time, pages_of_customers
 from tidemark.operators.scd2 import current_versions, first_dim_customer, first_dim_product
 from tidemark.operators.upsert import is_named, transaction_rows
@@ -48,7 +49,6 @@ COMPACT_EVERY = 20
 
 _CHANGE = T.StructType().add("ts_ms", "long").add("offset", "long")
 _DAY = T.StructType().add("day", "date")
-_MONTH = T.StructType().add("month", "integer")
 
 
 def _with(schema: T.StructType, *more: T.StructType) -> T.StructType:
@@ -75,12 +75,12 @@ class Lake:
         as_of: dt.date | str | None = None,
         strict_compat: bool = False,
         fact_key: str = "md5",
-        slots: int = SLOTS,
+        page: int = PAGE,
         keep_unreadable: bool = True,
     ):
         self.spark, self.root, self.as_of = spark, root, as_of
         self.strict_compat = strict_compat
-        self.fact_key, self.slots = fact_key, slots
+        self.fact_key, self.page = fact_key, page
         self.keep_unreadable = keep_unreadable
 
         def growing(zone: str, name: str, schema: T.StructType, *by: str) -> BatchTable:
@@ -96,11 +96,12 @@ class Lake:
         month = T.StructType().add("sale_month", "integer")
         self.fact_transaction = growing("gold", "fact", _with(FACT_TRANSACTION, month), "sale_month")
         self.resent = growing("gold", "resent", T.StructType().add("transaction_id", "string"))
+        self.revenue_changes = growing("gold", "revenue", REVENUE)
         self.people = Documents(
             spark, f"{root}/profile/people", SILVER_CUSTOMER, ["customer_id"]
         )
-        self.activity = growing("profile", "activity", _with(ACTIVITY_PAGES, _MONTH), "month")
-        self.purchases = growing("profile", "purchases", _with(TRANSACTION_PAGES, _MONTH), "month")
+        self.activity = growing("profile", "activity", ACTIVITY_PAGES)
+        self.purchases = growing("profile", "purchases", TRANSACTION_PAGES)
 
     def apply(self, raw: DataFrame, batch_id: int) -> None:
         """Bring one micro-batch of feed records into every table."""
@@ -147,7 +148,7 @@ class Lake:
             self.compact()
 
     def _add_facts(self, transactions: DataFrame, days: DataFrame, batch_id: int) -> None:
-        """The batch's facts, and the ids among them that an earlier batch has stored."""
+        """The batch's facts, the ids among them that came earlier, and what both do to the sums."""
         stored = self.fact_transaction.read(before=batch_id).select("transaction_id")
         again = transactions.select("transaction_id").join(stored, "transaction_id", "left_semi")
         facts = build_fact(
@@ -158,11 +159,17 @@ class Lake:
             self.fact_key,
         )
         month = F.floor(F.col("date_key") / 100).cast("int").alias("sale_month")
-        together(
-            self.spark,
-            lambda: self.resent.add(batch_id, again),
-            lambda: self.fact_transaction.add(batch_id, facts.select("*", month)),
-        )
+        with persisted(facts.select("*", month), again) as (added, resent):
+            replaced = None
+            if not resent.isEmpty():
+                older = self._unique(self.fact_transaction, before=batch_id)
+                replaced = older.join(resent, "transaction_id", "left_semi")
+            together(
+                self.spark,
+                lambda: self.resent.add(batch_id, resent),
+                lambda: self.fact_transaction.add(batch_id, added),
+                lambda: self.revenue_changes.add(batch_id, revenue_change(added, replaced)),
+            )
 
     def _dimension(self, changes: BatchTable, build, rows: DataFrame, key: str) -> DataFrame:
         """The current versions of the keys in ``rows``; the other keys' changes are not reduced."""
@@ -178,18 +185,9 @@ class Lake:
         entry: tuple[str, ...],
         time: str,
     ) -> None:
-        """Store the pages that the batch touches anew, whole, with the entries they had before.
-
-        Only the months of the batch's entries are read, a handful of numbers on the driver.
-        """
+        """Store the batch's entries as pages of their own; no stored page is read or written."""
         log = next(f.name for f in table.schema if isinstance(f.dataType, T.ArrayType))
-        new = log_pages(rows, key, entry, log, time, self.slots)
-        new = new.withColumn("month", F.expr(f"cast(page div {self.slots} AS int)"))
-        months = [row[0] for row in rows.select(month_of(time)).distinct().collect()]
-        old = current_pages(table.read(before=batch_id).where(F.col("month").isin(months)), key, log)
-        both = new.join(old.withColumnRenamed(log, "_old"), [key, "page", "month"], "left")
-        entries = F.concat(F.coalesce("_old", F.expr("slice(" + log + ", 1, 0)")), log)
-        table.add(batch_id, both.withColumn(log, F.sort_array(entries)))
+        table.add(batch_id, log_pages(rows, key, entry, log, time, self.page, kept=True))
 
     def calendar(self, as_of: dt.date | str | None = None) -> DataFrame:
         """The calendar, written once, around the day of the first batch."""
@@ -224,34 +222,41 @@ class Lake:
         """
         return self._unique(self.fact_transaction).drop("batch_id")
 
-    def _unique(self, table: BatchTable) -> DataFrame:
-        """A batch holds an id once. Rows whose id a later batch brought again are left out."""
-        rows = table.read()
+    def revenue(self) -> DataFrame:
+        """Sums of all facts by month and product, by either, and in all."""
+        return combined(self.revenue_changes.read())
+
+    def _unique(self, table: BatchTable, before: int | None = None) -> DataFrame:
+        """A batch holds an id once. Rows whose id a later batch brought again are left out.
+
+        With ``before``, the rows as they were before that batch.
+        """
+        rows = table.read(before)
         if not self.resent.batches():
             return rows
-        again = self.resent.read().groupBy("transaction_id").agg(F.max("batch_id").alias("last"))
+        again = self.resent.read(before).groupBy("transaction_id").agg(F.max("batch_id").alias("last"))
         older = (rows["transaction_id"] == again["transaction_id"]) & (
             rows["batch_id"] < again["last"]
         )
         return rows.join(again, older, "left_anti")
 
     def activity_pages(self) -> DataFrame:
-        """``customer_id, page, activity_log`` as they are now."""
-        return current_pages(self.activity.read(), "customer_id", "activity_log").drop("month")
+        """``customer_id, page, activity_log``; pages are numbered by the batch that brought them."""
+        return self.activity.read().drop("batch_id")
 
     def purchase_pages(self) -> DataFrame:
-        """``phone_number, page, transaction_log`` as they are now."""
-        return current_pages(self.purchases.read(), "phone_number", "transaction_log").drop("month")
+        """``phone_number, page, transaction_log``, numbered likewise."""
+        return self.purchases.read().drop("batch_id")
 
     def profiles(self) -> DataFrame:
-        """Profile documents: every customer's demographics with each page of both logs.
+        """Profile documents: every customer's demographics with each page of either log.
 
         Purchases belong to a phone number, and to its customers whenever those became known.
         Customers known only from activity have pages with empty demographics.
         """
         people = self.people.current()
         pages = pages_of_customers(self.purchase_pages(), people).drop("phone_number")
-        pages = pages.join(self.activity_pages(), ["customer_id", "page"], "full")
+        pages = pages.unionByName(self.activity_pages(), allowMissingColumns=True)
         return people.join(pages, "customer_id", "full")
 
     def create_views(self) -> None:
@@ -274,9 +279,12 @@ class Lake:
         self.product_changes.compact(_latest_products)
         self.customer_days.compact(lambda rows: _last_of_day(rows, "customer_id"))
         self.product_days.compact(lambda rows: _last_of_day(rows, "product_id"))
+        self.revenue_changes.compact(combined)
         self.people.compact(self.people.newest)
-        self.activity.compact(lambda rows: current_pages(rows, "customer_id", "activity_log"))
-        self.purchases.compact(lambda rows: current_pages(rows, "phone_number", "transaction_log"))
+        self.activity.compact(lambda rows: repaged(rows, "customer_id", "activity_log", self.page))
+        self.purchases.compact(
+            lambda rows: repaged(rows, "phone_number", "transaction_log", self.page)
+        )
 
 
 def _latest_customers(changes: DataFrame) -> DataFrame:
@@ -293,11 +301,6 @@ def _last_of_day(changes: DataFrame, key: str) -> DataFrame:
     return latest_per_key(changes, [key, "day"], list(FEED_ORDER))
 
 
-def current_pages(pages: DataFrame, key: str, log: str) -> DataFrame:
-    """Each page as the last batch that touched it has left it."""
-    return pages.groupBy(key, "page", "month").agg(F.max_by(log, "batch_id").alias(log))
-
-
 @contextmanager
 def persisted(*frames: DataFrame) -> Iterator[tuple[DataFrame, ...]]:
     """Keep frames for the several writes of a batch; lost blocks are computed again."""
