@@ -112,7 +112,7 @@ def test_files_of_lost_attempts_are_not_read(spark, documents):
 def test_bins_hold_everything_and_swaps_only_help(lengths):
     bins = packing.Bins(lengths, 40)
     before, squares = len(bins.items), sum((40 - f) ** 2 for f in bins.free)
-    bins.improve(rounds=4)
+    bins.improve()
     assert sorted(i for items in bins.items for i in items) == list(range(len(lengths)))
     for items, free in zip(bins.items, bins.free, strict=True):
         assert sum(lengths[i] for i in items) == 40 - free and free >= 0
@@ -121,12 +121,52 @@ def test_bins_hold_everything_and_swaps_only_help(lengths):
     assert sum((40 - f) ** 2 for f in bins.free) >= squares
 
 
+def fewest(lengths, capacity):
+    """The least number of bins, by trying all."""
+    best = len(lengths)
+
+    def place(at, free):
+        nonlocal best
+        if len(free) >= best:
+            return
+        if at == len(lengths):
+            best = len(free)
+            return
+        for k in {f: k for k, f in enumerate(free) if f >= lengths[at]}.values():
+            place(at + 1, [*free[:k], free[k] - lengths[at], *free[k + 1 :]])
+        place(at + 1, [*free, capacity - lengths[at]])
+
+    place(0, [])
+    return best
+
+
 def test_swaps_empty_a_bin_that_best_fit_needs():
-    lengths = [6, 5, 5, 4, 4, 3, 3]  # best fit needs a fourth bin for ten
-    bins = packing.Bins([x * 10 for x in lengths] * 6, 100)
+    lengths = [10, 10, 9, 8, 7, 5, 5, 4, 3, 2]
+    bins = packing.Bins(lengths, 16)
+    assert len(bins.items) == 5 and fewest(lengths, 16) == 4
+    bins.improve()
+    assert sum(map(bool, bins.items)) == 4
+
+
+@pytest.mark.parametrize("lengths", [[300, 350, 420], [341, 342, 345, 400, 512, 513]])
+def test_search_goes_on_while_exchanges_help(lengths):
+    rng = np.random.default_rng(3)
+    bins = packing.Bins(rng.choice(lengths, 3000).tolist(), 1024)
     before = len(bins.items)
-    bins.improve(rounds=10)
-    assert sum(map(bool, bins.items)) <= before
+    bins.improve()
+    assert sum(map(bool, bins.items)) < before - 30
+
+
+def test_number_of_bins_is_near_the_least():
+    rng = np.random.default_rng(5)
+    before = after = 0
+    for _ in range(500):
+        lengths = rng.integers(2, 11, 10).tolist()
+        bins, least = packing.Bins(lengths, 16), fewest(sorted(lengths, reverse=True), 16)
+        before += len(bins.items) - least
+        bins.improve()
+        after += sum(map(bool, bins.items)) - least
+    assert 3 * after < before
 
 
 def test_cut():

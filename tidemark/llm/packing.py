@@ -7,6 +7,7 @@ each chunk leaves a few underfull sequences at most.
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections.abc import Iterator
 
@@ -19,8 +20,6 @@ from tidemark.llm import batches, vocabulary
 from tidemark.llm.store import materialize
 
 CHUNK = 1 << 17  # pieces that are packed together
-ROUNDS = 2  # passes of the local search over the underfull bins of a chunk
-TRIES = 64  # bins looked at for one exchange
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PACKED = f"{_PIECES}, sequence_id long, offset long"
@@ -86,73 +85,62 @@ class Bins:
                 at[left].append(bin_)
                 some |= 1 << left
 
-    def improve(self, rounds: int = ROUNDS) -> None:
-        """Exchange items between underfull bins as long as that empties bins.
+    def improve(self) -> None:
+        """Exchange items between underfull bins, round after round, until no exchange helps.
 
-        Every exchange takes length from the less filled of two bins to the other, so the sum of
-        squared fills grows. The least filled bin gives first.
+        Every exchange takes length from a bin to one that is fuller after it, so the sum of squared
+        fills grows and the search ends. The least filled bin gives first, until it is empty or
+        stuck; it may give and take again in the next round. No bin can be saved, and the search
+        stops, where the free space left is less than a bin.
         """
-        for _ in range(rounds):
+        while True:
             open_bins = [b for b, free in enumerate(self.free) if 0 < free < self.capacity]
-            if sum(self.free[b] for b in open_bins) < self.capacity:
-                return
             open_bins.sort(key=lambda b: -self.free[b])
-            before = len(open_bins)
-            givers = open_bins[: max(1, sum(self.free[b] for b in open_bins) // self.capacity + 1)]
-            for giver in givers:
-                self._empty(giver, open_bins)
-            if sum(bool(self.items[b]) for b in open_bins) == before:
+            space = sum(self.free[b] for b in open_bins)
+            if space < self.capacity:
+                return
+            takers = _Takers(self, open_bins)
+            exchanges = 0
+            for giver in open_bins:
+                if space < self.capacity:
+                    return
+                takers.leave(giver)
+                exchanges += self._empty(giver, takers)
+                if not self.items[giver]:  # its own space is no longer free space in a bin
+                    space -= self.capacity
+            if not exchanges:
                 return
 
-    def _empty(self, giver: int, open_bins: list[int]) -> None:
-        takers = [b for b in reversed(open_bins) if b != giver and self.items[b]]
-        holders: dict[int, list[int]] = {}
-        for taker in takers:
-            for item in self.items[taker]:
-                holders.setdefault(self.lengths[item], []).append(taker)
-        changed = True
-        while changed and self.items[giver]:
-            changed = any(
-                self._move(giver, item, takers) for item in sorted(
-                    self.items[giver], key=lambda i: -self.lengths[i]
-                )
-            ) or self._exchange(giver, holders)
-
-    def _fuller(self, giver: int, taker: int, gain: int) -> bool:
-        """Whether the taker has space for a gain, and is at least as full as the giver after it."""
-        return gain <= self.free[taker] and self.free[taker] - gain < self.free[giver]
-
-    def _move(self, giver: int, item: int, takers: list[int]) -> bool:
-        length = self.lengths[item]
-        fits = [b for b in takers if self._fuller(giver, b, length)]
-        if not fits:
-            return False
-        self._give(giver, [item], min(fits, key=lambda b: self.free[b]), [])
-        return True
-
-    def _exchange(self, giver: int, holders: dict[int, list[int]]) -> bool:
-        """One or two of the giver's items for one shorter item of a taker that has the space."""
-        own = self.items[giver]
-        offers = [(i,) for i in own] + [
-            (own[x], own[y]) for x in range(min(len(own), TRIES)) for y in range(x)
-        ]
-        most = max((self.free[b] for takers in holders.values() for b in takers), default=0)
-        for offer in offers:
-            size = sum(self.lengths[i] for i in offer)
-            for gain in range(min(most, size - 1), 0, -1):
-                for taker in holders.get(size - gain, ())[:TRIES]:
-                    if not self._fuller(giver, taker, gain):
-                        continue
-                    other = next(
-                        (i for i in self.items[taker] if self.lengths[i] == size - gain), None
-                    )
-                    if other is None:
-                        continue
-                    self._give(giver, list(offer), taker, [other])
-                    for item in offer:
-                        holders.setdefault(self.lengths[item], []).append(taker)
-                    return True
-        return False
+    def _empty(self, giver: int, takers: _Takers) -> int:
+        """Move or exchange the giver's items, the largest gain first; how often that helped."""
+        exchanges = 0
+        while self.items[giver]:
+            one = {self.lengths[i]: (i,) for i in self.items[giver]}
+            offers = self._pairs(giver)
+            offers.update(one)  # rather one item than two of the same length together
+            found = takers.best(offers, self.free[giver])
+            if found is None:
+                break
+            exchanges += 1
+            size, length, taker = found
+            back = [next(i for i in self.items[taker] if self.lengths[i] == length)] if length else []
+            self._give(giver, list(offers[size]), taker, back)
+            takers.changed(taker)
+        return exchanges
+
+    def _pairs(self, giver: int) -> dict[int, tuple[int, ...]]:
+        """Two items for each length that two items of the giver have together."""
+        own: dict[int, list[int]] = {}
+        for item in self.items[giver]:
+            own.setdefault(self.lengths[item], []).append(item)
+        found: dict[int, tuple[int, ...]] = {}
+        for x, first in own.items():
+            for y, second in own.items():
+                if x < y:
+                    found[x + y] = (first[0], second[0])
+            if len(first) > 1:
+                found[2 * x] = (first[0], first[1])
+        return found
 
     def _give(self, giver: int, items: list[int], taker: int, back: list[int]) -> None:
         gain = sum(self.lengths[i] for i in items) - sum(self.lengths[i] for i in back)
@@ -162,6 +150,64 @@ class Bins:
         self.free[taker] -= gain
 
 
+class _Takers:
+    """Bins that may take more, by the lengths that they hold: the one with the most space first.
+
+    Length 0 stands for nothing given back, so it has every bin.
+    """
+
+    def __init__(self, bins: Bins, open_bins: list[int]):
+        self.bins, self.open = bins, set(open_bins)
+        self.heaps: list[list[tuple[int, int]]] = [[] for _ in range(bins.capacity + 1)]
+        self.most = np.zeros(bins.capacity + 1, np.int64)
+        for taker in open_bins:
+            for length in self._held(taker):
+                self.heaps[length].append((-bins.free[taker], taker))
+        for length, heap in enumerate(self.heaps):
+            heapq.heapify(heap)
+            self._refresh(length)
+
+    def _held(self, taker: int) -> set[int]:
+        return {0, *(self.bins.lengths[i] for i in self.bins.items[taker])}
+
+    def _refresh(self, length: int) -> None:
+        """Drop entries that do not hold any more from the top."""
+        heap, bins = self.heaps[length], self.bins
+        while heap:
+            space, taker = heap[0]
+            if taker in self.open and -space == bins.free[taker] and length in self._held(taker):
+                break
+            heapq.heappop(heap)
+        self.most[length] = -heap[0][0] if heap else 0
+
+    def leave(self, taker: int) -> None:
+        self.open.discard(taker)
+        for length in self._held(taker):
+            self._refresh(length)
+
+    def changed(self, taker: int) -> None:
+        """A bin has other items and less space than before."""
+        for length in self._held(taker):
+            heapq.heappush(self.heaps[length], (-self.bins.free[taker], taker))
+        for length in range(len(self.heaps)):
+            if self.heaps[length] and self.heaps[length][0][1] == taker:
+                self._refresh(length)
+
+    def best(self, offers: dict[int, tuple[int, ...]], giver_free: int) -> tuple[int, int, int] | None:
+        """Offer, length given back and taker of the exchange with the largest gain."""
+        sizes = np.array([s for s in offers if s <= 2 * self.bins.capacity])
+        # For each offer and each length given back: the gain must fit into the taker's space and
+        # leave it with less space than the giver has.
+        gain = sizes[:, None] - np.arange(len(self.most))
+        fits = (gain > 0) & (gain <= self.most) & (self.most - gain < giver_free)
+        gain = np.where(fits, gain, 0)
+        at = int(gain.argmax())
+        if not gain.flat[at]:
+            return None
+        row, length = divmod(at, len(self.most))
+        return int(sizes[row]), length, self.heaps[length][0][1]
+
+
 def pack(lengths: list[int], capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """Bin and offset of every item; bins are numbered from 0 without gaps."""
     bins = Bins(lengths, capacity)
