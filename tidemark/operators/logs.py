@@ -2,6 +2,7 @@
 
 A page holds at most ``PAGE`` entries, whoever owns it: entries are counted along their time by a
 prefix sum over tasks, so a busy key, or entries without a time, fill more pages and not larger ones.
+A key that has no more entries than a page holds needs no counting along time.
 A batch of a stream makes pages of its own and rewrites none; :func:`repaged` joins small ones.
 
 A streaming aggregate cannot count along time. Its pages are months and slots, the hash of the whole
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.ranks import numbered, stored
+from tidemark.operators.ranks import numbered, sent_if_small, stored
 from tidemark.schemas import ACTIVITY_ENTRY, FACT_ENTRY
 
 PAGE = 1024  # entries of a page, at most
@@ -70,19 +71,31 @@ def log_pages(
     named = rows.where(F.col(key).isNotNull()).select(
         key, F.col(time).alias("_time"), F.struct(*entry).alias("_entry")
     )
-    placed = numbered(
-        named if kept else stored(named, "entries"), [key], ["_time", F.xxhash64("_entry")]
-    )
-    page = F.expr(f"CAST(position div {size} AS INT)").alias("page")
-    return placed.groupBy(key, page).agg(F.sort_array(F.collect_list("_entry")).alias(log))
+    named = named if kept else stored(named, "entries")
+    return _paged(named, key, ["_time", F.xxhash64("_entry")], log, size)
 
 
 def repaged(pages: DataFrame, key: str, log: str, size: int = PAGE) -> DataFrame:
     """Pages of several batches as full ones: the same entries, page after page."""
     each = pages.select(key, "batch_id", "page", F.posexplode(log).alias("_place", "_entry"))
-    placed = numbered(stored(each, "entries"), [key], ["batch_id", "page", "_place"])
-    page = F.expr(f"CAST(position div {size} AS INT)").alias("page")
-    return placed.groupBy(key, page).agg(F.sort_array(F.collect_list("_entry")).alias(log))
+    return _paged(stored(each, "entries"), key, ["batch_id", "page", "_place"], log, size)
+
+
+def _paged(named: DataFrame, key: str, order: list, log: str, size: int) -> DataFrame:
+    """Entries by position; those of a key with one page need none."""
+    def collected(placed: DataFrame, page: Column) -> DataFrame:
+        entries = F.sort_array(F.collect_list("_entry")).alias(log)
+        return placed.groupBy(key, page.cast("int").alias("page")).agg(entries)
+
+    counts = named.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > size)
+    busy = stored(counts.select(F.col(key).alias("_busy")), "busy")
+    if busy.isEmpty():
+        return collected(named, F.lit(0))
+    busy = sent_if_small(busy, 64)
+    is_busy = F.col(key) == F.col("_busy")
+    placed = numbered(named.join(busy, is_busy, "left_semi"), [key], order)
+    others = collected(named.join(busy, is_busy, "left_anti"), F.lit(0))
+    return collected(placed, F.expr(f"position div {size}")).unionByName(others)
 
 
 def activity_log(events: DataFrame, size: int = PAGE, kept: bool = False) -> DataFrame:
