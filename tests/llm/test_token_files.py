@@ -166,7 +166,7 @@ def test_number_of_bins_is_near_the_least():
         before += len(bins.items) - least
         bins.improve()
         after += sum(map(bool, bins.items)) - least
-    assert 3 * after < before
+    assert 2 * after < before
 
 
 def test_cut():
