@@ -198,6 +198,15 @@ _RESOLVED = _with(
        FROM transactions t JOIN customers c ON c.phone_number = t.phone_number""",
 )
 
+_SILVER_CUSTOMER = _with(
+    "customers walkins",
+    f"""SELECT {_CUSTOMER_COLUMNS} FROM customers
+        UNION ALL
+        SELECT customer_id, 'Unknown', 'Unknown', 'Unknown', NULL, 'Unknown',
+               any_value(phone_number), 'Unknown', {_day('max(effective_date)')}
+        FROM walkins GROUP BY customer_id""",
+)
+
 ORACLES = {
     "route_feed": _FEED_COUNTS,
     "stream_bronze_counts": _FEED_COUNTS,
@@ -311,14 +320,8 @@ ORACLES = {
     ),
     "walkin_dim_insert": _VERSIONS,
     "stream_dim_customer": _VERSIONS,
-    "stream_silver_customer": _with(
-        "customers walkins",
-        f"""SELECT {_CUSTOMER_COLUMNS} FROM customers
-            UNION ALL
-            SELECT customer_id, 'Unknown', 'Unknown', 'Unknown', NULL, 'Unknown',
-                   any_value(phone_number), 'Unknown', {_day('max(effective_date)')}
-            FROM walkins GROUP BY customer_id""",
-    ),
+    "stream_silver_customer": _SILVER_CUSTOMER,
+    "stream_customer_changes": _SILVER_CUSTOMER,
     "backfill_tables": _with(
         "customers transactions walkins customer_versions activities",
         f"""
@@ -456,6 +459,17 @@ ORACLES = {
     "stream_transaction_log": _RESOLVED,
     "activity_log": _ACTIVITY,
     "stream_activity_log": _ACTIVITY,
+    "stream_windowed_activity_log": _ACTIVITY,
+    "stream_sales_near_changes": _with(
+        "transactions",
+        f"""SELECT transaction_id, phone_number, {_time('sold_at')} AS timestamp,
+                   CAST(o_orderkey AS VARCHAR) AS change,
+                   {_time('CAST(o_orderdate AS TIMESTAMP)')} AS changed_at
+            FROM transactions
+            JOIN orders ON phone_number = '09' || lpad(CAST(o_custkey AS VARCHAR), 8, '0')
+             AND CAST(o_orderdate AS TIMESTAMP) BETWEEN sold_at - INTERVAL 3 MINUTE
+                                                    AND sold_at + INTERVAL 30 DAY""",
+    ),
     "transaction_log": _with(
         "facts",
         f"""SELECT customer_id, transaction_id, unit_sales_price, quantity, total_amount,

@@ -5,7 +5,7 @@ Results are rendered alike in any engine: decimals as doubles, dates and timesta
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import wraps
 from typing import NamedTuple
 
@@ -45,6 +45,7 @@ from tidemark.operators.walkins import (
 from tidemark.plans import star
 from tidemark.plans.backfill import load_tables
 from tidemark.schemas import (
+    ACTIVITY_ENTRY,
     ACTIVITY_PAGES,
     FACT_TRANSACTION,
     SILVER_CUSTOMER,
@@ -69,7 +70,9 @@ from tidemark.streaming.documents import (
     stateful_transaction_log,
     write_documents,
 )
+from tidemark.streaming.changes import replayed
 from tidemark.streaming.lake import Lake, start_lake
+from tidemark.streaming.windows import Punctual, WindowedLog, join_in_interval
 
 AS_OF = "2001-08-01"  # the last order day of the tables
 FIRST_CATALOGUE = "1994-01-01"  # a day before the first shipment
@@ -562,7 +565,9 @@ def _stream_bronze_counts(spark, d):
     return records_per_table(read_bronze(spark, f"{root}/bronze"))
 
 
-def lake_of(spark: SparkSession, d: str, customers_last: bool = False) -> Lake:
+def lake_of(
+    spark: SparkSession, d: str, customers_last: bool = False, change_feeds: bool = False
+) -> Lake:
     """A lake after all feeds went through bronze in several batches.
 
     Facts look up their dimensions, so these come first; ``customers_last`` turns the order round.
@@ -570,7 +575,7 @@ def lake_of(spark: SparkSession, d: str, customers_last: bool = False) -> Lake:
     root = work_dir(spark, "lake")
     master = feeds.customer_feed(spark, d).union(feeds.product_feed(spark, d))
     sales = feeds.transaction_feed(spark, d).union(feeds.event_feed(spark, d))
-    lake = Lake(spark, f"{root}/tables", as_of=AS_OF)
+    lake = Lake(spark, f"{root}/tables", as_of=AS_OF, change_feeds=change_feeds)
     bronze, checkpoint = f"{root}/bronze", f"{root}/checkpoints"
     for arriving in (sales, master) if customers_last else (master, sales):
         _as_files(arriving, f"{root}/feed", 4)
@@ -606,6 +611,17 @@ def _stream_silver_customer(spark, d):
     return lake_of(spark, d).silver_customer()
 
 
+@query("stream_customer_changes")
+def _stream_customer_changes(spark, d):
+    """The silver customers, rebuilt by another stream from what each batch has changed."""
+    lake = lake_of(spark, d, customers_last=True, change_feeds=True)
+    root = work_dir(spark, "changes")
+    changes = lake.feeds["customer"].stream()
+    copy = changes.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
+    copy.trigger(availableNow=True).start(f"{root}/copy").awaitTermination()
+    return replayed(spark.read.schema(changes.schema).parquet(f"{root}/copy"), "customer_id")
+
+
 @query("stream_profiles")
 def _stream_profiles(spark, d):
     """Every entry of the profiles after streaming, with customers that came after their sales."""
@@ -653,3 +669,60 @@ def _stream_transaction_log(spark, d):
     )
     pages = pages_of_customers(documents, lookup)
     return pages.select("customer_id", F.inline("transaction_log"))
+
+
+def _in_slices(rows: DataFrame, time: str, slices: int) -> Iterator[DataFrame]:
+    """The rows in pieces of equal time, one after the other, as they would have arrived."""
+    first, last = rows.select(F.unix_seconds(F.min(time)), F.unix_seconds(F.max(time))).first()
+    length = (last - first) // slices + 1
+    place = F.floor((F.unix_seconds(time) - first) / length)
+    for at in range(slices):
+        yield rows.where(place == at)
+
+
+@query("stream_windowed_activity_log")
+def _stream_windowed_activity_log(spark, d):
+    """Every event of closed windows, open ones and late arrivals; one in twenty comes late."""
+    root = work_dir(spark, "windows")
+    delay = "if(event_id % 20 = 0, interval 12 days, interval 0 days)"
+    events = stored(
+        events_of(spark, d).withColumn("arrival", F.col("time_stamp") + F.expr(delay)), "events"
+    )
+    schema = events.select("customer_id", *ACTIVITY_ENTRY).schema
+    arrived = Punctual(spark, f"{root}/arrived", schema, "time_stamp", "8 days")
+    log = WindowedLog(
+        arrived, f"{root}/closed", "customer_id", ACTIVITY_ENTRY, "activity_log", "1 day"
+    )
+    for piece in _in_slices(events, "arrival", 6):
+        piece.select(*schema.names).coalesce(1).write.mode("append").parquet(f"{root}/feed")
+        incoming = spark.readStream.schema(schema).parquet(f"{root}/feed")
+        arrived.write(incoming, f"{root}/checkpoints/arrived", True).awaitTermination()
+        log.write(f"{root}/checkpoints/closed", True).awaitTermination()
+    return log.entries()
+
+
+@query("stream_sales_near_changes")
+def _stream_sales_near_changes(spark, d):
+    """Sales with the changes of their customer's record from 3 minutes before to 30 days after."""
+    root = work_dir(spark, "interval")
+
+    def arriving(name: str, feed: DataFrame) -> DataFrame:
+        sent_at = F.timestamp_millis(F.get_json_object("value", "$.ts_ms").cast("bigint"))
+        for piece in _in_slices(stored(feed.withColumn("sent_at", sent_at), name), "sent_at", 4):
+            piece.drop("sent_at").coalesce(1).write.mode("append").parquet(f"{root}/{name}")
+        return stream_feed(spark, "parquet", f"{root}/{name}", maxFilesPerTrigger="1")
+
+    sales = clean_transaction(arriving("sales", feeds.transaction_feed(spark, d)), AS_OF)
+    changes = clean_customer(arriving("changes", feeds.customer_change_feed(spark, d))).select(
+        "phone_number",
+        F.col("last_name").alias("change"),
+        F.timestamp_millis("ts_ms").alias("changed_at"),
+    )
+    met = join_in_interval(
+        sales.select("transaction_id", "phone_number", "timestamp"),
+        changes.withWatermark("changed_at", "10 minutes"),
+        "phone_number", "timestamp", "changed_at", after="30 days",
+    )
+    writer = met.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
+    writer.trigger(availableNow=True).start(f"{root}/met").awaitTermination()
+    return spark.read.schema(met.schema).parquet(f"{root}/met")

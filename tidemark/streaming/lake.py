@@ -42,6 +42,7 @@ from tidemark.schemas import (
 )
 from tidemark.session import together
 from tidemark.sources.batch_table import BatchTable, folder_exists
+from tidemark.streaming.changes import ChangeFeed
 from tidemark.streaming.documents import Documents
 
 # Batches between two compactions.
@@ -66,6 +67,7 @@ class Lake:
     facts, which look up what the first step wrote. ``as_of`` is the processing day, fixed for a
     backfill; without it each batch takes the UTC day it starts on. Records that cannot be read or
     stored whole go to ``unreadable`` unless ``keep_unreadable`` is off.
+    With ``change_feeds`` a batch also records which silver rows it changed, in ``feeds`` by table.
     """
 
     def __init__(
@@ -77,6 +79,7 @@ class Lake:
         fact_key: str = "md5",
         page: int = PAGE,
         keep_unreadable: bool = True,
+        change_feeds: bool = False,
     ):
         self.spark, self.root, self.as_of = spark, root, as_of
         self.strict_compat = strict_compat
@@ -102,6 +105,15 @@ class Lake:
         )
         self.activity = growing("profile", "activity", ACTIVITY_PAGES)
         self.purchases = growing("profile", "purchases", TRANSACTION_PAGES)
+        reduced = {
+            "customer": (self.customer_changes, SILVER_CUSTOMER, _latest_customers),
+            "product": (self.product_changes, SILVER_PRODUCT, _latest_products),
+            "transaction": (self.silver_transaction, SILVER_TRANSACTION, _last_sent),
+        }
+        self.feeds = {
+            name: ChangeFeed(table, f"{root}/changes/{name}", f"{name}_id", schema, reduce)
+            for name, (table, schema, reduce) in reduced.items() if change_feeds
+        }
 
     def apply(self, raw: DataFrame, batch_id: int) -> None:
         """Bring one micro-batch of feed records into every table."""
@@ -144,6 +156,8 @@ class Lake:
                     steps.append(lambda: self.unreadable.add(batch_id, found))
                 together(self.spark, *steps)
                 self._add_facts(transactions, days, batch_id)
+        for feed in self.feeds.values():
+            feed.record(batch_id)
         if batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
             self.compact()
 
@@ -297,6 +311,10 @@ def _latest_products(changes: DataFrame) -> DataFrame:
     return latest_per_key(changes, "product_id", list(FEED_ORDER))
 
 
+def _last_sent(rows: DataFrame) -> DataFrame:
+    return latest_per_key(rows, "transaction_id", ["batch_id"])
+
+
 def _last_of_day(changes: DataFrame, key: str) -> DataFrame:
     return latest_per_key(changes, [key, "day"], list(FEED_ORDER))
 
