@@ -1,8 +1,12 @@
 """Secrets in text: fixed patterns, and strings that look random to two character models.
 
 Everything is a DataFrame expression. Two first-order character models, of random strings and of
-ordinary identifiers, are counted over all labelled strings; a run of key characters is a secret if the
-random model explains it better by a given log-likelihood ratio.
+ordinary identifiers, are counted over all labelled strings; a stretch of key characters is a secret if
+the random model explains it better by a given log-likelihood ratio. Stretches are looked for in the
+runs outside the fixed patterns' spans, so a key within a path or beside a found id is found too.
+
+Arrays of matches are folded in chunks, each from what the chunks before hand on, so that a text costs
+in proportion to its matches.
 """
 
 from __future__ import annotations
@@ -32,8 +36,23 @@ IDENTIFIER = r"[A-Za-z0-9+/_-]{6,}"
 MARK = "[SECRET]"
 
 MARGIN = 12.0  # least log-likelihood ratio of a span
+LEAST = 16  # least length of a random span
 _ASCII = 128
-_NONE = "cast(array() AS array<struct<begin: int, kind: int, end: int>>)"
+_SPAN = "struct<begin: int, kind: int, end: int, value: string>"
+_NONE = f"cast(array() AS array<{_SPAN}>)"
+_CHUNK = 128  # matches folded together
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` for a value that is computed once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def _chunks(items: str) -> str:
+    return (
+        f"transform(sequence(0, cast((size({items}) - 1) div {_CHUNK} AS int)),"
+        f" k -> slice({items}, k * {_CHUNK} + 1, {_CHUNK}))"
+    )
 
 
 class Model(NamedTuple):
@@ -41,36 +60,105 @@ class Model(NamedTuple):
 
     ratios: tuple[float, ...]
 
-    def column(self, token: str) -> str:
-        """The ratio of a token, as SQL; its cost is in proportion to the token's length."""
+    def stretches(self, run: str, margin: float) -> str:
+        """The stretches of a run, as SQL: ``(begin, end)`` in the run, ``end`` exclusive.
+
+        The ratio is summed along the run and starts anew where it falls to 0, or by the margin below
+        its highest sum; each rise to the margin or more is a stretch from its start to its highest
+        sum, widened to the letters and digits around it, but for up to three of a part that a
+        separator cuts off and that goes on outside: these are left to that part. The cost is in proportion to the run's length.
+        """
         table = f"cast(split('{','.join(f'{x:.4f}' for x in self.ratios)}', ',') AS array<double>)"
-        codes = f"transform(split({token}, ''), c -> ascii(c))"
         pairs = (
-            f"zip_with({codes}, slice({codes}, 2, length({token})),"
+            f"zip_with(c, slice(c, 2, size(c)),"
             f" (a, b) -> if(b IS NULL, 0D, element_at({table}, a * {_ASCII} + b + 1)))"
         )
-        return f"aggregate({pairs}, 0D, (sum, x) -> sum + x)"
+        ratios = _let("c", f"transform(split({run}, ''), x -> ascii(x))", pairs)
+        kept = f"if(acc.top >= {margin}D, concat(acc.found, array(acc.stretch)), acc.found)"
+        new = "named_struct('begin', acc.at, 'end', acc.at + 2)"
+        fold = (
+            f"aggregate({ratios}, named_struct('at', 0, 'sum', 0D, 'top', 0D, 'stretch',"
+            " named_struct('begin', 0, 'end', 0), 'found',"
+            " cast(array() AS array<struct<begin: int, end: int>>)), (acc, x) -> CASE"
+            # a new rise begins
+            f" WHEN acc.sum <= 0D THEN named_struct('at', acc.at + 1, 'sum', greatest(x, 0D), 'top',"
+            f" greatest(x, 0D), 'stretch', {new}, 'found', acc.found)"
+            # the rise is over: keep it if it was high enough
+            f" WHEN acc.sum + x <= greatest(0D, acc.top - {margin}D) THEN named_struct('at', acc.at + 1, 'sum', 0D, 'top', 0D,"
+            f" 'stretch', {new}, 'found', {kept})"
+            " WHEN acc.sum + x > acc.top THEN named_struct('at', acc.at + 1, 'sum', acc.sum + x,"
+            " 'top', acc.sum + x, 'stretch', named_struct('begin', acc.stretch.begin, 'end',"
+            " acc.at + 2), 'found', acc.found)"
+            " ELSE named_struct('at', acc.at + 1, 'sum', acc.sum + x, 'top', acc.top, 'stretch',"
+            f" acc.stretch, 'found', acc.found) END, acc -> {kept})"
+        )
+        before = f"length(regexp_extract(left({run}, s.begin), '[A-Za-z0-9+]*$', 0))"
+        after = f"length(regexp_extract(substring({run}, s.end + 1), '^[A-Za-z0-9+]*', 0))"
+        inside = f"substring({run}, s.begin + 1, s.end - s.begin)"
+        head = f"length(regexp_extract({inside}, '^[A-Za-z0-9+]{{0,3}}[/_-]', 0))"
+        tail = f"length(regexp_extract({inside}, '[/_-][A-Za-z0-9+]{{0,3}}$', 0))"
+        begin = _let("n", before, _let("h", head, (
+            "if(h > 0 AND (n > 0 OR h = 1), s.begin + h, s.begin - n)"
+        )))
+        end = _let("n", after, _let("h", tail, (
+            "if(h > 0 AND (n > 0 OR h = 1), s.end - h, s.end + n)"
+        )))
+        return f"array_distinct(transform({fold}, s -> named_struct('begin', {begin}, 'end', {end})))"
 
 
 def _sql_text(pattern: str) -> str:
     return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _spans(pattern: str, kind: int, group: int, least: int) -> str:
+def _spans(pattern: str, kind: int, group: int, least: int, text: str = "text") -> str:
     """All matches of a pattern as spans, from the lengths of the matches and of what is between."""
     quoted = _sql_text(pattern)
-    parts = (
-        f"arrays_zip(slice(split(text, {quoted}, -1), 1,"
-        f" size(regexp_extract_all(text, {quoted}, 0))),"
-        f" regexp_extract_all(text, {quoted}, 0), regexp_extract_all(text, {quoted}, {group}))"
+    parts = _let(
+        "found",
+        f"regexp_extract_all({text}, {quoted}, 0)",
+        f"arrays_zip(slice(split({text}, {quoted}, -1), 1, size(found)), found,"
+        f" regexp_extract_all({text}, {quoted}, {group}))",
+    )
+    lengths = "aggregate(c, 0, (n, m) -> n + length(m.`0`) + length(m.found))"
+    starts = f"aggregate(q, array(0), (a, c) -> concat(a, array(element_at(a, -1) + {lengths})))"
+    begin = "acc.at + length(m.`0`)"
+    end = f"{begin} + length(m.found)"
+    one = f"named_struct('begin', {begin}, 'kind', {kind}, 'end', {end}, 'value', m.found)"
+    spans = (
+        f"aggregate(c, named_struct('at', starts[k], 'spans', {_NONE}), (acc, m) -> named_struct("
+        f"'at', {end}, 'spans', if(length(m.`2`) >= {least}, concat(acc.spans, array({one})),"
+        " acc.spans)), acc -> acc.spans)"
+    )
+    folded = _let("p", parts, _let("q", _chunks("p"), _let(
+        "starts", starts, f"flatten(transform(q, (c, k) -> {spans}))"
+    )))
+    return f"if({text} RLIKE {quoted}, {folded}, {_NONE})"
+
+
+def _replaced(text: str, spans: str, mark: str) -> str:
+    """The text with ``mark`` for every span; ``mark`` may use ``acc.at``, where the text so far ends,
+    and the span ``s``. Spans are sorted and may overlap."""
+    before = (
+        "aggregate(q, array(0), (a, c) -> concat(a, array(greatest(element_at(a, -1),"
+        " array_max(transform(c, s -> s.end))))))"
     )
-    begin, end = "acc.at + length(m.`0`)", "acc.at + length(m.`0`) + length(m.`1`)"
+    start = "if({0} = 0, 0, q[{0}][0].begin)"
+    stop = f"if(k + 1 < size(q), {start.format('least(k + 1, size(q) - 1)')}, length(t))"
+    # Each chunk with the part of the text from its first span to the next chunk's.
+    cut = _let("b", start.format("k"), _let("e", stop, (
+        "named_struct('spans', c, 'b', b, 'e', e, 'at', greatest(carried[k], b),"
+        " 'part', substring(t, b + 1, e - b))"
+    )))
+    kept = "substring(x.part, acc.at - x.b + 1, s.begin - acc.at)"
     folded = (
-        f"aggregate({parts}, struct(0 AS at, {_NONE} AS found), (acc, m) -> struct({end} AS at,"
-        f" if(length(m.`2`) >= {least}, concat(acc.found, array("
-        f"struct({begin} AS begin, {kind} AS kind, {end} AS end))), acc.found) AS found)).found"
+        "aggregate(x.spans, named_struct('at', x.at, 'out', ''), (acc, s) -> named_struct("
+        f"'at', greatest(acc.at, s.end), 'out', concat(acc.out, if(s.begin > acc.at, {kept}, ''),"
+        f" {mark})), acc -> concat(acc.out,"
+        " if(acc.at < x.e, substring(x.part, acc.at - x.b + 1), '')))"
     )
-    return f"if(text RLIKE {quoted}, {folded}, {_NONE})"
+    return _let("t", text, _let("q", _chunks(spans), _let("carried", before, (
+        f"array_join(transform(transform(q, (c, k) -> {cut}), x -> {folded}), '')"
+    ))))
 
 
 def base_spans(texts: DataFrame) -> DataFrame:
@@ -86,7 +174,7 @@ def train(texts: DataFrame) -> Model | None:
     such values whose digits, if any, stand together, which those of random strings rarely do.
     Only counts of character pairs leave the tasks. None without strings of both labels.
     """
-    value = "regexp_extract(substring(text, s.begin + 1, s.end - s.begin), '([A-Za-z0-9+/_-]+)$', 1)"
+    value = "regexp_extract(s.value, '([A-Za-z0-9+/_-]+)$', 1)"
     plain = (
         f"filter(regexp_extract_all(text, {_sql_text(IDENTIFIER)}, 0),"
         " t -> t RLIKE '^[^0-9]*[0-9]*[^0-9]*$')"
@@ -138,9 +226,9 @@ def find_secrets(
 ) -> DataFrame:
     """``doc_id, text, base, spans`` of every row.
 
-    ``base`` are the matches of the fixed patterns and ``spans`` these and the random strings that
-    touch none of them, both sorted by begin and kind; a span has code points ``begin`` and ``end``
-    (exclusive) and the kind's place in ``KINDS``. Null text is empty; empty text and an empty table
+    ``base`` are the matches of the fixed patterns and ``spans`` these and the random stretches of
+    the runs outside them, both sorted by begin and kind; a span has code points ``begin`` and ``end``
+    (exclusive), the kind's place in ``KINDS``, and its text as ``value``. Null text is empty; empty text and an empty table
     have no spans; repeated rows are scanned each; a null id stays; other columns are ignored.
     Without training strings of both labels only the fixed patterns count.
     """
@@ -153,15 +241,20 @@ def _with_spans(texts: DataFrame, margin: float) -> DataFrame:
     found = base_spans(texts)
     if model is None:
         return found.withColumn("spans", F.col("base"))
-    runs = found.withColumn("runs", F.expr(_spans(RUN, len(BASE), 0, 16)))
-    token = "substring(text, r.begin + 1, r.end - r.begin)"
-    extra = F.expr(
-        "filter(runs, r -> NOT exists(base, b -> b.begin < r.end AND r.begin < b.end)"
-        f" AND {model.column(token)} >= {margin}D)"
+    blank = "repeat('\n', greatest(s.end, acc.at) - greatest(s.begin, acc.at))"
+    outside = found.withColumn(
+        "outside", F.expr(f"if(size(base) > 0, {_replaced('text', 'base', blank)}, text)")
+    )
+    runs = outside.withColumn("runs", F.expr(_spans(RUN, len(BASE), 0, 16, "outside")))
+    random = (
+        f"transform(filter({model.stretches('r.value', margin)}, s -> s.end - s.begin >= {LEAST}),"
+        f" s -> named_struct('begin', r.begin + s.begin, 'kind', {len(BASE)}, 'end',"
+        " r.begin + s.end, 'value', substring(r.value, s.begin + 1, s.end - s.begin)))"
     )
     return runs.withColumn("spans", F.when(
-        F.size("runs") > 0, F.array_sort(F.concat("base", extra))
-    ).otherwise(F.col("base"))).drop("runs")
+        F.size("runs") > 0,
+        F.array_sort(F.concat("base", F.expr(f"flatten(transform(runs, r -> {random}))"))),
+    ).otherwise(F.col("base"))).drop("runs", "outside")
 
 
 KINDS = (*(kind for kind, *_ in BASE), RANDOM)
@@ -192,13 +285,8 @@ def summary(found: DataFrame) -> DataFrame:
 
 def redacted(text: str, spans: str, mark: str = MARK) -> Column:
     """The text with every span, or run of overlapping spans, replaced by a mark."""
-    folded = (
-        f"aggregate({spans}, struct(0 AS at, '' AS out), (acc, s) -> struct("
-        "greatest(acc.at, s.end) AS at, if(s.begin >= acc.at,"
-        f" concat(acc.out, substring({text}, acc.at + 1, s.begin - acc.at), '{mark}'), acc.out)"
-        f" AS out), acc -> concat(acc.out, substring({text}, acc.at + 1)))"
-    )
-    return F.when(F.size(spans) > 0, F.expr(folded)).otherwise(F.col(text))
+    marked = _replaced(text, spans, f"if(s.begin >= acc.at, '{mark}', '')")
+    return F.when(F.size(spans) > 0, F.expr(marked)).otherwise(F.col(text))
 
 
 def redact(
