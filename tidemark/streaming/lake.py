@@ -44,6 +44,7 @@ from tidemark.session import together
 from tidemark.sources.batch_table import BatchTable, folder_exists
 from tidemark.streaming.changes import ChangeFeed
 from tidemark.streaming.documents import Documents
+from tidemark.streaming.ids import IdIndex, only_in
 
 # Batches between two compactions.
 COMPACT_EVERY = 20
@@ -99,6 +100,7 @@ class Lake:
         month = T.StructType().add("sale_month", "integer")
         self.fact_transaction = growing("gold", "fact", _with(FACT_TRANSACTION, month), "sale_month")
         self.resent = growing("gold", "resent", T.StructType().add("transaction_id", "string"))
+        self.ids = IdIndex(spark, f"{root}/gold/fact_ids", "transaction_id")
         self.revenue_changes = growing("gold", "revenue", REVENUE)
         self.people = Documents(
             spark, f"{root}/profile/people", SILVER_CUSTOMER, ["customer_id"]
@@ -163,8 +165,7 @@ class Lake:
 
     def _add_facts(self, transactions: DataFrame, days: DataFrame, batch_id: int) -> None:
         """The batch's facts, the ids among them that came earlier, and what both do to the sums."""
-        stored = self.fact_transaction.read(before=batch_id).select("transaction_id")
-        again = transactions.select("transaction_id").join(stored, "transaction_id", "left_semi")
+        places = self.ids.find(transactions, before=batch_id)
         facts = build_fact(
             transactions,
             self._dimension(self.customer_days, first_dim_customer, transactions, "customer_id"),
@@ -173,15 +174,20 @@ class Lake:
             self.fact_key,
         )
         month = F.floor(F.col("date_key") / 100).cast("int").alias("sale_month")
-        with persisted(facts.select("*", month), again) as (added, resent):
+        with persisted(facts.select("*", month), places) as (added, known):
             replaced = None
+            resent = known.select("transaction_id")
             if not resent.isEmpty():
-                older = self._unique(self.fact_transaction, before=batch_id)
-                replaced = older.join(resent, "transaction_id", "left_semi")
+                older = only_in(self.fact_transaction.read(before=batch_id), known)
+                last = (older["transaction_id"] == known["transaction_id"]) & (
+                    older["batch_id"] == known["in_batch"]
+                )
+                replaced = older.join(known, last, "left_semi")
             together(
                 self.spark,
                 lambda: self.resent.add(batch_id, resent),
                 lambda: self.fact_transaction.add(batch_id, added),
+                lambda: self.ids.put(batch_id, added),
                 lambda: self.revenue_changes.add(batch_id, revenue_change(added, replaced)),
             )
 
