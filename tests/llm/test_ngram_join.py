@@ -96,10 +96,33 @@ def test_odd_rows(documents):
     kept = keep_first(documents(*rows))
     assert kept.columns == documents().columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(
-        ["None", "0", "1", "2", "3", "3", "4", "5", "6", "7", "7"]
+        ["None", "0", "1", "2", "3", "4", "5", "6", "7"]
     )
 
 
+def test_one_row_of_each_group_stays(documents):
+    """Repeated ids, copies without id, and near copies with and without id."""
+    base = [f"w{i}" for i in range(60)]
+    near = [*base[:-1], "other"]
+    rows = [
+        (5, " ".join(base)), (5, " ".join(base)), (5, "a text of its own"),
+        (None, " ".join(near)), (None, " ".join(near)),
+        (None, "only copies without id here"), (None, "only copies without id here"),
+        (8, "clean"), (None, None), (None, ""), (None, ""),
+    ]
+    kept = keep_first(documents(*rows))
+    assert kept.columns == documents().columns
+    assert sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == sorted([
+        ("5", "a text of its own"), ("8", "clean"), ("None", "only copies without id here"),
+        ("None", "None"), ("None", ""), ("None", ""),
+    ])
+    clashing = documents(*rows).withColumnRenamed("row", "row_key").withColumnRenamed("kind", "a.b")
+    again = keep_first(clashing)
+    assert again.columns == clashing.columns
+    assert again.count() == 6
+    assert keep_first(documents()).collect() == []
+
+
 def test_empty_table(documents):
     assert near_duplicates(documents()).collect() == []
 

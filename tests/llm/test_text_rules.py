@@ -244,6 +244,28 @@ def test_measures_and_verdict(documents):
     assert kept == {20, 25, 27}
 
 
+def test_measured_costs_give_the_same_order_every_time(documents):
+    """Rules far apart in cost or in selectivity, in ten calls; no rows cost nothing to measure."""
+    rows = [(i, " ".join(f"word{i * j}" for j in range(200))) for i in range(400)]
+    dear = "regexp_count(text, '(w|x)+(o|y)+[a-z]+[0-9]*7') + regexp_count(text, '[a-z]+0') >= 0"
+    rules = (
+        cascade.Rule("dear", dear),
+        cascade.Rule("cheap", "length(text) >= 0"),
+        cascade.Rule("rare", "length(text) < 1300"),
+        cascade.Rule("never", "length(text) < 0"),
+    )
+    texts = documents(*rows).select("text").repartition(2).cache()
+    orders = [cascade.measure(texts, rules) for _ in range(10)]
+    assert all(m.seconds > 0 for order in orders for m in order)
+    assert {tuple((m.rule.name, m.rejected) for m in order) for order in orders} == {tuple(
+        (m.rule.name, m.rejected) for m in orders[0]
+    )}
+    named = [[r.name for r in cascade.ordered(order)] for order in orders]
+    assert all(order.index("cheap") < order.index("dear") for order in named)
+    assert all(order[-1] == "never" for order in named)
+    assert [m.rejected for m in cascade.measure(documents().select("text"), rules)] == [0.0] * 4
+
+
 def test_rules_run_by_rejection_per_cost():
     rules = [cascade.Rule(n, "false") for n in "abc"]
     measured = [cascade.Measured(rules[0], 1.0, 0.1), cascade.Measured(rules[1], 0.1, 0.1),

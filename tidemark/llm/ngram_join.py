@@ -20,7 +20,7 @@ from pyspark.sql.functions import pandas_udf
 
 from tidemark.llm import batches
 from tidemark.llm.components import components
-from tidemark.llm.store import materialize
+from tidemark.llm.store import materialize, sent_if_small
 
 SKETCH_BITS = 20  # a counter per value of so many bits of a shingle's hash: 4 MB at every scale
 CHUNK = 1 << 14  # counters per row while counters are summed
@@ -347,14 +347,37 @@ def _unjoined_pairs(
 
 
 def keep_first(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options):
-    """The rows of ``df`` whose document has the least id of its component; options as above.
-
-    Rows without id stay. Ids of the others go to every executor if they are few bytes, else both
-    tables are shuffled.
+    """One row of ``df`` for each component, that of its least id; options as above.
+
+    Rows with the same id are one document: of those with the surviving id, the one with the least
+    text stays. A row without id takes part under a number from 2^62 on that its text decides, so
+    that copies without id are one row, and a document with a smaller id survives before them. Null
+    and empty texts are linked with nothing: without id, all their rows stay. The columns of ``df``
+    are returned whatever their names. Ids of rows that go, and of rows that repeat, are sent to every
+    executor if they are few bytes, else both tables are shuffled.
     """
-    found = near_duplicates(df, id_column, text_column, **options)
-    others = found.where("doc_id != component_id").select(F.col("doc_id").alias("other")).distinct()
-    others = materialize(others, "copies")
-    if others.count() * 8 <= BROADCAST_BYTES:
-        others = F.broadcast(others)
-    return df.join(others, df[f"`{id_column}`"].cast("long") == others["other"], "left_anti")
+    columns = df.columns
+    key = "row_key"
+    while key in {c.lower() for c in columns}:
+        key += "_"
+    text = F.col(f"`{text_column}`").cast("string")
+    derived = F.xxhash64(text).bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
+    own = F.col(f"`{id_column}`").cast("long")
+    keyed = df.withColumn(key, F.coalesce(own, F.when(text.rlike(r"[^\x20\x09-\x0D]"), derived)))
+    found = near_duplicates(keyed, key, text_column, **options).where("doc_id IS NOT NULL")
+    rows = found.groupBy("doc_id").agg(
+        F.min("component_id").alias("component_id"), F.count("*").alias("times")
+    )
+    copies = materialize(rows.where("doc_id != component_id OR times > 1"), "copies")
+    others = copies.where("doc_id != component_id").select(F.col("doc_id").alias(key))
+    kept = keyed.join(sent_if_small(others, 8), key, "left_anti")
+    repeated = copies.where("doc_id = component_id").select(F.col("doc_id").alias(key))
+    if repeated.isEmpty():
+        return kept.select(*(F.col(f"`{c}`") for c in columns))
+    repeated = sent_if_small(repeated, 8)
+    whole = F.struct(*(F.col(f"`{c}`") for c in columns))
+    once = kept.join(repeated, key, "left_semi").groupBy(key).agg(
+        F.min_by(whole, F.coalesce(text, F.lit(""))).alias("row")
+    )
+    once = once.select(*(F.col("row").getField(c).alias(c) for c in columns))
+    return kept.join(repeated, key, "left_anti").select(*(F.col(f"`{c}`") for c in columns)).union(once)
