@@ -320,6 +320,7 @@ ORACLES = {
     ),
     "walkin_dim_insert": _VERSIONS,
     "stream_dim_customer": _VERSIONS,
+    "stream_current_customer": f"SELECT * FROM ({_VERSIONS}) WHERE is_current",
     "stream_silver_customer": _SILVER_CUSTOMER,
     "stream_customer_changes": _SILVER_CUSTOMER,
     "backfill_tables": _with(
@@ -354,6 +355,7 @@ ORACLES = {
         FROM days LEFT JOIN per_day ON per_day.day = days.day""",
     "fact_transaction": _FACTS,
     "stream_fact_equals_batch": _FACTS,
+    "stream_fact_by_snapshot": _FACTS,
     "fact_transaction_shuffled": _FACTS,
     "fact_transaction_uuid": f"""
         SELECT * EXCLUDE (transaction_sk), 36 AS key_length, CAST(1 AS BIGINT) AS uses

@@ -565,9 +565,7 @@ def _stream_bronze_counts(spark, d):
     return records_per_table(read_bronze(spark, f"{root}/bronze"))
 
 
-def lake_of(
-    spark: SparkSession, d: str, customers_last: bool = False, change_feeds: bool = False
-) -> Lake:
+def lake_of(spark: SparkSession, d: str, customers_last: bool = False, **options) -> Lake:
     """A lake after all feeds went through bronze in several batches.
 
     Facts look up their dimensions, so these come first; ``customers_last`` turns the order round.
@@ -575,7 +573,7 @@ def lake_of(
     root = work_dir(spark, "lake")
     master = feeds.customer_feed(spark, d).union(feeds.product_feed(spark, d))
     sales = feeds.transaction_feed(spark, d).union(feeds.event_feed(spark, d))
-    lake = Lake(spark, f"{root}/tables", as_of=AS_OF, change_feeds=change_feeds)
+    lake = Lake(spark, f"{root}/tables", as_of=AS_OF, **options)
     bronze, checkpoint = f"{root}/bronze", f"{root}/checkpoints"
     for arriving in (sales, master) if customers_last else (master, sales):
         _as_files(arriving, f"{root}/feed", 4)
@@ -606,6 +604,22 @@ def _stream_dim_customer(spark, d):
     )
 
 
+@query("stream_current_customer")
+def _stream_current_customer(spark, d):
+    """Current versions out of the bucketed snapshot, taken anew after every second batch."""
+    lake = lake_of(spark, d, compact_every=2, buckets=8)
+    return lake.current_customers().select(
+        "customer_sk", "customer_id", "first_name", "phone_number", "country", "effective_date",
+        "expired_date", "is_current",
+    )
+
+
+@query("stream_fact_by_snapshot")
+def _stream_fact_by_snapshot(spark, d):
+    """Facts whose batches look the versions up in a snapshot of the batches before."""
+    return lake_of(spark, d, compact_every=1, buckets=8).facts().select(*FACT_TRANSACTION.names)
+
+
 @query("stream_silver_customer")
 def _stream_silver_customer(spark, d):
     return lake_of(spark, d).silver_customer()

@@ -25,7 +25,7 @@ from tidemark.operators.fact import build_fact
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.logs import PAGE, log_pages, repaged
 from tidemark.operators.resolve import in_time, pages_of_customers
-from tidemark.operators.scd2 import current_versions, first_dim_customer, first_dim_product
+from tidemark.operators.scd2 import first_dim_customer, first_dim_product
 from tidemark.operators.upsert import is_named, transaction_rows
 from tidemark.operators.walkins import customers_by_day, with_placeholders
 from tidemark.schemas import (
@@ -45,6 +45,7 @@ from tidemark.sources.batch_table import BatchTable, folder_exists
 from tidemark.streaming.changes import ChangeFeed
 from tidemark.streaming.documents import Documents
 from tidemark.streaming.ids import IdIndex, only_in
+from tidemark.streaming.snapshot import BUCKETS, Current
 
 # Batches between two compactions.
 COMPACT_EVERY = 20
@@ -81,8 +82,11 @@ class Lake:
         page: int = PAGE,
         keep_unreadable: bool = True,
         change_feeds: bool = False,
+        compact_every: int = COMPACT_EVERY,
+        buckets: int = BUCKETS,
     ):
         self.spark, self.root, self.as_of = spark, root, as_of
+        self.compact_every = compact_every
         self.strict_compat = strict_compat
         self.fact_key, self.page = fact_key, page
         self.keep_unreadable = keep_unreadable
@@ -96,6 +100,13 @@ class Lake:
         self.silver_transaction = growing("silver", "transaction", SILVER_TRANSACTION)
         self.customer_days = growing("gold", "customer", _with(SILVER_CUSTOMER, _CHANGE, _DAY))
         self.product_days = growing("gold", "product", _with(SILVER_PRODUCT, _CHANGE, _DAY))
+        last = ["day", *FEED_ORDER]
+        self.customers = Current(
+            self.customer_days, f"{root}/gold/current/customer", "customer_id", last, buckets
+        )
+        self.products = Current(
+            self.product_days, f"{root}/gold/current/product", "product_id", last, buckets
+        )
         # Facts lie by sale month. The few ids that came again in a later batch are listed apart.
         month = T.StructType().add("sale_month", "integer")
         self.fact_transaction = growing("gold", "fact", _with(FACT_TRANSACTION, month), "sale_month")
@@ -160,7 +171,7 @@ class Lake:
                 self._add_facts(transactions, days, batch_id)
         for feed in self.feeds.values():
             feed.record(batch_id)
-        if batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
+        if batch_id % self.compact_every == self.compact_every - 1:
             self.compact()
 
     def _add_facts(self, transactions: DataFrame, days: DataFrame, batch_id: int) -> None:
@@ -168,8 +179,8 @@ class Lake:
         places = self.ids.find(transactions, before=batch_id)
         facts = build_fact(
             transactions,
-            self._dimension(self.customer_days, first_dim_customer, transactions, "customer_id"),
-            self._dimension(self.product_days, first_dim_product, transactions, "product_id"),
+            first_dim_customer(self.customers.of(transactions), F.col("day")),
+            first_dim_product(self.products.of(transactions), F.col("day")),
             days,
             self.fact_key,
         )
@@ -191,11 +202,6 @@ class Lake:
                 lambda: self.revenue_changes.add(batch_id, revenue_change(added, replaced)),
             )
 
-    def _dimension(self, changes: BatchTable, build, rows: DataFrame, key: str) -> DataFrame:
-        """The current versions of the keys in ``rows``; the other keys' changes are not reduced."""
-        wanted = rows.select(key).distinct()
-        return current_versions(build(changes.read().join(wanted, key, "left_semi"), F.col("day")))
-
     def _add_pages(
         self,
         table: BatchTable,
@@ -231,6 +237,13 @@ class Lake:
     def dim_product(self) -> DataFrame:
         return first_dim_product(self.product_days.read(), F.col("day"))
 
+    def current_customers(self) -> DataFrame:
+        """The current version of every customer; the history is not read."""
+        return first_dim_customer(self.customers.all(), F.col("day"))
+
+    def current_products(self) -> DataFrame:
+        return first_dim_product(self.products.all(), F.col("day"))
+
     def transactions(self) -> DataFrame:
         """Stored transactions, one row per transaction id."""
         return self._unique(self.silver_transaction).select(*SILVER_TRANSACTION.names)
@@ -295,6 +308,8 @@ class Lake:
 
     def compact(self) -> None:
         """Reduce what earlier batches wrote; readers see the same rows before and after."""
+        self.customers.renew()
+        self.products.renew()
         self.customer_changes.compact(_latest_customers)
         self.product_changes.compact(_latest_products)
         self.customer_days.compact(lambda rows: _last_of_day(rows, "customer_id"))
