@@ -498,6 +498,15 @@ ORACLES = {
             _FACT_ENTRIES, "customer_id", "first_name, gender", *_FACT_AMOUNTS,
         ),
     ),
+    "set_document_fields": _with(
+        "customers activities",
+        f"""SELECT coalesce(c.customer_id, a.customer_id) AS customer_id, first_name, gender, events,
+                   last_seen
+            FROM customers c FULL JOIN (
+                SELECT customer_id, count(*) AS events, max({_time('time_stamp')}) AS last_seen
+                FROM activities WHERE customer_id IS NOT NULL GROUP BY customer_id
+            ) a ON a.customer_id = c.customer_id""",
+    ),
     "stream_profiles": _with(
         "customers transactions activities",
         _entries(

@@ -64,6 +64,7 @@ from tidemark.streaming.bronze import (
     stream_bronze,
     write_bronze,
 )
+from tidemark.sources.document_sink import read_documents, set_fields
 from tidemark.streaming.documents import (
     Documents,
     stateful_activity_log,
@@ -529,6 +530,21 @@ def _merge_profile_documents(spark, d):
     )
 
 
+@query("set_document_fields")
+def _set_document_fields(spark, d):
+    """Two writers set fields of JSON documents; the first one repeats its batch with all names."""
+    path = work_dir(spark, "documents")
+    people = customers_of(spark, d).select("customer_id", "first_name", "gender")
+    seen = events_of(spark, d).groupBy("customer_id").agg(
+        F.count("*").alias("events"), F.max("time_stamp").alias("last_seen")
+    )
+    set_fields(people.withColumn("first_name", F.lit("nobody")), path, "customer_id", "people", 0)
+    set_fields(seen, path, "customer_id", "activity", 0)
+    set_fields(people, path, "customer_id", "people", 0)
+    schema = T.StructType([*people.schema.fields, *seen.schema.fields[1:]])
+    return read_documents(spark, path, schema, "customer_id")
+
+
 # First load.
 
 @query("backfill_tables")

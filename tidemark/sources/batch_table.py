@@ -73,6 +73,12 @@ def _file_system(spark: SparkSession, path: str):
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
+def full_path(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of the file system that Spark finds it in."""
+    files, folder = _file_system(spark, path)
+    return files.makeQualified(folder).toString()
+
+
 def folder_exists(spark: SparkSession, path: str) -> bool:
     files, folder = _file_system(spark, path)
     return files.exists(folder)

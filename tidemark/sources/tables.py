@@ -55,7 +55,7 @@ def create_clean_view(df: DataFrame, view: str, prefix: str = "_") -> None:
 
 
 def read_lookup(
-    spark: SparkSession, path: str | None, schema, fmt: str = "parquet", **options: str
+    spark: SparkSession, path: str | list[str] | None, schema, fmt: str = "parquet", **options: str
 ) -> DataFrame:
     """A lookup in any format, with an explicit schema so only its columns are read."""
     reader = spark.read.format(fmt).schema(schema).options(**options)
