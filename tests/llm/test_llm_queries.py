@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from cases import workers  # noqa: F401
+from cases import ODD, workers  # noqa: F401
 from oracle_check import TESTDATA, normalized, oracle_rows
 
 import __spark_entry__ as entry_point
@@ -94,6 +94,46 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in third.collect()}
 
 
+@pytest.fixture
+def odd_folder(spark, tmp_path):
+    """Labels that are all null, and a benchmark of one short item and two without words."""
+    labels = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, quality int")
+    items = spark.createDataFrame([("a", "ONE"), ("b", None), (None, " ")], "item_id string, text string")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    return str(tmp_path)
+
+
+def _odd(spark, *rows):
+    """Documents with nulls in every column and columns named like those that stages add."""
+    schema = "doc_id long, text string, lang string, source string, n_chars int"
+    more = ", row string, spans string, label int, statistics string, row_key string"
+    filled = [(i, text, None, "s", None, None, "x", 1, None, "k") for i, text in rows]
+    return spark.createDataFrame(filled, schema + more)
+
+
+def test_pipeline_stages_take_odd_rows(spark, odd_folder):
+    """Every stage on what the one before kept; decisions as the docstrings state them."""
+    docs = _odd(spark, *ODD, (None, "no id at all here"), (8, "token=abcdefgh12345678"))
+    ids = ["0", "1", "2", "3", "4", "5", "6", "7", "8", "None"]
+    expected = [[*ids, "7", "None"], ids, [i for i in ids if i != "3"], [i for i in ids if i != "3"]]
+    columns = docs.columns
+    for (name, stage), kept in zip(corpus_pipeline.STAGES, expected, strict=False):
+        docs = stage(spark, docs, odd_folder).cache()
+        assert docs.columns == columns, name
+        assert sorted(str(r.doc_id) for r in docs.collect()) == sorted(kept), name
+    texts = {r.doc_id: (r.text, r.row_key) for r in docs.collect()}
+    assert texts[0] == (None, "k") and "abcdefgh" not in texts[8][0]
+    pieces = corpus_pipeline.STAGES[4][1](spark, docs, odd_folder)
+    assert {str(r.doc_id) for r in pieces.collect()} == set(expected[3])
+
+
+def test_pipeline_stages_take_empty_tables(spark, odd_folder):
+    docs = _odd(spark)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, odd_folder).collect() == [], name
+
+
 def test_rules_are_spark_columns(spark):
     model = rule_ensemble.Ensemble(0.0, (rule_ensemble.Rule((("n_words", ">", 3.0),), 2.0),))
     df = spark.createDataFrame([(5.0,), (1.0,)], "n_words double")

@@ -314,7 +314,11 @@ def keep_clean(
     shingle: int = 3,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """The rows of ``documents`` without any passage of the benchmark, whole, a pass per block."""
+    """The rows of ``documents`` without any passage of the benchmark, whole, a pass per block.
+
+    Null or empty text has no passage and stays; repeated rows and rows without id are judged each;
+    nulls and names of other columns make no difference. Items without words remove nothing.
+    """
     texts = batches.id_and_text(documents, id_column, text_column)
     items = _items(benchmark, item_column, item_text_column)
     place = documents.columns.index(text_column)

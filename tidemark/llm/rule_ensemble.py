@@ -223,7 +223,11 @@ def score_quality(
 def keep_predicted(
     documents: DataFrame, model: Ensemble, text_column: str = "text", threshold: float = 0.3
 ) -> DataFrame:
-    """The rows of ``documents`` with a score of ``threshold`` or more, whole and in one pass."""
+    """The rows of ``documents`` with a score of ``threshold`` or more, whole and in one pass.
+
+    Null or empty text has zeros for statistics and a score like any other; repeated rows and rows
+    without id are judged each; nulls and names of other columns make no difference.
+    """
     others = [name for name in documents.columns if name != text_column]
     rows = documents.select(F.struct(*[F.col(f"`{n}`") for n in (*others, text_column)]).alias("row"))
     kept = text_statistics(rows).where(model.score("statistics") >= threshold)
