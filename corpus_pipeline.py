@@ -18,7 +18,11 @@ ORACLE_SQL = None  # trained models and set similarity: tested against brute for
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rule ensemble does not reject."""
+    """Documents that the rule ensemble does not reject.
+
+    Null and empty texts are scored like any other; repeated rows and rows without id are judged
+    each. Without labels nothing is rejected.
+    """
     prepare_workers(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = rule_ensemble.train(docs, labels)
@@ -26,25 +30,39 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents, the one with the least id."""
+    """Of each group of linked documents, the one with the least id, in one row.
+
+    Rows that repeat an id are one document. Rows without id come after those with one, copies among
+    them are one row; null and empty texts are linked with nothing.
+    """
     prepare_workers(spark)
     return ngram_join.keep_first(docs)
 
 
 def keep_decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark.
+
+    Null and empty texts stay; repeated rows and rows without id are judged each. An empty benchmark
+    removes nothing.
+    """
     prepare_workers(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.keep_clean(docs, benchmark)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets replaced by a mark and their lengths counted anew."""
+    """All documents, with secrets replaced by a mark and their lengths counted anew.
+
+    Null texts stay null; repeated rows and rows without id stay.
+    """
     return secret_scan.redact(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, placed in sequences of 1024 tokens."""
+    """The pieces of all documents, placed in sequences of 1024 tokens.
+
+    Null and empty texts are one end id; repeated rows and rows without id are packed each.
+    """
     prepare_workers(spark)
     return packing.pack_documents(docs, vocabulary.default_path())
 
