@@ -129,3 +129,13 @@ def test_sliced_feeds_are_written_by_several_tasks(spark, monkeypatch):
     rows = REGISTRY["stream_sales_near_changes"](spark, "/root/testdata/sf0.001")
     assert rows.count() > 0
     assert not asked
+
+
+def test_text_operators_drop_shuffles_and_store_zstd(spark, tmp_path):
+    from tidemark.llm.store import materialize, prepare_workers
+    from tidemark.session import DROP_SHUFFLES
+
+    spark.conf.set(DROP_SHUFFLES, "false")
+    prepare_workers(spark)
+    assert spark.conf.get(DROP_SHUFFLES) == "true"
+    assert all(name.endswith(".zstd.parquet") for name in materialize(spark.range(3), "t").inputFiles())

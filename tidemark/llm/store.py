@@ -9,13 +9,13 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import work_dir
+from tidemark.session import DROP_SHUFFLES, work_dir
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a table once and read it back: nothing below it is computed again."""
     path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -68,8 +68,9 @@ BYTES_AT_ONCE = 1 << 20
 def prepare_workers(spark: SparkSession) -> None:
     """Let Python workers find this package where it is not installed but run from its folder.
 
-    Also bounds what they get at once.
+    Also bounds what they get at once, and lets Spark delete a shuffle once its statement has ended.
     """
+    spark.conf.set(DROP_SHUFFLES, "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_ONCE)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BYTES_AT_ONCE)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
