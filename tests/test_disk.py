@@ -139,3 +139,49 @@ def test_text_operators_drop_shuffles_and_store_zstd(spark, tmp_path):
     prepare_workers(spark)
     assert spark.conf.get(DROP_SHUFFLES) == "true"
     assert all(name.endswith(".zstd.parquet") for name in materialize(spark.range(3), "t").inputFiles())
+
+
+def test_a_batch_keeps_its_frames_in_files_only(spark, feed, tmp_path, monkeypatch):
+    import os
+
+    from tidemark.session import shared_dir
+    from tidemark.streaming.lake import Lake
+
+    kept = []
+    persist = type(spark.range(1)).persist
+    monkeypatch.setattr(
+        type(spark.range(1)), "persist",
+        lambda df, *level: kept.append(df.columns) or persist(df, *level),
+    )
+    sale = {"transaction_id": "t1", "phone_number": "1", "product_id": "1", "quantity": 2}
+    lake = Lake(spark, str(tmp_path / "lake"), as_of="2001-01-01")
+    for batch in range(2):
+        lake.apply(feed(("transaction", change(sale)), ("event", "{broken")), batch)
+    assert {tuple(c) for c in kept} == {("transaction_id", "in_month", "in_batch")}
+    folder = shared_dir(spark).removeprefix("file://")
+    assert not [name for name in os.listdir(folder) if name.startswith("batch-")]
+    assert [r.quantity for r in lake.facts().collect()] == [2]
+    assert {(r.level, r.quantity, r.sales) for r in lake.revenue().collect()} == {
+        (level, 2, 1) for level in range(4)
+    }
+    assert lake.unreadable.read().count() == 2
+
+
+def test_finest_sums_are_not_shuffled_again(spark):
+    from tidemark.operators.aggregates import revenue_change
+
+    facts = spark.createDataFrame(
+        [(199701, "p", 1, 2), (199701, "p", 1, 3), (199701, "q", 1, 4), (None, None, 1, 5)],
+        "sale_month int, product_sk string, quantity int, total_amount int",
+    )
+    sums = revenue_change(facts)
+    plan = sums._jdf.queryExecution().optimizedPlan()
+    expands = [line for line in plan.toString().split("\n") if "Expand" in line]
+    assert len(expands) == 1 and expands[0].count("spark_grouping_id") == 1
+    assert plan.toString().startswith("Union")  # the finest sums beside the expanded ones
+    assert {(r.level, r.sale_month, r.product_sk): (r.total_amount, r.sales) for r in sums.collect()} == {
+        (0, 199701, "p"): (5, 2), (0, 199701, "q"): (4, 1), (0, None, None): (5, 1),
+        (1, 199701, None): (9, 3), (1, None, None): (5, 1),
+        (2, None, "p"): (5, 2), (2, None, "q"): (4, 1), (2, None, None): (5, 1),
+        (3, None, None): (14, 4),
+    }
