@@ -221,3 +221,25 @@ def test_small_payloads_and_empty_tables(spark):
     assert {r.record_type for r in warc.read_archives(archives).collect()} == {"response"}
     none = warc.write_archives(df.where("false"), work_dir(spark, "warc"))
     assert warc.read_archives(none).collect() == []
+
+
+def test_coded_bytes_are_looked_up_and_counted_in_order(monkeypatch):
+    import numpy as np
+
+    from tidemark.llm import context_tree
+
+    rng = np.random.default_rng(5)
+    numbers = rng.integers(0, 1 << 33, 500)[rng.integers(0, 500, 3000)]
+    numbers[:2] = [0, (1 << 33) - 1]
+    weight = rng.random(3000) < 0.5
+    keys = np.unique(np.concatenate([numbers, rng.integers(0, 1 << 33, 500)]))
+    values = rng.random(len(keys)).astype(np.float32)
+    expected = values[np.searchsorted(keys, numbers)]
+    assert (context_tree.found_in(keys, values, numbers) == expected).all()
+    monkeypatch.setattr(context_tree, "_PLACE_BITS", 10)  # the same in pieces
+    assert (context_tree.found_in(keys, values, numbers) == expected).all()
+    distinct, place = np.unique(numbers, return_inverse=True)
+    own, n = context_tree.counted(numbers, weight)
+    assert (own == distinct).all() and (n == np.bincount(place, weight)).all()
+    for none in (context_tree.found_in(keys, values, numbers[:0]), *context_tree.counted(numbers[:0], weight[:0])):
+        assert len(none) == 0

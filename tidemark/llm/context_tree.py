@@ -81,6 +81,45 @@ def coded(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return number * 256 + data
 
 
+def sorted_places(numbers: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The coded bytes in sorted order, with where each one was; long texts in several pieces.
+
+    A number has 33 bits, so its place fits beside it and one sort of plain numbers gives both.
+    """
+    for first in range(0, len(numbers), 1 << _PLACE_BITS):
+        piece = numbers[first : first + (1 << _PLACE_BITS)]
+        both = np.sort(piece << _PLACE_BITS | np.arange(len(piece)))
+        yield both >> _PLACE_BITS, first + (both & ((1 << _PLACE_BITS) - 1))
+
+
+def _starts(ordered: np.ndarray) -> np.ndarray:
+    """Where each distinct number of a sorted array begins."""
+    return np.flatnonzero(np.concatenate([np.ones(min(len(ordered), 1), bool), ordered[1:] != ordered[:-1]]))
+
+
+def found_in(keys: np.ndarray, values: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """The value of each number by sorted ``keys``, which hold all of them.
+
+    Distinct numbers are looked up in order, which passes over the keys once.
+    """
+    found = np.empty(len(numbers), values.dtype)
+    for ordered, places in sorted_places(numbers):
+        starts = _starts(ordered)
+        each = values[np.searchsorted(keys, ordered[starts])]
+        found[places] = np.repeat(each, np.diff(starts, append=len(ordered)))
+    return found
+
+
+def counted(numbers: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers in order, and how many of each have a weight, which is 0 or 1."""
+    both = np.sort(numbers << 1 | weight)
+    ordered = both >> 1
+    starts = _starts(ordered)
+    if not len(starts):
+        return ordered, ordered
+    return ordered[starts], np.add.reduceat(both & 1, starts)
+
+
 def _log_gamma(x: np.ndarray) -> np.ndarray:
     distinct, place = np.unique(x, return_inverse=True)
     return np.array([math.lgamma(v) for v in distinct])[place].reshape(x.shape)
@@ -143,6 +182,7 @@ class Level(NamedTuple):
 
 
 _BITS = np.arange(7, -1, -1)
+_PLACE_BITS = 63 - 8 - 5 * DEPTH  # beside a coded byte
 _KEY_BYTES = 5  # of a coded byte: 5 classes of 5 bits and 8 bits
 
 
@@ -301,9 +341,8 @@ def _chunk_pairs(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = begins[low + first : low + last + 1]
                 keys = coded(raw[at[0] : at[-1]], at - at[0])
                 weight = np.repeat(learned[low + first : low + last], np.diff(at))
-                keys, place = np.unique(keys, return_inverse=True)
-                held.append((keys, np.bincount(place, weight, len(keys)).astype(np.int64)))
-                size += len(keys)
+                held.append(counted(keys, weight))
+                size += len(held[-1][0])
                 if size >= PAIRS_HELD:
                     held = [_summed(held)]
                     size = len(held[0][0])
@@ -457,7 +496,7 @@ def _score_slice(part, begins, keys, chances, common, log_counts, end_count: int
         rare.append(own)
         often.append(n)
         ends.append(ends[-1] + len(own))
-    logs_of_bytes = chances[np.searchsorted(keys, coded(part, begins))]
+    logs_of_bytes = found_in(keys, chances, coded(part, begins))
     offsets = pa.array(ends, pa.int32())
     none = np.zeros(0, np.uint64)
     return [
