@@ -195,3 +195,14 @@ def test_reports_over_all_months_store_no_facts(spark, monkeypatch, name):
     rows = REGISTRY[name](spark, "/root/testdata/sf0.001")
     assert rows.agg(F.sum("sales")).first()[0] > 0
     assert not added
+
+
+def test_random_keys_are_counted_before_keys_of_days_are_added(spark):
+    plan = REGISTRY["fact_transaction_uuid"](spark, "/root/testdata/sf0.001")
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    above, _, below = text.partition("Window ")  # the root comes first
+    for day in ("coalesce(customer_sk_day#", "coalesce(product_sk_day#"):
+        assert day in above and day not in below
+    assert {(r.key_length, r.uses) for r in plan.select("key_length", "uses").distinct().collect()} == {
+        (36, 1)
+    }

@@ -68,11 +68,16 @@ def fact_rows(
 
 
 def with_keys(rows: DataFrame, sk: str = "md5", *extra: str) -> DataFrame:
-    """Facts out of :func:`fact_rows`, with any ``extra`` columns of these."""
+    """Facts out of :func:`fact_rows`, with any ``extra`` columns of these.
+
+    Rows that have a ``transaction_sk`` already keep it.
+    """
+    drawn = "transaction_sk" in rows.columns
+    own = F.col("transaction_sk") if drawn else transaction_key(F.col("transaction_id"), sk)
     return conform(
         rows.withColumns(
             {
-                "transaction_sk": transaction_key(F.col("transaction_id"), sk),
+                "transaction_sk": own,
                 "customer_sk": _or_day_key("customer_sk", "customer_id"),
                 "product_sk": _or_day_key("product_sk", "product_id"),
                 "unit_sales_price": F.col("price"),
