@@ -206,3 +206,46 @@ def test_random_keys_are_counted_before_keys_of_days_are_added(spark):
     assert {(r.key_length, r.uses) for r in plan.select("key_length", "uses").distinct().collect()} == {
         (36, 1)
     }
+
+
+def test_rows_meet_a_stored_history_per_key(spark, monkeypatch):
+    from tidemark.operators import asof
+
+    kept = []
+    stored = asof.stored
+    monkeypatch.setattr(asof, "stored", lambda df, name: kept.append(stored(df, name)) or kept[-1])
+    days = [day(f"2026-{m:02}-01") for m in range(1, 13)]
+    versions = spark.createDataFrame(
+        [("a", d, i) for i, d in enumerate(days)] + [("n", None, 50), ("n", days[5], 51)],
+        "key string, effective_date date, v int",
+    )
+    rows = spark.createDataFrame(
+        [(k, d) for k in ("a", "n", "other", None) for d in (day("2025-12-31"), *days, None)],
+        "key string, day date",
+    )
+    found = {(r.key, r.day): r.v for r in asof.version_on_day(rows, versions, "key", "day", ["v"]).collect()}
+    assert [found["a", d] for d in (day("2025-12-31"), *days, None)] == [None, *range(12), None]
+    # A version without a day is before all others, and a row without a day meets none.
+    assert [found["n", d] for d in (days[0], days[5], None)] == [50, 51, None]
+    assert {v for (k, _), v in found.items() if k not in ("a", "n")} == {None}
+    assert [df.count() for df in kept] == [2]  # a row per key, none per pair of key and day
+
+
+def test_derived_keys_are_added_behind_the_window(spark):
+    from tidemark.operators.scd2 import scd2_from_log, scd2_merge
+
+    records = spark.createDataFrame(
+        [("a", day("2026-01-01"), 0, 0), ("a", day("2026-01-02"), 0, 1)],
+        "id string, at date, ts_ms long, offset long",
+    )
+    log = scd2_from_log(records, "id", "sk", F.col("at"), ["ts_ms", "offset"])
+    own = F.when(F.dayofmonth("at") == 1, F.lit("own"))  # the other key is null
+    kept = log.withColumn("sk", own)
+    merged = scd2_merge(kept, records.where("offset = 1"), "id", "sk", F.lit(day("2026-01-03")))
+    for history in (log, merged):
+        text = history._jdf.queryExecution().optimizedPlan().toString()
+        above, _, below = text.partition("Window ")
+        assert "md5" in above and "md5" not in below
+    keys = {r.effective_date.day: r.sk for r in merged.collect()}
+    md5 = spark.range(1).select(F.md5(F.lit("a2026-01-03"))).first()[0]
+    assert keys == {1: "own", 2: None, 3: md5}

@@ -23,20 +23,22 @@ def new_versions(
     as_of: Column | dt.date | str | None,
     order_by: list[Column | str],
 ) -> DataFrame:
-    """At most one version per key and day, the last record of the day, with its surrogate key.
+    """At most one version per key and day, the last record of the day; the surrogate key is null.
 
     The reduction runs before the shuffle. Whatever share of the records one key holds, it leaves
     at most one row per day, which bounds the group that :func:`chain_versions` sorts.
     """
     dated = records.withColumn("effective_date", as_date(as_of))
     daily = latest_per_key(dated, [key, "effective_date"], order_by)
-    return daily.withColumn(sk, day_key(F.col(key), F.col("effective_date")))
+    return daily.withColumn(sk, F.lit(None).cast("string"))
 
 
-def chain_versions(rows: DataFrame, key: str) -> DataFrame:
+def chain_versions(rows: DataFrame, key: str, sk: str) -> DataFrame:
     """Close each version on the day the next one starts; the last one stays open and current.
 
-    Of several rows of a key with the same day the one with the greatest ``_seq`` stays.
+    Of several rows of a key with the same day the one with the greatest ``_seq`` stays. Versions with
+    ``_seq`` 1 are new and get their surrogate key here, behind the shuffle, as random text hardly
+    shrinks.
     """
     history = Window.partitionBy(key).orderBy("effective_date", "_seq")
     chained = rows.withColumn("_next", F.lead("effective_date").over(history))
@@ -47,6 +49,9 @@ def chain_versions(rows: DataFrame, key: str) -> DataFrame:
             {
                 "expired_date": F.coalesce(F.col("_next"), F.lit(OPEN_END)),
                 "is_current": F.col("_next").isNull(),
+                sk: F.when(
+                    F.col("_seq") == 1, day_key(F.col(key), F.col("effective_date"))
+                ).otherwise(F.col(sk)),
             }
         )
         .drop("_next", "_seq")
@@ -76,7 +81,7 @@ def scd2_merge(
     rows = dim.select(*kept, F.lit(0).alias("_seq")).unionByName(
         conform(incoming, schema).withColumn("_seq", F.lit(1))
     )
-    return chain_versions(rows, key).select(*dim.columns)
+    return chain_versions(rows, key, sk).select(*dim.columns)
 
 
 def scd2_from_log(
@@ -87,8 +92,8 @@ def scd2_from_log(
     order_by: list[Column | str],
 ) -> DataFrame:
     """The whole history in one pass over a complete change log."""
-    rows = new_versions(records, key, sk, as_of, order_by).withColumn("_seq", F.lit(0))
-    return chain_versions(rows, key)
+    rows = new_versions(records, key, sk, as_of, order_by).withColumn("_seq", F.lit(1))
+    return chain_versions(rows, key, sk)
 
 
 def merge_dim_customer(dim: DataFrame, records: DataFrame, as_of=None, **options) -> DataFrame:
