@@ -280,3 +280,31 @@ def test_facts_without_a_dimension_lack_its_key_only(spark):
         part, rest = build_fact(*gold._replace(**left_out)), whole.drop(*keys)
         assert part.schema == rest.schema
         assert part.exceptAll(rest).isEmpty() and rest.exceptAll(part).isEmpty()
+
+
+def test_entries_read_the_documents_once(spark):
+    from tidemark.plans.queries import entries
+
+    documents = spark.createDataFrame(
+        [("both", 1, [("t1", 10), ("t2", 20)], [("e1", 30)]), ("one", 2, None, [("e2", None)]),
+         ("none", 3, None, None), ("empty", 4, [], None)],
+        "id string, n int, transaction_log array<struct<t: string, time: int>>, "
+        "activity_log array<struct<e: string, time: int>>",
+    )
+    found = entries(documents, "id", "n")
+    assert found.columns == ["id", "n", "t", "time", "e"]
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, [
+        ("both", 1, "t1", 10, None), ("both", 1, "t2", 20, None), ("both", 1, None, 30, "e1"),
+        ("one", 2, None, None, "e2"), ("none", 3, None, None, None),
+    ]))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Generate ") == 1
+
+
+def test_merged_purchases_look_no_key_up(spark, monkeypatch):
+    from tidemark.plans import queries
+
+    kept = []
+    stored = queries.stored
+    monkeypatch.setattr(queries, "stored", lambda df, n: kept.append(n) or stored(df, n))
+    assert not REGISTRY["merge_profile_documents"](spark, "/root/testdata/sf0.001").isEmpty()
+    assert not kept
