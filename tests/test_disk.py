@@ -308,3 +308,19 @@ def test_merged_purchases_look_no_key_up(spark, monkeypatch):
     monkeypatch.setattr(queries, "stored", lambda df, n: kept.append(n) or stored(df, n))
     assert not REGISTRY["merge_profile_documents"](spark, "/root/testdata/sf0.001").isEmpty()
     assert not kept
+
+
+def test_a_profile_stores_its_sales_once(spark, monkeypatch):
+    from tidemark.operators import logs
+    from tidemark.plans import queries
+
+    kept = []
+    for module in (queries, logs):
+        monkeypatch.setattr(
+            module, "stored",
+            lambda df, name, stored=module.stored: kept.append((name, *df.columns)) or stored(df, name),
+        )
+    assert not REGISTRY["unified_profile"](spark, "/root/testdata/sf0.001").isEmpty()
+    sales = [names for names in kept if names[0] in ("transactions", "dim_product", "entries")]
+    assert [names[0] for names in sales] == ["transactions", "entries"]  # the latter of the events
+    assert "product_name" not in sales[0]

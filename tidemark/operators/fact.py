@@ -13,7 +13,7 @@ from tidemark.operators.scd2 import current_versions
 from tidemark.schemas import FACT_TRANSACTION, conform
 
 # What facts take from transactions.
-_SOLD = (
+SOLD = (
     "transaction_id", "customer_id", "product_id", "price", "quantity", "total_amount", "timestamp",
 )
 
@@ -57,7 +57,7 @@ def fact_rows(
     """
     days = dim_date.select("date_key", F.col("date").alias("sale_date"))
 
-    rows = transactions.select(*_SOLD).withColumn("sale_date", F.to_date("timestamp"))
+    rows = transactions.select(*SOLD).withColumn("sale_date", F.to_date("timestamp"))
     for dim, key, sk_name in (
         (dim_customer, "customer_id", "customer_sk"), (dim_product, "product_id", "product_sk")
     ):

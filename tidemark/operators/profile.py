@@ -32,9 +32,13 @@ def build_profile(
     facts: DataFrame,
     events: DataFrame | None = None,
     size: int = PAGE,
+    kept: bool = False,
 ) -> Profile:
-    """The profile of every customer: demographics, transaction log and, given events, activity."""
-    pages = transaction_log(facts, size)
+    """The profile of every customer: demographics, transaction log and, given events, activity.
+
+    Facts are stored for their log unless they are ``kept`` already.
+    """
+    pages = transaction_log(facts, size, kept)
     if events is not None:
         pages = pages.unionByName(activity_log(events, size), allowMissingColumns=True)
     people = customers.select(F.col("customer_id").alias("master_id"), *DEMOGRAPHICS)
