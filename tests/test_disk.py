@@ -350,3 +350,59 @@ def test_sums_and_not_sales_meet_the_persons(spark, monkeypatch):
     assert found.agg(F.sum("sales")).first() == met[0].agg(F.sum("sales")).first()
     assert kept == ["sold"]
     assert met[0].count() == met[0].select("customer_id", "phone_number").distinct().count()
+
+
+def test_only_repeated_keys_are_shuffled(spark, monkeypatch):
+    from tidemark.operators import latest
+
+    rows = spark.createDataFrame(
+        [("a", 1, "old"), ("a", 3, "new"), ("a", 2, "mid"), ("b", 1, "only"), (None, 1, "no key"),
+         ("c", None, "only")],
+        "id string, ts int, v string",
+    )
+    expected = {("a", 3, "new"), ("b", 1, "only"), ("c", None, "only")}
+    reduced = []
+    latest_per_key = latest.latest_per_key
+    monkeypatch.setattr(
+        latest, "latest_per_key", lambda df, *a: reduced.append(df) or latest_per_key(df, *a)
+    )
+    found = latest.latest_of_stored(rows, "id", ["ts"])
+    assert found.columns == rows.columns
+    assert {tuple(r) for r in found.collect()} == expected and found.count() == 3
+    assert {r.id for r in reduced.pop().collect()} == {"a"}
+    monkeypatch.setattr(latest, "SENT_BYTES", 0)  # too many to be sent
+    assert {tuple(r) for r in latest.latest_of_stored(rows, "id", ["ts"]).collect()} == expected
+    assert reduced.pop().count() == len(rows.collect())
+
+
+def test_a_first_load_keeps_its_frames_in_files_only(spark, feed, tmp_path, monkeypatch):
+    import os
+
+    from tidemark.plans.backfill import load_tables
+    from tidemark.schemas import TABLES
+    from tidemark.session import shared_dir
+
+    kept = []
+    persist = type(spark.range(1)).persist
+    monkeypatch.setattr(
+        type(spark.range(1)), "persist",
+        lambda df, *level: kept.append(df.columns) or persist(df, *level),
+    )
+    for zone in {spec.zone for spec in TABLES.values()}:
+        spark.sql(f"DROP DATABASE IF EXISTS {zone} CASCADE")
+    try:
+        sale = {"transaction_id": "t1", "phone_number": "1", "product_id": "1", "quantity": 2}
+        raw = feed(*[("transaction", change(sale, ts_ms=ms)) for ms in (1000, 0)])
+        load_tables(spark, raw, str(tmp_path / "catalog"), "2001-01-01")
+        (fact,) = spark.table(TABLES["fact_transaction"].qualified).collect()
+        assert (fact.transaction_id, fact.time_stamp.second) == ("t1", 1)
+        files = [
+            name for spec in TABLES.values() for name in spark.table(spec.qualified).inputFiles()
+        ]
+        assert files and all(name.endswith(".zstd.parquet") for name in files)
+        assert not kept
+        folder = shared_dir(spark).removeprefix("file://")
+        assert not [name for name in os.listdir(folder) if name.startswith("cleaned-")]
+    finally:
+        for zone in {spec.zone for spec in TABLES.values()}:
+            spark.sql(f"DROP DATABASE IF EXISTS {zone} CASCADE")

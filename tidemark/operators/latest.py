@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.ranks import SENT_BYTES, stored
+
+_HASH_BYTES = 64  # of a hash that is sent to every task, at most
 
 def latest_per_key(
     df: DataFrame,
@@ -28,3 +31,23 @@ def latest_per_key(
     position = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
     newest = F.max_by(F.struct(*others), position).alias("newest")
     return df.groupBy(*keys).agg(newest).select(*keys, "newest.*").select(*columns)
+
+
+def latest_of_stored(df: DataFrame, key: str, order_by: list[Column | str]) -> DataFrame:
+    """:func:`latest_per_key` of a stored table in which few keys come more than once.
+
+    Only a hash of each key is shuffled to find those; rows of all other keys stay where they are. If
+    the hashes that come again are too many to be sent to every task, all rows are shuffled and the
+    result is stored.
+    """
+    named = df.where(F.col(key).isNotNull())
+    own = F.xxhash64(key)
+    counts = named.groupBy(own.alias("_again")).agg(F.count("*").alias("_n")).where("_n > 1")
+    again = stored(counts.select("_again"), "again")
+    if again.count() * _HASH_BYTES > SENT_BYTES:
+        return stored(latest_per_key(df, key, order_by), "latest")
+    again = F.broadcast(again)
+    comes_again = own == F.col("_again")
+    once = named.join(again, comes_again, "left_anti")
+    several = named.join(again, comes_again, "left_semi")
+    return once.unionByName(latest_per_key(several, key, order_by))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.schemas import TABLES, TableSpec
+from tidemark.sources.batch_table import COMPRESSION
 
 
 def create_database(spark: SparkSession, name: str, location: str) -> None:
@@ -16,7 +17,8 @@ def create_table(spark: SparkSession, spec: TableSpec, location: str) -> None:
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema)
     layout = f"PARTITIONED BY ({', '.join(spec.partition_by)})" if spec.partition_by else ""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {spec.qualified} ({columns}) USING parquet {layout} "
+        f"CREATE TABLE IF NOT EXISTS {spec.qualified} ({columns}) USING parquet "
+        f"OPTIONS (compression '{COMPRESSION}') {layout} "
         f"LOCATION '{location}'"
     )
 
