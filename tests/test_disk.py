@@ -406,3 +406,99 @@ def test_a_first_load_keeps_its_frames_in_files_only(spark, feed, tmp_path, monk
     finally:
         for zone in {spec.zone for spec in TABLES.values()}:
             spark.sql(f"DROP DATABASE IF EXISTS {zone} CASCADE")
+
+
+def lookups(spark):
+    rows = spark.createDataFrame(
+        [("a", 1), ("a", 2), ("b", 3), ("c", 4), ("own", 5), ("unknown", 6), (None, 7)],
+        "key string, n int",
+    )
+    table = spark.createDataFrame(
+        [(k, None, day("2001-01-01")) for k in ("a", "b", "c", "unused")] + [("own", "sk", None)],
+        "key string, sk string, sk_day date",
+    )
+    return rows, table
+
+
+@pytest.mark.parametrize("sent", [4 << 20, 0])
+def test_rows_stay_where_most_keys_find_the_same(spark, tmp_path, monkeypatch, sent):
+    from tidemark.operators import lookup
+
+    rows, table = lookups(spark)
+    expected = {tuple(r) for r in lookup.lookup_join(rows, table, "key").collect()}
+    monkeypatch.setattr(lookup, "SENT_BYTES", sent)
+    asked = []
+    join = lookup.lookup_join
+    monkeypatch.setattr(lookup, "lookup_join", lambda df, *a: asked.append(df) or join(df, *a))
+    found = lookup.lookup_of_stored(rows, table, "key", str(tmp_path / "found"))
+    assert {tuple(r) for r in found.collect()} == expected and found.count() == 7
+    assert asked[0].count() == 5  # the distinct keys; the rows themselves only if others are many
+    assert len(asked) == (1 if sent else 2)
+    none = lookup.lookup_of_stored(rows.where("n = 7"), table, "key", str(tmp_path / "none"))
+    assert [tuple(r) for r in none.collect()] == [(None, 7, None, None)]
+    strange = lookup.lookup_of_stored(rows.where("n = 6"), table, "key", str(tmp_path / "strange"))
+    assert [tuple(r) for r in strange.collect()] == [("unknown", 6, None, None)]
+
+
+def test_a_table_without_batches_is_empty_to_the_planner(spark, tmp_path):
+    schema = spark.createDataFrame([], "id long").schema
+    table = BatchTable(spark, str(tmp_path / "t"), schema)
+    met = table.read().join(spark.range(9).hint("merge"), "id", "left_semi").groupBy("id").count()
+    assert "Exchange" not in plan_of(met) and met.isEmpty()
+
+
+def test_unreadable_records_are_parsed_once(feed):
+    found = quarantine(feed(("transaction", change({})), ("transaction", "{broken")), "transaction")
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("from_json") == 1
+    assert [(r.value, r.reason) for r in found.collect()] == [("{broken", "malformed json")]
+
+
+def test_lines_of_an_order_lie_together(spark):
+    from tidemark.sources.warehouse_feeds import transaction_feed
+
+    order = F.floor(F.col("offset").cast("long") / 8)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    sent = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")  # as where no table is small enough to be sent
+    try:
+        tasks = transaction_feed(spark, "/root/testdata/sf0.001").select(order).rdd.glom().collect()
+    finally:
+        spark.conf.set(threshold, sent)
+    for task in tasks:
+        orders = [row[0] for row in task]
+        changes = sum(a != b for a, b in zip(orders, orders[1:], strict=False))
+        assert changes == max(len(set(orders)) - 1, 0)
+    assert len({row[0] for task in tasks for row in task}) == sum(
+        len({row[0] for row in task}) for task in tasks
+    )
+
+
+def test_sales_of_a_batch_are_gone_once_its_facts_are_stored(spark, feed, tmp_path, monkeypatch):
+    import os
+
+    from tidemark.session import shared_dir
+    from tidemark.streaming import lake as module
+
+    top, left = shared_dir(spark).removeprefix("file://"), []
+    change_of = module.revenue_change
+
+    def seen(added, replaced):
+        for name in os.listdir(top):
+            if name.startswith("batch-"):
+                left.append(sorted(os.listdir(f"{top}/{name}")))
+        return change_of(added, replaced)
+
+    monkeypatch.setattr(module, "revenue_change", seen)
+
+    def sale(name, quantity, **more):
+        return {"transaction_id": name, "phone_number": "1", "product_id": "1", "quantity": quantity} | more
+
+    lake = module.Lake(spark, str(tmp_path / "lake"), as_of="2001-01-01")
+    first = [("transaction", change(sale("t1", 1), ts_ms=0)), ("transaction", change(sale("t1", 2), ts_ms=5))]
+    lake.apply(feed(*first, ("transaction", change(sale("t2", 3, customer_id="c")))), 0)
+    lake.apply(feed(("transaction", change(sale("t1", 7), ts_ms=9))), 1)
+    assert left == [["facts"], ["facts"]]
+    assert {(r.transaction_id, r.quantity) for r in lake.facts().collect()} == {("t1", 7), ("t2", 3)}
+    assert {(r.quantity, r.sales) for r in lake.revenue().where("level = 3").collect()} == {(10, 2)}
+    assert not [name for name in os.listdir(top) if name.startswith("batch-")]
