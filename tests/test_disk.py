@@ -502,3 +502,37 @@ def test_sales_of_a_batch_are_gone_once_its_facts_are_stored(spark, feed, tmp_pa
     assert {(r.transaction_id, r.quantity) for r in lake.facts().collect()} == {("t1", 7), ("t2", 3)}
     assert {(r.quantity, r.sales) for r in lake.revenue().where("level = 3").collect()} == {(10, 2)}
     assert not [name for name in os.listdir(top) if name.startswith("batch-")]
+
+
+def test_facts_are_repaired_in_passes(spark, tmp_path, monkeypatch):
+    from tidemark.operators import fact
+    from tidemark.operators.calendar import dim_date
+
+    names = ["known", "late", "twice", "twice", "gone", None]
+    sales = spark.createDataFrame(
+        [(t, "c", "old" if t == "known" else "new") for t in names],
+        "transaction_id string, customer_id string, product_id string",
+    ).select(
+        "*", F.lit(1).cast("decimal(10,2)").alias("price"), F.lit(1).alias("quantity"),
+        F.lit(1).cast("decimal(10,2)").alias("total_amount"),
+        F.timestamp_millis(F.lit(0)).alias("timestamp"),
+    )
+    customers = dimension(spark, DIM_CUSTOMER, "customer", ("c1", "c", day("2001-01-01")))
+    old = dimension(spark, DIM_PRODUCT, "product", ("old1", "old", day("2001-01-01")))
+    both = old.union(dimension(spark, DIM_PRODUCT, "product", ("new1", "new", day("2001-01-01"))))
+    days = dim_date(spark, "2001-01-01")
+    early = fact.build_fact(sales, customers, old, days)
+    built = []
+    build_fact = fact.build_fact
+    monkeypatch.setattr(fact, "build_fact", lambda df, *a, **o: built.append(df) or build_fact(df, *a, **o))
+    given = sales.where("transaction_id <> 'gone'")
+    repaired = fact.repair_facts(early, given, customers, both, days, folder=str(tmp_path / "repair"))
+    unknown = spark.range(1).select(F.md5(F.lit("new1970-01-01"))).first()[0]
+    found = sorted((r.transaction_id or "", r.product_sk, r.customer_sk) for r in repaired.collect())
+    assert found == [
+        ("", unknown, "c1"), ("gone", unknown, "c1"), ("known", "old1", "c1"), ("late", "new1", "c1"),
+        ("twice", "new1", "c1"), ("twice", "new1", "c1"),
+    ]
+    assert len(list((tmp_path / "repair" / "stay").iterdir())) > 1
+    (again,) = built  # once, and only what was unknown
+    assert sorted(r.transaction_id for r in again.collect()) == ["late", "twice", "twice"]
