@@ -440,6 +440,23 @@ def test_rows_stay_where_most_keys_find_the_same(spark, tmp_path, monkeypatch, s
     assert [tuple(r) for r in strange.collect()] == [("unknown", 6, None, None)]
 
 
+@pytest.mark.parametrize("sent", [4 << 20, 0])
+def test_keys_are_counted_by_their_hashes(spark, monkeypatch, sent):
+    from tidemark.operators import latest
+
+    monkeypatch.setattr(latest, "SENT_BYTES", sent)
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4), (None, 5)], "k string, n int")
+    found = latest.counted_in_stored(rows, "k", "uses")
+    assert {(r.n, r.uses) for r in found.collect()} == {(1, 2), (2, 2), (3, 1), (4, 2), (5, 2)}
+    alone = latest.counted_in_stored(rows.where("n > 2 and n < 5"), "k", "uses")
+    assert {(r.n, r.uses) for r in alone.collect()} == {(3, 1), (4, 1)}
+    assert "Window" not in plan_of(alone)
+
+
+def test_facts_with_random_keys_meet_in_no_window(spark):
+    assert "Window" not in plan_of(REGISTRY["fact_transaction_uuid"](spark, "/root/testdata/sf0.001"))
+
+
 def test_a_table_without_batches_is_empty_to_the_planner(spark, tmp_path):
     schema = spark.createDataFrame([], "id long").schema
     table = BatchTable(spark, str(tmp_path / "t"), schema)
