@@ -57,7 +57,7 @@ def load_tables(
         customers, products, sales, events = together(
             spark, *[partial(written, rows, f"{kept}/{name}") for name, rows in cleaned.items()]
         )
-        sales = latest_of_stored(sales, "transaction_id", list(FEED_ORDER))
+        sales = latest_of_stored(sales, "transaction_id", list(FEED_ORDER), f"{kept}/latest")
         everyone = with_placeholders(customers, sales)
         dated = customers_by_day(customers, sales, as_of)
         newest = latest_per_key(customers, "customer_id", FEED_ORDER)
@@ -76,7 +76,7 @@ def load_tables(
             lambda: _fill("purchases", bought),
         )
         dims = (spark.table(TABLES[n].qualified) for n in ("dim_customer", "dim_product", "dim_date"))
-        _fill("fact_transaction", build_fact(sales, *dims))
+        _fill("fact_transaction", build_fact(sales, *dims, found=f"{kept}/found"))
     finally:
         delete_folder(spark, kept)
 
