@@ -563,3 +563,12 @@ def test_sales_are_stored_before_they_meet_histories(spark, monkeypatch):
     monkeypatch.setattr(queries, "stored", lambda df, name: kept.append(name) or stored(df, name))
     assert REGISTRY["fact_on_sale_day"](spark, "/root/testdata/sf0.001").count() > 0
     assert kept == ["sold"]
+
+
+def test_pieces_are_deleted_once_the_stream_has_read_them(spark, monkeypatch):
+    from tidemark.plans import queries
+
+    gone = []
+    monkeypatch.setattr(queries, "delete_folder", lambda spark, path: gone.append(path.rpartition("/")[2]))
+    assert REGISTRY["stream_sales_near_changes"](spark, "/root/testdata/sf0.001").count() > 0
+    assert gone == ["sales", "changes"] * 4
